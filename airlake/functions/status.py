@@ -53,12 +53,11 @@ def age_text(ts: Column | str, now: Column) -> Column:
 
 
 def hour_window_text(ts: Column | str) -> Column:
-    """IST text of an hour as ``14:30-15:30 IST, 5 Jan``."""
+    """The IST hour a forecast is for, as ``30 Sep, 15:00–16:00 IST``."""
     start = ist(ts)
     end = start + F.expr("INTERVAL '1' HOUR")
     return F.concat(
-        F.date_format(start, "HH:mm"), F.lit("-"), F.date_format(end, "HH:mm"),
-        F.lit(" IST, "), F.date_format(start, "d MMM"),
+        F.date_format(start, "d MMM, HH:mm"), F.lit("–"), F.date_format(end, "HH:mm"), F.lit(" IST")
     )
 
 
