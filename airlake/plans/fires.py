@@ -18,39 +18,38 @@ from airlake.operators.windows import rolling_sum, trailing
 PRIMARY = "VIIRS_SNPP"
 
 
-def preferred(points: DataFrame) -> DataFrame:
-    """Archive over near-real-time per (day, sensor), then one sensor per day.
+def _archived(points: DataFrame) -> DataFrame:
+    return points.withColumn("_archive", F.coalesce(F.col("product") == "SP", F.lit(False)))
+
 
-    The choice is made on the counts per (day, sensor, product) and brought back as a semi join, so no
-    window ever holds the detections of a day.
+def preferred_product(points: DataFrame) -> DataFrame:
+    """Archive over near-real-time per (day, sensor), every sensor kept.
+
+    The choice is made on one partially aggregated flag per (day, sensor) and brought back as a semi
+    join, so no window ever holds the detections of a day.
     """
-    counts = points.groupBy("acq_date", "sensor", "product").agg(F.count(F.lit(1)).alias("n"))
-    product = F.min_by("product", F.when(F.col("product") == "SP", 0).otherwise(1))
-    per_sensor = counts.groupBy("acq_date", "sensor").agg(
-        product.alias("product"),
-        (F.count_if(F.col("product") == "SP") > 0).alias("archived"),
-    )
-    rank = F.struct(F.when(F.col("sensor") == PRIMARY, 0).otherwise(1), F.col("sensor"))
-    chosen = per_sensor.groupBy("acq_date").agg(
-        F.min_by(F.struct("sensor", "product", "archived"), rank).alias("best")
-    )
-    keep = chosen.select("acq_date", "best.sensor", "best.product")
-    return points.join(keep, ["acq_date", "sensor", "product"], "left_semi")
+    marked = _archived(points)
+    keep = marked.groupBy("acq_date", "sensor").agg(F.bool_or("_archive").alias("_archive"))
+    return marked.join(keep, ["acq_date", "sensor", "_archive"], "left_semi").drop("_archive")
 
 
-def preferred_product(points: DataFrame) -> DataFrame:
-    """Only the archive-over-near-real-time step (all sensors kept)."""
-    counts = points.groupBy("acq_date", "sensor", "product").agg(F.count(F.lit(1)).alias("n"))
-    keep = counts.groupBy("acq_date", "sensor").agg(
-        F.min_by("product", F.when(F.col("product") == "SP", 0).otherwise(1)).alias("product")
+def preferred(points: DataFrame) -> DataFrame:
+    """One sensor per day (the primary one when it saw anything), archive files first."""
+    marked = _archived(points)
+    per_sensor = marked.groupBy("acq_date", "sensor").agg(F.bool_or("_archive").alias("_archive"))
+    rank = F.struct(F.when(F.col("sensor") == PRIMARY, 0).otherwise(1), F.col("sensor"))
+    keep = (
+        per_sensor.groupBy("acq_date")
+        .agg(F.min_by(F.struct("sensor", "_archive"), rank).alias("best"))
+        .select("acq_date", "best.sensor", "best._archive")
     )
-    return points.join(keep, ["acq_date", "sensor", "product"], "left_semi")
+    return marked.join(keep, ["acq_date", "sensor", "_archive"], "left_semi").drop("_archive")
 
 
 def locate(points: DataFrame, cfg: Config = CONFIG) -> DataFrame:
     """Detections with distance, bearing, sector and band as seen from the city centre."""
     here = (cfg.centre_lat, cfg.centre_lon, "latitude", "longitude")
-    placed = preferred(points.filter("confidence IS NOT NULL")).filter("confidence <> 'l'").select(
+    placed = preferred(points).filter("confidence <> 'l'").select(
         "*", haversine_km(*here).alias("_km"), bearing_deg(*here).alias("_bearing")
     )
     return placed.select(
