@@ -38,6 +38,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session settings that results depend on (all are runtime-settable)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    # Zone-less Parquet timestamps read as (UTC) timestamps, so time filters reach the scan.
+    spark.conf.set("spark.sql.parquet.inferTimestampNTZ.enabled", "false")
     return spark
 
 

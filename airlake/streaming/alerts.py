@@ -98,31 +98,43 @@ def announce_stream(stream: DataFrame, key: str, ts: str, status: str) -> DataFr
 
 
 def mute_repeats(df: DataFrame, key: str, ts: str, cfg: Config = CONFIG) -> DataFrame:
-    """Batch form: alerts that would have been sent.
+    """Batch form: the alerts that would have been sent.
 
-    Repeated instants collapse map-side. Rows are range-partitioned by (key, time) only to find the
-    pauses; each run between pauses is then walked in order as a stream of batches that carries one
-    number per run.
+    Repeated instants collapse map-side. Pauses are found on buckets one mute time wide (two instants of
+    one bucket are always closer), so the window runs over a handful of buckets per key and day. Each
+    run between pauses is then walked in time order as a stream that carries a single number.
     """
     mute = timedelta(hours=cfg.repeat_alert_hours) // timedelta(microseconds=1)
-    instants = df.select(F.col(key).alias("alert_key"), F.unix_micros(ts).alias("at")).distinct()
-    by_key = Window.partitionBy("alert_key").orderBy("at")
-    starts = (F.col("at") - F.lag("at").over(by_key) >= mute) | F.lag("at").over(by_key).isNull()
-    runs = instants.withColumn("_run", F.sum(F.when(starts, 1).otherwise(0)).over(by_key))
+    instants = (
+        df.select(F.col(key).alias("alert_key"), F.unix_micros(ts).alias("at"))
+        .distinct()
+        .withColumn("_bucket", F.floor(F.col("at") / mute))
+    )
+    by_key = Window.partitionBy("alert_key").orderBy("_bucket")
+    pause = F.col("_first") - F.lag("_last").over(by_key) >= mute
+    buckets = instants.groupBy("alert_key", "_bucket").agg(
+        F.min("at").alias("_first"), F.max("at").alias("_last")
+    )
+    starts = buckets.withColumn("_starts", F.coalesce(pause, F.lit(True)).cast("int"))
+    runs = starts.select("alert_key", "_bucket", F.sum("_starts").over(by_key).alias("_run"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, last = None, None
+        current, last = None, 0
         for batch in batches:
             keep = []
-            for run, at in zip(zip(batch["alert_key"], batch["_run"]), batch["at"]):
-                if run != current or at - last >= mute:
-                    keep.append(True)
-                    current, last = run, at
-                else:
-                    keep.append(False)
+            for name, run, at in zip(batch["alert_key"], batch["_run"], batch["at"], strict=True):
+                send = (name, run) != current or at - last >= mute
+                if send:
+                    current, last = (name, run), at
+                keep.append(send)
             yield batch.loc[keep, ["alert_key", "at"]]
 
-    placed = runs.repartition("alert_key", "_run").sortWithinPartitions("alert_key", "_run", "at")
+    placed = (
+        instants.join(runs, ["alert_key", "_bucket"])
+        .select("alert_key", "_run", "at")
+        .repartition("alert_key", "_run")
+        .sortWithinPartitions("alert_key", "_run", "at")
+    )
     return placed.mapInPandas(walk, "alert_key string, at long").select(
         "alert_key", F.timestamp_micros("at").alias("sent_at")
     )
