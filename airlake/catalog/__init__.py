@@ -1,6 +1,6 @@
 """Named queries over the given tables, each with the SQL it is checked against."""
 
-from airlake.catalog import conditions, places, series  # noqa: F401
+from airlake.catalog import conditions, forecasting, places, series  # noqa: F401
 from airlake.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
