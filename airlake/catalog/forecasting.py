@@ -14,6 +14,8 @@ from airlake.operators.dedupe import as_of_runs
 from airlake.operators.reshape import melt
 from airlake.plans import evaluation as ev
 from airlake.plans import features, models, serving
+from airlake.session import shared_path
+from airlake.sources.tables import rebuild
 
 KEY, HOUR = "location_id", "hour_start_utc"
 
@@ -462,6 +464,7 @@ QUICK = models.TreeParams(trees=3, depth=3, min_instances=20)
 @query("gbt_forecast")
 def _(i: Inputs):
     """Fit one small model per horizon on the training features and score the live ones."""
-    train, live = i.features("train").cache(), i.features("live")
+    table = rebuild(i.features("train"), shared_path(i.spark, "training"), "quick")
+    train, live = i.spark.read.parquet(table), i.features("live")
     fitted = {h: models.fit(train.filter(F.col("horizon_h") == h), params=QUICK) for h in CFG.horizons}
     return models.predict_live(live, fitted, "quick")
