@@ -1,6 +1,14 @@
 """Named queries over the given tables, each with the SQL it is checked against."""
 
-from airlake.catalog import conditions, forecasting, places, relational, series  # noqa: F401
+from airlake.catalog import (  # noqa: F401
+    conditions,
+    forecasting,
+    places,
+    relational,
+    series,
+    storage,
+    streams,
+)
 from airlake.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

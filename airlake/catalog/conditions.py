@@ -14,7 +14,7 @@ from airlake.plans.features import input_staleness
 KEY, HOUR = "location_id", "hour_start_utc"
 
 
-def _user_stations(i: Inputs):
+def user_stations(i: Inputs):
     ids = i.events().select(F.col("user_id").alias(KEY)).distinct()
     return ids.select(
         KEY, F.concat(F.lit("Station "), F.col(KEY).cast("string")).alias("station_name"),
@@ -22,13 +22,13 @@ def _user_stations(i: Inputs):
     )
 
 
-def _user_status(i: Inputs):
-    return status.station_status(_user_stations(i), i.latest(), i.as_of(), CFG)
+def user_status(i: Inputs):
+    return status.station_status(user_stations(i), i.latest(), i.as_of(), CFG)
 
 
 @query("station_status", using("ustatus", body="SELECT * FROM ustatus"))
 def _(i: Inputs):
-    return _user_status(i)
+    return user_status(i)
 
 
 @query("feed_status", using("ufeed", body="SELECT * FROM ufeed"))
@@ -60,7 +60,7 @@ _FEED_MESSAGE = f"""CASE feed_status
 
 @query("feed_report", _feed_sql(f"*, {_FEED_MESSAGE} AS feed_message"))
 def _(i: Inputs):
-    return status.feed_report(_user_status(i), i.as_of(), cfg=CFG)
+    return status.feed_report(user_status(i), i.as_of(), cfg=CFG)
 
 
 @query("health", _feed_sql(f"""
@@ -68,7 +68,7 @@ def _(i: Inputs):
     (SELECT max(ts) - INTERVAL 45 MINUTE FROM events) AS exported_at_utc, 45.0::DOUBLE AS snapshot_age_minutes,
     feed_status, {_FEED_MESSAGE} AS feed_message, stations_total, stations_live, 'v1' AS model_version"""))
 def _(i: Inputs):
-    return serving.health(_user_status(i), add(i.as_of(), "MINUTE", -45), i.as_of(), "v1", CFG)
+    return serving.health(user_status(i), add(i.as_of(), "MINUTE", -45), i.as_of(), "v1", CFG)
 
 
 _WHEN = (
@@ -90,7 +90,7 @@ _MESSAGES = f"""
 
 @query("station_messages", using("ustatus", body=_MESSAGES))
 def _(i: Inputs):
-    return status.station_messages(_user_status(i), i.as_of(), CFG).select(KEY, "status", "message")
+    return status.station_messages(user_status(i), i.as_of(), CFG).select(KEY, "status", "message")
 
 
 _PCT = "CAST(round_even(share_not_live * 100, 0) AS INT)"
@@ -149,7 +149,7 @@ _OVERVIEW = """
 
 
 def _overview(i: Inputs):
-    return serving.station_overview(i.stations(), _user_status(i), i.aqi(), i.zones())
+    return serving.station_overview(i.stations(), user_status(i), i.aqi(), i.zones())
 
 
 @query("station_overview", using("stations", "ustatus", "aqi", "zones", body=_OVERVIEW))

@@ -10,6 +10,8 @@ from pyspark.sql.types import StructType
 
 from airlake.sources.tables import upsert
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def read_files(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
     """Parquet file stream over a directory, or over a single file given by its path.
@@ -25,7 +27,11 @@ def read_files(spark: SparkSession, path: str, schema: StructType, files_per_bat
 def run_available(
     stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "update"
 ) -> None:
-    """Process everything that has arrived, then stop. Restarting continues from the checkpoint."""
+    """Process everything that has arrived, then stop. Restarting continues from the checkpoint.
+
+    State lives in RocksDB on the executors with its changes in the shared checkpoint folder.
+    """
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     query = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
@@ -57,3 +63,12 @@ def run_upsert_windows(
         upsert(spark, table, versioned, keys, [F.col("batch").desc()], ts)
 
     run_available(stream, checkpoint, merge)
+
+
+def run_append(stream: DataFrame, table: str, checkpoint: str) -> None:
+    """Append-only results, one directory per micro-batch; a replayed batch replaces its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+
+    run_available(stream, checkpoint, write, mode="append")
