@@ -130,7 +130,7 @@ def _(i: Inputs):
                         (SELECT max(hour_start_utc) FROM aqi)) AS input_age_hours
         FROM aqi GROUP BY 1)"""))
 def _(i: Inputs):
-    return input_staleness(i.aqi(), CFG)
+    return input_staleness(i.gold_aqi(), CFG)
 
 
 # --- serving ------------------------------------------------------------------------------------

@@ -231,7 +231,7 @@ def _forecasts(i: Inputs):
 
 
 def _accuracy(i: Inputs):
-    return ev.forecast_accuracy(_forecasts(i), i.aqi(), CFG)
+    return ev.forecast_accuracy(_forecasts(i), i.gold_aqi(), CFG)
 
 
 @query("forecasts", using("fcst", body="SELECT * FROM fcst"))

@@ -17,7 +17,8 @@ from airlake.operators.dedupe import latest_wins, newest
 from airlake.operators.timegrid import civil_dates
 from airlake.plans import features, fires, hourly
 from airlake.plans.staging import out_of_range
-from airlake.session import use_utc
+from airlake.session import shared_path, use_utc
+from airlake.sources.tables import rebuild
 
 STATIONS = 8
 CFG = replace(CONFIG, pm25_min=1.0, pm25_max=300.0, city_id="c0")
@@ -28,11 +29,24 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = use_utc(spark), base
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.base}/{name}.parquet")
-        zoneless = [c for c, t in df.dtypes if t == "timestamp_ntz"]
-        return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
+        """A given table, listed once per query."""
+        if name not in self._tables:
+            df = self.spark.read.parquet(f"{self.base}/{name}.parquet")
+            zoneless = [c for c, t in df.dtypes if t == "timestamp_ntz"]
+            self._tables[name] = (
+                df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
+            )
+        return self._tables[name]
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """A gold table several steps read: written once below the shared folder, then read back."""
+        if name not in self._tables:
+            path = rebuild(df, shared_path(self.spark, name), "1")
+            self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self._tables[name]
 
     # --- readings and stations ----------------------------------------------------------------
 
@@ -92,6 +106,9 @@ class Inputs:
     def aqi(self) -> DataFrame:
         return hourly.aqi_hourly(self.grid(), self.stations(), CFG)
 
+    def gold_aqi(self) -> DataFrame:
+        return self.stored(self.aqi(), "aqi_hourly")
+
     def latest(self) -> DataFrame:
         """Latest readings per user, each user taken as a station with two kinds of sensors."""
         return self.events().select(
@@ -206,7 +223,7 @@ class Inputs:
     # --- features and predictions ---------------------------------------------------------------
 
     def features(self, mode: str) -> DataFrame:
-        aqi_rows = self.aqi()
+        aqi_rows = self.gold_aqi()
         zone_rows, city_rows = hourly.area_hourly(aqi_rows, "zone_id"), hourly.area_hourly(aqi_rows, "city_id")
         rolled = fires.rolling(fires.locate(self.event_fires(), CFG), self.as_of(), CFG)
         if mode == "train":
@@ -221,7 +238,7 @@ class Inputs:
 
     def issue_rows(self) -> DataFrame:
         """Station history and target per (station, issue, horizon), without weather context."""
-        rows = self.aqi().filter("NOT is_colocated_duplicate").withColumns(
+        rows = self.gold_aqi().filter("NOT is_colocated_duplicate").withColumns(
             {
                 c: F.lit(None).cast("double")
                 for c in ("zone_pm25_median", "city_pm25_median", "city_pm25_24h_median")

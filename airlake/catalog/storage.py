@@ -344,7 +344,7 @@ def _(i: Inputs):
 def _(i: Inputs):
     """All twelve datasets published and read back through the manifest."""
     base = shared_path(i.spark, "gold")
-    aqi_rows = i.spark.read.parquet(tables.rebuild(i.aqi(), f"{base}/aqi_hourly", "1"))
+    aqi_rows = i.gold_aqi()
     forecasts = i.spark.read.parquet(
         tables.rebuild(evaluation.forecasts(i.predictions(), i.stations(), CFG), f"{base}/forecasts", "1")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airlake.config import SECTORS
@@ -23,9 +23,24 @@ def hourly_grid(df: DataFrame, key: str, hour: str, last_hour: Column) -> DataFr
 
 
 def with_gaps(df: DataFrame, key: str, hour: str, as_of: Column) -> DataFrame:
-    """Left-join unique (key, hour) rows to the complete grid; gaps stay NULL."""
-    grid = hourly_grid(df, key, hour, last_complete_hour(as_of))
-    return grid.join(df, [key, hour], "left")
+    """The complete hourly grid of unique (key, hour) rows; gap hours carry NULLs.
+
+    Each row is spread over the hours up to the next row of its key (the last one up to the last
+    complete hour). That needs no grid table and no join, and the result is already partitioned by
+    key for the windows that follow.
+    """
+    last_hour = last_complete_hour(as_of)
+    following = F.lead(hour).over(Window.partitionBy(key).orderBy(hour))
+    spread = df.filter(F.col(hour) <= last_hour).withColumn(
+        "_until", F.coalesce(following - F.expr(ONE_HOUR), last_hour)
+    )
+    every = spread.withColumn("_hour", F.explode(F.sequence(hour, "_until", F.expr(ONE_HOUR))))
+    measured = F.col("_hour") == F.col(hour)
+    return every.select(
+        key,
+        F.col("_hour").alias(hour),
+        *[F.when(measured, F.col(c)).alias(c) for c in df.columns if c not in (key, hour)],
+    )
 
 
 def sector_hours(first_hour: DataFrame, last_hour: Column) -> DataFrame:
