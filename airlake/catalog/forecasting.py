@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.catalog.inputs import CFG, Inputs
@@ -344,15 +344,14 @@ def _(i: Inputs):
 
 _PER_FOLD = f"""
     WITH r AS ({_FOLD_ROWS}), p AS (
-        SELECT *, lag(y_true, 1, 150000) OVER (PARTITION BY o_custkey, horizon_h ORDER BY issue_time_utc, o_orderkey)
-            AS y_pred FROM r)
+        SELECT *, 150000::DOUBLE + (o_custkey % 100) * 500 + h * 100 AS y_pred FROM (SELECT *, horizon_h AS h FROM r))
     SELECT strftime(issue_time_utc, '%Y-%m') AS fold, horizon_h, {avg6('abs(y_pred - y_true)')} AS mae, count(*) AS n
     FROM p GROUP BY ALL"""
 
 
 def _per_fold(i: Inputs):
-    w = Window.partitionBy("o_custkey", "horizon_h").orderBy("issue_time_utc", "o_orderkey")
-    rows = _fold_rows(i).withColumn("y_pred", F.lag("y_true", 1, 150000.0).over(w))
+    guess = F.lit(150000.0) + F.col("o_custkey") % 100 * 500 + F.col("horizon_h") * 100
+    rows = _fold_rows(i).withColumn("y_pred", guess)
     return ev.metrics(ev.fold_of(rows), ["fold", "horizon_h"])
 
 

@@ -232,9 +232,10 @@ class Inputs:
             issue = add(aqi_rows.agg(F.max("hour_start_utc")).scalar(), "HOUR", 1)
             weather = features.newest_forecast(self.weather_forecasts(), issue)
             cams = features.cams_with_fallback(self.cams_history(), self.cams_forecasts(), issue)
-        context = features.zone_context(zone_rows, city_rows, self.zones(), weather, cams, rolled, CFG)
-        by_horizon = features.forecasts_by_horizon(self.previous_runs(), CFG)
-        return features.build(mode, aqi_rows, context, by_horizon, self.dates(), CFG)
+        context = features.zone_context(
+            zone_rows, city_rows, self.zones(), weather, cams, rolled, self.previous_runs(), CFG
+        )
+        return features.build(mode, aqi_rows, context, self.dates(), CFG)
 
     def issue_rows(self) -> DataFrame:
         """Station history and target per (station, issue, horizon), without weather context."""

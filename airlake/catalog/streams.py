@@ -45,10 +45,9 @@ def _(i: Inputs):
     FROM h, range(24) AS r(b) GROUP BY ALL""")
 def _(i: Inputs):
     table, checkpoint = _paths(i, "sliding")
-    sums = windows.sliding_sums(_stream(i), ["event_type"], "ts", "value", 24)
-    runs.run_upsert_windows(
-        i.spark, sums, table, checkpoint, ["event_type", "window_start_utc"], "window_start_utc"
-    )
+    counts = windows.hourly_counts(_stream(i), ["event_type"], "ts", "value")
+    hours = shared_path(i.spark, "sliding-hours")
+    runs.run_sliding(i.spark, counts, hours, table, checkpoint, ["event_type"], 24)
     return read_table(i.spark, table).select("event_type", "window_start_utc", "window_end_utc", "n", "total")
 
 

@@ -52,7 +52,8 @@ def distances(reference: DataFrame, current: DataFrame) -> DataFrame:
     cuts = counts.groupBy("feature").agg(
         F.percentile_approx("v", [i / BINS for i in range(1, BINS)], 10000).alias("cuts")
     )
-    binned = counts.join(cuts, "feature").select(
+    # Proven bounds for both broadcasts: one row per feature, and BINS rows per feature.
+    binned = counts.join(F.broadcast(cuts), "feature").select(
         "feature", "v", "r", "c", F.size(F.filter("cuts", lambda q: q < F.col("v"))).alias("bin")
     )
     by_bin = Window.partitionBy("feature").orderBy("bin")
@@ -70,7 +71,7 @@ def distances(reference: DataFrame, current: DataFrame) -> DataFrame:
         )
     )
     inside = Window.partitionBy("feature", "bin").orderBy("v")
-    steps = binned.join(bins, ["feature", "bin"]).select(
+    steps = binned.join(F.broadcast(bins), ["feature", "bin"]).select(
         "feature", "n_reference", "n_current", "v", "r",
         (F.col("r_before") + F.sum("r").over(inside)).alias("r_upto"),
         (F.col("c_before") + F.sum("c").over(inside)).alias("c_upto"),

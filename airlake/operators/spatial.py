@@ -21,57 +21,65 @@ def colocated_with(df: DataFrame, id_col: str = "location_id", cfg: Config = CON
     """Per id, the smallest lower id closer than ``cfg.colocated_within_m`` (pairs at a distance).
 
     Never forms all pairs of a crowd:
-    * rows at one coordinate collapse to its smallest id first;
-    * the fine cell is small enough that any two points of a cell are near, so inside a cell the
-      smallest id is the answer for everyone else;
-    * against each neighbouring cell only points whose id is below the best partner found so far are
-      compared, after skipping cells whose smallest id cannot improve it.
+
+    * rows at one coordinate collapse to their smallest id first;
+    * cells are small enough that every point of a cell is near every point of the eight cells around
+      it, so inside that block the smallest id is the answer and no points are compared;
+    * cells two or three steps away are compared point by point only where they hold an id below the
+      best partner found so far, and then only those ids.
     """
-    metres = cfg.colocated_within_m
+    limit = cfg.colocated_within_m
     m_per_deg = math.radians(1) * EARTH_RADIUS_KM * 1000
-    # Half of metres / sqrt(2) per side: a cell's diagonal is half the limit at the equator and
-    # shorter elsewhere in longitude.
-    step = metres / (2 * math.sqrt(2)) / m_per_deg
+    # Two diagonal neighbours span at most 2 * sqrt(2) / 2.9 of the limit (less away from the equator).
+    step = limit / 2.9 / m_per_deg
     points = df.groupBy("latitude", "longitude").agg(F.min(id_col).alias("_first"))
     points = points.select(
         "*",
         F.floor(F.col("latitude") / step).alias("_r"),
         F.floor(F.col("longitude") / step).alias("_c"),
     )
-    cells = points.groupBy("_r", "_c").agg(F.min("_first").alias("_cell_min"))
-
-    # Longitude cells shrink with cos(latitude); 3 rows reach the limit north-south and the column
-    # reach grows accordingly (bounded: clipped at 84 degrees).
-    cos_lat = F.greatest(F.cos(F.radians("latitude")), F.lit(0.1))
-    reach_c = F.ceil(F.lit(2 * math.sqrt(2)) / cos_lat).cast("int")
-    around = points.join(cells, ["_r", "_c"]).select(
-        "latitude", "longitude", "_first", "_cell_min", "_r", "_c",
-        F.explode(F.sequence(F.lit(-3), F.lit(3))).alias("_dr"), reach_c.alias("_reach"),
+    cells = points.groupBy("_r", "_c").agg(
+        F.min("_first").alias("_cell_min"), F.max(F.abs("latitude")).alias("_lat")
     )
-    around = around.withColumn("_dc", F.explode(F.sequence(-F.col("_reach"), F.col("_reach"))))
-    around = around.filter("_dr <> 0 OR _dc <> 0").select(
-        "latitude", "longitude", "_cell_min",
+
+    # Every cell announces its smallest id to the cells within reach. Columns narrow with latitude, so
+    # more of them are in reach (bounded: at most 29 either way up to 84 degrees).
+    reach = F.ceil(F.lit(2.9) / F.greatest(F.cos(F.radians("_lat")), F.lit(0.1))).cast("int")
+    announced = cells.select(
+        "_r", "_c", "_cell_min",
+        F.explode(F.sequence(F.lit(-3), F.lit(3))).alias("_dr"), reach.alias("_reach"),
+    ).withColumn("_dc", F.explode(F.sequence(-F.col("_reach"), F.col("_reach"))))
+    heard = announced.select(
         (F.col("_r") + F.col("_dr")).alias("_r"), (F.col("_c") + F.col("_dc")).alias("_c"),
+        F.col("_r").alias("_from_r"), F.col("_c").alias("_from_c"), "_cell_min",
+        ((F.abs("_dr") <= 1) & (F.abs("_dc") <= 1)).alias("_near"),
     )
-    # A neighbour cell matters only if it holds an id below the partner the own cell offers.
-    worth = around.join(cells.withColumnRenamed("_cell_min", "_other_min"), ["_r", "_c"]).filter(
-        "_other_min < _cell_min"
+    block = heard.filter("_near").groupBy("_r", "_c").agg(F.min("_cell_min").alias("_block_min"))
+    blocks = cells.select("_r", "_c").join(block, ["_r", "_c"])
+
+    # Far cells that could still improve on the block.
+    better = (
+        heard.filter("NOT _near")
+        .join(blocks, ["_r", "_c"])
+        .filter("_cell_min < _block_min")
+        .select("_r", "_c", "_from_r", "_from_c", "_block_min")
     )
     others = points.select(
-        "_r", "_c", F.col("latitude").alias("_lat2"), F.col("longitude").alias("_lon2"),
-        F.col("_first").alias("_other"),
+        F.col("_r").alias("_from_r"), F.col("_c").alias("_from_c"),
+        F.col("latitude").alias("_lat2"), F.col("longitude").alias("_lon2"), F.col("_first").alias("_other"),
     )
+    rivals = better.join(others, ["_from_r", "_from_c"]).filter("_other < _block_min")
+    metres = haversine_km("latitude", "longitude", "_lat2", "_lon2") * 1000
     across = (
-        worth.join(others, ["_r", "_c"])
-        .filter("_other < _cell_min")
-        .filter(haversine_km("latitude", "longitude", "_lat2", "_lon2") * 1000 < metres)
+        points.join(rivals.select("_r", "_c", "_lat2", "_lon2", "_other"), ["_r", "_c"])
+        .filter(metres < limit)
         .groupBy("latitude", "longitude")
         .agg(F.min("_other").alias("_across"))
     )
     best = (
-        points.join(cells, ["_r", "_c"])
+        points.join(blocks, ["_r", "_c"])
         .join(across, ["latitude", "longitude"], "left")
-        .select("latitude", "longitude", F.least("_cell_min", "_across").alias("_best"))
+        .select("latitude", "longitude", F.least("_block_min", "_across").alias("_best"))
     )
     partner = F.when(F.col("_best") < F.col(id_col), F.col("_best"))
     return df.join(best, ["latitude", "longitude"], "left").select(

@@ -126,12 +126,17 @@ def monthly_folds(
         ends == F.date_trunc("month", ends), ends.cast("date")
     ).otherwise(F.add_months(F.trunc(ends.cast("date"), "month"), 1))
     tested = df.groupBy(start_of.alias("test_start")).agg(F.count(F.lit(1)).alias("test_rows"))
-    ready = df.groupBy(month_after.alias("ready_from")).agg(F.count(F.lit(1)).alias("n"))
+    ready = df.groupBy(month_after.alias("test_start")).agg(F.count(F.lit(1)).alias("_ready"))
+    # One row per calendar month from here on, so a single running sum is small.
+    months = tested.unionByName(ready, allowMissingColumns=True).groupBy("test_start").agg(
+        F.max("test_rows").alias("test_rows"), F.max("_ready").alias("_ready")
+    )
+    upto = Window.orderBy("test_start").rowsBetween(Window.unboundedPreceding, 0)
     first = df.agg(F.add_months(F.trunc(F.min(issue).cast("date"), "month"), min_train_months)).scalar()
-    folds = tested.filter(F.col("test_start") >= first)
-    # Months x months: both sides hold one row per calendar month.
-    joined = folds.join(ready, F.col("ready_from") <= F.col("test_start"))
-    return joined.groupBy("test_start", "test_rows").agg(F.sum("n").alias("train_rows")).select(
+    folds = months.withColumn("train_rows", F.sum("_ready").over(upto)).filter(
+        (F.col("test_start") >= first) & F.col("test_rows").isNotNull() & F.col("train_rows").isNotNull()
+    )
+    return folds.select(
         F.date_format("test_start", "yyyy-MM").alias("fold"),
         F.col("test_start").cast("timestamp").alias("test_start"),
         F.add_months("test_start", 1).cast("timestamp").alias("test_end"),

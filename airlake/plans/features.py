@@ -101,9 +101,17 @@ def forecasts_by_horizon(previous_runs: DataFrame, cfg: Config = CONFIG) -> Data
     )
 
 
+def forecast_columns(by_horizon: DataFrame, cfg: Config = CONFIG) -> DataFrame:
+    """One struct of forecast weather per horizon, one row per (zone, hour)."""
+    row = F.struct(*[f"fc_{c}" for c in FC])
+    return by_horizon.groupBy("zone_id", HOUR).agg(
+        *[F.max(F.when(F.col("horizon_h") == h, row)).alias(f"_fc_{h}") for h in cfg.horizons]
+    )
+
+
 def zone_context(
     zone_hourly: DataFrame, city_hourly: DataFrame, zones: DataFrame, weather: DataFrame,
-    cams: DataFrame, fires_rolled: DataFrame, cfg: Config = CONFIG,
+    cams: DataFrame, fires_rolled: DataFrame, previous_runs: DataFrame, cfg: Config = CONFIG,
 ) -> DataFrame:
     """Everything shared by the stations of a zone in an hour, one row per (zone, hour)."""
     city = city_hourly.select(
@@ -140,12 +148,16 @@ def zone_context(
     sums = joined.join(fire_plans.nw_arc(fires_rolled), "as_of_utc", "left").join(
         fire_plans.upwind(fires_rolled), ["as_of_utc", "wind_index"], "left"
     )
+    sums = sums.join(
+        forecast_columns(forecasts_by_horizon(previous_runs, cfg), cfg), ["zone_id", HOUR], "left"
+    )
     counts = (
         "fires_upwind_24h", "fires_upwind_48h", "fires_upwind_72h", "fires_nw_arc_24h", "fires_nw_arc_72h",
     )
     return sums.select(
         "zone_id", HOUR, "zone_pm25_median", "city_pm25_median", "city_pm25_24h_median",
         "audit_obs_weather_time", *[f"obs_{c}" for c in OBS], "audit_cams_time", "cams_pm25_lagged",
+        *[f"_fc_{h}" for h in cfg.horizons],
         *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
         F.coalesce("fires_upwind_frp_24h", F.lit(0.0)).alias("fires_upwind_frp_24h"),
         add("fires_window_end_utc", "HOUR", cfg.fire_lag_hours).alias("audit_fires_published_by"),
@@ -187,8 +199,7 @@ def station_windows(rows: DataFrame, mode: str, cfg: Config = CONFIG) -> DataFra
 
 
 def build(
-    mode: str, aqi_rows: DataFrame, context: DataFrame, fc_by_horizon: DataFrame, dates: DataFrame,
-    cfg: Config = CONFIG,
+    mode: str, aqi_rows: DataFrame, context: DataFrame, dates: DataFrame, cfg: Config = CONFIG
 ) -> DataFrame:
     """Feature rows keyed by (station, issue time, horizon). ``mode`` is ``train`` or ``live``."""
     if mode not in ("train", "live"):
@@ -211,6 +222,7 @@ def build(
                 F.lit(h).alias("horizon_h"),
                 F.lit(days_before(h)).alias("weather_days_before"),
                 (F.lit(None).cast("double") if live else F.col(f"_target_{h}")).alias("target_pm25"),
+                *[F.col(f"_fc_{h}.fc_{c}").alias(f"fc_{c}") for c in FC],
             )
             for h in cfg.horizons
         ]
@@ -221,9 +233,9 @@ def build(
         add(HOUR, "HOUR", F.col("horizon_h")).alias("target_hour_start_utc"),
     )
     calendar = dates.select("date_ist", "is_festival", "is_weekend")
-    joined = expanded.join(fc_by_horizon, ["zone_id", HOUR, "horizon_h"], "left").withColumn(
-        "date_ist", ist_date("target_hour_start_utc")
-    ).join(calendar, "date_ist", "left")
+    joined = expanded.withColumn("date_ist", ist_date("target_hour_start_utc")).join(
+        calendar, "date_ist", "left"
+    )
     target = "target_hour_start_utc"
     age = whole("HOUR", "last_valid_hour_utc", HOUR)
     forecast_at = add(HOUR, "MINUTE", 30 + 60 * F.col("horizon_h"))

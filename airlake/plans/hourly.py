@@ -71,11 +71,20 @@ def aqi_hourly(grid: DataFrame, stations: DataFrame, cfg: Config = CONFIG) -> Da
     )
 
 
+BUFFERED_STATIONS = 100_000
+
+
+def has_large_areas(stations: DataFrame, area: str) -> bool:
+    """Whether any area holds more stations than one median buffer should (one number is read)."""
+    sizes = stations.groupBy(area).agg(F.count(F.lit(1)).alias("n"))
+    return (sizes.agg(F.max("n")).first()[0] or 0) > BUFFERED_STATIONS
+
+
 def area_hourly(aqi_rows: DataFrame, area: str, large_areas: bool = False) -> DataFrame:
     """Median over the area's stations per hour, with reporting counters.
 
-    ``large_areas`` switches to the binned median for areas with more stations than one aggregation
-    buffer should hold; both forms are exact.
+    ``large_areas`` (see :func:`has_large_areas`) switches to the binned median for areas with more
+    stations than one aggregation buffer should hold; both forms are exact.
     """
     rows = aqi_rows.filter("NOT is_colocated_duplicate")
     keys = [area, HOUR]

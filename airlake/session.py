@@ -53,6 +53,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="airlake-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/airlake/{name}-{uuid.uuid4().hex}"

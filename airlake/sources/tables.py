@@ -56,24 +56,25 @@ def upsert(
 ) -> None:
     """Keyed merge, newest wins, new columns appended.
 
-    Only the months present in ``incoming`` are read and rewritten; ``ts`` must be part of the key, so
-    a key never moves to another month. The merged months are written to a staging table first and
-    then swapped in with a dynamic partition overwrite: a failure before the swap changes nothing,
-    and running again after one gives the same table.
+    ``incoming`` is computed once, into a staging table whose month directories say which months to read
+    and rewrite; ``ts`` must be part of the key, so a key never moves to another month. The merged
+    months are staged too and then swapped in with a dynamic partition overwrite: a failure before the
+    swap changes nothing, and running again after one gives the same table.
     """
-    incoming = with_month(incoming, ts)
-    merged = incoming
+    arrived = shared_path(spark, "incoming")
+    schema = with_month(incoming, ts).schema
+    write_months(with_month(incoming, ts), arrived)
+    touched = [c.split("=", 1)[1] for c in children(spark, arrived) if c.startswith(f"{MONTH}=")]
+    if not touched:
+        return
+    merged = spark.read.schema(schema).parquet(arrived)
     if children(spark, path):
-        touched = [r[0] for r in incoming.select(MONTH).distinct().collect()]  # one row per month
-        if not touched:
-            return
         current = read_table(spark, path).filter(F.col(MONTH).isin(*touched))
-        merged = current.unionByName(incoming, allowMissingColumns=True)
+        merged = current.unionByName(merged, allowMissingColumns=True)
     final = latest_wins(merged, keys, *order)
     staging = shared_path(spark, "staging")
     write_months(final, staging)
-    staged = spark.read.parquet(staging)
-    write_months(staged, path, dynamic=True)
+    write_months(spark.read.parquet(staging), path, dynamic=True)
 
 
 def compact(spark: SparkSession, path: str, months: Sequence[str], target_mb: int = 256) -> None:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from airlake.sources.tables import upsert
+from airlake.session import shared_path
+from airlake.sources.tables import month_between, read_table, upsert
+from airlake.streaming.windows import sliding_sums
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -65,6 +68,39 @@ def run_upsert_windows(
     run_available(stream, checkpoint, merge)
 
 
+def run_sliding(
+    spark: SparkSession, hourly: DataFrame, hours_table: str, table: str, checkpoint: str,
+    by: Sequence[str], width: int,
+) -> None:
+    """Sliding sums kept up to date: changed hours are merged, then only the windows they touch."""
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        versioned = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        changed = shared_path(spark, "changed-hours")
+        versioned.write.parquet(changed)
+        rows = spark.read.parquet(changed)
+        upsert(spark, hours_table, rows, [*by, "hour_utc"], [F.col("batch").desc()], "hour_utc")
+        low, high = rows.agg(
+            F.min("hour_utc").cast("timestamp_ntz"), F.max("hour_utc").cast("timestamp_ntz")
+        ).first()
+        if low is None:
+            return
+        reach = timedelta(hours=width)
+        near = read_table(spark, hours_table).filter(
+            month_between(low - reach, high + reach)
+            & F.col("hour_utc").between(F.lit(low - reach), F.lit(high + reach))
+        )
+        touched = sliding_sums(near, by, width).filter(
+            (F.col("window_start_utc") > F.lit(low - reach)) & (F.col("window_start_utc") <= F.lit(high))
+        )
+        upsert(
+            spark, table, touched.withColumn("batch", F.lit(batch_id).cast("long")),
+            [*by, "window_start_utc"], [F.col("batch").desc()], "window_start_utc",
+        )
+
+    run_available(hourly, checkpoint, merge)
+
+
 def run_append(stream: DataFrame, table: str, checkpoint: str) -> None:
     """Append-only results, one directory per micro-batch; a replayed batch replaces its own."""
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlake.functions.numeric import fixed_sum
+from airlake.functions.time import add
 
 LATENESS = "48 hours"
 
@@ -22,20 +23,19 @@ def hourly_counts(stream: DataFrame, by: Sequence[str], ts: str, value: str) ->
     )
 
 
-def sliding_sums(stream: DataFrame, by: Sequence[str], ts: str, value: str, hours: int = 24) -> DataFrame:
-    """Trailing ``hours`` per key, moved on by the hour.
+def sliding_sums(hours: DataFrame, by: Sequence[str], width: int) -> DataFrame:
+    """Trailing ``width`` hours from hourly counts: each hour is added to the windows it is part of.
 
-    Counts are combined into hours by the same stateful aggregation, so state holds ``hours`` small
-    rows per key and hour of lateness, never the detections themselves.
+    Works on the hourly totals, never on raw rows, so the fan-out touches a few rows per key and day.
     """
-    return (
-        stream.withWatermark(ts, LATENESS)
-        .groupBy(F.window(ts, f"{hours} hours", "1 hour"), *by)
-        .agg(F.count(F.lit(1)).alias("n"), fixed_sum(value).alias("total"))
-        .select(
-            *by, F.col("window.start").alias("window_start_utc"),
-            F.col("window.end").alias("window_end_utc"), "n", "total",
-        )
+    start = F.explode(F.sequence(F.lit(0), F.lit(width - 1)))
+    spread = hours.withColumn("_back", start).withColumn(
+        "window_start_utc", add("hour_utc", "HOUR", -F.col("_back"))
+    )
+    return spread.groupBy(*by, "window_start_utc").agg(
+        F.sum("n").alias("n"), fixed_sum("total").alias("total")
+    ).select(
+        *by, "window_start_utc", add("window_start_utc", "HOUR", width).alias("window_end_utc"), "n", "total"
     )
 
 
