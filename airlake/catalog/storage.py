@@ -13,7 +13,7 @@ from airlake.catalog.conditions import user_status
 from airlake.catalog.inputs import CFG, Inputs
 from airlake.catalog.registry import query
 from airlake.catalog.views import half, using
-from airlake.functions.time import add, half_hour_floor, hour_floor, iso_text
+from airlake.functions.time import add, as_ts, half_hour_floor, hour_floor, iso_text
 from airlake.operators import incremental
 from airlake.plans import evaluation, fires, hourly, models, staging, status
 from airlake.session import shared_path
@@ -110,7 +110,7 @@ def _(i: Inputs):
     """Everything fetched since the mark of a table that stopped two days ago."""
     now = i.events().agg(F.max(F.col("ts").cast("timestamp_ntz"))).first()[0]
     loaded = i.events().select(F.date_trunc("second", "ts").alias("fetched_at"), "ts").filter(
-        F.col("ts") < F.lit(now - timedelta(days=2)).cast("timestamp")
+        F.col("ts") < as_ts(now - timedelta(days=2))
     )
     mark = incremental.since_hour(loaded, "fetched_at", now, lookback_hours=6, cap_hours=60)
     files = envelopes.read_envelopes(i.spark, _live_files(i), schemas.PM25_HOURLY, incremental.hours_from(mark))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,7 +11,15 @@ IST_OFFSET = "INTERVAL '5:30' HOUR TO MINUTE"
 
 
 def as_ts(value: Column | datetime | str) -> Column:
-    """A clock argument as a timestamp column (operators never read the wall clock)."""
+    """A clock argument as a timestamp column (operators never read the wall clock).
+
+    Naive datetimes are UTC. They travel as text, because a datetime literal would be shifted by the
+    time zone of the Python process.
+    """
+    if isinstance(value, datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(UTC).replace(tzinfo=None)
+        value = value.isoformat(sep=" ")
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
 
 

@@ -68,7 +68,7 @@ def select_stations(
     """Candidates with a live PM2.5 sensor, their zone, and the station they duplicate (if any)."""
     chosen = candidates(locations, now, cfg)
     maps = sensor_maps(live_sensors(chosen, latest, cfg))
-    found = chosen.join(maps, "location_id").select(
+    found = chosen.drop("sensors").join(maps, "location_id").select(
         "location_id",
         F.trim("name").alias("station_name"),
         agency_of("name").alias("agency"),

@@ -67,11 +67,13 @@ def point_responses(df: DataFrame, *keep: str) -> DataFrame:
 
 
 def hourly_rows(df: DataFrame, variables, *keep: str) -> DataFrame:
-    """Parallel hourly arrays -> one row per time; shorter arrays pad with NULL."""
-    arrays = F.arrays_zip(
-        F.col("r.hourly.time").alias("time"),
-        *[F.col(f"r.hourly.{v}").alias(v) for v in variables],
-    )
+    """Parallel hourly arrays -> one row per time; shorter or absent arrays pad with NULL."""
+
+    def present(name: str, kind: str) -> Column:
+        empty = F.array().cast(f"array<{kind}>")
+        return F.coalesce(F.col(f"r.hourly.{name}"), empty).alias(name)
+
+    arrays = F.arrays_zip(present("time", "string"), *[present(v, "double") for v in variables])
     return df.select(*keep, F.inline(arrays))
 
 

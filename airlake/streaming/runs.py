@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from airlake.functions.time import as_ts
 from airlake.session import shared_path
 from airlake.sources.tables import month_between, read_table, upsert
 from airlake.streaming.windows import sliding_sums
@@ -88,10 +89,10 @@ def run_sliding(
         reach = timedelta(hours=width)
         near = read_table(spark, hours_table).filter(
             month_between(low - reach, high + reach)
-            & F.col("hour_utc").between(F.lit(low - reach), F.lit(high + reach))
+            & F.col("hour_utc").between(as_ts(low - reach), as_ts(high + reach))
         )
         touched = sliding_sums(near, by, width).filter(
-            (F.col("window_start_utc") > F.lit(low - reach)) & (F.col("window_start_utc") <= F.lit(high))
+            (F.col("window_start_utc") > as_ts(low - reach)) & (F.col("window_start_utc") <= as_ts(high))
         )
         upsert(
             spark, table, touched.withColumn("batch", F.lit(batch_id).cast("long")),
