@@ -446,11 +446,22 @@ def _(i: Inputs):
 
 
 @query("drift_verdicts", f"""{_DRIFT}
-    SELECT feature, 'Wasserstein distance (normed)' AS method, round(w / greatest(s, 0.001), 4) AS value,
-           w / greatest(s, 0.001) > 0.1 AS drifted, n_reference, n_current
-    FROM (SELECT feature, nr AS n_reference, nc AS n_current, sum(abs(fr - fc) * (nv - v) / 1000000.0) AS w,
-                 (SELECT stddev_pop(y.v / 1000000.0) FROM v y WHERE y.feature = c.feature AND side = 0) AS s
-          FROM c GROUP BY ALL)""")
+    , d AS (
+        SELECT feature, nr AS n_reference, nc AS n_current, max(abs(fr - fc)) AS ks,
+               sum(abs(fr - fc) * (nv - v) / 1000000.0) AS w,
+               (SELECT stddev_pop(y.v / 1000000.0) FROM v y WHERE y.feature = c.feature AND side = 0) AS s
+        FROM c GROUP BY ALL
+    ), p AS (
+        SELECT feature, CASE WHEN any_value(l2) < 0.04 THEN 1 ELSE least(greatest(
+                   2 * sum(CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2 * k * k * l2)), 0), 1) END AS p
+        FROM (SELECT feature, ks * ks * n_reference * n_current / (n_reference + n_current) AS l2 FROM d),
+             range(1, 101) AS r(k) GROUP BY 1
+    )
+    SELECT feature, n_reference, n_current,
+           CASE WHEN n_reference <= 1000 THEN 'K-S p_value' ELSE 'Wasserstein distance (normed)' END AS method,
+           round(CASE WHEN n_reference <= 1000 THEN p ELSE w / greatest(s, 0.001) END, 4) AS value,
+           CASE WHEN n_reference <= 1000 THEN p < 0.05 ELSE w / greatest(s, 0.001) > 0.1 END AS drifted
+    FROM d JOIN p USING (feature)""")
 def _(i: Inputs):
     return drift.verdicts(*_sides(i))
 

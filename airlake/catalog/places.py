@@ -10,9 +10,10 @@ from airlake.catalog.views import dec, micro, using
 from airlake.config import CONFIG
 from airlake.functions import geo
 from airlake.functions.text import agency_of
+from airlake.functions.time import add, as_ts
 from airlake.operators import spatial
 from airlake.operators.reshape import prefer_available
-from airlake.plans import fires, hourly
+from airlake.plans import fires, hourly, stations
 
 _PRODUCT = using("ofire", body="""
     SELECT order_id, sensor, product, acq_date FROM ofire
@@ -252,3 +253,69 @@ def _(i: Inputs):
     ).withColumn("pref", pref)
     wanted = lines.select("supplier", "day").distinct()
     return prefer_available(wanted, offers, ["supplier"], "day", "pref")
+
+
+# --- station selection ----------------------------------------------------------------------------
+
+_SITES = """
+    SELECT c_custkey AS location_id, 28.3::DOUBLE + ((c_custkey * 7919) % 997) / 2000::DOUBLE AS latitude,
+           76.9::DOUBLE + ((c_custkey * 104729) % 61) / 100::DOUBLE AS longitude,
+           'Site ' || c_custkey || CASE c_custkey % 4 WHEN 0 THEN ' - DPCC' WHEN 1 THEN ' Noida - UPPCB' ELSE '' END AS name,
+           CASE WHEN c_mktsegment = 'MACHINERY' THEN 'PurpleAir' ELSE 'caaqm' END AS provider,
+           c_custkey % 5 = 0 AS is_monitor, c_custkey % 11 = 0 AS is_mobile,
+           TIMESTAMP '2001-08-01' - to_days(c_custkey % 45) AS last_utc
+    FROM customer"""
+# Four sensors per site; an order is a reading of one of them, newest first.
+_SENSORS = ((0, "pm25", "µg/m³"), (1, "co", "µg/m³"), (2, "co", "ppb"), (3, "no2", "ppb"))
+
+
+@query("select_stations", f"""
+    WITH site AS ({_SITES}), cand AS (
+        SELECT *, nullif(regexp_extract(name, '-\\s*(DPCC|CPCB|UPPCB|HSPCB|IMD|IITM|MHUA)\\s*$', 1), '') AS agency FROM site
+        WHERE provider NOT IN ('AirGradient', 'PurpleAir', 'Clarity') AND NOT is_mobile
+          AND (is_monitor OR regexp_matches(name, '-\\s*(DPCC|CPCB|UPPCB|HSPCB|IMD|IITM|MHUA)\\s*$'))
+          AND last_utc >= TIMESTAMP '2001-08-01' - INTERVAL 30 DAY
+    ), live AS (
+        SELECT location_id, sensor_id, s AS slot FROM (
+            SELECT o_custkey AS location_id, o_custkey * 10 + o_orderkey % 4 AS sensor_id, o_orderkey % 4 AS s,
+                   max(o_orderdate + INTERVAL 1000 DAY) AS seen_at FROM orders GROUP BY ALL)
+        JOIN cand USING (location_id) WHERE seen_at >= last_utc - INTERVAL 7 DAY
+    ), maps AS (
+        SELECT location_id, max(sensor_id) FILTER (slot = 0) AS pm25_sensor_id,
+               string_agg(CASE slot WHEN 0 THEN 'pm25' WHEN 3 THEN 'no2'
+                   WHEN 1 THEN CASE WHEN n2 > 1 THEN 'co_ugm3' ELSE 'co' END
+                   ELSE CASE WHEN n2 > 1 THEN 'co_ppb' ELSE 'co' END END || '=' || sensor_id, ','
+                   ORDER BY CASE slot WHEN 0 THEN 'pm25' WHEN 3 THEN 'no2' WHEN 1 THEN 'co_a' ELSE 'co_b' END DESC) AS sensors
+        FROM (SELECT *, count(*) FILTER (slot IN (1, 2)) OVER (PARTITION BY location_id) AS n2 FROM live)
+        GROUP BY 1 HAVING count(*) FILTER (slot = 0) > 0
+    ), found AS (SELECT * FROM cand JOIN maps USING (location_id))
+    SELECT location_id, agency, pm25_sensor_id, list_sort(string_split(sensors, ',')) AS sensors,
+           (SELECT min(a.location_id) FROM found a WHERE a.location_id < b.location_id AND abs(a.latitude - b.latitude) < 0.002
+              AND {_km('a.latitude', 'a.longitude', 'b.latitude', 'b.longitude')} * 1000 < 100) AS colocated_with
+    FROM found b""")
+def _(i: Inputs):
+    k = F.col("c_custkey")
+    suffix = F.when(k % 4 == 0, " - DPCC").when(k % 4 == 1, " Noida - UPPCB").otherwise("")
+    sensors = F.array(*[
+        F.struct((k * 10 + n).alias("id"), F.lit(p).alias("parameter"), F.lit(u).alias("units")) for n, p, u in _SENSORS
+    ])
+    end = as_ts("2001-08-01 00:00:00")
+    sites = i.table("customer").select(
+        k.alias("location_id"),
+        (F.lit(28.3) + k * 7919 % 997 / 2000).alias("latitude"),
+        (F.lit(76.9) + k * 104729 % 61 / 100).alias("longitude"),
+        F.concat(F.lit("Site "), k.cast("string"), suffix).alias("name"),
+        F.when(F.col("c_mktsegment") == "MACHINERY", "PurpleAir").otherwise("caaqm").alias("provider"),
+        (k % 5 == 0).alias("is_monitor"), (k % 11 == 0).alias("is_mobile"),
+        end.alias("first_utc"), add(end, "DAY", -(k % 45)).alias("last_utc"), sensors.alias("sensors"),
+    )
+    o = F.col("o_custkey")
+    latest = i.table("orders").select(
+        o.alias("location_id"), (o * 10 + F.col("o_orderkey") % 4).alias("sensor_id"),
+        add("o_orderdate", "DAY", 1000).alias("reading_utc"),
+    )
+    rows = stations.select_stations(sites, latest, end)
+    pairs = F.transform(
+        F.map_entries("sensors"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
+    )
+    return rows.select("location_id", "agency", "pm25_sensor_id", F.array_sort(pairs).alias("sensors"), "colocated_with")

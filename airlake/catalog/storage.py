@@ -59,12 +59,17 @@ def _day(ts: str = "ts") -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
 
 
+def _run_hour() -> Column:
+    """The collector of these files runs every six hours."""
+    return F.lpad((F.hour("ts") - F.hour("ts") % 6).cast("string"), 2, "0")
+
+
 def _live_files(i: Inputs) -> str:
     docs = i.events().select(
         iso_text(hour_floor("ts")).alias("logical_hour"),
         iso_text("ts").alias("fetched_at"),
         F.create_map(F.col("location_id").cast("string"), _pages(_measurement(F.col("value")))).alias("stations"),
-        _day().alias("dt"), F.date_format("ts", "HH").alias("hour"),
+        _day().alias("dt"), _run_hour().alias("hour"),
     )
     return _land(docs, "pm25_hours", "dt", "hour")
 
@@ -104,8 +109,9 @@ def _(i: Inputs):
 @query("incremental_hours", using("ev", body="""
     , t AS (SELECT max(date_trunc('second', ts)) FILTER (ts < (SELECT max(ts) - INTERVAL 2 DAY FROM ev)) AS newest FROM ev),
     m AS (SELECT greatest(newest - INTERVAL 6 HOUR, (SELECT max(ts) FROM ev) - INTERVAL 60 HOUR) AS mark FROM t)
-    SELECT strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour, count(*) AS n FROM ev, m
-    WHERE strftime(ts, '%Y-%m-%d %H') >= strftime(mark, '%Y-%m-%d %H') GROUP BY ALL"""))
+    SELECT dt, hour, count(*) AS n FROM (
+        SELECT strftime(ts, '%Y-%m-%d') AS dt, printf('%02d', hour(ts) // 6 * 6) AS hour FROM ev), m
+    WHERE dt || hour >= strftime(mark, '%Y-%m-%d%H') GROUP BY ALL"""))
 def _(i: Inputs):
     """Everything fetched since the mark of a table that stopped two days ago."""
     now = i.events().agg(F.max(F.col("ts").cast("timestamp_ntz"))).first()[0]
@@ -135,7 +141,7 @@ def _(i: Inputs):
     docs = i.events().select(
         iso_text("ts").alias("fetched_at"),
         F.create_map(F.col("location_id").cast("string"), _pages(m)).alias("stations"),
-        _day().alias("dt"), F.date_format("ts", "HH").alias("hour"),
+        _day().alias("dt"), _run_hour().alias("hour"),
     )
     raw = envelopes.read_envelopes(i.spark, _land(docs, "latest", "dt", "hour"), schemas.LATEST)
     sensors = i.table("customer").filter("c_mktsegment <> 'MACHINERY'").select(
@@ -187,7 +193,7 @@ def _(i: Inputs):
     names = (*schemas.WEATHER, schemas.BOUNDARY)
     docs = _weather_docs(
         i, names, forecast_issued_at=iso_text("ts"), logical_hour=iso_text(hour_floor("ts")),
-        hour=F.date_format("ts", "HH"),
+        hour=_run_hour(),
     )
     raw = envelopes.read_envelopes(i.spark, _land(docs, "forecasts", "dt", "hour"), schemas.WEATHER_FORECASTS)
     return staging.stage_weather_forecasts(raw)
@@ -317,7 +323,7 @@ def _(i: Inputs):
 def _(i: Inputs):
     path = shared_path(i.spark, "fragmented")
     orders = i.table("orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    tables.with_month(orders, "o_orderdate").repartition(16).write.partitionBy("month").parquet(path)
+    tables.with_month(orders, "o_orderdate").repartition(4).write.partitionBy("month").parquet(path)
     months = [r[0] for r in tables.read_table(i.spark, path).select("month").distinct().collect()]
     tables.compact(i.spark, path, months)
     return tables.read_table(i.spark, path).groupBy("month").agg(

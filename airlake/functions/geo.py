@@ -66,12 +66,8 @@ def assign_zone(name, lat, lon, cfg: Config = CONFIG) -> Column:
     """Keyword match, else central within the radius, else the compass quadrant."""
     d = haversine_km(cfg.centre_lat, cfg.centre_lon, lat, lon)
     b = bearing_deg(cfg.centre_lat, cfg.centre_lon, lat, lon)
-    quadrant = (
-        F.when((b >= 45) & (b < 135), "delhi_east")
-        .when((b >= 135) & (b < 225), "delhi_south")
-        .when((b >= 225) & (b < 315), "delhi_west")
-        .otherwise("delhi_north")
-    )
+    quarters = F.array(*[F.lit(f"delhi_{q}") for q in ("north", "east", "south", "west")])
+    quadrant = F.try_element_at(quarters, F.floor(((b + 45) % 360) / 90).cast("int") + 1)
     return F.coalesce(
         keyword_zone(name), F.when(d <= cfg.central_radius_km, F.lit("delhi_central")), quadrant
     )

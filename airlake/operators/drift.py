@@ -29,14 +29,14 @@ def long_form(df: DataFrame, columns: list[str], side: str) -> DataFrame:
     )
 
 
-def _ks_p_value(d: Column, n: Column, m: Column) -> Column:
-    """Asymptotic Kolmogorov survival function of the two-sample statistic."""
-    lam2 = d * d * (n * m) / (n + m)
-    total = F.lit(0.0)
-    for k in range(1, 101):
-        sign = 1.0 if k % 2 else -1.0
-        total = total + F.lit(sign) * F.exp(F.lit(-2.0 * k * k) * lam2)
-    return F.when(lam2 < 0.04, F.lit(1.0)).otherwise(F.greatest(F.least(2 * total, F.lit(1.0)), F.lit(0.0)))
+def _ks_p_value(lam2: Column) -> Column:
+    """Asymptotic Kolmogorov survival function at the square of the scaled two-sample statistic."""
+    sign = lambda k: F.when(k % 2 == 1, 1.0).otherwise(-1.0)
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
+        lambda total, k: total + sign(k) * F.exp(F.lit(-2.0) * k * k * lam2),
+    )
+    return F.when(lam2 < 0.04, 1.0).otherwise(F.greatest(F.least(2 * series, F.lit(1.0)), F.lit(0.0)))
 
 
 def distances(reference: DataFrame, current: DataFrame) -> DataFrame:
@@ -97,18 +97,19 @@ def distances(reference: DataFrame, current: DataFrame) -> DataFrame:
 
 def verdicts(reference: DataFrame, current: DataFrame) -> DataFrame:
     """One row per feature: method, value, drifted. A p-value drifts when small, a distance when large."""
-    d = distances(reference, current)
-    small = F.col("n_reference") <= KS_MAX_ROWS
-    p = _ks_p_value(F.col("ks"), F.col("n_reference"), F.col("n_current"))
-    normed = F.col("wasserstein") / F.greatest(F.col("reference_std"), F.lit(0.001))
-    value = F.when(small, p).otherwise(normed)
-    return d.select(
+    n, m = F.col("n_reference"), F.col("n_current")
+    small = n <= KS_MAX_ROWS
+    scored = distances(reference, current).select(
+        "feature", "n_reference", "n_current",
+        (F.col("ks") * F.col("ks") * n * m / (n + m)).alias("lam2"),
+        (F.col("wasserstein") / F.greatest(F.col("reference_std"), F.lit(0.001))).alias("normed"),
+    ).withColumn("score", F.when(small, _ks_p_value(F.col("lam2"))).otherwise(F.col("normed")))
+    return scored.select(
         "feature",
         F.when(small, "K-S p_value").otherwise("Wasserstein distance (normed)").alias("method"),
-        F.round(value, 4).alias("value"),
-        F.when(small, value < P_VALUE_LIMIT).otherwise(value > DISTANCE_LIMIT).alias("drifted"),
-        "n_reference",
-        "n_current",
+        F.round("score", 4).alias("value"),
+        F.when(small, F.col("score") < P_VALUE_LIMIT).otherwise(F.col("score") > DISTANCE_LIMIT).alias("drifted"),
+        "n_reference", "n_current",
     )
 
 
