@@ -280,7 +280,7 @@ def zone_of(key: str) -> Column:
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Results in the widest plain types: bigint, double, zone-less timestamps."""
+    """Results in the widest plain types: bigint, double, zone-less timestamps, dates as text."""
 
     def plain(name: str, kind: str) -> Column:
         if kind in ("int", "smallint", "tinyint"):
@@ -289,6 +289,8 @@ def finish(df: DataFrame) -> DataFrame:
             return F.col(name).cast("double").alias(name)
         if kind == "timestamp":
             return F.col(name).cast("timestamp_ntz").alias(name)
+        if kind == "date":
+            return F.col(name).cast("string").alias(name)
         return F.col(name)
 
     return df.select(*[plain(c, t) for c, t in df.dtypes])

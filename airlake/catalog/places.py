@@ -21,12 +21,12 @@ _PRODUCT = using("ofire", body="""
                                ORDER BY CASE product WHEN 'SP' THEN 0 ELSE 1 END) = 1""")
 
 
-@query("fires_prefer_product", _PRODUCT)
+@query("fires_prefer_product", _PRODUCT, dates=("acq_date",))
 def _(i: Inputs):
     return fires.preferred_product(i.order_fires()).select("order_id", "sensor", "product", "acq_date")
 
 
-@query("fires_located", using("olocated", body="SELECT * FROM olocated"))
+@query("fires_located", using("olocated", body="SELECT * FROM olocated"), dates=("acq_date",))
 def _(i: Inputs):
     return fires.locate(i.order_fires(), CONFIG)
 
@@ -34,7 +34,7 @@ def _(i: Inputs):
 @query("fires_daily", using("olocated", body=f"""
     SELECT city_id, acq_date, sector, distance_band, count(*) AS fire_count,
            {dec(f"sum({micro('frp_mw')}) / 1000000.0", 1)} AS frp_sum_mw
-    FROM olocated GROUP BY ALL"""))
+    FROM olocated GROUP BY ALL"""), dates=("acq_date",))
 def _(i: Inputs):
     return fires.daily(fires.locate(i.order_fires(), CONFIG))
 
@@ -177,7 +177,7 @@ def _(i: Inputs):
 # --- dimensions -----------------------------------------------------------------------------------
 
 
-@query("dim_date_spine", using("dates", body="SELECT * FROM dates"))
+@query("dim_date_spine", using("dates", body="SELECT * FROM dates"), dates=("date_ist",))
 def _(i: Inputs):
     return i.dates()
 
@@ -241,7 +241,7 @@ def _(i: Inputs):
     GROUP BY ALL
     UNION ALL
     SELECT supplier, day, NULL, NULL FROM want w WHERE NOT EXISTS (
-        SELECT 1 FROM offer o WHERE o.supplier = w.supplier AND w.day BETWEEN min_date AND max_date)""")
+        SELECT 1 FROM offer o WHERE o.supplier = w.supplier AND w.day BETWEEN min_date AND max_date)""", dates=("day",))
 def _(i: Inputs):
     lines = i.table("lineitem").select(
         F.col("l_suppkey").alias("supplier"), F.col("l_returnflag").alias("product"),
@@ -289,7 +289,7 @@ _SENSORS = ((0, "pm25", "µg/m³"), (1, "co", "µg/m³"), (2, "co", "ppb"), (3,
         FROM (SELECT *, count(*) FILTER (slot IN (1, 2)) OVER (PARTITION BY location_id) AS n2 FROM live)
         GROUP BY 1 HAVING count(*) FILTER (slot = 0) > 0
     ), found AS (SELECT * FROM cand JOIN maps USING (location_id))
-    SELECT location_id, agency, pm25_sensor_id, list_sort(string_split(sensors, ',')) AS sensors,
+    SELECT location_id, agency, pm25_sensor_id, array_to_string(list_sort(string_split(sensors, ',')), ',') AS sensors,
            (SELECT min(a.location_id) FROM found a WHERE a.location_id < b.location_id AND abs(a.latitude - b.latitude) < 0.002
               AND {_km('a.latitude', 'a.longitude', 'b.latitude', 'b.longitude')} * 1000 < 100) AS colocated_with
     FROM found b""")
@@ -318,4 +318,4 @@ def _(i: Inputs):
     pairs = F.transform(
         F.map_entries("sensors"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
     )
-    return rows.select("location_id", "agency", "pm25_sensor_id", F.array_sort(pairs).alias("sensors"), "colocated_with")
+    return rows.select("location_id", "agency", "pm25_sensor_id", F.array_join(F.array_sort(pairs), ",").alias("sensors"), "colocated_with")

@@ -12,8 +12,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``fn(inputs) -> DataFrame`` under a name, with its SQL when one exists."""
+def query(name: str, sql: str | None = None, dates: tuple[str, ...] = ()):
+    """Register ``fn(inputs) -> DataFrame`` under a name, with its SQL when one exists.
+
+    ``dates`` names the civil-date columns, which both sides return as ``YYYY-MM-DD`` text.
+    """
+    if sql is not None and dates:
+        as_text = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" for d in dates)
+        sql = f"SELECT * REPLACE ({as_text}) FROM ({sql.strip()}) AS result"
 
     def wrap(fn: Callable[[Inputs], DataFrame]):
         if name in QUERIES:

@@ -121,7 +121,7 @@ def _(i: Inputs):
     WITH span AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS z
                   FROM orders GROUP BY 1)
     SELECT o_custkey, greatest(a, m) AS chunk_start, least(z, CAST(m + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE)) AS chunk_end
-    FROM (SELECT *, CAST(unnest(generate_series(date_trunc('month', a), z, INTERVAL 1 MONTH)) AS DATE) AS m FROM span)""")
+    FROM (SELECT *, CAST(unnest(generate_series(date_trunc('month', a), z, INTERVAL 1 MONTH)) AS DATE) AS m FROM span)""", dates=("chunk_start", "chunk_end"))
 def _(i: Inputs):
     day = F.to_date("o_orderdate")
     span = i.table("orders").groupBy("o_custkey").agg(F.min(day).alias("a"), F.max(day).alias("z"))
@@ -135,7 +135,7 @@ def _(i: Inputs):
     have AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders)
     SELECT o_custkey, count(*) AS days_to_fetch, max(day) AS last_day FROM want w
     WHERE z - day < 7 OR NOT EXISTS (SELECT 1 FROM have h WHERE h.o_custkey = w.o_custkey AND h.day = w.day)
-    GROUP BY 1""")
+    GROUP BY 1""", dates=("last_day",))
 def _(i: Inputs):
     orders = i.table("orders").select("o_custkey", F.to_date("o_orderdate").alias("day"))
     span = orders.groupBy("o_custkey").agg(F.min("day").alias("a"), F.max("day").alias("z"))
@@ -247,7 +247,7 @@ def _(i: Inputs):
 
 
 @query("dq_single_product", using("ofire", body="""
-    SELECT acq_date, sensor FROM ofire GROUP BY ALL HAVING count(DISTINCT product) > 1"""))
+    SELECT acq_date, sensor FROM ofire GROUP BY ALL HAVING count(DISTINCT product) > 1"""), dates=("acq_date",))
 def _(i: Inputs):
     return checks.one_product_per_day(i.order_fires())
 

@@ -46,7 +46,7 @@ def _(i: Inputs):
 
 @query("highest_value_dedupe", using("ev", body="""
     SELECT user_id, CAST(ts AS DATE) AS day, event_id, value FROM ev
-    QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY value DESC, event_id) = 1"""))
+    QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY value DESC, event_id) = 1"""), dates=("day",))
 def _(i: Inputs):
     rows = i.events().withColumn("day", F.to_date("ts"))
     best = dedupe.latest_wins(rows, ["user_id", "day"], F.col("value").desc(), F.col("event_id").asc())
@@ -150,7 +150,7 @@ def _(i: Inputs):
                CAST(sum(fire_count) FILTER (sector IN ('N', 'W', 'NW')) AS BIGINT) AS fires_nw_arc
         FROM edaily GROUP BY ALL
     ) USING (city_id, date_ist)
-    LEFT JOIN (SELECT date_ist, is_festival, festival_name FROM dates) USING (date_ist)"""))
+    LEFT JOIN (SELECT date_ist, is_festival, festival_name FROM dates) USING (date_ist)"""), dates=("date_ist",))
 def _(i: Inputs):
     daily = fires.daily(fires.locate(i.event_fires(), CFG))
     return hourly.city_daily(i.aqi(), daily, i.dates(), CFG)

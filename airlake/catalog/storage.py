@@ -245,7 +245,7 @@ def _(i: Inputs):
            frp_mw, confidence, daynight
     FROM ofire
     QUALIFY row_number() OVER (PARTITION BY sensor, product, acquired_at_utc, latitude, longitude
-                               ORDER BY frp_mw DESC, confidence, daynight) = 1"""))
+                               ORDER BY frp_mw DESC, confidence, daynight) = 1"""), dates=("acq_date",))
 def _(i: Inputs):
     """Detections as text columns (with a repeated header line per day), typed and deduplicated."""
     f = i.order_fires()

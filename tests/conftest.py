@@ -11,6 +11,22 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from airlake import build_session, use_utc  # noqa: E402
 
 
+def pytest_addoption(parser):
+    parser.addoption("--slow", action="store_true", help="also run the queries that write many files or long plans")
+
+
+def pytest_configure(config):
+    config.addinivalue_line("markers", "slow: left out unless --slow is given (tools/check.py runs them too)")
+
+
+def pytest_collection_modifyitems(config, items):
+    if not config.getoption("--slow"):
+        skip = pytest.mark.skip(reason="needs --slow")
+        for item in items:
+            if "slow" in item.keywords:
+                item.add_marker(skip)
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(

@@ -27,7 +27,15 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+SLOW = {
+    "compaction", "features_live", "incremental_hours", "leakage_margins", "leakage_offenders", "modulo_sample",
+    "snapshot_export", "staged_latest", "staged_pm25", "staged_predictions", "staged_weather_forecasts",
+}
+
+
+@pytest.mark.parametrize(
+    "name", [pytest.param(n, marks=pytest.mark.slow) if n in SLOW else n for n in sorted(ORACLES)]
+)
 def test_query_equals_its_sql(spark, con, name):
     problem = compare(QUERIES[name](spark, BASE), con, ORACLES[name])
     assert problem is None, problem
