@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import chat, quality, weighted_sampling
+from airlake.llm import chat, quality, simhash, weighted_sampling
 from airlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,9 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprints_with_neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = simhash.near_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return marked.select("row.doc_id", simhash.hex_of("fingerprint").alias("fingerprint"), "component_id")
