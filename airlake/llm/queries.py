@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import chat, quality, simhash, weighted_sampling
+from airlake.llm import chat, packing, quality, simhash, token_store, weighted_sampling
 from airlake.llm.common import table
+from airlake.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +57,17 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.near_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return marked.select("row.doc_id", simhash.hex_of("fingerprint").alias("fingerprint"), "component_id")
+
+
+@query
+def op7_token_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-store")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_store.with_crc(token_store.read_tokens(spark, path))
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    digests = token_store.with_crc(pieces.withColumn("length", F.size("ids").cast("long")))
+    return digests.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
