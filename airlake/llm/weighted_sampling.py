@@ -22,12 +22,12 @@ SLICE_ROWS = 1024  # rows per slice of the doc_id order
 MAX_SLICES = 20_000  # bounds the list of slice limits held by the driver
 
 
-def ln_samples(term: Column, ln_weights: list[Column], draw: int) -> list[Column]:
+def ln_samples(term: Column, draw: Column, ln_weights: list[Column]) -> list[Column]:
     """ln a of one word in one draw, for each of several weights (null weight: null).
 
     One 64-bit hash gives five uniform numbers: four of 12 bits and one of 16. The sum of two exponentials is Gamma(2, 1).
     """
-    h = F.xxhash64(term, F.lit(draw))
+    h = F.xxhash64(term, draw)
     uniform = lambda at, bits: (  # noqa: E731  never 0 or 1
         F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << bits) - 1)) + F.lit(0.5)
     ) * F.lit(2.0**-bits)
@@ -37,16 +37,16 @@ def ln_samples(term: Column, ln_weights: list[Column], draw: int) -> list[Column
     return [ln_c - r * (F.floor(w / r + beta) - beta + 1) for w in ln_weights]
 
 
-def signature(mins: list[Column]) -> Column:
-    """Four hex digits a draw; a bag without words has the empty signature."""
-    digits = [F.lower(F.substring(F.hex(F.xxhash64(m)), -4, 4)) for m in mins]
-    return F.when(mins[0].isNull(), F.lit("")).otherwise(F.concat(*digits))
+def signature(samples: Column, side: str) -> Column:
+    """Four hex digits a draw, from (draw, a, b) in order of draw; a bag without words has the empty signature."""
+    digits = F.transform(samples, lambda x: F.lower(F.substring(F.hex(F.xxhash64(x[side])), -4, 4)))
+    return F.when(F.get(samples, F.lit(0))[side].isNull(), F.lit("")).otherwise(F.array_join(digits, ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of draws in which two signatures agree; two empty ones are alike, an empty and another are not."""
-    draws = F.sequence(F.lit(0), F.floor(F.char_length(a) / 4).cast("int") - 1)
-    same = F.filter(draws, lambda i: F.substring(a, i * 4 + 1, F.lit(4)) == F.substring(b, i * 4 + 1, F.lit(4)))
+    each = F.sequence(F.lit(0), F.floor(F.char_length(a) / 4).cast("int") - 1)
+    same = F.filter(each, lambda i: F.substring(a, i * 4 + 1, F.lit(4)) == F.substring(b, i * 4 + 1, F.lit(4)))
     return (
         F.when((a == "") & (b == ""), F.lit(1.0))
         .when((a == "") | (b == ""), F.lit(0.0))
@@ -129,40 +129,38 @@ def fingerprints_with_neighbours(docs: DataFrame, samples: int = SAMPLES) -> Dat
     rows = ordered.select(
         "slice", "at", "ghost", "doc_id", F.char_length("text").alias("n_chars"), "text", change.alias("changed")
     ).withColumn("digest", F.sha2("changed", 256))
-    long_of = lambda i: F.conv(F.substring("digest", 16 * i + 1, 16), 16, -10).cast("long")
-    # numbers only, so that all aggregation buffers are updated in place
-    facts = {
-        "has_id": F.col("doc_id").isNotNull().cast("int"), "doc_id": F.col("doc_id"), "ghost": F.col("ghost"),
-        "n_chars": F.col("n_chars").cast("long"), **{f"sha{i}": long_of(i) for i in range(4)},
-    }
-    terms = lambda c: F.transform(words_of(spaced(F.col(c))), lambda x: F.xxhash64(x))
-    none = F.array(F.lit(None).cast("long"))
-    rows = rows.select(
-        "slice", "at", *[c.alias(k) for k, c in facts.items()],
-        F.concat(none, terms("text")).alias("own"), terms("changed").alias("other"),
-    )
-    # the first element of every document is no word: it keeps the facts and makes sure the document has a row
-    one_side = lambda c, side: F.transform(c, lambda x: F.struct(x.alias("term"), F.lit(side).alias("side")))
-    words = rows.select("slice", "at", *facts, F.inline(F.concat(one_side("own", 0), one_side("other", 1))))
-    fact = lambda k: F.max(F.when(F.col("term").isNull(), F.col(k))).alias(k)
-    counted = words.groupBy("slice", "at", "term").agg(
-        F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("w0"),
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("w1"),
-        *[fact(k) for k in facts],
+    part = lambda i: F.conv(F.substring("digest", 16 * i + 1, 16), 16, -10).cast("long")
+    facts = {"doc_id": F.col("doc_id"), "ghost": F.col("ghost"), "n_chars": F.col("n_chars")}
+    facts |= {f"sha{i}": part(i) for i in range(4)}
+    # words of both texts as (kind 0, side, hash); what else is to be known of a document rides along as kinds 1, 2, ...
+    entry = lambda value, kind, side: F.struct(
+        F.lit(kind).alias("kind"), F.lit(side).alias("side"), value.cast("long").alias("term")
+    )
+    words = lambda c, side: F.transform(
+        words_of(spaced(F.col(c))), lambda x: entry(F.xxhash64(x), 0, side)
+    )
+    known = F.array(*[entry(c, i, 0) for i, c in enumerate(facts.values(), 1)])
+    entries = rows.select("slice", "at", F.inline(F.concat(known, words("text", 0), words("changed", 1))))
+    counted = entries.groupBy("slice", "at", "kind", "term").agg(
+        F.count_if(F.col("side") == 0).alias("w0"), F.count_if(F.col("side") == 1).alias("w1")
+    )
+    ln = lambda c: F.when(F.col("kind") == 0, F.log(F.col(c)))  # noqa: E731  ln 0 is null
+    weighed = counted.select("slice", "at", "kind", "term", ln("w0").alias("ln0"), ln("w1").alias("ln1"))
+    # a row per word and draw, within one task and never materialised: the minima take each up at once
+    numbers = F.when(F.col("kind") == 0, F.sequence(F.lit(0), F.lit(samples - 1))).otherwise(F.array(-F.col("kind")))
+    evaluated = weighed.withColumn("draw", F.explode(numbers))
+    a, b = ln_samples(F.col("term"), F.col("draw"), [F.col("ln0"), F.col("ln1")])
+    least = evaluated.groupBy("slice", "at", "draw").agg(
+        F.min(a).alias("a"), F.min(b).alias("b"), F.max("term").alias("value")
     )
-    weight = lambda c: F.when(F.col("term").isNotNull(), F.log(F.col(c)))  # noqa: E731  ln 0 is null
-    counted = counted.withColumns({"ln0": weight("w0"), "ln1": weight("w1")})
-    least = {}
-    for k in range(samples):
-        a, b = ln_samples(F.col("term"), [F.col("ln0"), F.col("ln1")], k)
-        least |= {f"a{k}": F.min(a), f"b{k}": F.min(b)}
-    drawn = counted.groupBy("slice", "at").agg(
-        *[F.max(k).alias(k) for k in facts], *[c.alias(k) for k, c in least.items()]
+    drawn = least.groupBy("slice", "at").agg(
+        *[F.max(F.when(F.col("draw") == -i, F.col("value"))).alias(n) for i, n in enumerate(facts, 1)],
+        F.sort_array(F.collect_list(F.when(F.col("draw") >= 0, F.struct("draw", "a", "b")))).alias("samples"),
     )
     signed = drawn.select(
         "slice", "at", *facts,
-        signature([F.col(f"a{k}") for k in range(samples)]).alias("fingerprint"),
-        signature([F.col(f"b{k}") for k in range(samples)]).alias("edited_fingerprint"),
+        signature(F.col("samples"), "a").alias("fingerprint"),
+        signature(F.col("samples"), "b").alias("edited_fingerprint"),
     )
     w = Window.partitionBy("slice").orderBy("at")
     following = signed.withColumn("next_fingerprint", F.lead("fingerprint").over(w)).where("ghost = 0")
