@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import chat, packing, quality, simhash, token_store, weighted_sampling
+from airlake.llm import chat, mixing, packing, quality, simhash, token_store, weighted_sampling
 from airlake.llm.common import table
 from airlake.session import shared_path
 
@@ -71,3 +71,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     digests = token_store.with_crc(pieces.withColumn("length", F.size("ids").cast("long")))
     return digests.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan_mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return planned.select("row.doc_id", "size", "source_size", "target", "taken", F.col("draws.shard").alias("shards"))
