@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import chat, mixing, packing, quality, simhash, token_store, weighted_sampling
+from airlake.llm import chat, line_dedup, mixing, packing, quality, simhash, token_store, weighted_sampling
 from airlake.llm.common import table
 from airlake.session import shared_path
 
@@ -77,3 +77,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return planned.select("row.doc_id", "size", "source_size", "target", "taken", F.col("draws.shard").alias("shards"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return cleaned.select("row.doc_id", "text", "n_lines", "n_dropped")
