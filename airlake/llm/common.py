@@ -25,6 +25,13 @@ def words_of(spaced_text: Column) -> Column:
     return F.when(spaced_text == "", F.array().cast("array<string>")).otherwise(F.split(spaced_text, " "))
 
 
+def word_count(text: Column) -> Column:
+    """How many words a text has (null: none)."""
+    words = spaced(text)
+    gaps = F.char_length(words) - F.char_length(F.replace(words, F.lit(" "), F.lit("")))
+    return F.when(words == "", F.lit(0)).otherwise(gaps + 1).cast("long")
+
+
 def packed_row(df: DataFrame, *needed: str) -> list[Column]:
     """All input columns as one struct, so that no working column can clash with them, and copies of those needed."""
     return [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[F.col(f"`{c}`").alias(c) for c in needed]]

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlake.llm.common import packed_row, spaced, stored
+from airlake.llm.common import packed_row, stored, word_count
 
 CELL = 1024  # blocks that a prefix sum orders in one window
 
@@ -53,12 +53,6 @@ def targets(sizes: dict[str | None, int], mix: Mix = Mix()) -> dict[str | None,
         left = mix.share * sum(sizes.values()) - sum(fixed.values())
 
 
-def word_count(text: Column) -> Column:
-    words = spaced(text)
-    gaps = F.char_length(words) - F.char_length(F.replace(words, F.lit(" "), F.lit("")))
-    return F.when(words == "", F.lit(0)).otherwise(gaps + 1).cast("long")
-
-
 def shard_quotas(counts: list[int], shards: int, seed: int, first: int, last: int) -> Iterator[tuple[int, list, list]]:
     """(shard, first draw of each source, draws of each source) for shards first..last-1, by walking the tree."""
 

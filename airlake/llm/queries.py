@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import chat, line_dedup, mixing, packing, quality, simhash, token_store, weighted_sampling
+from airlake.llm import chat, html, line_dedup, mixing, packing, quality, simhash, token_store, warc, weighted_sampling
 from airlake.llm.common import table
 from airlake.session import shared_path
 
@@ -83,3 +83,26 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return cleaned.select("row.doc_id", "text", "n_lines", "n_dropped")
+
+
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html.extract_text(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write_warc(warc.derivatives(warc.responses_from_pages(table(spark, sf_dir, "pages"))), path)
+    head = lambda name: F.col("warc_headers")[name]
+    return warc.read_warc(spark, path).select(
+        head("WARC-Record-ID").alias("record_id"),
+        head("WARC-Type").alias("warc_type"),
+        head("WARC-Refers-To").alias("refers_to"),
+        head("WARC-Target-URI").alias("target_uri"),
+        head("WARC-Block-Digest").alias("block_digest"),
+        head("Content-Length").cast("long").alias("content_length"),
+        F.octet_length("block").cast("long").alias("n_bytes"),
+        F.sha2("block", 256).alias("block_sha256"),
+    )
