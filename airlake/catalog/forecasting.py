@@ -246,8 +246,8 @@ def _(i: Inputs):
 
 
 @query("accuracy_windows", using("facc", body=f"""
-    SELECT horizon_h, CAST(d AS BIGINT) AS window_days, count(*) AS n, {avg6('abs_error')} AS mae,
-           {avg6('error')} AS bias,
+    SELECT horizon_h, CAST(d AS BIGINT) AS window_days, count(*) AS n, round(avg(abs_error), 6) AS mae,
+           round(avg(error), 6) AS bias,
            round(count(*) FILTER (category_correct) / count(category_correct), 9) AS category_accuracy,
            count(*) FILTER (is_stale_input) AS n_stale_inputs
     FROM facc JOIN (VALUES (7), (30)) AS w(d)
@@ -255,7 +255,7 @@ def _(i: Inputs):
     GROUP BY ALL"""))
 def _(i: Inputs):
     rows = ev.accuracy_windows(_accuracy(i), i.as_of(), CFG)
-    return rows.withColumn("category_accuracy", F.round("category_accuracy", 9))
+    return rows.withColumns({"mae": F.round("mae", 6), "bias": F.round("bias", 6), "category_accuracy": F.round("category_accuracy", 9)})
 
 
 @query("forecast_vs_actual", using("facc", body="""
@@ -276,8 +276,8 @@ _SCORED = f"""
                      pm25_last_valid AS cams_lagged FROM issues WHERE target_pm25 IS NOT NULL)
         UNPIVOT (y_pred FOR method IN (persistence, seasonal_naive, cams_lagged))
     ), per AS (
-        SELECT horizon_h, method, {avg6('abs(y_pred - y_true)')} AS mae,
-               round(sqrt(avg((y_pred - y_true) ** 2)), 6) AS rmse, {avg6('y_pred - y_true')} AS bias,
+        SELECT horizon_h, method, avg(abs(y_pred - y_true)) AS mae,
+               round(sqrt(avg((y_pred - y_true) ** 2)), 6) AS rmse, avg(y_pred - y_true) AS bias,
                round(avg(CAST({indicative('y_true')} = {indicative('y_pred')} AS INT)), 9) AS category_accuracy,
                count(*) AS n
         FROM scored GROUP BY ALL
@@ -290,19 +290,20 @@ def _scored(i: Inputs):
 
 
 def _metric_rounding(df: DataFrame) -> DataFrame:
-    return df.withColumns({"rmse": F.round("rmse", 6), "category_accuracy": F.round("category_accuracy", 9)})
+    return df.withColumns({**{c: F.round(c, 6) for c in ("mae", "rmse", "bias")}, "category_accuracy": F.round("category_accuracy", 9)})
 
 
-@query("baseline_metrics", using("issues", body=f"{_SCORED} SELECT * FROM per"))
+@query("baseline_metrics", using("issues", body=f"{_SCORED} SELECT * REPLACE (round(mae, 6) AS mae, round(bias, 6) AS bias) FROM per"))
 def _(i: Inputs):
     return _metric_rounding(ev.metrics(_scored(i), ["horizon_h", "method"]))
 
 
 @query("skill_by_horizon", using("issues", body=f"""{_SCORED}
-    SELECT p.horizon_h, p.method, p.mae, 1.0::DOUBLE - p.mae / q.mae AS skill
+    SELECT p.horizon_h, p.method, round(p.mae, 6) AS mae, round(1.0::DOUBLE - p.mae / q.mae, 9) AS skill
     FROM per p JOIN per q ON q.horizon_h = p.horizon_h AND q.method = 'persistence'"""))
 def _(i: Inputs):
-    return ev.skill_table(_scored(i), ["horizon_h"]).select("horizon_h", "method", "mae", "skill")
+    rows = ev.skill_table(_scored(i), ["horizon_h"])
+    return rows.select("horizon_h", "method", F.round("mae", 6).alias("mae"), F.round("skill", 9).alias("skill"))
 
 
 _FOLD_ROWS = """
@@ -345,14 +346,14 @@ def _(i: Inputs):
 _PER_FOLD = f"""
     WITH r AS ({_FOLD_ROWS}), p AS (
         SELECT *, 150000::DOUBLE + (o_custkey % 100) * 500 + h * 100 AS y_pred FROM (SELECT *, horizon_h AS h FROM r))
-    SELECT strftime(issue_time_utc, '%Y-%m') AS fold, horizon_h, {avg6('abs(y_pred - y_true)')} AS mae, count(*) AS n
+    SELECT strftime(issue_time_utc, '%Y-%m') AS fold, horizon_h, round(avg(abs(y_pred - y_true)), 6) AS mae, count(*) AS n
     FROM p GROUP BY ALL"""
 
 
 def _per_fold(i: Inputs):
     guess = F.lit(150000.0) + F.col("o_custkey") % 100 * 500 + F.col("horizon_h") * 100
     rows = _fold_rows(i).withColumn("y_pred", guess)
-    return ev.metrics(ev.fold_of(rows), ["fold", "horizon_h"])
+    return ev.metrics(ev.fold_of(rows), ["fold", "horizon_h"]).withColumn("mae", F.round("mae", 6))
 
 
 @query("fold_metrics", f"SELECT fold, CAST(horizon_h AS BIGINT) AS horizon_h, mae, n FROM ({_PER_FOLD})")
@@ -403,7 +404,7 @@ def _(i: Inputs):
 
 _DRIFT = """
     WITH v AS (
-        SELECT feature, CAST(round(x * 1000000) AS BIGINT) AS v, side FROM (
+        SELECT feature, x AS v, side FROM (
             SELECT 'value' AS feature, value AS x, CASE WHEN ts >= (SELECT max(ts) - INTERVAL 7 DAY FROM events)
                    THEN 1 ELSE 0 END AS side FROM events
             UNION ALL
@@ -435,8 +436,8 @@ def _(i: Inputs):
 
 
 @query("drift_wasserstein", f"""{_DRIFT}
-    SELECT feature, round(sum(abs(fr - fc) * (nv - v) / 1000000.0), 6) AS wasserstein,
-           (SELECT round(stddev_pop(y.v / 1000000.0), 6) FROM v y WHERE y.feature = c.feature AND side = 0) AS reference_std
+    SELECT feature, round(sum(abs(fr - fc) * (nv - v)), 6) AS wasserstein,
+           (SELECT round(stddev_pop(y.v), 6) FROM v y WHERE y.feature = c.feature AND side = 0) AS reference_std
     FROM c GROUP BY feature""")
 def _(i: Inputs):
     d = drift.distances(*_sides(i))
@@ -448,8 +449,8 @@ def _(i: Inputs):
 @query("drift_verdicts", f"""{_DRIFT}
     , d AS (
         SELECT feature, nr AS n_reference, nc AS n_current, max(abs(fr - fc)) AS ks,
-               sum(abs(fr - fc) * (nv - v) / 1000000.0) AS w,
-               (SELECT stddev_pop(y.v / 1000000.0) FROM v y WHERE y.feature = c.feature AND side = 0) AS s
+               sum(abs(fr - fc) * (nv - v)) AS w,
+               (SELECT stddev_pop(y.v) FROM v y WHERE y.feature = c.feature AND side = 0) AS s
         FROM c GROUP BY ALL
     ), p AS (
         SELECT feature, CASE WHEN any_value(l2) < 0.04 THEN 1 ELSE least(greatest(
@@ -457,13 +458,14 @@ def _(i: Inputs):
         FROM (SELECT feature, ks * ks * n_reference * n_current / (n_reference + n_current) AS l2 FROM d),
              range(1, 101) AS r(k) GROUP BY 1
     )
-    SELECT feature, n_reference, n_current,
-           CASE WHEN n_reference <= 1000 THEN 'K-S p_value' ELSE 'Wasserstein distance (normed)' END AS method,
-           round(CASE WHEN n_reference <= 1000 THEN p ELSE w / greatest(s, 0.001) END, 4) AS value,
-           CASE WHEN n_reference <= 1000 THEN p < 0.05 ELSE w / greatest(s, 0.001) > 0.1 END AS drifted
-    FROM d JOIN p USING (feature)""")
+    SELECT feature, n_reference, n_current, round(p, 4) AS ks_p_value, round(w / greatest(s, 0.001), 4) AS wasserstein_normed,
+           m AS method, round(CASE m WHEN 'K-S p_value' THEN p ELSE w / greatest(s, 0.001) END, 4) AS value,
+           CASE m WHEN 'K-S p_value' THEN p < 0.05 ELSE w / greatest(s, 0.001) > 0.1 END AS drifted
+    FROM d JOIN p USING (feature), (VALUES ('K-S p_value'), ('Wasserstein distance (normed)')) AS t(m)""")
 def _(i: Inputs):
-    return drift.verdicts(*_sides(i))
+    """Both methods side by side; neither choice depends on the number of rows."""
+    sides = _sides(i)
+    return drift.verdicts(*sides, method="ks").unionByName(drift.verdicts(*sides, method="wasserstein"))
 
 
 # --- model ----------------------------------------------------------------------------------------

@@ -209,11 +209,11 @@ class Inputs:
         return latest_wins(rows, ["point_id", "time_utc", "days_before"], F.col("event_id").desc())
 
     def cams_history(self) -> DataFrame:
-        """Hours of even event counts only, so that the forecast fallback has gaps to fill."""
+        """All hours; those of odd event counts have no value, so that the forecast fallback has gaps to fill."""
         hours = self.events().groupBy(
             F.col("zone_id").alias("point_id"), hour_floor("ts").alias("time_utc")
         ).agg(F.max("value").alias("cams_pm25"), F.count(F.lit(1)).alias("n"))
-        return hours.filter("n % 2 = 0").drop("n")
+        return hours.select("point_id", "time_utc", F.when(F.col("n") % 2 == 0, F.col("cams_pm25")).alias("cams_pm25"))
 
     def cams_forecasts(self) -> DataFrame:
         return self.weather_forecasts().select(

@@ -8,7 +8,7 @@ from airlake.catalog.inputs import CFG, Inputs
 from airlake.catalog.registry import query
 from airlake.catalog.views import using
 from airlake.functions.geo import sector_position
-from airlake.functions.numeric import from_micro, micro
+from airlake.functions.numeric import exact
 from airlake.functions.text import redact
 from airlake.functions.time import half_hour_floor, hour_floor
 from airlake.operators import checks
@@ -182,19 +182,19 @@ def _(i: Inputs):
 
 
 @query("fact_dimension_join", """
-    SELECT r_name, n_name, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total
+    SELECT r_name, n_name, count(*) AS n, round(sum(o_totalprice), 2) AS total
     FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
     JOIN region ON r_regionkey = n_regionkey GROUP BY ALL""")
 def _(i: Inputs):
     # Summed per customer before any join: the joins move one row per customer.
     per = i.table("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(micro("o_totalprice")).alias("m")
+        F.count(F.lit(1)).alias("n"), F.sum(exact("o_totalprice")).alias("m")
     )
     nations = i.table("nation").join(
         i.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
     ).select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name")
     rows = per.join(i.table("customer").select("c_custkey", "c_nationkey"), "c_custkey").join(nations, "c_nationkey")
-    return rows.groupBy("r_name", "n_name").agg(F.sum("n").alias("n"), from_micro(F.sum("m")).alias("total"))
+    return rows.groupBy("r_name", "n_name").agg(F.sum("n").alias("n"), F.round(F.sum("m").cast("double"), 2).alias("total"))
 
 
 # --- quality checks -------------------------------------------------------------------------------

@@ -120,7 +120,7 @@ def _(i: Inputs):
 
 @query("city_hourly_median", using("city_hourly", body=_AREA.format("city_id", "city_hourly")))
 def _(i: Inputs):
-    return _rounded(hourly.area_hourly(i.aqi(), "city_id", large_areas=True))
+    return _rounded(hourly.area_hourly(i.aqi(), "city_id"))
 
 
 @query("median_unbounded_groups", """

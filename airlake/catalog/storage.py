@@ -108,7 +108,7 @@ def _(i: Inputs):
 
 @query("incremental_hours", using("ev", body="""
     , t AS (SELECT max(date_trunc('second', ts)) FILTER (ts < (SELECT max(ts) - INTERVAL 2 DAY FROM ev)) AS newest FROM ev),
-    m AS (SELECT greatest(newest - INTERVAL 6 HOUR, (SELECT max(ts) FROM ev) - INTERVAL 60 HOUR) AS mark FROM t)
+    m AS (SELECT newest - INTERVAL 6 HOUR AS mark FROM t)
     SELECT dt, hour, count(*) AS n FROM (
         SELECT strftime(ts, '%Y-%m-%d') AS dt, printf('%02d', hour(ts) // 6 * 6) AS hour FROM ev), m
     WHERE dt || hour >= strftime(mark, '%Y-%m-%d%H') GROUP BY ALL"""))
@@ -118,7 +118,7 @@ def _(i: Inputs):
     loaded = i.events().select(F.date_trunc("second", "ts").alias("fetched_at"), "ts").filter(
         F.col("ts") < as_ts(now - timedelta(days=2))
     )
-    mark = incremental.since_hour(loaded, "fetched_at", now, lookback_hours=6, cap_hours=60)
+    mark = incremental.since_hour(loaded, "fetched_at", lookback_hours=6)
     files = envelopes.read_envelopes(i.spark, _live_files(i), schemas.PM25_HOURLY, incremental.hours_from(mark))
     return files.groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("n"))
 

@@ -261,8 +261,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         QUALIFY row_number() OVER (PARTITION BY zone, date_trunc('hour', ts), event_id % 4
                                    ORDER BY event_id DESC) = 1"""),
     "camsh": (("ev",), """
-        SELECT zone AS point_id, date_trunc('hour', ts) AS time_utc, max(value) AS cams_pm25
-        FROM ev GROUP BY ALL HAVING count(*) % 2 = 0"""),
+        SELECT zone AS point_id, date_trunc('hour', ts) AS time_utc,
+               CASE WHEN count(*) % 2 = 0 THEN max(value) END AS cams_pm25
+        FROM ev GROUP BY ALL"""),
     "issues": (("aqi",), f"""
         SELECT location_id, zone_id, city_id, hour_start_utc, horizon_h,
                hour_start_utc + INTERVAL 1 HOUR AS issue_time_utc,

@@ -1,20 +1,17 @@
 """Distribution distance between a reference and a current sample, without a global sort task.
 
-Values are counted per feature first. A few dozen quantile cuts per feature split the distinct values
-into bins of similar size; running counts are taken inside each bin and the bins' own running counts
-(at most ``BINS`` rows per feature) are added. No window ever spans a whole feature.
+Values are counted per feature first. Quantile cuts per feature split the distinct values into bins of about
+``BIN_VALUES``; running counts are taken inside each bin and the bins' own running counts are added. No window ever
+spans the values of a whole feature, however many there are.
 """
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlake.functions.numeric import SCALE, micro
-
-BINS = 64
-KS_MAX_ROWS = 1000  # larger references are compared by normalised Wasserstein distance
+BIN_VALUES = 20_000
+MIN_BINS, MAX_BINS = 16, 10_000
 P_VALUE_LIMIT = 0.05
 DISTANCE_LIMIT = 0.1
 
@@ -45,14 +42,16 @@ def distances(reference: DataFrame, current: DataFrame) -> DataFrame:
     Both inputs are (feature, value, side) rows from :func:`long_form`.
     """
     rows = reference.unionByName(current)
-    counts = rows.groupBy("feature", micro("value").alias("v")).agg(
+    counts = rows.groupBy("feature", F.col("value").alias("v")).agg(
         F.count_if(F.col("side") == "reference").alias("r"),
         F.count_if(F.col("side") == "current").alias("c"),
     )
+    most = counts.groupBy("feature").count().agg(F.max("count")).first()[0] or 0  # one number
+    n_bins = min(MAX_BINS, max(MIN_BINS, most // BIN_VALUES))
     cuts = counts.groupBy("feature").agg(
-        F.percentile_approx("v", [i / BINS for i in range(1, BINS)], 10000).alias("cuts")
+        F.percentile_approx("v", [i / n_bins for i in range(1, n_bins)], max(10000, 20 * n_bins)).alias("cuts")
     )
-    # Proven bounds for both broadcasts: one row per feature, and BINS rows per feature.
+    # Proven bounds for both broadcasts: one row per feature, and MAX_BINS rows per feature.
     binned = counts.join(F.broadcast(cuts), "feature").select(
         "feature", "v", "r", "c", F.size(F.filter("cuts", lambda q: q < F.col("v"))).alias("bin")
     )
@@ -81,41 +80,34 @@ def distances(reference: DataFrame, current: DataFrame) -> DataFrame:
         F.col("r_upto") / F.nullif(F.col("n_reference"), F.lit(0))
         - F.col("c_upto") / F.nullif(F.col("n_current"), F.lit(0))
     )
-    value = F.col("v").cast("double") / SCALE
-    return steps.groupBy("feature", "n_reference", "n_current").agg(
+    # centred on a value of the feature, so that large levels do not cancel
+    near = F.col("v") - F.col("centre")
+    centred = steps.join(F.broadcast(cuts.select("feature", F.get("cuts", F.lit(n_bins // 2 - 1)).alias("centre"))), "feature")
+    mean = F.sum(near * F.col("r")) / F.sum("r")
+    return centred.groupBy("feature", "n_reference", "n_current").agg(
         F.max(gap).alias("ks"),
-        F.sum(gap * ((F.col("next_v") - F.col("v")).cast("double") / SCALE)).alias("wasserstein"),
-        F.sqrt(
-            F.greatest(
-                F.sum(value * value * F.col("r")) / F.sum("r")
-                - F.pow(F.sum(value * F.col("r")) / F.sum("r"), F.lit(2.0)),
-                F.lit(0.0),
-            )
-        ).alias("reference_std"),
+        F.sum(gap * (F.col("next_v") - F.col("v"))).alias("wasserstein"),
+        F.sqrt(F.greatest(F.sum(near * near * F.col("r")) / F.sum("r") - mean * mean, F.lit(0.0))).alias("reference_std"),
     )
 
 
-def verdicts(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """One row per feature: method, value, drifted. A p-value drifts when small, a distance when large."""
-    n, m = F.col("n_reference"), F.col("n_current")
-    small = n <= KS_MAX_ROWS
-    scored = distances(reference, current).select(
-        "feature", "n_reference", "n_current",
-        (F.col("ks") * F.col("ks") * n * m / (n + m)).alias("lam2"),
-        (F.col("wasserstein") / F.greatest(F.col("reference_std"), F.lit(0.001))).alias("normed"),
-    ).withColumn("score", F.when(small, _ks_p_value(F.col("lam2"))).otherwise(F.col("normed")))
-    return scored.select(
-        "feature",
-        F.when(small, "K-S p_value").otherwise("Wasserstein distance (normed)").alias("method"),
-        F.round("score", 4).alias("value"),
-        F.when(small, F.col("score") < P_VALUE_LIMIT).otherwise(F.col("score") > DISTANCE_LIMIT).alias("drifted"),
-        "n_reference", "n_current",
-    )
+METHODS = {"ks": "K-S p_value", "wasserstein": "Wasserstein distance (normed)"}
 
 
-def share_drifted(verdict: DataFrame) -> DataFrame:
-    return verdict.agg(
-        F.count(F.lit(1)).alias("n_columns"),
-        F.count_if("drifted").alias("n_drifted"),
-        (F.count_if("drifted") / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("share_drifted"),
+def verdicts(reference: DataFrame, current: DataFrame, method: str = "wasserstein") -> DataFrame:
+    """One row per feature: both statistics, and the verdict of the chosen one whatever the number of rows.
+
+    A p-value (``ks``) drifts when small, a distance (``wasserstein``) when large.
+    """
+    if method not in METHODS:
+        raise ValueError(f"method is one of {sorted(METHODS)}")
+    n, m = F.col("n_reference"), F.col("n_current")
+    p_value = _ks_p_value(F.col("ks") * F.col("ks") * n * m / (n + m))
+    normed = F.col("wasserstein") / F.greatest(F.col("reference_std"), F.lit(0.001))
+    drifted = p_value < P_VALUE_LIMIT if method == "ks" else normed > DISTANCE_LIMIT
+    return distances(reference, current).select(
+        "feature", F.lit(METHODS[method]).alias("method"),
+        F.round(p_value if method == "ks" else normed, 4).alias("value"), drifted.alias("drifted"),
+        F.round(p_value, 4).alias("ks_p_value"), F.round(normed, 4).alias("wasserstein_normed"),
+        "n_reference", "n_current",
     )

@@ -29,16 +29,13 @@ def since_day(target: DataFrame | None, column: str, days: int, fmt: str = "%Y-%
 def since_hour(
     target: DataFrame | None,
     fetched: str,
-    as_of: datetime,
     lookback_hours: int = 6,
-    cap_hours: int | None = None,
 ) -> datetime | None:
-    """Fetch-time mark, never further back than ``cap_hours`` before ``as_of`` when a cap is set."""
+    """Fetch-time mark. After a stop of any length everything since is read again; no hour is passed over."""
     newest = _max(target, fetched)
     if newest is None:
         return None
-    mark = newest - timedelta(hours=lookback_hours)
-    return mark if cap_hours is None else max(mark, as_of - timedelta(hours=cap_hours))
+    return newest - timedelta(hours=lookback_hours)
 
 
 def hours_from(mark: datetime | None) -> Column:

@@ -13,19 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlake.functions.numeric import SCALE, micro
-
 
 def median_of_large_groups(
     df: DataFrame, keys: Sequence[str], value: str, out: str = "median", bin_width: float = 1.0
 ) -> DataFrame:
     keys = list(keys)
-    width = int(bin_width * SCALE)
     counts = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, micro(value).alias("_v"))
+        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_v") / width))
+        .withColumn("_bin", F.floor(F.col("_v") / bin_width))
     )
     by_bin = Window.partitionBy(*keys).orderBy("_bin")
     bins = (
@@ -52,4 +49,4 @@ def median_of_large_groups(
         return F.max(F.when((F.col("_upto") >= r) & (F.col("_upto") - F.col("_n") < r), F.col("_v")))
 
     middle = at("_lo") + at("_hi")
-    return ranked.groupBy(*keys).agg((middle.cast("double") / (2 * SCALE)).alias(out))
+    return ranked.groupBy(*keys).agg((middle / 2).alias(out))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlake.config import CONFIG, Config
@@ -17,71 +17,56 @@ def nearest(df: DataFrame, lat: float, lon: float, n: int, id_col: str = "locati
     return df.withColumn("distance_km", F.round(d, 3)).orderBy(d, id_col).limit(n)
 
 
-def colocated_with(df: DataFrame, id_col: str = "location_id", cfg: Config = CONFIG) -> DataFrame:
-    """Per id, the smallest lower id closer than ``cfg.colocated_within_m`` (pairs at a distance).
+def _on_sphere(lat: Column, lon: Column) -> list[Column]:
+    """Metres from the centre of the earth along three axes: no poles, no seam."""
+    r = EARTH_RADIUS_KM * 1000
+    return [
+        r * F.cos(F.radians(lat)) * F.cos(F.radians(lon)), r * F.cos(F.radians(lat)) * F.sin(F.radians(lon)),
+        r * F.sin(F.radians(lat)),
+    ]
+
 
-    Never forms all pairs of a crowd:
+def colocated_with(df: DataFrame, id_col: str = "location_id", cfg: Config = CONFIG) -> DataFrame:
+    """Per id, the smallest lower id closer than ``cfg.colocated_within_m``.
 
     * rows at one coordinate collapse to their smallest id first;
-    * cells are small enough that every point of a cell is near every point of the eight cells around
-      it, so inside that block the smallest id is the answer and no points are compared;
-    * cells two or three steps away are compared point by point only where they hold an id below the
-      best partner found so far, and then only those ids.
+    * points fall into cubes whose diagonal is the limit: within a cube every point is near every other, so its
+      smallest id is the answer there and no points are compared;
+    * cubes up to two steps away are compared point by point only where they hold an id below the best partner
+      found so far, and then only those ids.
     """
     limit = cfg.colocated_within_m
-    m_per_deg = math.radians(1) * EARTH_RADIUS_KM * 1000
-    # Two diagonal neighbours span at most 2 * sqrt(2) / 2.9 of the limit (less away from the equator).
-    step = limit / 2.9 / m_per_deg
+    side = limit / math.sqrt(3) * (1 - 1e-9)
     points = df.groupBy("latitude", "longitude").agg(F.min(id_col).alias("_first"))
-    points = points.select(
-        "*",
-        F.floor(F.col("latitude") / step).alias("_r"),
-        F.floor(F.col("longitude") / step).alias("_c"),
-    )
-    cells = points.groupBy("_r", "_c").agg(
-        F.min("_first").alias("_cell_min"), F.max(F.abs("latitude")).alias("_lat")
-    )
-
-    # Every cell announces its smallest id to the cells within reach. Columns narrow with latitude, so
-    # more of them are in reach (bounded: at most 29 either way up to 84 degrees).
-    reach = F.ceil(F.lit(2.9) / F.greatest(F.cos(F.radians("_lat")), F.lit(0.1))).cast("int")
-    announced = cells.select(
-        "_r", "_c", "_cell_min",
-        F.explode(F.sequence(F.lit(-3), F.lit(3))).alias("_dr"), reach.alias("_reach"),
-    ).withColumn("_dc", F.explode(F.sequence(-F.col("_reach"), F.col("_reach"))))
-    heard = announced.select(
-        (F.col("_r") + F.col("_dr")).alias("_r"), (F.col("_c") + F.col("_dc")).alias("_c"),
-        F.col("_r").alias("_from_r"), F.col("_c").alias("_from_c"), "_cell_min",
-        ((F.abs("_dr") <= 1) & (F.abs("_dc") <= 1)).alias("_near"),
-    )
-    block = heard.filter("_near").groupBy("_r", "_c").agg(F.min("_cell_min").alias("_block_min"))
-    blocks = cells.select("_r", "_c").join(block, ["_r", "_c"])
-
-    # Far cells that could still improve on the block.
-    better = (
-        heard.filter("NOT _near")
-        .join(blocks, ["_r", "_c"])
-        .filter("_cell_min < _block_min")
-        .select("_r", "_c", "_from_r", "_from_c", "_block_min")
-    )
+    axes = _on_sphere(F.col("latitude"), F.col("longitude"))
+    cube = [F.floor(a / side).alias(f"_{k}") for k, a in zip("xyz", axes, strict=True)]
+    points = points.where("latitude IS NOT NULL AND longitude IS NOT NULL").select("*", *cube)
+    keys = ["_x", "_y", "_z"]
+    cells = points.groupBy(*keys).agg(F.min("_first").alias("_least"))
+    steps = F.sequence(F.lit(-2), F.lit(2))
+    heard = cells
+    for k in keys:  # a cube announces its smallest id to the 125 cubes within reach
+        heard = heard.withColumnRenamed(k, f"_from{k}").withColumn(f"_d{k}", F.explode(steps))
+        heard = heard.withColumn(k, F.col(f"_from{k}") + F.col(f"_d{k}"))
+    # Far cells that could still improve on the cell's own smallest id.
+    own = cells.withColumnRenamed("_least", "_own")
+    better = heard.join(own, keys).filter("_least < _own").select(*keys, *[f"_from{k}" for k in keys], "_own")
     others = points.select(
-        F.col("_r").alias("_from_r"), F.col("_c").alias("_from_c"),
+        *[F.col(k).alias(f"_from{k}") for k in keys],
         F.col("latitude").alias("_lat2"), F.col("longitude").alias("_lon2"), F.col("_first").alias("_other"),
     )
-    rivals = better.join(others, ["_from_r", "_from_c"]).filter("_other < _block_min")
+    rivals = better.join(others, [f"_from{k}" for k in keys]).filter("_other < _own")
     metres = haversine_km("latitude", "longitude", "_lat2", "_lon2") * 1000
     across = (
-        points.join(rivals.select("_r", "_c", "_lat2", "_lon2", "_other"), ["_r", "_c"])
+        points.join(rivals.select(*keys, "_lat2", "_lon2", "_other"), keys)
         .filter(metres < limit)
         .groupBy("latitude", "longitude")
         .agg(F.min("_other").alias("_across"))
     )
     best = (
-        points.join(blocks, ["_r", "_c"])
+        points.join(own, keys)
         .join(across, ["latitude", "longitude"], "left")
-        .select("latitude", "longitude", F.least("_block_min", "_across").alias("_best"))
+        .select("latitude", "longitude", F.least("_own", "_across").alias("_best"))
     )
     partner = F.when(F.col("_best") < F.col(id_col), F.col("_best"))
-    return df.join(best, ["latitude", "longitude"], "left").select(
-        *df.columns, partner.alias("colocated_with")
-    )
+    return df.join(best, ["latitude", "longitude"], "left").select(*df.columns, partner.alias("colocated_with"))

@@ -11,7 +11,6 @@ from airlake.config import CONFIG, NW_ARC, Config
 from airlake.functions import aqi
 from airlake.functions.numeric import fixed_avg, half_up
 from airlake.functions.time import add, as_ts, ist_date
-from airlake.operators.quantiles import median_of_large_groups
 from airlake.operators.timegrid import with_gaps
 from airlake.operators.windows import is_flat, rolling_mean, trailing
 
@@ -71,38 +70,18 @@ def aqi_hourly(grid: DataFrame, stations: DataFrame, cfg: Config = CONFIG) -> Da
     )
 
 
-BUFFERED_STATIONS = 100_000
+def area_hourly(aqi_rows: DataFrame, area: str) -> DataFrame:
+    """Exact median over the area's stations per hour, with reporting counters.
 
-
-def has_large_areas(stations: DataFrame, area: str) -> bool:
-    """Whether any area holds more stations than one median buffer should (one number is read)."""
-    sizes = stations.groupBy(area).agg(F.count(F.lit(1)).alias("n"))
-    return (sizes.agg(F.max("n")).first()[0] or 0) > BUFFERED_STATIONS
-
-
-def area_hourly(aqi_rows: DataFrame, area: str, large_areas: bool = False) -> DataFrame:
-    """Median over the area's stations per hour, with reporting counters.
-
-    ``large_areas`` (see :func:`has_large_areas`) switches to the binned median for areas with more
-    stations than one aggregation buffer should hold; both forms are exact.
+    A group is one area in one hour: a value per station, counted by distinct value on the map side already.
     """
     rows = aqi_rows.filter("NOT is_colocated_duplicate")
-    keys = [area, HOUR]
-    counters = [
+    return rows.groupBy(area, HOUR).agg(
+        F.median("pm25").alias("pm25_median"),
+        F.median("pm25_24h").alias("pm25_24h_median"),
         F.count("pm25").alias("stations_reporting"),
         F.count("pm25_24h").alias("stations_with_24h_avg"),
         F.count(F.lit(1)).alias("stations_expected"),
-    ]
-    if not large_areas:
-        return rows.groupBy(*keys).agg(
-            F.median("pm25").alias("pm25_median"), F.median("pm25_24h").alias("pm25_24h_median"), *counters
-        )
-    out = rows.groupBy(*keys).agg(*counters)
-    for value, name in (("pm25", "pm25_median"), ("pm25_24h", "pm25_24h_median")):
-        out = out.join(median_of_large_groups(rows, keys, value, name), keys, "left")
-    return out.select(
-        *keys, "pm25_median", "pm25_24h_median",
-        "stations_reporting", "stations_with_24h_avg", "stations_expected",
     )
 
 

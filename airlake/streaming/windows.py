@@ -1,22 +1,31 @@
-"""Streaming twins of the hourly counts, sliding sums and dedupe."""
+"""Streaming twins of the hourly counts, sliding sums and dedupe.
+
+Without a ``lateness`` nothing is ever too late: the state keeps one small row per key and hour (or per key seen) in
+RocksDB. A lateness bounds the state and accepts that later rows are dropped; the caller has to ask for that.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.functions.numeric import fixed_sum
 from airlake.functions.time import add
 
-LATENESS = "48 hours"
 
 
-def hourly_counts(stream: DataFrame, by: Sequence[str], ts: str, value: str) -> DataFrame:
+def _bounded(stream: DataFrame, ts: str, lateness: str | None) -> DataFrame:
+    return stream.withWatermark(ts, lateness) if lateness else stream
+
+
+def hourly_counts(
+    stream: DataFrame, by: Sequence[str], ts: str, value: str, lateness: str | None = None
+) -> DataFrame:
     """Tumbling hour per key."""
     return (
-        stream.withWatermark(ts, LATENESS)
+        _bounded(stream, ts, lateness)
         .groupBy(F.window(ts, "1 hour"), *by)
         .agg(F.count(F.lit(1)).alias("n"), fixed_sum(value).alias("total"))
         .select(*by, F.col("window.start").alias("hour_utc"), "n", "total")
@@ -39,10 +48,8 @@ def sliding_sums(hours: DataFrame, by: Sequence[str], width: int) -> DataFrame:
     )
 
 
-def first_seen_only(stream: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """Drop repeats within the lateness (first wins): only for feeds that never correct a row."""
-    return stream.withWatermark(ts, LATENESS).dropDuplicatesWithinWatermark(list(keys))
-
-
-def on_half_hours(ts: Column | str) -> Column:
-    return F.window(ts, "1 hour", "1 hour", "30 minutes")["start"]
+def first_seen_only(stream: DataFrame, keys: Sequence[str], ts: str, lateness: str | None = None) -> DataFrame:
+    """Drop repeats (first wins): only for feeds that never correct a row."""
+    if lateness is None:
+        return stream.dropDuplicates(list(keys))
+    return _bounded(stream, ts, lateness).dropDuplicatesWithinWatermark(list(keys))

@@ -49,21 +49,36 @@ def test_promotion_is_complete_or_refused_and_loads_back(spark, tables):
 def test_too_little_new_data_keeps_production(tables):
     train, _, fitted = tables
     last = train.agg(F.max("target_hour_start_utc").cast("timestamp_ntz")).first()[0]
-    got = models.compare(train, fitted, last - timedelta(days=2), params=TINY)
-    assert not got.promote and "need 3" in got.reason
+    got = models.decide(train, fitted, last - timedelta(days=2), params=TINY)
+    assert not got["promote"] and got["mae"] == {} and "shorter than 3" in got["why"]
 
 
 def test_comparison_scores_both_on_the_holdout(tables):
     train, _, fitted = tables
-    got = models.compare(train, fitted, datetime(2024, 1, 1), params=TINY)
-    assert got.reason is None and sorted(got.challenger_mae) == sorted(got.production_mae) == [24, 48, 72]
+    got = models.decide(train, fitted, datetime(2024, 1, 1), params=TINY)
+    assert {(r["horizon_h"], r["role"]) for r in got["horizons"]} == {
+        (h, role) for h in (24, 48, 72) for role in ("challenger", "production")
+    }
+    assert got["promote"] == (got["mae"]["challenger"] < got["mae"]["production"])
 
 
-def test_many_categories_are_hashed(tables):
+def test_each_model_decodes_with_its_own_transform(tables):
+    _, live, fitted = tables
+    manifest = {"horizons": {str(h): {"target_transform": "absolute" if h == 24 else "log_ratio"} for h in fitted}}
+    mixed = models.predict_live(live, fitted, "v", models.transforms(manifest))
+    plain = models.predict_live(live, fitted, "v")
+    same = mixed.join(plain.withColumnRenamed("pm25_pred", "other"), ["location_id", "horizon_h"]).filter("pm25_pred = other")
+    assert {r.horizon_h for r in same.select("horizon_h").distinct().collect()} >= {48, 72}
+    assert mixed.filter("horizon_h = 24").exceptAll(plain.filter("horizon_h = 24")).count() > 0
+
+
+def test_more_categories_than_bins_and_unseen_ones(tables):
     train, _, _ = tables
-    wide = models.prepared(train, "log_ratio").withColumn("location_id", F.expr("cast(rand(1) * 1000 as int)").cast("string"))
-    assert models.hashed_categories(wide, TINY) == ["location_id"]
-    assert models.pipeline(TINY, ["location_id"]).getStages()[0].__class__.__name__ == "SQLTransformer"
+    rows = train.filter(F.col("horizon_h") == 24)
+    wide = rows.withColumn("location_id", F.expr("pmod(xxhash64(issue_time_utc, location_id), 500)"))
+    model = models.fit(wide, params=TINY)
+    new = models.score(model, wide.withColumn("location_id", F.lit(-1).cast("long")))
+    assert new.filter("y_pred IS NULL").count() == 0 and new.count() == wide.count()
 
 
 def test_importance_is_sorted_and_bounded(tables):
@@ -92,7 +107,7 @@ def test_out_of_fold_rows_come_from_later_months(spark):
 def test_drift_needs_enough_served_hours(spark, tables):
     train, live, _ = tables
     out = models.drift_summary(live, train)
-    assert out["status"].startswith("insufficient data: 1 served hour(s)")
+    assert out["status"].startswith("too little data: 1 of ")
     served = train.filter(F.col("horizon_h") == 24)
     done = models.drift_summary(served.withColumn("pm25_lag0", F.col("pm25_lag0") + 500), train)
     assert done["status"] == "ok" and "pm25_lag0" in done["drifted_columns"]

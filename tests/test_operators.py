@@ -117,16 +117,21 @@ def haversine(a, b):
 
 
 def test_colocated_marks_only_the_higher_id(frame):
-    df = frame([(6356, 28.6, 77.2), (5404, 28.6, 77.2), (17, 28.9, 77.5)], "location_id long, latitude double, longitude double")
+    rows = [(9, -3.25, 11.5), (4, -3.25, 11.5), (6, -3.25, 11.5), (1, 40.0, -120.0), (2, None, 11.5), (3, -3.25, None)]
+    df = frame(rows, "location_id long, latitude double, longitude double")
     got = {r.location_id: r.colocated_with for r in spatial.colocated_with(df).collect()}
-    assert got == {6356: 5404, 5404: None, 17: None}
+    assert got == {9: 4, 4: None, 6: 4, 1: None, 2: None, 3: None}
 
 
-@pytest.mark.parametrize("lat0", [0.0, 28.6, 61.0, -45.0])
-def test_colocated_equals_brute_force(spark, lat0):
+@pytest.mark.parametrize(
+    "lat0, lon0", [(0.0, 77.0), (28.6, 77.0), (61.0, -20.0), (-45.0, 179.998), (88.0, 10.0), (-89.9985, 120.0), (0.0, -180.001)]
+)
+def test_colocated_equals_brute_force(spark, lat0, lon0):
     rng = random.Random(int(lat0 * 10) + 1)
-    spots = [(lat0 + rng.uniform(0, 0.004), 77 + rng.uniform(0, 0.006)) for _ in range(150)]
-    spots += [(lat0 + 0.001 + rng.uniform(0, 1e-5), 77.001) for _ in range(60)] + [spots[0]] * 20
+    wide = 0.006 / max(math.cos(math.radians(lat0)), 1e-3)
+    around = lambda x: (x + 180) % 360 - 180
+    spots = [(lat0 + rng.uniform(0, 0.004), around(lon0 + rng.uniform(0, wide))) for _ in range(150)]
+    spots += [(lat0 + 0.001 + rng.uniform(0, 1e-5), around(lon0 + 0.001)) for _ in range(60)] + [spots[0]] * 20
     ids = list(range(len(spots)))
     rng.shuffle(ids)
     rows = [(i, a, b) for i, (a, b) in zip(ids, spots, strict=True)]
@@ -161,12 +166,23 @@ def test_drift_direction_depends_on_the_method(spark):
     rng = np.random.default_rng(2)
     a = rng.normal(0, 1, 500)
     long = lambda v, side: spark.createDataFrame([("x", float(n), side) for n in v], "feature string, value double, side string")
-    same = drift.verdicts(long(a, "reference"), long(rng.normal(0, 1, 500), "current")).first()
-    moved = drift.verdicts(long(a, "reference"), long(rng.normal(1, 1, 500), "current")).first()
-    assert same.method == "K-S p_value" and not same.drifted and same.value > 0.05
+    verdict = lambda x, y, how: drift.verdicts(long(x, "reference"), long(y, "current"), how).first()
+    same = verdict(a, rng.normal(0, 1, 500), "ks")
+    moved = verdict(a, rng.normal(1, 1, 500), "ks")
+    assert same.method == "K-S p_value" and not same.drifted and same.value == same.ks_p_value > 0.05
     assert moved.drifted and moved.value < 0.05
-    big = drift.verdicts(long(np.tile(a, 3), "reference"), long(a + 1, "current")).first()
-    assert big.method.startswith("Wasserstein") and big.drifted
+    for times in (1, 3):  # the number of rows changes nothing
+        far = verdict(np.tile(a, times), a + 1, "wasserstein")
+        assert far.method.startswith("Wasserstein") and far.drifted and far.value == far.wasserstein_normed
+    with pytest.raises(ValueError, match="method"):
+        verdict(a, a, "psi")
+
+
+def test_spread_of_large_levels_does_not_cancel(spark):
+    rows = [("p", 1e9 + i % 7, side) for i in range(2000) for side in ("reference", "current")]
+    df = spark.createDataFrame(rows, "feature string, value double, side string")
+    d = drift.distances(df.filter("side = 'reference'"), df.filter("side = 'current'")).first()
+    assert d.reference_std == pytest.approx(np.std([i % 7 for i in range(2000)]), rel=1e-9)
 
 
 def test_high_water_marks(frame):
@@ -175,8 +191,8 @@ def test_high_water_marks(frame):
     df = frame([(hour(0),), (hour(10),)], "fetched_at timestamp")
     assert incremental.since_day(None, "fetched_at", 14) == "0000"
     assert incremental.since_day(df, "fetched_at", 1) == "2025-12-31"
-    assert incremental.since_hour(df, "fetched_at", datetime(2026, 1, 2)) == datetime(2026, 1, 1, 4, 30)
-    assert incremental.since_hour(df, "fetched_at", datetime(2026, 1, 2), cap_hours=2) == datetime(2026, 1, 1, 22)
+    assert incremental.since_hour(df, "fetched_at") == datetime(2026, 1, 1, 4, 30)
+    assert incremental.since_hour(None, "fetched_at") is None
 
 
 def test_todo_keeps_recent_chunks(frame):
