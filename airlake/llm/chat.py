@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, END, BREAK = "<|im_start|>", "<|im_end|>", "<|nl|>"
-TOKENS = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
+TOKENS = r"[\p{L}\p{N}]+|[^ \x09-\x0D\p{L}\p{N}]"
 MARK_TOKENS = 4  # start, role, line break, end
 
 

@@ -8,12 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import chat, html, line_dedup, mixing, packing, quality, simhash, token_store, warc, weighted_sampling
+from airlake.llm import chat, html, line_dedup, mixing, oracles, packing, quality, simhash, token_store, warc, weighted_sampling
 from airlake.llm.common import table
 from airlake.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_quality_rules": oracles.QUALITY, "op4_chat_formatting": oracles.CHAT}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
