@@ -7,24 +7,48 @@ space-separated pieces in order. Pieces repeat; each worker keeps the ids of tho
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable
+from struct import pack
 
 import numpy as np
 
-CACHED_PIECES = 400_000
+CACHED_PIECES = 500_000
 LONGEST_CACHED = 48  # bytes; longer pieces are encoded each time
+# Pieces of ASCII and Latin-1 letters, without apostrophes and angle brackets: splitting and lowering them is simple.
+PLAIN = re.compile(r"[!-&(-;=?-~À-ÖØ-öø-ÿ]+\Z")
+PARTS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-z0-9À-ÖØ-öø-ÿ]+")
+
+
+def byte_characters() -> dict[int, str]:
+    """The printable characters that stand for bytes in byte-level vocabularies: themselves, the rest from 256 on."""
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in kept)
+    return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class PieceEncoder:
-    """Ids as little-endian unsigned 32-bit bytes, so that texts are put together by joining."""
+    """Ids as little-endian unsigned 32-bit bytes, so that texts are put together by joining.
+
+    Plain pieces are cut into words by pattern and looked up word by word in the tokenizer's model; all others go
+    through the whole tokenizer. ``simple_words`` tells that the tokenizer lowers, splits and maps bytes that way (it is tested
+    on a sample of pieces when the encoder is made).
+    """
+
+    PROBE = ("The", "it.", "Éléve,", "x1.25", "naïve;", "ÜBER!!", "a-b_c", "(q)", "ñandú", "3,14%", "$$$", "í")
 
     def __init__(self, path: str, cached: int = CACHED_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.cached = cached
         self.table: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.characters = byte_characters()
+        whole = b"".join(self._ids([p.encode() for p in self.PROBE]))
+        self.simple_words = whole == b"".join(self._plain(p) for p in self.PROBE)
 
     def _ids(self, pieces: list[bytes]) -> Iterable[bytes]:
         for at in range(0, len(pieces), 4096):
@@ -32,6 +56,34 @@ class PieceEncoder:
             for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
                 yield np.array(e.ids, "<u4").tobytes()
 
+    def _plain(self, piece: str) -> bytes:
+        out = []
+        for word in PARTS.findall(piece.lower()):
+            ids = self.words.get(word)
+            if ids is None:
+                mapped = word if word.isascii() else "".join(map(self.characters.__getitem__, word.encode()))
+                found = [t.id for t in self.model.tokenize(mapped)]
+                ids = pack(f"<{len(found)}I", *found)
+                if len(self.words) >= self.cached:
+                    self.words.clear()
+                self.words[word] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Add the ids of pieces that the table lacks."""
+        hard = new
+        if self.simple_words:
+            hard, table, plain = [], self.table, self._plain
+            for piece in new:
+                text = piece.decode()
+                if PLAIN.match(text) and len(piece) <= LONGEST_CACHED:
+                    table[piece] = plain(text)
+                else:
+                    hard.append(piece)
+        hard = list(hard)
+        self.table.update(zip(hard, self._ids(hard), strict=True))
+
     def encode(self, text: str | None) -> bytes:
         pieces = (text or "").encode().split()
         table = self.table
@@ -39,14 +91,15 @@ class PieceEncoder:
             return b"".join(map(table.__getitem__, pieces))
         except KeyError:
             pass
-        new = list({p for p in pieces if p not in table})
-        known = table
-        if len(table) + len(new) > self.cached:
-            self.table = table = {}
-            known, new = {}, list(set(pieces))
-        local = dict(zip(new, self._ids(new), strict=True))
-        table.update((p, ids) for p, ids in local.items() if len(p) <= LONGEST_CACHED and len(table) < self.cached)
-        return b"".join([local[p] if p in local else known[p] for p in pieces])
+        new = set(pieces).difference(table)
+        self._learn(new)
+        out = b"".join(map(table.__getitem__, pieces))
+        for piece in new:
+            if len(piece) > LONGEST_CACHED:
+                del table[piece]
+        if len(table) > self.cached:
+            table.clear()
+        return out
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
