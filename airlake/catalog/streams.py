@@ -93,7 +93,7 @@ def _(i: Inputs):
 @query("stream_alert_throttle", _MUTED)
 def _(i: Inputs):
     table, checkpoint = _paths(i, "throttle")
-    runs.run_append(alerts.mute_repeats_stream(_stream(i), "event_type", "ts", CFG), table, checkpoint)
+    alerts.run_muting(_stream(i), "event_type", "ts", table, checkpoint, CFG)
     return read_table(i.spark, table).select("alert_key", "sent_at")
 
 
@@ -109,5 +109,5 @@ def _(i: Inputs):
         F.col("user_id").cast("string").alias("source"), "ts",
         F.element_at(names, (F.col("k") % 3 + 1).cast("int")).alias("status"),
     )
-    runs.run_append(alerts.announce_stream(rows, "source", "ts", "status"), table, checkpoint)
+    alerts.run_announcing(rows, "source", "ts", "status", table, checkpoint)
     return read_table(i.spark, table).select("alert_key", "at", "previous", "status")

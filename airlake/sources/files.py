@@ -28,16 +28,18 @@ def delete_tree(spark: SparkSession, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file, then rename it into place so readers never see half of it."""
+    """Write a small file, then rename it over the old one, so readers see either whole file."""
     fs, p, jvm = _fs(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if not fs.rename(tmp, p):
-        fs.delete(p, False)
-        if not fs.rename(tmp, p):
-            raise OSError(f"could not publish {path}")
+    # replaces an older file in one step where the store can, so there is never no file
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(tmp, p, how)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

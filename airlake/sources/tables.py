@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from airlake.functions.time import month_key
 from airlake.operators.dedupe import latest_wins
 from airlake.session import shared_path
-from airlake.sources.files import children
+from airlake.sources.files import children, delete_tree, exists, read_text, write_text
 
 MONTH = "month"
 
@@ -34,9 +36,17 @@ def write_months(df: DataFrame, path: str, mode: str = "overwrite", dynamic: boo
     writer.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    reader = spark.read.option("mergeSchema", "true")
-    return (reader.schema(schema) if schema is not None else reader).parquet(path)
+def _schema_file(path: str) -> str:
+    return f"{path.rstrip('/')}.schema.json"  # beside the data
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A month table by its stored schema; only tables written by other means have all footers merged."""
+    if schema is None and exists(spark, _schema_file(path)):
+        schema = StructType.fromJson(json.loads(read_text(spark, _schema_file(path))))
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def rebuild(df: DataFrame, base: str, version: str) -> str:
@@ -74,7 +84,10 @@ def upsert(
     final = latest_wins(merged, keys, *order)
     staging = shared_path(spark, "staging")
     write_months(final, staging)
-    write_months(spark.read.parquet(staging), path, dynamic=True)
+    write_months(spark.read.schema(final.schema).parquet(staging), path, dynamic=True)
+    write_text(spark, _schema_file(path), final.schema.json())
+    for done in (arrived, staging):
+        delete_tree(spark, done)
 
 
 def compact(spark: SparkSession, path: str, months: Sequence[str], target_mb: int = 256) -> None:
@@ -86,6 +99,7 @@ def compact(spark: SparkSession, path: str, months: Sequence[str], target_mb: in
     try:
         current = read_table(spark, path).filter(F.col(MONTH).isin(*months))
         write_months(current, staging)
-        write_months(spark.read.parquet(staging), path, dynamic=True)
+        write_months(spark.read.schema(current.schema).parquet(staging), path, dynamic=True)
+        delete_tree(spark, staging)
     finally:
         spark.conf.set(key, before)

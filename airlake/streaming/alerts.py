@@ -1,140 +1,178 @@
-"""Alert decisions with memory: repeat muting and status announcements.
+"""Alert decisions with memory: repeat muting and status announcements, as joins and windows.
 
-The streaming forms keep one small value per key in the state store and read a key's rows as a stream
-of Arrow batches. The batch form first cuts each key's timeline at every pause of at least the mute time
-(what follows a pause never depends on what came before), so one busy key is many independent runs.
+Muting: within a bucket as long as the mute time a key sends at most once, so a chain of sent alerts is a path that visits each bucket
+at most once. From every instant one window over a bucket finds the next instant that would be sent. Paths are then
+composed over blocks of 2, 4, 8 ... buckets (fewer and fewer instants can be the first sent of a block) and read back
+from the largest block down. A key's alerts are spread over its buckets at every step; no task walks a key.
+
+Announcements: the status known before a row is the last delivered one, found inside each hour of a key and, across hours, from one row an hour.
+
+The streaming forms run the same on every micro-batch, with one small stored row per key as memory.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from airlake.config import CONFIG, Config
-
-MICROS = 1_000_000
-
-
-class RepeatMuter(StatefulProcessor):
-    """At most one alert per key within the mute time."""
-
-    def __init__(self, mute_hours: int):
-        self._mute = mute_hours * 3600 * MICROS
-
-    def init(self, handle):
-        self._sent = handle.getValueState("sent", StructType([StructField("at", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        times: list[int] = []
-        for batch in rows:
-            times.extend(batch["at"].tolist())
-        last = self._sent.get()[0] if self._sent.exists() else None
-        out = []
-        for t in sorted(times):
-            if last is None or t - last >= self._mute:
-                out.append(t)
-                last = t
-        if out:
-            self._sent.update((last,))
-        yield pd.DataFrame({"alert_key": [key[0]] * len(out), "at": pd.Series(out, dtype="int64")})
-
-    def close(self):
-        pass
-
-
-class StatusAnnouncer(StatefulProcessor):
-    """Speak when the status differs from the last announced one; an ok first check is silent."""
-
-    def init(self, handle):
-        self._status = handle.getValueState("status", StructType([StructField("s", StringType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frames = [batch[["at", "status"]] for batch in rows]
-        ordered = pd.concat(frames).sort_values(["at", "status"], kind="stable")
-        known = self._status.get()[0] if self._status.exists() else None
-        out = []
-        for at, status in zip(ordered["at"], ordered["status"], strict=True):
-            if status == known or (known is None and status == "ok"):
-                known = status
-                continue
-            out.append((key[0], at, known, status))
-            known = status
-        if known is not None:
-            self._status.update((known,))
-        yield pd.DataFrame(out, columns=["alert_key", "at", "previous", "status"])
-
-    def close(self):
-        pass
-
-
-def mute_repeats_stream(stream: DataFrame, key: str, ts: str, cfg: Config = CONFIG) -> DataFrame:
-    rows = stream.select(F.col(key).alias("alert_key"), F.unix_micros(ts).alias("at"))
-    sent = rows.groupBy("alert_key").transformWithStateInPandas(
-        statefulProcessor=RepeatMuter(cfg.repeat_alert_hours),
-        outputStructType="alert_key string, at long",
-        outputMode="Append",
-        timeMode="None",
+from airlake.session import shared_path
+from airlake.sources.files import exists
+from airlake.streaming.runs import run_available
+
+HOUR_MICROS = 3_600_000_000
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _next_sent(instants: DataFrame, mute: int) -> DataFrame:
+    """alert_key, at, next: the first instant at least ``mute`` after each (null: none)."""
+    bucket = lambda c: F.floor(F.col(c) / mute)
+    asked = instants.select("alert_key", (F.col("at") + mute).alias("t"), F.col("at").alias("asker"))
+    both = asked.unionByName(instants.select("alert_key", F.col("at").alias("t"), F.lit(None).cast("long").alias("asker")))
+    both = both.withColumn("bucket", bucket("t"))
+    # at one moment the asker comes first, so an instant exactly ``mute`` later counts
+    ahead = Window.partitionBy("alert_key", "bucket").orderBy("t", F.col("asker").isNull())
+    is_instant = F.when(F.col("asker").isNull(), F.col("t"))
+    found = both.withColumn("next", F.min(is_instant).over(ahead.rowsBetween(0, Window.unboundedFollowing)))
+    # one row a bucket: where a bucket has nothing left, the next one that has something
+    buckets = both.groupBy("alert_key", "bucket").agg(F.min(is_instant).alias("first"))
+    later = Window.partitionBy("alert_key").orderBy("bucket").rowsBetween(1, Window.unboundedFollowing)
+    buckets = buckets.select("alert_key", "bucket", F.min("first").over(later).alias("later"))
+    return found.where("asker IS NOT NULL").join(buckets, ["alert_key", "bucket"]).select(
+        "alert_key", F.col("asker").alias("at"), F.coalesce("next", "later").alias("next")
     )
-    return sent.select("alert_key", F.timestamp_micros("at").alias("sent_at"))
 
 
-def announce_stream(stream: DataFrame, key: str, ts: str, status: str) -> DataFrame:
-    rows = stream.select(
-        F.col(key).alias("alert_key"), F.unix_micros(ts).alias("at"), F.col(status).alias("status")
-    )
-    said = rows.groupBy("alert_key").transformWithStateInPandas(
-        statefulProcessor=StatusAnnouncer(),
-        outputStructType="alert_key string, at long, previous string, status string",
-        outputMode="Append",
-        timeMode="None",
+def _sent(instants: DataFrame, starts: DataFrame, mute: int) -> DataFrame:
+    """alert_key, at of every alert sent, from the starts on. ``instants`` hold the starts and have no repeats."""
+    step = _stored(_next_sent(instants, mute), "next-alert")
+    low, high = step.agg(F.min("at"), F.max("at")).first()
+    if low is None:
+        return starts.limit(0)
+    block = lambda c, k: F.floor((F.col(c) - low) / (mute * 2**k))
+    levels, k = [step], 0
+    while (high - low) // (mute * 2**k) > 0:
+        # the instants that can be the first sent of a block of 2^(k+1) buckets
+        entries = step.where(block("at", k + 1) != block("next", k + 1)).select("alert_key", F.col("next").alias("at"))
+        entries = entries.unionByName(starts).distinct()
+        ahead = step.select("alert_key", F.col("at").alias("next"), F.col("next").alias("over"))
+        inside = block("at", k + 1) == block("next", k + 1)
+        step = step.join(entries, ["alert_key", "at"]).join(ahead, ["alert_key", "next"], "left")
+        step = step.select("alert_key", "at", F.when(inside, F.col("over")).otherwise(F.col("next")).alias("next"))
+        if k % 2:  # every other level is stored: each is read twice by the next
+            step = _stored(step, f"next-alert-{k}")
+        k += 1
+        levels.append(step)
+    sent = starts
+    for n in range(len(levels) - 1, -1, -1):
+        onward = sent.join(levels[n], ["alert_key", "at"]).where(block("at", n + 1) == block("next", n + 1))
+        sent = sent.unionByName(onward.select("alert_key", F.col("next").alias("at")))
+        if n % 6 == 0:
+            sent = _stored(sent, f"sent-{n}")  # keeps the plan small
+    return sent
+
+
+def mute_repeats(
+    df: DataFrame, key: str, ts: str, cfg: Config = CONFIG, delivered: Column | None = None,
+    last: DataFrame | None = None,
+) -> DataFrame:
+    """The alerts that went out: at most one per key within the mute time, which starts with a delivered alert only.
+
+    ``delivered`` tells for each row whether a message sent then would have arrived (default: always). ``last``
+    (alert_key, at in microseconds) is what went out before; earlier instants are settled.
+    """
+    mute = cfg.repeat_alert_hours * 3600 * 1_000_000
+    rows = df if delivered is None else df.where(delivered)
+    instants = rows.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(key).alias("alert_key"), F.unix_micros(ts).alias("at")
     )
-    return said.select("alert_key", F.timestamp_micros("at").alias("at"), "previous", "status")
+    if last is not None:
+        known = last.select("alert_key", F.col("at").alias("before"))
+        instants = instants.join(known, "alert_key", "left").where("before IS NULL OR at >= before").select("alert_key", "at")
+        instants = instants.unionByName(last.select("alert_key", "at"))
+    instants = _stored(instants.distinct(), "alert-instants")
+    sent = _sent(instants, instants.groupBy("alert_key").agg(F.min("at").alias("at")), mute)
+    if last is not None:
+        sent = sent.join(last.select("alert_key", "at"), ["alert_key", "at"], "left_anti")
+    return sent.select("alert_key", F.timestamp_micros("at").alias("sent_at"))
 
 
-def mute_repeats(df: DataFrame, key: str, ts: str, cfg: Config = CONFIG) -> DataFrame:
-    """Batch form: the alerts that would have been sent.
+def announcements(
+    df: DataFrame, key: str, ts: str, status: str, delivered: Column | None = None, last: DataFrame | None = None
+) -> DataFrame:
+    """alert_key, at, previous, status of every row whose status differs from the known one.
 
-    Repeated instants collapse map-side. Pauses are found on buckets one mute time wide (two instants of
-    one bucket are always closer), so the window runs over a handful of buckets per key and day. Each
-    run between pauses is then walked in time order as a stream that carries a single number.
+    A first check that is ok is silent. What could not be delivered stays unknown, so the next check speaks again.
+    ``last`` (alert_key, status) is what was known before.
     """
-    mute = timedelta(hours=cfg.repeat_alert_hours) // timedelta(microseconds=1)
-    instants = (
-        df.select(F.col(key).alias("alert_key"), F.unix_micros(ts).alias("at"))
-        .distinct()
-        .withColumn("_bucket", F.floor(F.col("at") / mute))
-    )
-    by_key = Window.partitionBy("alert_key").orderBy("_bucket")
-    pause = F.col("_first") - F.lag("_last").over(by_key) >= mute
-    buckets = instants.groupBy("alert_key", "_bucket").agg(
-        F.min("at").alias("_first"), F.max("at").alias("_last")
-    )
-    starts = buckets.withColumn("_starts", F.coalesce(pause, F.lit(True)).cast("int"))
-    runs = starts.select("alert_key", "_bucket", F.sum("_starts").over(by_key).alias("_run"))
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, last = None, 0
-        for batch in batches:
-            keep = []
-            for name, run, at in zip(batch["alert_key"], batch["_run"], batch["at"], strict=True):
-                send = (name, run) != current or at - last >= mute
-                if send:
-                    current, last = (name, run), at
-                keep.append(send)
-            yield batch.loc[keep, ["alert_key", "at"]]
-
-    placed = (
-        instants.join(runs, ["alert_key", "_bucket"])
-        .select("alert_key", "_run", "at")
-        .repartition("alert_key", "_run")
-        .sortWithinPartitions("alert_key", "_run", "at")
+    rows = df.select(
+        F.col(key).alias("alert_key"), F.unix_micros(ts).alias("at"), F.col(status).alias("status"),
+        (F.lit(True) if delivered is None else delivered).alias("arrived"),
+    ).withColumn("hour", F.floor(F.col("at") / HOUR_MICROS))
+    known = F.when(F.col("arrived"), F.col("status"))
+    ok = (F.col("status") == "ok").cast("int")
+    inside = Window.partitionBy("alert_key", "hour").orderBy("at", "status").rowsBetween(Window.unboundedPreceding, -1)
+    order = F.struct("at", "status")
+    hours = rows.groupBy("alert_key", "hour").agg(
+        F.max_by(known, F.when(F.col("arrived"), order)).alias("said"), F.max(ok).alias("was_ok")
     )
-    return placed.mapInPandas(walk, "alert_key string, at long").select(
-        "alert_key", F.timestamp_micros("at").alias("sent_at")
+    if last is not None:
+        hours = hours.unionByName(
+            last.select("alert_key", F.lit(-(2**62)).cast("long").alias("hour"), F.col("status").alias("said"), F.lit(0).alias("was_ok"))
+        )
+    before = Window.partitionBy("alert_key").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.select(
+        "alert_key", "hour", F.last("said", True).over(before).alias("said_before"), F.max("was_ok").over(before).alias("ok_before")
     )
+    judged = rows.withColumns(
+        {"said": F.last(known, True).over(inside), "was_ok": F.max(ok).over(inside)}
+    ).join(hours, ["alert_key", "hour"])
+    any_ok = F.greatest(F.coalesce("was_ok", F.lit(0)), F.coalesce("ok_before", F.lit(0))) == 1
+    previous = F.coalesce("said", "said_before", F.when(any_ok, F.lit("ok")))
+    judged = judged.withColumn("previous", previous)
+    speaks = F.when(F.col("previous").isNull(), F.col("status") != "ok").otherwise(F.col("previous") != F.col("status"))
+    return judged.where(speaks).select("alert_key", F.timestamp_micros("at").alias("at"), "previous", "status")
+
+
+def _memory(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame | None:
+    """What the newest batch before this one has stored."""
+    at = f"{path}/after={batch_id - 1}"
+    return spark.read.schema(schema).parquet(at) if batch_id > 0 and exists(spark, at) else None
+
+
+def run_muting(stream: DataFrame, key: str, ts: str, table: str, checkpoint: str, cfg: Config = CONFIG) -> None:
+    """Append what is sent, batch by batch; a replayed batch replaces its own results and memory."""
+    spark, memory = stream.sparkSession, f"{checkpoint}-sent"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        last = _memory(spark, memory, batch_id, "alert_key string, at long")
+        text = batch.withColumn(key, F.col(key).cast("string"))
+        sent = _stored(mute_repeats(text, key, ts, cfg, last=last), "sent-now")
+        sent.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        now = sent.select("alert_key", F.unix_micros("sent_at").alias("at"))
+        now = now if last is None else now.unionByName(last)
+        now.groupBy("alert_key").agg(F.max("at").alias("at")).write.mode("overwrite").parquet(f"{memory}/after={batch_id}")
+
+    run_available(stream, checkpoint, each, mode="append")
+
+
+def run_announcing(stream: DataFrame, key: str, ts: str, status: str, table: str, checkpoint: str) -> None:
+    """Append what is announced, batch by batch, with the last status of each key as memory."""
+    spark, memory = stream.sparkSession, f"{checkpoint}-known"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        last = _memory(spark, memory, batch_id, "alert_key string, status string")
+        text = batch.withColumn(key, F.col(key).cast("string"))
+        announcements(text, key, ts, status, last=last).write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        now = text.groupBy(F.col(key).alias("alert_key")).agg(F.max_by(F.col(status), F.struct(ts, status)).alias("status"))
+        if last is not None:
+            now = now.unionByName(last.join(now, "alert_key", "left_anti"))
+        now.write.mode("overwrite").parquet(f"{memory}/after={batch_id}")
+
+    run_available(stream, checkpoint, each, mode="append")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -180,14 +181,16 @@ def test_target_is_the_value_of_the_target_hour(spark, frame):
 
 
 def test_level_base_and_round_trip(frame):
-    df = frame([(20.0, 25.0), (None, 40.0), (300.0, 0.2), (None, 0.2)], "pm25_mean_24h double, pm25_last_valid double")
-    assert [r[0] for r in df.select(features.level_base()).collect()] == [20.0, 40.0, 300.0, 1.0]
-    y, base = F.lit(55.0), F.lit(20.0)
+    rows = [(0.0, 8.0), (None, 1.0), (37.5, None), (None, -2.0), (1e-9, 4.0)]
+    df = frame(rows, "pm25_mean_24h double, pm25_last_valid double")
+    assert [r[0] for r in df.select(features.level_base()).collect()] == [1.0, 1.0, 37.5, 1.0, 1.0]
+    grid = frame([(y, b) for y in (0.0, 0.4, 7.25, 812.0) for b in (1.0, 3.5, 640.0)], "y double, b double")
     for mode in ("absolute", "log_ratio"):
-        back = features.decode_target(features.encode_target(y, base, mode), base, mode)
-        assert df.limit(1).select(back).first()[0] == pytest.approx(55.0)
-    with pytest.raises(ValueError, match="unknown"):
-        features.encode_target(y, base, "cubed")
+        code = features.encode_target(F.col("y"), F.col("b"), mode)
+        back = features.decode_target(code, F.col("b"), mode)
+        assert grid.filter(F.abs(back - F.col("y")) > 1e-9 * (1 + F.col("y"))).count() == 0
+    with pytest.raises(ValueError):
+        features.decode_target(F.lit(1.0), F.lit(1.0), "ratio")
 
 
 def test_models_see_no_target_audit_or_timing_columns(frame):
@@ -200,32 +203,45 @@ def test_models_see_no_target_audit_or_timing_columns(frame):
 # --- evaluation -----------------------------------------------------------------------------------
 
 
-def test_metrics_and_skill(frame):
-    df = frame([(10.0, 20.0), (100.0, 100.0)], "y_true double, y_pred double")
-    m = ev.metrics(df, []).first()
-    assert (m.mae, m.bias, m.category_accuracy, m.n) == (5.0, 5.0, 1.0, 2)
-    assert m.rmse == pytest.approx(50**0.5)
-    assert df.limit(1).select(ev.skill(F.lit(8.0), F.lit(10.0))).first()[0] == pytest.approx(0.2)
+def test_errors_against_numpy_by_group(frame):
+    rng = random.Random(11)
+    rows = [(g, rng.uniform(0, 400), rng.uniform(0, 400)) for g in "abc" for _ in range(ord(g) - 90)] + [("d", 60.4, 59.6)]
+    got = {r.g: r for r in ev.metrics(frame(rows, "g string, y_true double, y_pred double"), ["g"]).collect()}
+    for g in "abcd":
+        off = [p - y for k, y, p in rows if k == g]
+        assert got[g].n == len(off)
+        assert got[g].mae == pytest.approx(sum(map(abs, off)) / len(off), abs=1e-9)
+        assert got[g].bias == pytest.approx(sum(off) / len(off), abs=1e-9)
+        assert got[g].rmse == pytest.approx((sum(x * x for x in off) / len(off)) ** 0.5)
+    assert got["d"].category_accuracy == 1.0  # both round to 60
+    assert ev.metrics(frame(rows, "g string, y_true double, y_pred double").limit(0), ["g"]).count() == 0
 
 
-def test_baselines_fall_back_to_persistence(frame):
-    df = frame([(100.0, 90.0, None), (50.0, None, 70.0)],
-               "pm25_last_valid double, pm25_same_hour_7d double, cams_pm25_lagged double")
-    got = df.select(*[ev.baseline(b).alias(b) for b in ev.BASELINES]).collect()
-    assert [r.seasonal_naive for r in got] == [90.0, 50.0]
-    assert [r.cams_lagged for r in got] == [100.0, 70.0]
+def test_skill_is_the_share_of_error_removed(frame):
+    df = frame([(3.0, 12.0), (12.0, 12.0), (15.0, 12.0)], "mae double, reference double")
+    got = [r[0] for r in df.select(ev.skill(F.col("mae"), F.col("reference"))).collect()]
+    assert got == pytest.approx([0.75, 0.0, -0.25])
 
 
-def nine_months(frame):
-    start = datetime(2025, 2, 1, 1, 30)
-    times = [start + timedelta(hours=3 * n) for n in range(9 * 30 * 8)]
-    return frame([(t, t + timedelta(hours=71)) for t in times], "issue_time_utc timestamp, target_hour_start_utc timestamp")
+def test_a_baseline_without_a_value_uses_the_last_reading(frame):
+    rows = [(n, a, b) for n in (3.5, 0.0) for a in (None, 17.0) for b in (None, 0.25)]
+    df = frame(rows, "pm25_last_valid double, pm25_same_hour_7d double, cams_pm25_lagged double")
+    for r, (n, a, b) in zip(df.select(*[ev.baseline(x).alias(x) for x in ev.BASELINES]).collect(), rows, strict=True):
+        assert (r.persistence, r.seasonal_naive, r.cams_lagged) == (n, n if a is None else a, n if b is None else b)
 
 
-def test_folds_are_monthly_and_purged(frame):
-    df = nine_months(frame)
+def issue_hours(frame, without=()):
+    """Every five hours from mid-March to mid-December, three days ahead; whole months can be missing."""
+    times = [datetime(2024, 3, 17, 0, 30) + timedelta(hours=5 * n) for n in range(272 * 24 // 5)]
+    rows = [(t, t + timedelta(hours=72)) for t in times if t.month not in without]
+    return frame(rows, "issue_time_utc timestamp, target_hour_start_utc timestamp")
+
+
+def test_folds_are_calendar_months_after_purged_training(frame):
+    df = issue_hours(frame)
     folds = ev.monthly_folds(df).orderBy("fold").collect()
-    assert [f.fold for f in folds] == ["2025-08", "2025-09", "2025-10"]
+    assert [f.fold for f in folds] == sorted({f.fold for f in folds}) and folds[-1].fold == "2024-12"
+    assert "2024-10" not in [f.fold for f in ev.monthly_folds(issue_hours(frame, without=(10,))).collect()]
     for f in folds:
         train = ev.fold_train(df, f.test_start)
         newest = train.agg(F.max("target_hour_start_utc")).first()[0]
@@ -235,11 +251,11 @@ def test_folds_are_monthly_and_purged(frame):
 
 
 def test_holdout_is_never_before_the_production_cutoff(frame):
-    df = nine_months(frame)
+    df = issue_hours(frame)
     parts = {r.part: r for r in ev.holdout_split(df).groupBy("part").agg(
         F.min("issue_time_utc").alias("lo"), F.max("target_hour_start_utc").alias("hi")).collect()}
     assert parts["train"].hi + timedelta(hours=1) <= parts["holdout"].lo
-    late = datetime(2025, 10, 25)
+    late = datetime(2024, 12, 9)
     lo = ev.holdout_split(df, not_before=late).filter("part = 'holdout'").agg(F.min("issue_time_utc")).first()[0]
     assert lo >= late
 
@@ -247,21 +263,18 @@ def test_holdout_is_never_before_the_production_cutoff(frame):
 # --- logs -----------------------------------------------------------------------------------------
 
 
-def test_log_pricing(spark):
-    line = 'o b [06/Oct/2026:10:00:00 +0000] 1.2.3.4 w r {} {} "{}" 200 - 1 1 1 1 "-" "a" -'
-    rows = [
-        line.format("REST.GET.BUCKET", "-", "GET /?list-type=2&prefix=bronze%2Ffires%2Fdt=1%2F HTTP/1.1"),
-        line.format("REST.PUT.OBJECT", "bronze/fires/dt=1/x.csv", "PUT /x HTTP/1.1"),
-        line.format("REST.GET.OBJECT", "public/manifest.json", "GET /m HTTP/1.1"),
-        "garbage",
-    ]
-    entries = oplogs.parse(spark.createDataFrame([(r,) for r in rows], "value string"))
-    totals, ops, areas = oplogs.report(entries)
+def test_requests_are_priced_by_tier_and_counted_by_area(spark):
+    line = 'own store [17/Feb/2025:23:59:59 +0000] 10.0.0.9 who id {} {} "{}" 206 - 7 7 3 2 "-" "cli" -'
+    listed = line.format("REST.GET.BUCKET", "-", "GET /?prefix=silver%2Fair%2Fdt=7%2F&max-keys=9 HTTP/1.1")
+    put = line.format("REST.PUT.OBJECT", "silver/air/dt=7/part-1", "PUT /part-1 HTTP/1.1")
+    got = line.format("REST.GET.OBJECT", "site/index", "GET /site/index HTTP/1.1")
+    rows = [listed] * 3 + [put] * 2 + [got] * 5 + ["", "no log line"]
+    totals, ops, areas = oplogs.report(oplogs.parse(spark.createDataFrame([(r,) for r in rows], "value string")))
     t = totals.first()
-    assert (t.requests, t.tier1, t.tier2) == (3, 2, 1)
-    assert t.cost_usd == pytest.approx((2 * 0.005 + 0.0004) / 1000)
-    assert ops.count() == 3
-    assert [(r.area, r.n) for r in areas.collect()] == [("bronze/fires/dt=1", 2)]
+    assert (t.requests, t.tier1, t.tier2) == (10, 5, 5)
+    assert t.cost_usd == pytest.approx((5 * 0.005 + 5 * 0.0004) / 1000)
+    assert sorted(r[1] for r in ops.collect()) == [2, 3, 5]
+    assert [(r.area, r.n) for r in areas.collect()] == [("silver/air/dt=7", 5)]
 
 
 def test_nearest_serving_query_reads_the_overview(spark):

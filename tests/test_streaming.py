@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 from datetime import timedelta
 
-from conftest import hour
+from conftest import hour, plan_of
 from pyspark.sql import functions as F
 
 from airlake.functions.numeric import fixed_sum
@@ -97,7 +97,7 @@ def test_muting_remembers_across_batches_and_restarts(spark, frame):
     for part, times in enumerate(([0, 1, 5], [5.5, 6, 7], [11.9, 12, 30])):
         frame([("dag", hour(t)) for t in times], schema).coalesce(1).write.parquet(f"{path}/p{part}")
         stream = spark.readStream.schema(frame([("x", hour(0))], schema).schema).parquet(f"{path}/p*")
-        runs.run_append(alerts.mute_repeats_stream(stream, "k", "ts"), table, cp)
+        alerts.run_muting(stream, "k", "ts", table, cp)
         sent = sorted(r.sent_at for r in spark.read.parquet(table).collect())
     assert sent == [hour(0), hour(6), hour(12), hour(30)]
 
@@ -109,6 +109,39 @@ def test_announcements_remember_the_last_status(spark, frame):
         rows_ = [("feed", hour(10 * part + n), s) for n, s in enumerate(states)]
         frame(rows_, schema).coalesce(1).write.parquet(f"{path}/p{part}")
         stream = spark.readStream.schema(frame(rows_, schema).schema).parquet(f"{path}/p*")
-        runs.run_append(alerts.announce_stream(stream, "source", "ts", "status"), table, cp)
+        alerts.run_announcing(stream, "source", "ts", "status", table, cp)
     said = [(r.previous, r.status) for r in spark.read.parquet(table).orderBy("at").collect()]
     assert said == [("ok", "outage"), ("outage", "ok"), ("ok", "degraded")]
+
+
+def test_a_busy_key_without_pauses_is_spread_over_tasks(spark):
+    """An alert every 20 seconds for half a year in one key, nowhere a pause of six hours."""
+    n, step = 800_000, 20
+    df = spark.range(n, numPartitions=4).select(
+        F.lit("dag").alias("k"), F.timestamp_seconds(F.col("id") * step + F.col("id") % 7).alias("ts")
+    )
+    sent = [r.sent_at for r in alerts.mute_repeats(df, "k", "ts").orderBy("sent_at").collect()]
+    times = [i * step + i % 7 for i in range(n)]
+    want, at = [], None
+    for t in times:
+        if at is None or t - at >= 6 * 3600:
+            want.append(t)
+            at = t
+    assert [s.timestamp() for s in sent] == want
+    # the exchange deals rows out by key and bucket, of which none holds more than a few thousand
+    instants = df.select(F.col("k").alias("alert_key"), F.unix_micros("ts").alias("at"))
+    step = alerts._next_sent(instants, 6 * 3600 * 10**6)
+    assert step.groupBy(F.floor(F.col("at") / (6 * 3600 * 10**6))).count().agg(F.max("count")).first()[0] < n / 500
+    assert "hashpartitioning(alert_key" in plan_of(step) and "bucket" in plan_of(step).split("hashpartitioning(alert_key")[1][:40]
+
+
+def test_undelivered_messages_do_not_mute_and_are_tried_again(frame):
+    df = frame([("a", hour(n), n != 0) for n in (0, 1, 3, 7)], "k string, ts timestamp, arrived boolean")
+    got = alerts.mute_repeats(df, "k", "ts", delivered=F.col("arrived")).orderBy("sent_at").collect()
+    assert [r.sent_at for r in got] == [hour(1), hour(7)]
+    states = [("ok", True), ("outage", False), ("outage", True), ("outage", True), ("ok", False), ("outage", True), ("ok", True)]
+    df = frame([("f", hour(n), s, a) for n, (s, a) in enumerate(states)], "k string, ts timestamp, status string, arrived boolean")
+    said = alerts.announcements(df, "k", "ts", "status", F.col("arrived")).orderBy("at").collect()
+    assert [(r.at, r.previous, r.status) for r in said] == [
+        (hour(1), "ok", "outage"), (hour(2), "ok", "outage"), (hour(4), "outage", "ok"), (hour(6), "outage", "ok")
+    ]
