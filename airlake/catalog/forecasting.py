@@ -480,3 +480,20 @@ def _(i: Inputs):
     train, live = i.spark.read.parquet(table), i.features("live")
     fitted = {h: models.fit(train.filter(F.col("horizon_h") == h), params=QUICK) for h in CFG.horizons}
     return models.predict_live(live, fitted, "quick")
+
+
+@query("gbt_forecast_rows", _features_sql("live", """
+    SELECT location_id, zone_id, CAST(horizon_h AS BIGINT) AS horizon_h, issue_time_utc, target_hour_start_utc,
+           input_age_hours, is_stale_input, true AS is_valid FROM final"""))
+def _(i: Inputs):
+    """What the forecast must hold whatever the trees say: every station and horizon once, labelled, at or above zero, one decimal."""
+    table = rebuild(i.features("train"), shared_path(i.spark, "training"), "rows")
+    train, live = i.spark.read.parquet(table), i.features("live")
+    fitted = {h: models.fit(train.filter(F.col("horizon_h") == h), params=QUICK) for h in CFG.horizons}
+    got = models.predict_live(live, fitted, "rows")
+    pred = F.col("pm25_pred")
+    return got.select(
+        "location_id", "zone_id", "horizon_h", "issue_time_utc", "target_hour_start_utc", "input_age_hours",
+        "is_stale_input", F.coalesce((pred >= 0) & (pred == F.round(pred, 1)), F.lit(False)).alias("is_valid"),
+    )
+

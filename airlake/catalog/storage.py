@@ -123,6 +123,33 @@ def _(i: Inputs):
     return files.groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("n"))
 
 
+_LANDED = "SELECT strftime(ts, '%Y-%m-%d') AS dt, printf('%02d', hour(ts) // 6 * 6) AS hour FROM ev"
+
+
+def _per_hour(files):
+    return files.groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("clock_filter", using("ev", body=f"""
+    SELECT dt, hour, count(*) AS n FROM ({_LANDED}), (SELECT max(ts) - INTERVAL 48 HOUR AS m FROM ev)
+    WHERE dt || hour >= strftime(m, '%Y-%m-%d%H') GROUP BY ALL"""))
+def _(i: Inputs):
+    """Partitions of the last 48 hours by the clock, whatever was loaded before."""
+    now = i.events().agg(F.max(F.col("ts").cast("timestamp_ntz"))).first()[0]
+    recent = incremental.hours_before(now, 48)
+    return _per_hour(envelopes.read_envelopes(i.spark, _live_files(i), schemas.PM25_HOURLY, recent))
+
+
+@query("since_day_mark", using("ev", body=f"""
+    SELECT dt, hour, count(*) AS n FROM ({_LANDED}), (SELECT max(ts) - INTERVAL 3 DAY AS m FROM ev)
+    WHERE dt >= strftime(m, '%Y-%m-%d') GROUP BY ALL"""))
+def _(i: Inputs):
+    """Days from three before the newest loaded one on."""
+    loaded = i.events().select(F.col("ts").alias("fetched_at"))
+    days = F.col("dt") >= incremental.since_day(loaded, "fetched_at", 3)
+    return _per_hour(envelopes.read_envelopes(i.spark, _live_files(i), schemas.PM25_HOURLY, days))
+
+
 @query("staged_latest", using("ev", body="""
     SELECT location_id, user_id AS sensor_id, parameter, reading_utc, arg_max(value, (fetched_at, value)) AS value,
            min(fetched_at) AS first_fetched_at, max(fetched_at) AS last_fetched_at

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlake.functions.text import LOG_LINE, LOG_TIME, TIER1_USD, TIER2_USD, log_area, match, price_tier
+from airlake.functions.text import TIER1_USD, TIER2_USD, log_area, log_fields, price_tier
 
 TOP_OPS = 8
 TOP_AREAS = 10
@@ -13,18 +13,8 @@ TOP_AREAS = 10
 
 def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     """Log lines -> time, op, key, uri, tier, area; lines of another shape are dropped."""
-    rest = match(column, LOG_LINE, 4)
-    quoted = F.regexp_extract(rest, r'^"([^"]*)"', 1)
-    first = F.when(rest.startswith('"'), quoted).otherwise(F.regexp_extract(rest, r"^(\S+)", 1))
-    rows = lines.filter(F.col(column).rlike(LOG_LINE)).select(
-        F.to_timestamp(match(column, LOG_LINE, 1), LOG_TIME).alias("time"),
-        match(column, LOG_LINE, 2).alias("op"),
-        match(column, LOG_LINE, 3).alias("key"),
-        F.coalesce(first, F.lit("")).alias("uri"),
-    )
-    return rows.select(
-        "*", price_tier("op").alias("tier"), log_area("op", "key", "uri").alias("area")
-    )
+    rows = lines.select(log_fields(column).alias("e")).where("e IS NOT NULL").select("e.*")
+    return rows.select("*", price_tier("op").alias("tier"), log_area("op", "key", "uri").alias("area"))
 
 
 def totals(entries: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -35,6 +36,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),  # one machine: its own folder is the shared one
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
