@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlake.llm.common import packed_row, spaced, stored
+from airlake.llm.common import packed_row, possible, spaced, stored
 from airlake.llm.components import connected_components
 
 CROWD = 32
@@ -43,13 +43,13 @@ def _minima(norm: Column, how: Fuzzy) -> Column:
     # a line with few spaces has few word starts
     rare = F.regexp_count(norm, F.lit(" ")) * 24 < F.char_length(norm)
     shingles = F.when(rare, everywhere).otherwise(at_words)
-    hashes = F.sort_array(F.transform(shingles, lambda x: F.xxhash64(x)))
+    hashes = F.sort_array(F.transform(shingles, lambda x: F.hash(x)))
 
     # one fold over the sorted hashes: the first of each bin is its least
     def bin_of(h: Column) -> Column:
-        return F.floor((h * F.lit(2.0**-64) + 0.5) * how.bins)
+        return F.floor((h * F.lit(2.0**-32) + 0.5) * how.bins)
 
-    nothing = F.struct(F.lit(-1).cast("bigint").alias("bin"), F.array().cast("array<bigint>").alias("least"))
+    nothing = F.struct(F.lit(-1).cast("bigint").alias("bin"), F.array().cast("array<int>").alias("least"))
     return F.aggregate(
         hashes, nothing,
         lambda acc, h: F.when(
@@ -60,19 +60,13 @@ def _minima(norm: Column, how: Fuzzy) -> Column:
     )
 
 
-def signed_lines(docs: DataFrame, how: Fuzzy) -> DataFrame:
-    """doc_id, text_hash, pos, h1, h2, minima for every line long enough, stored."""
+def lines_of(docs: DataFrame, how: Fuzzy) -> DataFrame:
+    """doc_id, text_hash, pos, h1, h2 (a 128-bit hash) and norm of every line long enough."""
     text = F.coalesce("text", F.lit(""))
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(text, "\n")))
     lines = lines.select("doc_id", "text_hash", "pos", F.lower(spaced(F.col("col"))).alias("norm"))
     lines = lines.where(F.char_length("norm") >= how.min_chars)
-    return stored(
-        lines.select(
-            "doc_id", "text_hash", "pos", F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"),
-            _minima(F.col("norm"), how).alias("minima"),
-        ),
-        "lines",
-    )
+    return lines.withColumns({"h1": F.xxhash64("norm"), "h2": F.xxhash64("norm", F.lit(1))})
 
 
 def band_keys(minima: Column, width: int = 2) -> Column:
@@ -86,11 +80,8 @@ def band_keys(minima: Column, width: int = 2) -> Column:
 
 def candidates(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs (src < dst) of line ids that share a key, and the ids in crowds. ``keyed``: id, key."""
-    keyed = stored(keyed, "line-bands")
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("src"), F.max("id").alias("dst"))
-    buckets = stored(buckets.where("n > 1"), "line-buckets")
-    couples = buckets.where("n = 2").select("src", "dst")
-    members = keyed.join(buckets.where("n > 2").select("key", "n"), "key")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(keyed.join(shared, "key"), "line-members")
     few = members.where(F.col("n") <= CROWD)
     pairs = (
         few.select("key", F.col("id").alias("src"))
@@ -109,20 +100,14 @@ def candidates(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     names = [f"c{k}" for k in range(CENTRAL)] + [f"l{k}" for k in range(LEADERS)]
     stars = crowd.join(leaders, "key").select(F.explode(F.array(*names)).alias("a"), F.col("id").alias("b"))
     stars = stars.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).where("src <> dst")
-    return couples.unionByName(pairs).unionByName(stars).distinct(), ranks.select("id")
+    return pairs.unionByName(stars).distinct(), ranks.select("id")
 
 
-def line_texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """id, norm of the lines ``asked`` for (id, doc_id, text_hash, pos); only documents that hold one are moved."""
-    text = F.coalesce("text", F.lit(""))
-    whole = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), text.alias("text"))
-    of = asked.select("doc_id", "text_hash").distinct()
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
-    held = whole.join(of, same(whole, of), "left_semi").dropDuplicates(["doc_id", "text_hash"])
-    lines = held.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return lines.join(asked, same(lines, asked) & (lines["pos"] == asked["pos"])).select(
-        "id", F.lower(spaced(F.col("line"))).alias("norm")
-    )
+def line_texts(docs: DataFrame, asked: DataFrame, how: Fuzzy) -> DataFrame:
+    """id, norm of the lines ``asked`` for (id, h1, h2); only lines that may be among them are moved."""
+    lines = lines_of(docs, how).select("h1", "h2", "norm")
+    likely, _ = possible(lines, F.col("h1"), asked, F.col("h1"))
+    return likely.join(asked, ["h1", "h2"]).groupBy("id").agg(F.first("norm").alias("norm"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, how: Fuzzy) -> DataFrame:
@@ -153,7 +138,7 @@ def similar_pairs(docs: DataFrame, distinct: DataFrame, how: Fuzzy) -> DataFrame
         pairs = stored(pairs, f"line-pairs-{width}")
         if texts is None:
             ids = pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-            texts = stored(line_texts(docs, ids.join(distinct.select("id", "first.*"), "id")), "line-texts")
+            texts = stored(line_texts(docs, ids.join(distinct.select("id", "h1", "h2"), "id"), how), "line-texts")
         matched = stored(verified(pairs, texts, how), f"line-links-{width}")
         found.append(matched)
         settled = matched.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
@@ -169,10 +154,11 @@ def similar_pairs(docs: DataFrame, distinct: DataFrame, how: Fuzzy) -> DataFrame
 
 def repeated_lines(docs: DataFrame, how: Fuzzy = Fuzzy()) -> DataFrame:
     """doc_id, text_hash, dropped: the positions of the lines of each document that an earlier occurrence makes redundant."""
-    lines = signed_lines(docs, how)
+    lines = lines_of(docs, how)
     here = F.struct("doc_id", "text_hash", "pos")
-    distinct = lines.groupBy("h1", "h2").agg(
-        F.min(here).alias("first"), F.count("*").alias("n"), F.first("minima").alias("minima")
+    signed = lines.select(here.alias("here"), "h1", "h2", _minima(F.col("norm"), how).alias("minima"))
+    distinct = signed.groupBy("h1", "h2").agg(
+        F.min("here").alias("first"), F.count("*").alias("n"), F.first("minima").alias("minima")
     )
     distinct = stored(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
     parts = connected_components(similar_pairs(docs, distinct, how))
@@ -181,10 +167,10 @@ def repeated_lines(docs: DataFrame, how: Fuzzy = Fuzzy()) -> DataFrame:
     )
     leads = known.where("component is not null").groupBy("component").agg(F.min("first").alias("lead"))
     known = known.join(leads, "component", "left").where("n > 1 or lead is not null")
-    known = known.select("h1", "h2", F.coalesce("lead", "first").alias("keep"))
-    extra = lines.select("doc_id", "text_hash", "pos", "h1", "h2").join(known, ["h1", "h2"]).where(
-        ~here.eqNullSafe(F.col("keep"))
-    )
+    known = stored(known.select("h1", "h2", F.coalesce("lead", "first").alias("keep")), "line-keepers")
+    places = lines.select("doc_id", "text_hash", "pos", "h1", "h2")
+    likely, _ = possible(places, F.col("h1"), known, F.col("h1"))
+    extra = likely.join(known, ["h1", "h2"]).where(~here.eqNullSafe(F.col("keep")))
     # repeated rows (same doc_id and text) are one document here
     return extra.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("dropped"))
 
@@ -197,17 +183,20 @@ def dedup_lines(docs: DataFrame, how: Fuzzy = Fuzzy(), carry: list[str] | None =
     (null: empty). Rows equal in doc_id and text are one document, and each keeps the same lines. An empty table has an
     empty result; other columns ride along untouched.
     """
-    dropped = repeated_lines(docs.select("doc_id", "text"), how)
+    dropped = stored(repeated_lines(docs.select("doc_id", "text"), how), "dropped-lines")
     source = docs.select(
         *packed_row(docs.select(*(carry or docs.columns))),
         F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    joined = source.join(
+    # documents that keep all their lines stay where they are
+    changed, whole = possible(source, F.xxhash64("own_id", "own_hash"), dropped, F.xxhash64("doc_id", "text_hash"))
+    joined = changed.join(
         dropped,
         F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash")),
         "left",
-    )
+    ).select("row", "text", "dropped")
+    joined = joined.unionByName(whole.select("row", "text", F.lit(None).cast("array<int>").alias("dropped")))
     lines = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
     n = F.coalesce(F.size("dropped"), F.lit(0))
