@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from airlake.llm import components, line_dedup, simhash
+from airlake.llm import components, line_dedup, near_texts, simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -143,3 +143,50 @@ def test_lines_of_awkward_rows(awkward):
     assert by_id[2][0]["text"] == "" and by_id[3][0]["n_lines"] == 1
     assert by_id[1][0]["n_dropped"] == 0 and [r["n_dropped"] for r in by_id[6]] == [1, 1]
     assert line_dedup.dedup_lines(awkward.limit(0)).count() == 0
+
+
+def plain_near(docs):
+    """Components by comparing all pairs of five-word shingle sets."""
+    ids, sets = sorted(docs), []
+    for i in ids:
+        words = WORD.findall((docs[i] or "").lower())
+        sets.append({tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))})
+    close = []
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 10 * both >= 8 * (len(sets[a]) + len(sets[b]) - both):
+                close.append((a, b))
+    return {i: ids[g] for i, g in zip(ids, groups(len(ids), close), strict=True)}
+
+
+def test_near_texts_equal_brute_force(spark, texts):
+    """Edited copies at all similarities around 0.8, short and long ones, and a crowd, among the given documents."""
+    dice = random.Random(6)
+    word = lambda: f"w{dice.randrange(5000)}"
+    docs = dict(texts)
+    for size in (6, 12, 30, 60, 90, 150, 400, 1200):
+        for _ in range(6):
+            base = [word() for _ in range(size)]
+            for edits in (0, 1, size // 60, size // 50, size // 40):
+                copy = list(base)
+                for _ in range(edits):
+                    copy[dice.randrange(size)] = word()
+                docs[len(docs) + 10**6] = " ".join(copy)
+    base = [word() for _ in range(100)]
+    for _ in range(80):
+        docs[len(docs) + 10**6] = " ".join([*base, *(word() for _ in range(dice.randrange(1, 20)))])
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = near_texts.near_duplicates(frame).select("row.doc_id", "component_id", "is_first").collect()
+    want = plain_near(docs)
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert {r["doc_id"] for r in got if r["is_first"]} == set(want.values())
+
+
+def test_near_texts_of_awkward_rows(awkward):
+    rows = near_texts.near_duplicates(awkward).select("row.*", "component_id", "is_first").collect()
+    assert len(rows) == awkward.count()
+    assert {r["component_id"] for r in rows if not WORD.search(r["text"] or "")} == {2}
+    assert {r["component_id"] for r in rows if r["doc_id"] in (1, 6)} == {1}
+    assert near_texts.keep_one(awkward).columns == awkward.columns
+    assert near_texts.keep_one(awkward.limit(0)).count() == 0
