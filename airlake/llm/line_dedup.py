@@ -1,14 +1,10 @@
-"""Fuzzy line deduplication by MinHash over character shingles.
-
-1. Lines of at least ``min_chars`` characters (lower case, single spaces) get a signature: the hashes of character shingles
-   that begin at word starts (at every character where words are rare) fall into ``bins`` by their leading
-   bits, and each bin keeps its least hash. Equal lines are then merged by a 128-bit hash.
-2. Banding: each two neighbouring minima make a band key. With one band for each bin, a pair at similarity 0.8 is missed about once in
-   a thousand.
-3. Lines that share a band key are candidates. A key held by more than CROWD different lines pairs each of them with
-   the bucket's leaders instead of with all; lines that match no leader go through further rounds with longer keys.
-4. Candidates are verified: exact Jaccard similarity of their sets of all ``shingle``-character shingles, 0.8 or more.
-5. Verified pairs are joined into components; the first occurrence (smallest doc_id, then position) of a component is kept.
+"""Fuzzy line deduplication by exact Jaccard similarity of character shingles.
+
+1. Lines of at least ``min_chars`` characters (lower case, single spaces) are merged by a 128-bit hash when equal. Each
+   different line has the set of all its ``shingle``-character shingles, and the window keys of that set (``jaccard.py``).
+2. Lines that share a key are candidates; crowds are compared until each is one component or all its pairs are done.
+3. Candidates are verified: exact Jaccard similarity of their sets, 0.8 or more.
+4. Verified pairs are joined into components; the first occurrence (smallest doc_id, then position) of a component is kept.
 
 Everything is DataFrame functions.
 """
@@ -22,42 +18,19 @@ from pyspark.sql import functions as F
 
 from airlake.llm.common import packed_row, possible, spaced, stored
 from airlake.llm.components import connected_components
-
-CROWD = 32
-CENTRAL, LEADERS = 2, 4
+from airlake.llm.jaccard import similar_links, window_keys
 
 
 @dataclass(frozen=True)
 class Fuzzy:
     min_chars: int = 30
-    anchored: int = 8  # characters of a signature shingle
-    shingle: int = 5  # characters of a verified shingle
-    bins: int = 12
-    similarity: float = 0.8
-
-
-def _minima(norm: Column, how: Fuzzy) -> Column:
-    """The least hash of each non-empty bin, in order of bins."""
-    at_words = F.regexp_extract_all(norm, F.lit(rf"(?<![^ ])(?=(.{{1,{how.anchored}}}))"), F.lit(1))
-    everywhere = F.regexp_extract_all(norm, F.lit(rf"(?=(.{{{how.anchored}}}))"), F.lit(1))
-    # a line with few spaces has few word starts
-    rare = F.regexp_count(norm, F.lit(" ")) * 24 < F.char_length(norm)
-    shingles = F.when(rare, everywhere).otherwise(at_words)
-    hashes = F.sort_array(F.transform(shingles, lambda x: F.hash(x)))
-
-    # one fold over the sorted hashes: the first of each bin is its least
-    def bin_of(h: Column) -> Column:
-        return F.floor((h * F.lit(2.0**-32) + 0.5) * how.bins)
-
-    nothing = F.struct(F.lit(-1).cast("bigint").alias("bin"), F.array().cast("array<int>").alias("least"))
-    return F.aggregate(
-        hashes, nothing,
-        lambda acc, h: F.when(
-            bin_of(h) != acc["bin"],
-            F.struct(bin_of(h).alias("bin"), F.array_append(acc["least"], h).alias("least")),
-        ).otherwise(acc),
-        lambda acc: acc["least"],
-    )
+    shingle: int = 5
+
+
+def shingles_of(norm: Column, how: Fuzzy) -> Column:
+    """The different hashes of all shingles of a line."""
+    every = F.regexp_extract_all(norm, F.lit(rf"(?s)(?=(.{{{how.shingle}}}))"), F.lit(1))
+    return F.array_distinct(F.transform(every, lambda x: F.xxhash64(x)))
 
 
 def lines_of(docs: DataFrame, how: Fuzzy) -> DataFrame:
@@ -69,40 +42,6 @@ def lines_of(docs: DataFrame, how: Fuzzy) -> DataFrame:
     return lines.withColumns({"h1": F.xxhash64("norm"), "h2": F.xxhash64("norm", F.lit(1))})
 
 
-def band_keys(minima: Column, width: int = 2) -> Column:
-    """Runs of ``width`` minima in a ring, hashed."""
-    n = F.size(minima)
-    ring = F.when(n >= width, F.concat(minima, F.slice(minima, 1, width - 1))).otherwise(minima)
-    starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    runs = F.transform(starts, lambda i: F.xxhash64(F.slice(ring, i, width)))
-    return F.when(n > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
-
-
-def candidates(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (src < dst) of line ids that share a key, and the ids in crowds. ``keyed``: id, key."""
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(keyed.join(shared, "key"), "line-members")
-    few = members.where(F.col("n") <= CROWD)
-    pairs = (
-        few.select("key", F.col("id").alias("src"))
-        .join(few.select("key", F.col("id").alias("dst")), "key")
-        .where("src < dst")
-        .select("src", "dst")
-    )
-    crowd = members.where(F.col("n") > CROWD)
-    # central lines, from which the others were edited, are in most crowds: they lead, and a few random ones
-    ranks = crowd.groupBy("id").agg(F.count("*").alias("crowds"))
-    ranked = crowd.join(ranks, "id")
-    leaders = ranked.groupBy("key").agg(
-        *[F.max_by("id", F.col("crowds") * (1 << 32) + F.shiftrightunsigned(F.xxhash64("id", F.lit(k)), 32)).alias(f"c{k}") for k in range(CENTRAL)],
-        *[F.min_by("id", F.xxhash64("id", F.lit(k))).alias(f"l{k}") for k in range(LEADERS)],
-    )
-    names = [f"c{k}" for k in range(CENTRAL)] + [f"l{k}" for k in range(LEADERS)]
-    stars = crowd.join(leaders, "key").select(F.explode(F.array(*names)).alias("a"), F.col("id").alias("b"))
-    stars = stars.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).where("src <> dst")
-    return pairs.unionByName(stars).distinct(), ranks.select("id")
-
-
 def line_texts(docs: DataFrame, asked: DataFrame, how: Fuzzy) -> DataFrame:
     """id, norm of the lines ``asked`` for (id, h1, h2); only lines that may be among them are moved."""
     lines = lines_of(docs, how).select("h1", "h2", "norm")
@@ -110,58 +49,18 @@ def line_texts(docs: DataFrame, asked: DataFrame, how: Fuzzy) -> DataFrame:
     return likely.join(asked, ["h1", "h2"]).groupBy("id").agg(F.first("norm").alias("norm"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, how: Fuzzy) -> DataFrame:
-    """The pairs whose sets of shingles have an exact Jaccard similarity of at least ``how.similarity``."""
-
-    def shingles(norm: str) -> Column:
-        every = F.regexp_extract_all(norm, F.lit(rf"(?=(.{{{how.shingle}}}))"), F.lit(1))
-        return F.array_distinct(F.transform(every, lambda x: F.xxhash64(x)))
-
-    both = pairs.join(texts.select(F.col("id").alias("src"), F.col("norm").alias("a")), "src").join(
-        texts.select(F.col("id").alias("dst"), F.col("norm").alias("b")), "dst"
-    )
-    sets = both.select("src", "dst", shingles("a").alias("a"), shingles("b").alias("b"))
-    shared = F.size(F.array_intersect("a", "b"))
-    return sets.where(shared >= how.similarity * (F.size("a") + F.size("b") - shared)).select("src", "dst")
-
-
-def similar_pairs(docs: DataFrame, distinct: DataFrame, how: Fuzzy) -> DataFrame:
-    """Verified pairs that connect similar lines.
-
-    Lines of a crowd that match none of its leaders go on to the next round, among themselves and with runs of one
-    more minimum as keys: unrelated lines part, and like ones find leaders of their own.
-    """
-    waiting, found, texts = distinct.select("id", "minima"), [], None
-    for width in range(2, how.bins + 1):
-        keyed = waiting.select("id", F.explode(band_keys(F.col("minima"), width)).alias("key"))
-        pairs, crowd = candidates(keyed)
-        pairs = stored(pairs, f"line-pairs-{width}")
-        if texts is None:
-            ids = pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-            texts = stored(line_texts(docs, ids.join(distinct.select("id", "h1", "h2"), "id"), how), "line-texts")
-        matched = stored(verified(pairs, texts, how), f"line-links-{width}")
-        found.append(matched)
-        settled = matched.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-        rest = crowd.join(settled, "id", "left_anti")
-        waiting = stored(waiting.join(rest, "id", "left_semi"), f"line-rest-{width}")
-        if waiting.isEmpty():
-            break
-    links = found[0]
-    for more in found[1:]:
-        links = links.unionByName(more)
-    return links
-
-
 def repeated_lines(docs: DataFrame, how: Fuzzy = Fuzzy()) -> DataFrame:
     """doc_id, text_hash, dropped: the positions of the lines of each document that an earlier occurrence makes redundant."""
     lines = lines_of(docs, how)
     here = F.struct("doc_id", "text_hash", "pos")
-    signed = lines.select(here.alias("here"), "h1", "h2", _minima(F.col("norm"), how).alias("minima"))
-    distinct = signed.groupBy("h1", "h2").agg(
-        F.min("here").alias("first"), F.count("*").alias("n"), F.first("minima").alias("minima")
+    shingles = lambda norm: shingles_of(norm, how)
+    distinct = lines.select(here.alias("here"), "h1", "h2", "norm").groupBy("h1", "h2").agg(
+        F.min("here").alias("first"), F.count("*").alias("n"), F.first("norm").alias("norm")
     )
+    distinct = distinct.withColumn("keys", window_keys(shingles(F.col("norm")))).drop("norm")
     distinct = stored(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
-    parts = connected_components(similar_pairs(docs, distinct, how))
+    texts = lambda ids: line_texts(docs, distinct.select("id", "h1", "h2").join(ids, "id"), how)
+    parts = connected_components(similar_links(distinct.select("id", "keys"), texts, shingles, "line"))
     known = distinct.select("id", "h1", "h2", "first", "n").join(
         parts.withColumnRenamed("node", "id"), "id", "left"
     )

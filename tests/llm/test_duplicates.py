@@ -190,3 +190,25 @@ def test_near_texts_of_awkward_rows(awkward):
     assert {r["component_id"] for r in rows if r["doc_id"] in (1, 6)} == {1}
     assert near_texts.keep_one(awkward).columns == awkward.columns
     assert near_texts.keep_one(awkward.limit(0)).count() == 0
+
+
+def kept_lines(spark, lines):
+    rows = [(i, x) for i, x in enumerate(lines)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), carry=["doc_id"])
+    return {r["doc_id"]: r["text"] for r in out.select("row.doc_id", "text").collect()}, plain_lines(dict(rows))
+
+
+def test_crowds_of_template_lines_equal_brute_force(spark):
+    """Lines of templates with several slots: links run between members, and no line is the centre."""
+    dice = random.Random(7)
+    word = lambda: "".join(dice.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(dice.randrange(4, 9)))
+    lines = []
+    for slots, values, length in ((3, 12, 18), (2, 40, 12), (4, 6, 20)):
+        frame, choices = [word() for _ in range(length)], [[word() for _ in range(values)] for _ in range(slots)]
+        for _ in range(350):
+            line = list(frame)
+            for k in range(slots):
+                line[k * (length // slots)] = dice.choice(choices[k])
+            lines.append(" ".join(line))
+    got, want = kept_lines(spark, lines)
+    assert got == want
