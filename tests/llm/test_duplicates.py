@@ -212,3 +212,20 @@ def test_crowds_of_template_lines_equal_brute_force(spark):
             lines.append(" ".join(line))
     got, want = kept_lines(spark, lines)
     assert got == want
+
+
+def test_lines_of_few_words_meet_their_edited_copies(spark):
+    """One and two edited characters in lines of three to forty words; links at exactly 0.8 count."""
+    dice = random.Random(8)
+    lines = []
+    for n_words, low, high in ((3, 9, 16), (5, 9, 14), (6, 3, 8), (8, 3, 8), (40, 3, 8)):
+        for _ in range(60):
+            line = " ".join("".join(dice.choice("abcdefghijklmnopqrst") for _ in range(dice.randrange(low, high + 1))) for _ in range(n_words))
+            lines.append(line)
+            for edits in (1, 2):
+                copy = list(line)
+                for _ in range(edits):
+                    copy[dice.randrange(len(copy))] = "z"
+                lines.append("".join(copy))
+    got, want = kept_lines(spark, lines)
+    assert got == want
