@@ -49,15 +49,38 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
-HIDDEN = re.compile(
-    r"(?:^|\s)hidden(?=[\s=/]|$)|\bstyle\s*=\s*(?:\"[^\"]*|'[^']*|\S*)"
-    r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))|\btype\s*=\s*[\"']?hidden", re.I,
-)
+ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?|=")
+MAYBE_HIDDEN = re.compile(r"hidden|style(?=.*(?:none|collapse|&))", re.I | re.S)  # all that can hide holds one of these
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+IMPORTANT = re.compile(r"\s*!\s*important\Z")
 SPAN = re.compile(r"\b(colspan|rowspan|start)\s*=\s*[\"']?(\d{1,4})", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 WIDEST = 60  # columns with wider cells are not padded
 
 
+def is_hidden(tag: str, attrs: str) -> bool:
+    """Whether the attributes ``hidden``, ``type`` (of an input) or ``style`` hide the element; of repeated ones the first counts."""
+    if not MAYBE_HIDDEN.search(attrs):
+        return False
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attrs):
+        if m[1]:
+            found.setdefault(m[1].lower(), unescape(next((v for v in m.groups()[1:] if v is not None), "")))
+    if "hidden" in found or (tag == "input" and found.get("type", "").strip().lower() == "hidden"):
+        return True
+    styles: dict[str, str] = {}
+    strong: set[str] = set()
+    for declaration in COMMENT.sub(" ", found.get("style", "")).split(";"):
+        name, _, value = declaration.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        plain = IMPORTANT.sub("", value)
+        # the last declaration counts, unless an earlier one is important
+        if plain != value or name not in strong:
+            styles[name] = plain
+            strong |= {name} if plain != value else set()
+    return styles.get("display") == "none" or styles.get("visibility") in ("hidden", "collapse")
+
+
 @dataclass
 class Node:
     tag: str
@@ -249,7 +272,7 @@ def render(root: Node) -> str:
     def enter(node: Node) -> None:
         nonlocal pre
         tag, sink, undo = node.tag, sinks[-1], []
-        if tag in UNSEEN or (node.attrs and HIDDEN.search(node.attrs)):
+        if tag in UNSEEN or (node.attrs and is_hidden(tag, node.attrs)):
             return
         if tag == "br":
             sink.line()

@@ -120,6 +120,21 @@ def test_visible_text(page, text):
     assert html.visible_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "attrs, seen",
+    [
+        ('title="a hidden gem"', True), ('class="nav hidden lg:block"', True), ('data-type="hiddenitem"', True),
+        ('data-style="display:none"', True), ("title='x style=display:none'", True), ('alt="type=hidden"', True),
+        ('aria-hidden="true"', True), ("style='--x: 1; color: red'", True), ('style="display:none; display:block"', True),
+        ("hidden", False), ('HIDDEN=""', False), ("class=a hidden=until-found", False), ('id="x"hidden', False),
+        ("style=display:none", False), ('STYLE="color:red; Display : None ! important; display:block"', False),
+        ('style="visibility:&#104;idden"', False), ('title="hidden" hidden', False), ('style="/* a */display:/* b */none"', False),
+    ],
+)
+def test_only_attributes_of_their_own_name_hide(attrs, seen):
+    assert html.visible_text(f"<p>a <span {attrs}>in</span> b</p>") == ("a in b" if seen else "a b")
+
+
 def test_extraction_keeps_rows_and_columns(spark):
     pages = spark.createDataFrame([(i, h, "old") for i, (h, _) in enumerate(PAGES)], "page_id long, html string, text string")
     got = html.extract_text(pages.union(pages))
