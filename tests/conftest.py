@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import sys
-from datetime import datetime, timedelta
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -9,22 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from airlake import build_session, use_utc  # noqa: E402
-
-
-def pytest_addoption(parser):
-    parser.addoption("--slow", action="store_true", help="also run the queries that write many files or long plans")
-
-
-def pytest_configure(config):
-    config.addinivalue_line("markers", "slow: left out unless --slow is given (tools/check.py runs them too)")
-
-
-def pytest_collection_modifyitems(config, items):
-    if not config.getoption("--slow"):
-        skip = pytest.mark.skip(reason="needs --slow")
-        for item in items:
-            if "slow" in item.keywords:
-                item.add_marker(skip)
+from helpers import text  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -44,21 +29,6 @@ def spark(tmp_path_factory):
     return use_utc(session)
 
 
-T0 = datetime(2026, 1, 1, 0, 30)
-
-
-def hour(n: float) -> datetime:
-    return T0 + timedelta(hours=n)
-
-
-def text(ts: datetime) -> str:
-    return ts.isoformat(sep=" ")
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 @pytest.fixture
 def frame(spark):
     """Literal rows; columns of a timestamp type may be given as datetimes (UTC)."""

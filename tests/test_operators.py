@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import hour, plan_of
+from helpers import hour, plan_of
 from pyspark.sql import functions as F
 
 from airlake.config import CONFIG

@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import hour
+from helpers import hour
 from pyspark.sql import functions as F
 
 from airlake.catalog.inputs import CFG, Inputs

@@ -5,7 +5,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import hour, plan_of
+from helpers import hour, plan_of
 from pyspark.sql import functions as F
 
 from airlake import schemas

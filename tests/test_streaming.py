@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 from datetime import timedelta
 
-from conftest import hour, plan_of
+from helpers import hour, plan_of
 from pyspark.sql import functions as F
 
 from airlake.functions.numeric import fixed_sum
