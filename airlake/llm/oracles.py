@@ -108,3 +108,71 @@ SELECT conv_id, count(*) AS n_turns,
        (sum(chars * CASE WHEN win < last AND win_ends - starts <= {_BUDGET.history} AND NOT (pos = 1 AND opened) THEN 2 ELSE 1 END)
         + max(CASE WHEN opened THEN c0 * last ELSE 0 END))::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id"""
+
+
+_FEATURES = r"""
+    SELECT {columns}, unnest(regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM {source}"""
+
+# crc32 of a word, byte by byte (a list of the 256 remainders, built here from the polynomial), over distinct words only.
+IMPORTANCE = rf"""
+WITH RECURSIVE steps(b, k, c) AS (
+    SELECT range::UBIGINT, 0, range::UBIGINT FROM range(256)
+    UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM steps WHERE k < 8
+), crc AS (
+    SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8
+), docs AS (
+    SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents
+), words AS (
+    {_FEATURES.format(columns="id", text="text", source="docs")}
+), aims AS (
+    {_FEATURES.format(columns="0 AS id", text="coalesce(text, '')", source="benchmark")}
+), known AS (
+    SELECT DISTINCT word FROM words UNION SELECT DISTINCT word FROM aims
+), hexed AS (
+    SELECT word, hex(encode(word)) AS x FROM known
+), bytes AS (
+    SELECT word, list_prepend(4294967295::UBIGINT, [('0x' || substr(x, i, 2))::UBIGINT FOR i IN range(1, length(x), 2)]) AS v FROM hexed
+), bucketed AS (
+    SELECT word, xor(list_reduce(v, lambda c, y: xor(c >> 8, t[1 + (xor(c, y) & 255)::INT])), 4294967295::UBIGINT) % 10000 AS bucket
+    FROM bytes, crc
+), s AS (
+    SELECT bucket, count(*) AS s FROM words JOIN bucketed USING (word) GROUP BY 1
+), t AS (
+    SELECT bucket, count(*) AS t FROM aims JOIN bucketed USING (word) GROUP BY 1
+), gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM words) + 10000)::DOUBLE
+                                   / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM aims) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM s FULL JOIN t USING (bucket)
+), w AS (
+    SELECT id, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+    FROM words JOIN bucketed USING (word) JOIN gains USING (bucket) GROUP BY 1
+), scored AS (
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                      / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM docs LEFT JOIN w USING (id)
+), ranked AS (
+    SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place,
+           count(*) FILTER (n_features >= 20) OVER () AS allowed FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * allowed // 100 THEN place END AS rank FROM ranked"""
+
+NEGATIVES = """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS id, r.label = a.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+    FROM e AS a JOIN e AS r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""

@@ -8,12 +8,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import chat, html, line_dedup, mixing, oracles, packing, quality, simhash, token_store, warc, weighted_sampling
+from airlake.llm import (
+    chat,
+    html,
+    importance,
+    licenses,
+    line_dedup,
+    mixing,
+    negatives,
+    oracles,
+    packing,
+    quality,
+    simhash,
+    token_store,
+    warc,
+    weighted_sampling,
+)
 from airlake.llm.common import table
 from airlake.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op3_quality_rules": oracles.QUALITY, "op4_chat_formatting": oracles.CHAT}
+ORACLES: dict[str, str] = {
+    "op3_quality_rules": oracles.QUALITY,
+    "op4_chat_formatting": oracles.CHAT,
+    "op12_importance_resampling": oracles.IMPORTANCE,
+    "op13_hard_negatives": oracles.NEGATIVES,
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
@@ -106,3 +126,23 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("block").cast("long").alias("n_bytes"),
         F.sha2("block", 256).alias("block_sha256"),
     )
+
+
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.digest(licenses.scan(table(spark, sf_dir, "documents"), carry=["doc_id"]))
+    return found.select("row.doc_id", *found.columns[1:])
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return drawn.select("row.doc_id", "n_features", "weight", "score", F.col("rank").cast("long").alias("rank"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.usable(vectors.withColumn("label", moved))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
