@@ -10,7 +10,7 @@ from airlake.catalog.registry import query
 from airlake.catalog.views import avg6, indicative, micro, using
 from airlake.functions.time import add
 from airlake.operators import checks, drift
-from airlake.operators.dedupe import as_of_runs
+from airlake.operators.dedupe import as_of_runs, asof_join
 from airlake.operators.reshape import melt
 from airlake.plans import evaluation as ev
 from airlake.plans import features, models, serving
@@ -389,6 +389,23 @@ def _(i: Inputs):
     return runs.select("point_id", "valid_time_utc", "issued_at", "temperature_2m")
 
 
+@query("asof_per_issue", using("issues", "wfc", body="""
+    SELECT i.location_id, i.zone_id, i.horizon_h, i.issue_time_utc, r.issued_at, r.valid_time_utc, r.temperature_2m
+    FROM issues AS i ASOF LEFT JOIN (
+        SELECT point_id, issued_at, max(valid_time_utc) AS valid_time_utc, arg_max(temperature_2m, valid_time_utc) AS temperature_2m
+        FROM wfc GROUP BY ALL) AS r ON i.zone_id = r.point_id AND i.issue_time_utc >= r.issued_at"""))
+def _(i: Inputs):
+    """Each issue row with the newest run issued before it (of that run the farthest hour)."""
+    runs = i.weather_forecasts().withColumnRenamed("point_id", "zone_id")
+    ready = i.aqi().where("NOT is_colocated_duplicate AND hour(hour_start_utc) % 3 = 0 AND valid_hours_24h >= 6")
+    issues = ready.select(
+        "location_id", "zone_id", F.explode(F.array(*map(F.lit, CFG.horizons))).alias("horizon_h"),
+        F.col("hour_end_utc").alias("issue_time_utc"),
+    )
+    values = ["issued_at", "valid_time_utc", "temperature_2m"]
+    return asof_join(issues, runs, ["zone_id"], "issue_time_utc", "issued_at", values, ties=["valid_time_utc"])
+
+
 @query("union_fallback", using("camsh", "wfc", body="""
     SELECT point_id, time_utc, max(cams_pm25) AS cams_pm25 FROM (
         SELECT point_id, time_utc, cams_pm25 FROM camsh

@@ -115,6 +115,31 @@ def _(i: Inputs):
     return spatial.nearest(_places(i), CONFIG.centre_lat, CONFIG.centre_lon, 10)
 
 
+# Suppliers' depots: clustered, several at one spot.
+_DEPOTS = """
+    SELECT s_suppkey AS place_id, 28.3::DOUBLE + ((s_suppkey * 31) % 97) / 200::DOUBLE AS latitude,
+           76.9::DOUBLE + ((s_suppkey * 17) % 13) / 20::DOUBLE + (s_suppkey % 2) * 90 AS longitude
+    FROM supplier"""
+
+
+def _depots(i: Inputs):
+    k = F.col("s_suppkey")
+    return i.table("supplier").select(
+        k.alias("place_id"), (F.lit(28.3) + k * 31 % 97 / 200).alias("latitude"),
+        (F.lit(76.9) + k * 17 % 13 / 20 + k % 2 * 90).alias("longitude"),
+    )
+
+
+@query("nearest_k_batch", f"""
+    WITH p AS ({_PLACES}), d AS ({_DEPOTS}), far AS (
+        SELECT p.location_id, d.place_id, round({_km('p.latitude', 'p.longitude', 'd.latitude', 'd.longitude')}, 6) AS distance_km
+        FROM p, d)
+    SELECT location_id, row_number() OVER (PARTITION BY location_id ORDER BY distance_km, place_id)::INT AS rank, place_id, distance_km
+    FROM far QUALIFY rank <= 3""")
+def _(i: Inputs):
+    return spatial.nearest_join(_places(i), _depots(i), 3).select("location_id", "rank", "place_id", "distance_km")
+
+
 @query("bounding_box", f"""
     WITH p AS ({_PLACES})
     SELECT location_id FROM p WHERE latitude BETWEEN 28.4 AND 28.6 AND longitude BETWEEN 77.0 AND 77.3""")

@@ -12,10 +12,11 @@ from airlake.functions.numeric import exact
 from airlake.functions.text import redact
 from airlake.functions.time import half_hour_floor, hour_floor
 from airlake.operators import checks
+from airlake.operators.bands import join_bands
 from airlake.operators.incremental import todo
 from airlake.operators.reshape import melt, previous_runs_to_rows, with_neighbours
 from airlake.operators.timegrid import day_chunks, month_chunks
-from airlake.plans import fires, oplogs
+from airlake.plans import fires, hourly, oplogs
 from airlake.sources.envelopes import hourly_rows, split, valid_response
 
 # --- nested data ----------------------------------------------------------------------------------
@@ -157,12 +158,50 @@ _PART_BANDS = ((0, 950), (951, 1200), (1201, 1600), (1601, None))
         f"({n}, {lo}, {'NULL' if hi is None else hi})" for n, (lo, hi) in enumerate(_PART_BANDS))}) AS b(band, lo, hi)
       ON round(p_retailprice) BETWEEN lo AND coalesce(hi, 1e9)""")
 def _(i: Inputs):
-    price = F.round("p_retailprice")
-    band = F.coalesce(*[
-        F.when((price >= lo) if hi is None else price.between(lo, hi), F.lit(n))
-        for n, (lo, hi) in enumerate(_PART_BANDS)
-    ])
-    return i.table("part").select("p_partkey", band.alias("band"))
+    bands = i.spark.createDataFrame([(n, *ends) for n, ends in enumerate(_PART_BANDS)], "band int, lo int, hi int")
+    return join_bands(i.table("part"), F.round("p_retailprice"), bands, "lo", "hi").select("p_partkey", "band")
+
+
+# A band for every customer with a balance, as wide as its key says, some of them open at an end.
+_BALANCE_BANDS = """
+    SELECT c_custkey AS band_id, CASE WHEN c_custkey % 97 <> 0 THEN round(c_acctbal, 0) END AS lo,
+           CASE WHEN c_custkey % 89 <> 0 THEN round(c_acctbal, 0) + c_custkey % 7 END AS hi FROM customer"""
+
+
+@query("band_join_many", f"""
+    WITH b AS ({_BALANCE_BANDS})
+    SELECT s_suppkey, count(band_id) AS n_bands, min(band_id) AS first_band, coalesce(sum(band_id), 0)::BIGINT AS band_sum
+    FROM supplier LEFT JOIN b ON (lo IS NULL OR s_acctbal >= lo) AND (hi IS NULL OR s_acctbal <= hi)
+    GROUP BY s_suppkey""")
+def _(i: Inputs):
+    key, whole = F.col("c_custkey"), F.round("c_acctbal", 0)
+    bands = i.table("customer").select(
+        key.alias("band_id"), F.when(key % 97 != 0, whole).alias("lo"), F.when(key % 89 != 0, whole + key % 7).alias("hi")
+    )
+    met = join_bands(i.table("supplier"), F.col("s_acctbal"), bands, "lo", "hi")
+    return met.groupBy("s_suppkey").agg(
+        F.count("band_id").alias("n_bands"), F.min("band_id").alias("first_band"),
+        F.coalesce(F.sum("band_id"), F.lit(0)).alias("band_sum"),
+    )
+
+
+# Breakpoints edited in a table: twelve units of each nation, the last one open.
+_SEED = """
+    SELECT n_name AS category, (n_nationkey + 1)::INT AS category_order, 12 * n_nationkey AS lo,
+           CASE WHEN n_nationkey < 24 THEN 12 * n_nationkey + 11 END AS hi, 20 * n_nationkey AS a, 20 * n_nationkey + 19 AS z FROM nation"""
+
+
+@query("aqi_breakpoint_table", using("aqi", body=f"""
+    SELECT aqi.* REPLACE (category AS aqi_category, category_order AS aqi_category_order,
+                          CAST(round(a + (z - a) * (round(pm25_24h) - lo) / (hi - lo)) AS INT) AS pm25_subindex)
+    FROM aqi LEFT JOIN ({_SEED}) ON round(pm25_24h) >= lo AND (hi IS NULL OR round(pm25_24h) <= hi)"""))
+def _(i: Inputs):
+    n = F.col("n_nationkey")
+    seed = i.table("nation").select(
+        F.col("n_name").alias("category"), (n + 1).cast("int").alias("category_order"), (12 * n).alias("pm25_low"),
+        F.when(n < 24, 12 * n + 11).alias("pm25_high"), (20 * n).alias("aqi_low"), (20 * n + 19).alias("aqi_high"),
+    )
+    return hourly.aqi_hourly(i.grid(), i.stations(), CFG, breakpoints=seed)
 
 
 @query("anti_orphans", """

@@ -45,8 +45,11 @@ def station_hourly(readings: DataFrame, as_of: Column | datetime, cfg: Config =
     return flag_quality(with_gaps(rows, KEY, HOUR, as_ts(as_of)), cfg)
 
 
-def aqi_hourly(grid: DataFrame, stations: DataFrame, cfg: Config = CONFIG) -> DataFrame:
-    """24 h mean (enough valid hours only), category and sub-index, with station attributes."""
+def aqi_hourly(grid: DataFrame, stations: DataFrame, cfg: Config = CONFIG, breakpoints: DataFrame | None = None) -> DataFrame:
+    """24 h mean (enough valid hours only), category and sub-index, with station attributes.
+
+    With ``breakpoints`` the bands are those of the table instead of the configured ones.
+    """
     day = trailing(KEY, HOUR, 24)
     valid_hours = F.count("pm25").over(day)
     rolled = grid.select(
@@ -60,13 +63,18 @@ def aqi_hourly(grid: DataFrame, stations: DataFrame, cfg: Config = CONFIG) -> Da
     dims = stations.select(
         KEY, "zone_id", "city_id", F.col("colocated_with").isNotNull().alias("is_colocated_duplicate")
     )
-    return rolled.join(dims, KEY).select(
+    rows = rolled.join(dims, KEY)
+    if breakpoints is None:
+        rows = rows.withColumns({
+            "aqi_category": aqi.category("pm25_24h", cfg),
+            "aqi_category_order": aqi.category_order("pm25_24h", cfg),
+            "pm25_subindex": aqi.subindex("pm25_24h", cfg),
+        })
+    else:
+        rows = aqi.with_bands(rows, "pm25_24h", breakpoints, "aqi_category", "aqi_category_order", "pm25_subindex")
+    return rows.select(
         KEY, "zone_id", "city_id", HOUR, "hour_end_utc", "pm25", "pm25_raw", "is_valid", "is_missing",
-        "valid_hours_24h", "pm25_24h",
-        aqi.category("pm25_24h", cfg).alias("aqi_category"),
-        aqi.category_order("pm25_24h", cfg).alias("aqi_category_order"),
-        aqi.subindex("pm25_24h", cfg).alias("pm25_subindex"),
-        "is_colocated_duplicate",
+        "valid_hours_24h", "pm25_24h", "aqi_category", "aqi_category_order", "pm25_subindex", "is_colocated_duplicate",
     )
 
 
@@ -86,7 +94,7 @@ def area_hourly(aqi_rows: DataFrame, area: str) -> DataFrame:
 
 
 def city_daily(
-    aqi_rows: DataFrame, fires_daily: DataFrame, dates: DataFrame, cfg: Config = CONFIG
+    aqi_rows: DataFrame, fires_daily: DataFrame, dates: DataFrame, cfg: Config = CONFIG, breakpoints: DataFrame | None = None
 ) -> DataFrame:
     """City and IST day: median of full station days, its category, the day's fires, festivals."""
     station_day = (
@@ -103,12 +111,16 @@ def city_daily(
         F.sum("fire_count").alias("fires_total"),
         F.sum(F.when(F.col("sector").isin(*NW_ARC), F.col("fire_count")).otherwise(0)).alias("fires_nw_arc"),
     )
+    if breakpoints is None:
+        city_day = city_day.withColumn("aqi_category", aqi.category("pm25_median", cfg))
+    else:
+        city_day = aqi.with_bands(city_day, "pm25_median", breakpoints, "aqi_category")
     return (
         city_day.join(fires, ["city_id", "date_ist"], "left")
         .join(dates.select("date_ist", "is_festival", "festival_name"), "date_ist", "left")
         .select(
             "city_id", "date_ist", "pm25_median", "stations_with_full_day",
-            aqi.category("pm25_median", cfg).alias("aqi_category"),
+            "aqi_category",
             F.coalesce("fires_total", F.lit(0)).alias("fires_total"),
             F.coalesce("fires_nw_arc", F.lit(0)).alias("fires_nw_arc"),
             "is_festival", "festival_name",

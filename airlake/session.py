@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Sizes are left to AQE: it re-plans from real shuffle sizes,
 # splits skewed join and write partitions, and turns small sides into broadcasts only after
@@ -60,3 +60,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="airlake-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/airlake/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: a table below the shared folder, written and read back, so lost executors cost no recomputation."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,33 +1,35 @@
-"""Alert decisions with memory: repeat muting and status announcements, as joins and windows.
+"""Alert decisions with memory: repeat muting and status announcements.
 
-Muting: within a bucket as long as the mute time a key sends at most once, so a chain of sent alerts is a path that visits each bucket
-at most once. From every instant one window over a bucket finds the next instant that would be sent. Paths are then
-composed over blocks of 2, 4, 8 ... buckets (fewer and fewer instants can be the first sent of a block) and read back
-from the largest block down. A key's alerts are spread over its buckets at every step; no task walks a key.
+Batch. Muting: within a bucket as long as the mute time a key sends at most once, so a chain of sent alerts is a path that visits
+each bucket at most once. From every instant one window over a bucket finds the next instant that would be sent. Paths are then
+shortened over blocks of 32, 1024 ... buckets (fewer and fewer instants can be the first sent of a block) and read back
+from the largest block down. A key's alerts are spread over its blocks at every step; no task walks a key.
+Announcements: the status known before a row is the last delivered one, found inside each hour of a key and, across hours,
+from one row an hour.
 
-Announcements: the status known before a row is the last delivered one, found inside each hour of a key and, across hours, from one row an hour.
-
-The streaming forms run the same on every micro-batch, with one small stored row per key as memory.
+Streams keep one value a key in the state store: what was sent last, or what is known. A micro-batch touches the state
+of its own keys only. The rows of a key in one micro-batch (17 bytes each) are sorted in one task, so the trigger's
+``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds that task; history at large belongs to the batch forms.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from airlake.config import CONFIG, Config
-from airlake.session import shared_path
-from airlake.sources.files import exists
-from airlake.streaming.runs import run_available
+from airlake.session import stored
+from airlake.streaming.runs import run_append
 
 HOUR_MICROS = 3_600_000_000
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+RADIX = 32
+NEVER = -(1 << 62)
 
 
 def _next_sent(instants: DataFrame, mute: int) -> DataFrame:
@@ -49,32 +51,75 @@ def _next_sent(instants: DataFrame, mute: int) -> DataFrame:
     )
 
 
+def _hop(at: np.ndarray, onward: np.ndarray) -> np.ndarray:
+    """For each instant of a block the place of its next one in the block, or its own place when the next lies beyond."""
+    to = np.searchsorted(at, onward)
+    to[to == len(at)] = 0
+    return np.where(at[to] == onward, to, np.arange(len(at)))
+
+
+def _exits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """From every instant of a block to the first one sent beyond it."""
+    for frame in frames:
+        out = []
+        for at, onward in zip(frame["at"], frame["next"], strict=True):
+            hop = _hop(at, onward)
+            while True:
+                far = hop[hop]
+                if (far == hop).all():
+                    break
+                hop = far
+            out.append(onward[hop])
+        sizes = frame["at"].str.len()
+        yield pd.DataFrame({
+            "alert_key": frame["alert_key"].repeat(sizes), "at": np.concatenate(list(frame["at"]) or [np.array([], np.int64)]),
+            "next": np.concatenate(out or [np.array([], np.int64)]),
+        })
+
+
+def _visited(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The instants that are sent in a block, from the one it is entered by."""
+    for frame in frames:
+        keys, out = [], []
+        for key, at, onward, entry in zip(frame["alert_key"], frame["at"], frame["next"], frame["entry"], strict=True):
+            hop, here = _hop(at, onward), int(np.searchsorted(at, entry))
+            while True:
+                keys.append(key)
+                out.append(at[here])
+                if hop[here] == here:
+                    break
+                here = hop[here]
+        yield pd.DataFrame({"alert_key": keys, "at": out})
+
+
 def _sent(instants: DataFrame, starts: DataFrame, mute: int) -> DataFrame:
     """alert_key, at of every alert sent, from the starts on. ``instants`` hold the starts and have no repeats."""
-    step = _stored(_next_sent(instants, mute), "next-alert")
+    step = stored(_next_sent(instants, mute), "next-alert")
     low, high = step.agg(F.min("at"), F.max("at")).first()
     if low is None:
         return starts.limit(0)
-    block = lambda c, k: F.floor((F.col(c) - low) / (mute * 2**k))
-    levels, k = [step], 0
-    while (high - low) // (mute * 2**k) > 0:
-        # the instants that can be the first sent of a block of 2^(k+1) buckets
-        entries = step.where(block("at", k + 1) != block("next", k + 1)).select("alert_key", F.col("next").alias("at"))
-        entries = entries.unionByName(starts).distinct()
-        ahead = step.select("alert_key", F.col("at").alias("next"), F.col("next").alias("over"))
-        inside = block("at", k + 1) == block("next", k + 1)
-        step = step.join(entries, ["alert_key", "at"]).join(ahead, ["alert_key", "next"], "left")
-        step = step.select("alert_key", "at", F.when(inside, F.col("over")).otherwise(F.col("next")).alias("next"))
-        if k % 2:  # every other level is stored: each is read twice by the next
-            step = _stored(step, f"next-alert-{k}")
-        k += 1
+    block = lambda c, k: F.floor((F.col(c) - low) / (mute * RADIX**k))
+    kind = instants.schema["alert_key"].dataType.simpleString()
+
+    def by_block(rows: DataFrame, k: int) -> DataFrame:
+        """One row a block of RADIX^k buckets, its instants in order."""
+        pair = F.struct("at", F.coalesce("next", F.lit(NEVER)).alias("next"))
+        rows = rows.groupBy("alert_key", block("at", k).alias("block")).agg(F.sort_array(F.collect_list(pair)).alias("s"))
+        return rows.select("alert_key", "block", F.col("s.at").alias("at"), F.col("s.next").alias("next"))
+
+    levels, k = [step], 1
+    while (high - low) // (mute * RADIX**k) > 0:
+        beyond = step.where(block("at", k) != block("next", k)).select("alert_key", F.col("next").alias("at"))
+        entries = beyond.unionByName(starts).distinct()
+        exits = by_block(step, k).drop("block").mapInPandas(_exits, f"alert_key {kind}, at long, next long")
+        step = stored(exits.withColumn("next", F.nullif("next", F.lit(NEVER))).join(entries, ["alert_key", "at"]), f"next-alert-{k}")
         levels.append(step)
+        k += 1
     sent = starts
-    for n in range(len(levels) - 1, -1, -1):
-        onward = sent.join(levels[n], ["alert_key", "at"]).where(block("at", n + 1) == block("next", n + 1))
-        sent = sent.unionByName(onward.select("alert_key", F.col("next").alias("at")))
-        if n % 6 == 0:
-            sent = _stored(sent, f"sent-{n}")  # keeps the plan small
+    for k in range(len(levels), 0, -1):
+        entered = sent.select("alert_key", block("at", k).alias("block"), F.col("at").alias("entry"))
+        paths = by_block(levels[k - 1], k).join(entered, ["alert_key", "block"]).drop("block")
+        sent = stored(paths.mapInPandas(_visited, f"alert_key {kind}, at long"), f"sent-{k}")
     return sent
 
 
@@ -96,7 +141,7 @@ def mute_repeats(
         known = last.select("alert_key", F.col("at").alias("before"))
         instants = instants.join(known, "alert_key", "left").where("before IS NULL OR at >= before").select("alert_key", "at")
         instants = instants.unionByName(last.select("alert_key", "at"))
-    instants = _stored(instants.distinct(), "alert-instants")
+    instants = stored(instants.distinct(), "alert-instants")
     sent = _sent(instants, instants.groupBy("alert_key").agg(F.min("at").alias("at")), mute)
     if last is not None:
         sent = sent.join(last.select("alert_key", "at"), ["alert_key", "at"], "left_anti")
@@ -140,39 +185,111 @@ def announcements(
     return judged.where(speaks).select("alert_key", F.timestamp_micros("at").alias("at"), "previous", "status")
 
 
-def _memory(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame | None:
-    """What the newest batch before this one has stored."""
-    at = f"{path}/after={batch_id - 1}"
-    return spark.read.schema(schema).parquet(at) if batch_id > 0 and exists(spark, at) else None
+def _micro_batch(rows: Iterator[pd.DataFrame], *columns: str) -> list[np.ndarray]:
+    """The rows of a key in this micro-batch, in order of the columns."""
+    parts = [f[list(columns)] for f in rows]
+    frame = pd.concat(parts).sort_values(list(columns), kind="stable", na_position="first")
+    return [frame[c].to_numpy() for c in columns]
+
+
+class _Muting(StatefulProcessor):
+    """The instant of the last message that went out for a key."""
+
+    def __init__(self, mute: int, forget_ms: int | None):
+        self.mute, self.forget_ms = mute, forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "at long", self.forget_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        (at,) = _micro_batch(rows, "at")
+        ready = self.last.get()[0] + self.mute if self.last.exists() else NEVER
+        sent, n = [], 0
+        while (n := int(np.searchsorted(at, ready))) < len(at):
+            sent.append(int(at[n]))
+            ready = sent[-1] + self.mute
+        if sent:
+            self.last.update((sent[-1],))
+            yield pd.DataFrame({"alert_key": key[0], "at": sent})
+
+    def close(self) -> None:
+        pass
 
 
-def run_muting(stream: DataFrame, key: str, ts: str, table: str, checkpoint: str, cfg: Config = CONFIG) -> None:
-    """Append what is sent, batch by batch; a replayed batch replaces its own results and memory."""
-    spark, memory = stream.sparkSession, f"{checkpoint}-sent"
+class _Announcing(StatefulProcessor):
+    """What the receivers of a key know, and whether it was ever fine."""
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        last = _memory(spark, memory, batch_id, "alert_key string, at long")
-        text = batch.withColumn(key, F.col(key).cast("string"))
-        sent = _stored(mute_repeats(text, key, ts, cfg, last=last), "sent-now")
-        sent.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
-        now = sent.select("alert_key", F.unix_micros("sent_at").alias("at"))
-        now = now if last is None else now.unionByName(last)
-        now.groupBy("alert_key").agg(F.max("at").alias("at")).write.mode("overwrite").parquet(f"{memory}/after={batch_id}")
+    def __init__(self, forget_ms: int | None):
+        self.forget_ms = forget_ms
 
-    run_available(stream, checkpoint, each, mode="append")
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", "status string, was_ok boolean", self.forget_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before = self.known.get() if self.known.exists() else (None, False)
+        said, was_ok = before
+        told = []
+        for at, status, arrived in zip(*_micro_batch(rows, "at", "status", "arrived"), strict=True):
+            previous = said if said is not None else "ok" if was_ok else None
+            if status is not None and (status != "ok" if previous is None else status != previous):
+                told.append((key[0], at, previous, status))
+            said = status if arrived and status is not None else said
+            was_ok |= status == "ok"
+        if (said, was_ok) != before:
+            self.known.update((said, bool(was_ok)))
+        if told:
+            yield pd.DataFrame(told, columns=["alert_key", "at", "previous", "status"])
+
+    def close(self) -> None:
+        pass
+
+
+def _keyed(stream: DataFrame, processor: StatefulProcessor, schema: str, forget: timedelta | None) -> DataFrame:
+    return stream.groupBy("alert_key").transformWithStateInPandas(
+        processor, schema, "append", "ProcessingTime" if forget else "None"
+    )
+
+
+def _millis(forget: timedelta | None) -> int | None:
+    return None if forget is None else int(forget.total_seconds() * 1000)
+
+
+def muting(
+    stream: DataFrame, key: str, ts: str, cfg: Config = CONFIG, delivered: Column | None = None, forget: timedelta | None = None
+) -> DataFrame:
+    """alert_key, sent_at: the stream of alerts that went out, by the rule of :func:`mute_repeats`.
+
+    ``delivered`` tells whether a message sent for a row would have arrived; what did not arrive mutes nothing. The memory of a key is
+    its last message, across micro-batches and restarts; instants before it are settled. With ``forget`` a key that has sent nothing
+    for that long (by the clock, well above the mute time and any delay of the feed) leaves no state behind.
+    """
+    rows = stream if delivered is None else stream.where(delivered)
+    rows = rows.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(key).cast("string").alias("alert_key"), F.unix_micros(ts).alias("at")
+    )
+    mute = cfg.repeat_alert_hours * 3600 * 1_000_000
+    sent = _keyed(rows, _Muting(mute, _millis(forget)), "alert_key string, at long", forget)
+    return sent.select("alert_key", F.timestamp_micros("at").alias("sent_at"))
+
+
+def announcing(
+    stream: DataFrame, key: str, ts: str, status: str, delivered: Column | None = None, forget: timedelta | None = None
+) -> DataFrame:
+    """alert_key, at, previous, status: the stream of announcements, by the rule of :func:`announcements`."""
+    rows = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(key).cast("string").alias("alert_key"), F.unix_micros(ts).alias("at"), F.col(status).alias("status"),
+        F.coalesce(F.lit(True) if delivered is None else delivered, F.lit(False)).alias("arrived"),
+    )
+    schema = "alert_key string, at long, previous string, status string"
+    told = _keyed(rows, _Announcing(_millis(forget)), schema, forget)
+    return told.select("alert_key", F.timestamp_micros("at").alias("at"), "previous", "status")
 
 
-def run_announcing(stream: DataFrame, key: str, ts: str, status: str, table: str, checkpoint: str) -> None:
-    """Append what is announced, batch by batch, with the last status of each key as memory."""
-    spark, memory = stream.sparkSession, f"{checkpoint}-known"
+def run_muting(stream: DataFrame, key: str, ts: str, table: str, checkpoint: str, cfg: Config = CONFIG, **how) -> list[dict]:
+    """Append what is sent, batch by batch; a replayed batch replaces its own results, and its state is that of its start."""
+    return run_append(muting(stream, key, ts, cfg, **how), table, checkpoint)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        last = _memory(spark, memory, batch_id, "alert_key string, status string")
-        text = batch.withColumn(key, F.col(key).cast("string"))
-        announcements(text, key, ts, status, last=last).write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
-        now = text.groupBy(F.col(key).alias("alert_key")).agg(F.max_by(F.col(status), F.struct(ts, status)).alias("status"))
-        if last is not None:
-            now = now.unionByName(last.join(now, "alert_key", "left_anti"))
-        now.write.mode("overwrite").parquet(f"{memory}/after={batch_id}")
 
-    run_available(stream, checkpoint, each, mode="append")
+def run_announcing(stream: DataFrame, key: str, ts: str, status: str, table: str, checkpoint: str, **how) -> list[dict]:
+    """Append what is announced, batch by batch."""
+    return run_append(announcing(stream, key, ts, status, **how), table, checkpoint)

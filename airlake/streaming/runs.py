@@ -14,6 +14,8 @@ from airlake.session import shared_path
 from airlake.sources.tables import month_between, read_table, upsert
 from airlake.streaming.windows import sliding_sums
 
+STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+IDLE_KEY = "spark.sql.streaming.noDataMicroBatches.enabled"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -30,20 +32,29 @@ def read_files(spark: SparkSession, path: str, schema: StructType, files_per_bat
 
 def run_available(
     stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "update"
-) -> None:
-    """Process everything that has arrived, then stop. Restarting continues from the checkpoint.
+) -> list[dict]:
+    """Process everything that has arrived, then stop; the progress of each batch. Restarting continues from the checkpoint.
 
-    State lives in RocksDB on the executors with its changes in the shared checkpoint folder.
+    State lives in RocksDB on the executors with its changes in the shared checkpoint folder. Batches without new rows are
+    left out: values with a time to live would ask for them without end.
     """
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(each)
-        .start()
-    )
+    conf, settings = stream.sparkSession.conf, {STORE_KEY: STATE_STORE, IDLE_KEY: "false"}
+    before = {k: conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            conf.set(k, v)
+        query = (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(each)
+            .start()
+        )
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
     query.awaitTermination()
+    return query.recentProgress
 
 
 def run_upsert(
@@ -102,10 +113,10 @@ def run_sliding(
     run_available(hourly, checkpoint, merge)
 
 
-def run_append(stream: DataFrame, table: str, checkpoint: str) -> None:
+def run_append(stream: DataFrame, table: str, checkpoint: str) -> list[dict]:
     """Append-only results, one directory per micro-batch; a replayed batch replaces its own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
-    run_available(stream, checkpoint, write, mode="append")
+    return run_available(stream, checkpoint, write, mode="append")

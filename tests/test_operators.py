@@ -9,8 +9,11 @@ from helpers import hour, plan_of
 from pyspark.sql import functions as F
 
 from airlake.config import CONFIG
+from airlake.functions import aqi
 from airlake.functions.time import as_ts
 from airlake.operators import checks, dedupe, drift, incremental, reshape, spatial, timegrid, windows
+from airlake.operators.bands import join_bands
+from airlake.operators.dedupe import asof_join
 from airlake.operators.quantiles import median_of_large_groups
 from airlake.plans import hourly
 
@@ -233,3 +236,131 @@ def test_checks_return_offenders(frame):
     assert [r.v for r in checks.accepted_range(df, "v", 0, 50).collect()] == [99.0]
     assert checks.expression_holds(df, F.col("v") < 50).count() == 1
     assert [r.k for r in checks.orphans(df, frame([(1,)], "k int"), ["k"]).collect()] == [2]
+
+
+def test_bands_of_any_size_equal_a_nested_loop(spark):
+    rng = random.Random(2)
+    for n, spread in ((0, 1), (1, 10), (300, 1e3), (300, 1e-3), (200, 1e9)):
+        bands = []
+        for b in range(n):
+            lo = rng.uniform(-spread, spread)
+            width = spread * 10 ** rng.uniform(-6, 0.2)
+            bands.append((b, None if b % 41 == 7 else lo, None if b % 37 == 5 else lo + width if b % 29 else lo - width))
+        values = [(k, rng.uniform(-2 * spread, 2 * spread)) for k in range(150)] + [(1000, None), (1001, float("nan")), (1002, 0.0)]
+        values += [(2000 + b, x) for b, lo, hi in bands[:20] for x in (lo, hi)]
+        table = spark.createDataFrame(bands, "band int, lo double, hi double")
+        df = spark.createDataFrame(values, "k int, v double")
+        got = sorted((r.k, -1 if r.band is None else r.band) for r in join_bands(df, F.col("v"), table, "lo", "hi").collect())
+        want = []
+        for k, v in values:
+            known = v is not None and v == v
+            met = [b for b, lo, hi in bands if known and (lo is None or lo <= v) and (hi is None or v <= hi) and (None in (lo, hi) or lo <= hi)]
+            want += [(k, b) for b in met or [-1]]
+        assert got == sorted(want)
+
+
+def test_bands_join_on_cells_without_a_nested_loop(spark):
+    bands = spark.range(5000).select(F.col("id").alias("band"), (F.col("id") * 2).alias("lo"), (F.col("id") * 2 + 1).alias("hi"))
+    df = spark.range(20_000).select(F.col("id").alias("v"))
+    plan = plan_of(join_bands(df, F.col("v"), bands, "lo", "hi"))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "_cell" in plan
+    assert join_bands(df, F.col("v"), bands, "lo", "hi", "inner").count() == 10_000
+
+
+def test_edited_breakpoints_change_categories(spark):
+    df = spark.createDataFrame([(1, 30.4), (2, 30.5), (3, 700.0), (4, None), (5, -3.0)], "id int, pm double")
+    table = aqi.breakpoints(spark)
+    both = aqi.with_bands(df, "pm", table, "c", "o", "s").select("*", aqi.category("pm").alias("c2"), aqi.category_order("pm").alias("o2"), aqi.subindex("pm").alias("s2"))
+    assert both.where("NOT (c <=> c2 AND o <=> o2 AND s <=> s2)").count() == 0 and both.count() == 5
+    moved = table.withColumn("pm25_high", F.when(F.col("category") == "good", 20).otherwise(F.col("pm25_high")))
+    assert {r.id: r.c for r in aqi.with_bands(df, "pm", moved, "c").collect()} == {1: None, 2: "satisfactory", 3: "severe", 4: None, 5: None}
+
+
+@pytest.mark.parametrize("bucket", [1800, 86_400])
+def test_asof_join_equals_a_search_per_row(frame, bucket):
+    rng = random.Random(1)
+    runs = [(rng.choice(["busy", "busy", "busy", "calm", None]), hour(rng.randint(0, 300) / 3), rng.randint(0, 9), n) for n in range(400)]
+    asks = [(n, rng.choice(["busy", "calm", "new", None]), None if n % 50 == 3 else hour(rng.randint(-10, 330) / 3)) for n in range(300)]
+    asks += asks[:5]
+    left = frame(asks, "id int, k string, at timestamp")
+    right = frame(runs, "k string, issued timestamp, tie int, v int")
+    got = asof_join(left, right, ["k"], "at", "issued", ["issued", "tie", "v"], ties=["tie", "v"], bucket=bucket)
+    assert got.columns == ["id", "k", "at", "issued", "tie", "v"]
+    want = []
+    for n, k, at in asks:
+        met = [(t, tie, v) for kk, t, tie, v in runs if k is not None and at is not None and kk == k and t <= at]
+        want.append((n, k, at, *(max(met) if met else (None, None, None))))
+    key = lambda r: tuple((x is not None, str(x)) for x in r)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(want, key=key)
+
+
+def test_asof_join_spreads_a_busy_key(spark):
+    """A run every second for ten days in one key: no window partition holds more than a bucket."""
+    runs = spark.range(864_000).select(F.lit("k").alias("k"), F.timestamp_seconds("id").alias("issued"), F.col("id").alias("v"))
+    asks = spark.range(1000).select(F.lit("k").alias("k"), F.timestamp_seconds(F.col("id") * 863 + 5).alias("at"))
+    got = asof_join(asks, runs, ["k"], "at", "issued", ["v"], bucket=3600)
+    assert got.where("v <> unix_seconds(at)").count() == 0 and got.count() == 1000
+    assert "hashpartitioning(k" in plan_of(got) and "_bucket" in plan_of(got).split("hashpartitioning(k")[1][:40]
+
+
+def distance(a, b):
+    return haversine(a, b) / 1000
+
+
+@pytest.mark.parametrize("lat0, lon0", [(28.6, 77.2), (-89.999, 0.0), (10.0, 179.999)])
+def test_nearest_join_equals_brute_force(spark, lat0, lon0):
+    rng = random.Random(7)
+    around = lambda s: (max(-90.0, min(90.0, lat0 + rng.gauss(0, s))), (lon0 + rng.gauss(0, s) + 180) % 360 - 180)
+    places = [(n, *around(rng.choice([1e-4, 1e-2, 3]))) for n in range(250)]
+    places += [(1000 + n, *places[0][1:]) for n in range(30)] + [(2000, -lat0, lon0 - 170 if lon0 > 0 else 170.0), (2001, None, 3.0), (None, lat0, lon0)]
+    asked = [(n, *around(rng.choice([1e-4, 1e-2, 20]))) for n in range(80)] + [(500, *places[0][1:]), (501, *places[0][1:]), (502, None, 1.0)]
+    df = spark.createDataFrame(asked, "id int, latitude double, longitude double")
+    sites = spark.createDataFrame(places, "place_id int, latitude double, longitude double")
+    got = {}
+    for r in spatial.nearest_join(df, sites, 4).orderBy("id", "rank").collect():
+        got.setdefault(r.id, []).append((r.place_id, r.distance_km))
+    assert set(got) == {a[0] for a in asked if a[1] is not None}
+    for n, *at in asked:
+        if at[0] is None:
+            continue
+        far = sorted((round(distance(at, p[1:]), 6), p[0]) for p in places if p[0] is not None and p[1] is not None)
+        assert [d for _, d in got[n]] == pytest.approx([d for d, _ in far[:4]], abs=2e-6)
+        if far[3][0] < far[4][0] - 1e-5:
+            assert {p for p, _ in got[n]} == {p for _, p in far[:4]}
+
+
+def test_nearest_join_with_few_places(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 60.0, 60.0)], "id int, latitude double, longitude double")
+    sites = spark.createDataFrame([(7, -10.0, 175.0), (8, 1.0, 1.0)], "place_id int, latitude double, longitude double")
+    got = spatial.nearest_join(df, sites, 5).orderBy("id", "rank").collect()
+    assert [(r.id, r.place_id) for r in got] == [(1, 8), (1, 7), (2, 8), (2, 7)]
+    assert spatial.nearest_join(df, sites.limit(0), 2).count() == 0
+
+
+def crowds(spark, n):
+    """Two dense crowds, 60 to 100 m apart, numbered in opposite order: the worst case for a smallest partner."""
+    rng = random.Random(n)
+    rows = []
+    for k in range(n // 2):
+        a, b = rng.uniform(0, 2e-4), rng.uniform(0, 2e-4)
+        rows.append((n - k, 28.6 + a, 77.2 + b))
+        rows.append((k + 1, 28.6 + 7e-4 + a / 2, 77.2 + b))
+    return rows, spark.createDataFrame(rows, "location_id int, latitude double, longitude double")
+
+
+def test_colocated_crowds_equal_brute_force_and_compare_little(spark, monkeypatch):
+    rows, df = crowds(spark, 600)
+    got = {r.location_id: r.colocated_with for r in spatial.colocated_with(df).collect()}
+    for i, *at in rows:
+        near = [j for j, *other in rows if j < i and haversine(at, other) < CONFIG.colocated_within_m]
+        assert got[i] == min(near, default=None), i
+    # pairs of cubes looked at, by size: no more than a little above proportion
+    seen = {}
+    for n in (4000, 16_000):
+        counts = []
+        keep = spatial.stored
+        monkeypatch.setattr(spatial, "stored", lambda d, name, counts=counts: (r := keep(d, name), counts.append(r.count()))[0])
+        spatial.colocated_with(crowds(spark, n)[1]).count()
+        monkeypatch.undo()
+        seen[n] = sum(counts)
+    assert seen[16_000] < 8 * seen[4000] and seen[16_000] < 16_000**2 / 50, seen

@@ -114,6 +114,62 @@ def test_announcements_remember_the_last_status(spark, frame):
     assert said == [("ok", "outage"), ("outage", "ok"), ("ok", "degraded")]
 
 
+def keyed_arrivals(frame, spark, schema, parts):
+    """Runs of a stream over one more part each time: as many micro-batches, with restarts."""
+    path = shared_path(spark, "parts")
+    for n, part in enumerate(parts):
+        frame(part, schema).write.parquet(f"{path}/p{n}")
+        yield spark.readStream.schema(spark.read.parquet(f"{path}/p{n}").schema).parquet(f"{path}/p*")
+
+
+def test_streamed_muting_with_failed_sends_equals_batch_and_touches_its_keys_only(frame, spark):
+    rng = random.Random(8)
+    schema = "k string, ts timestamp, arrived boolean"
+    parts = []
+    for n in range(5):
+        keys = ["busy", f"only{n}", None] if n else ["busy", "first"]
+        times = sorted(rng.uniform(30 * n, 30 * n + 30) for _ in range(60))
+        parts.append([(rng.choice(keys), hour(round(t, 3)), rng.random() < 0.6) for t in times])
+    table, cp = shared_path(spark, "sent"), shared_path(spark, "cp")
+    touched = []
+    for stream in keyed_arrivals(frame, spark, schema, parts):
+        progress = alerts.run_muting(stream, "k", "ts", table, cp, delivered=F.col("arrived"))
+        touched.append(sum(o["numRowsUpdated"] for p in progress for o in p["stateOperators"]))
+    everything = frame([r for p in parts for r in p], schema)
+    want = rows(alerts.mute_repeats(everything, "k", "ts", delivered=F.col("arrived")))
+    assert rows(spark.read.parquet(table).select("alert_key", "sent_at")) == want
+    assert {r[0] for r in want} == {"busy", "first", "only1", "only2", "only3", "only4"}
+    # six keys are known in the end, yet no batch writes more than its own two
+    assert all(n <= 2 for n in touched) and len(touched) == 5
+    state = spark.read.format("statestore").option("stateVarName", "last").load(cp)
+    assert state.count() == 6
+
+
+def test_streamed_announcements_with_failed_sends_equal_batch(frame, spark):
+    rng = random.Random(6)
+    schema = "source string, ts timestamp, status string, arrived boolean"
+    parts = [
+        [(rng.choice("abc"), hour(20 * n + rng.uniform(0, 20)), rng.choice(["ok", "ok", "outage", "degraded", None]), rng.random() < 0.5)
+         for _ in range(40)]
+        for n in range(4)
+    ]
+    table, cp = shared_path(spark, "said"), shared_path(spark, "cp")
+    for stream in keyed_arrivals(frame, spark, schema, parts):
+        alerts.run_announcing(stream, "source", "ts", "status", table, cp, delivered=F.col("arrived"))
+    everything = frame([r for p in parts for r in p], schema)
+    want = alerts.announcements(everything, "source", "ts", "status", F.col("arrived"))
+    key = lambda r: (r.alert_key, r.at)
+    assert sorted(spark.read.parquet(table).select(want.columns).collect(), key=key) == sorted(want.collect(), key=key)
+
+
+def test_forgotten_keys_leave_no_state(frame, spark):
+    table, cp = shared_path(spark, "sent"), shared_path(spark, "cp")
+    parts = [[("a", hour(0))], [("b", hour(100))]]
+    for n, stream in enumerate(keyed_arrivals(frame, spark, "k string, ts timestamp", parts)):
+        alerts.run_muting(stream, "k", "ts", table, cp, forget=timedelta(milliseconds=1))
+    assert rows(spark.read.parquet(table).select("alert_key", "sent_at")) == [("a", hour(0)), ("b", hour(100))]
+
+
 def test_a_busy_key_without_pauses_is_spread_over_tasks(spark):
     """An alert every 20 seconds for half a year in one key, nowhere a pause of six hours."""
     n, step = 800_000, 20
@@ -132,6 +188,8 @@ def test_a_busy_key_without_pauses_is_spread_over_tasks(spark):
     instants = df.select(F.col("k").alias("alert_key"), F.unix_micros("ts").alias("at"))
     step = alerts._next_sent(instants, 6 * 3600 * 10**6)
     assert step.groupBy(F.floor(F.col("at") / (6 * 3600 * 10**6))).count().agg(F.max("count")).first()[0] < n / 500
+    blocks = step.groupBy(F.floor(F.col("at") / (alerts.RADIX * 6 * 3600 * 10**6))).count()
+    assert blocks.agg(F.max("count")).first()[0] < n / 20
     assert "hashpartitioning(alert_key" in plan_of(step) and "bucket" in plan_of(step).split("hashpartitioning(alert_key")[1][:40]
 
 
