@@ -123,13 +123,17 @@ def scored(docs: DataFrame, target: DataFrame, plan: Resampling = Resampling(),
     return stored(listed.mapInArrow(run, f"row {kind}, {numbers}"), "importance-scores")
 
 
+BLOCKS = 64  # at least, while a block has 1024 rows
+
+
 def radix_ranks(keyed: DataFrame, keys: list[str], bits: int = 11, block: int = 1 << 16) -> DataFrame:
     """(uid, pos): the position, from 0, of every row in ascending order of ``keys`` (longs, the first counts most; null last).
 
     ``keyed`` has uid (unique) and the keys. Rows with equal keys keep an arbitrary order. The number of passes is given by the range of
-    the keys; rows, the counts of (block, digit) and one row for each digit are all that moves.
+    the keys; rows, the counts of (block, digit) and one row for each digit are all that moves. Blocks hold ``block`` rows, fewer in small tables.
     """
-    spans = keyed.agg(*[F.min(k).alias(f"low_{k}") for k in keys], *[F.max(k).alias(f"high_{k}") for k in keys]).first()
+    spans = keyed.agg(F.count(F.lit(1)).alias("n"), *[F.min(k).alias(f"low_{k}") for k in keys], *[F.max(k).alias(f"high_{k}") for k in keys]).first()
+    block = min(block, max(1024, spans["n"] // BLOCKS))
     digits = []  # least significant first: (key, shift)
     shifted = []
     for k in keys:
