@@ -22,6 +22,15 @@ def _stream(i: Inputs) -> DataFrame:
     )
 
 
+def _shuffled_days(i: Inputs, files: int = 3) -> DataFrame:
+    """The events in three files, each with days from all over the range: a stream of three micro-batches out of order."""
+    path = shared_path(i.spark, "shuffled-days")
+    rows = i.spark.read.parquet(f"{i.base}/events.parquet")
+    part = F.pmod(F.xxhash64(F.to_date("ts")), F.lit(files))
+    rows.repartition(files, part).write.parquet(path)
+    return runs.read_files(i.spark, f"{path}/", rows.schema, files_per_batch=1).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def _paths(i: Inputs, name: str) -> tuple[str, str]:
     return shared_path(i.spark, name), shared_path(i.spark, f"{name}-checkpoint")
 
@@ -31,9 +40,8 @@ def _paths(i: Inputs, name: str) -> tuple[str, str]:
            CAST(sum({micro('value')}) AS DOUBLE) / 1000000 AS total FROM events GROUP BY ALL""")
 def _(i: Inputs):
     table, checkpoint = _paths(i, "hourly-window")
-    counts = windows.hourly_counts(_stream(i), ["event_type"], "ts", "value")
-    runs.run_upsert_windows(i.spark, counts, table, checkpoint, ["event_type", "hour_utc"], "hour_utc")
-    return read_table(i.spark, table).select("event_type", "hour_utc", "n", "total")
+    runs.run_hours(i.spark, _shuffled_days(i), table, checkpoint, ["event_type"], "ts", "value")
+    return read_table(i.spark, table).select("event_type", "hour_utc", "n", F.col("total").cast("double").alias("total"))
 
 
 @query("stream_sliding_24h", f"""
@@ -45,9 +53,8 @@ def _(i: Inputs):
     FROM h, range(24) AS r(b) GROUP BY ALL""")
 def _(i: Inputs):
     table, checkpoint = _paths(i, "sliding")
-    counts = windows.hourly_counts(_stream(i), ["event_type"], "ts", "value")
     hours = shared_path(i.spark, "sliding-hours")
-    runs.run_sliding(i.spark, counts, hours, table, checkpoint, ["event_type"], 24)
+    runs.run_sliding(i.spark, _shuffled_days(i), hours, table, checkpoint, ["event_type"], "ts", "value", 24)
     return read_table(i.spark, table).select("event_type", "window_start_utc", "window_end_utc", "n", "total")
 
 
@@ -68,10 +75,9 @@ def _(i: Inputs):
     SELECT DISTINCT user_id, event_type, {half('ts')} AS hour_start_utc FROM ev"""))
 def _(i: Inputs):
     table, checkpoint = _paths(i, "stream-dedupe")
-    rows = _stream(i).select("user_id", "event_type", half_hour_floor("ts").alias("hour_start_utc"), "ts")
-    once = windows.first_seen_only(rows, ["user_id", "event_type", "hour_start_utc"], "ts")
-    runs.run_append(once, table, checkpoint)
-    return read_table(i.spark, table).select("user_id", "event_type", "hour_start_utc")
+    rows = _shuffled_days(i).select("user_id", "event_type", half_hour_floor("ts").alias("hour_start_utc"), "ts", "event_id")
+    runs.run_first_seen(i.spark, rows, table, checkpoint, ["user_id", "event_type", "hour_start_utc"], "ts", ["event_id"])
+    return i.spark.read.parquet(table).select("user_id", "event_type", "hour_start_utc")
 
 
 def _runs(i: Inputs, run, parts: int = 4) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,38 +56,83 @@ def rebuild(df: DataFrame, base: str, version: str) -> str:
     return path
 
 
-def upsert(
-    spark: SparkSession,
-    path: str,
-    incoming: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    ts: str,
-) -> None:
-    """Keyed merge, newest wins, new columns appended.
+def merge_months(
+    spark: SparkSession, path: str, incoming: DataFrame, ts: str, combine: Callable[[DataFrame | None, DataFrame], DataFrame]
+) -> list[str]:
+    """Rewrite the months that ``incoming`` touches as ``combine(stored rows or None, incoming)``; the months touched.
 
     ``incoming`` is computed once, into a staging table whose month directories say which months to read
-    and rewrite; ``ts`` must be part of the key, so a key never moves to another month. The merged
-    months are staged too and then swapped in with a dynamic partition overwrite: a failure before the
-    swap changes nothing, and running again after one gives the same table.
+    and rewrite. The merged months are staged too and then swapped in with a dynamic partition overwrite: a failure before the
+    swap changes nothing.
     """
     arrived = shared_path(spark, "incoming")
     schema = with_month(incoming, ts).schema
     write_months(with_month(incoming, ts), arrived)
     touched = [c.split("=", 1)[1] for c in children(spark, arrived) if c.startswith(f"{MONTH}=")]
     if not touched:
-        return
-    merged = spark.read.schema(schema).parquet(arrived)
-    if children(spark, path):
-        current = read_table(spark, path).filter(F.col(MONTH).isin(*touched))
-        merged = current.unionByName(merged, allowMissingColumns=True)
-    final = latest_wins(merged, keys, *order)
+        return touched
+    current = read_table(spark, path).filter(F.col(MONTH).isin(*touched)) if children(spark, path) else None
+    final = combine(current, spark.read.schema(schema).parquet(arrived))
     staging = shared_path(spark, "staging")
     write_months(final, staging)
     write_months(spark.read.schema(final.schema).parquet(staging), path, dynamic=True)
     write_text(spark, _schema_file(path), final.schema.json())
     for done in (arrived, staging):
         delete_tree(spark, done)
+    return touched
+
+
+def upsert(
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    ts: str,
+) -> None:
+    """Keyed merge, newest wins, new columns appended. Running again after a failure gives the same table.
+
+    ``ts`` must be part of the key, so a key never moves to another month.
+    """
+
+    def newest(current: DataFrame | None, arrived: DataFrame) -> DataFrame:
+        both = arrived if current is None else current.unionByName(arrived, allowMissingColumns=True)
+        return latest_wins(both, keys, *order)
+
+    merge_months(spark, path, incoming, ts, newest)
+
+
+def add_sums(
+    spark: SparkSession, path: str, deltas: DataFrame, keys: Sequence[str], sums: Sequence[str], ts: str, batch_id: int
+) -> None:
+    """Add counts and sums (longs, or decimals of twelve places) to the stored ones by key.
+
+    Each row remembers the batch it was last added to in ``batch``. Batches come in order, so one that is replayed after a failure, whole
+    or half done, adds to no row twice. ``ts`` must be part of the key.
+    """
+    kinds = dict(deltas.dtypes)
+
+    def plus(current: DataFrame | None, arrived: DataFrame) -> DataFrame:
+        rows = arrived.withColumns({"batch": F.lit(batch_id).cast("long"), "_new": F.lit(True)})
+        if current is not None:
+            rows = rows.unionByName(current.withColumn("_new", F.lit(False)))
+        old = [F.sum(F.when(~F.col("_new"), F.col(c))).alias(f"_old_{c}") for c in sums]
+        new = [F.sum(F.when(F.col("_new"), F.col(c))).alias(f"_add_{c}") for c in sums]
+        done = F.max(F.when(~F.col("_new"), F.col("batch"))).alias("_done")
+        met = rows.groupBy(*keys, MONTH).agg(*old, *new, F.max("batch").alias("batch"), done)
+        fresh = F.coalesce(F.col("_done") < batch_id, F.lit(True))
+        total = lambda c: (
+            F.coalesce(F.col(f"_old_{c}"), F.lit(0)).cast(_addend(kinds[c]))
+            + F.when(fresh, F.coalesce(F.col(f"_add_{c}"), F.lit(0))).otherwise(F.lit(0)).cast(_addend(kinds[c]))
+        )
+        return met.select(*keys, *[total(c).cast(kinds[c]).alias(c) for c in sums], "batch", MONTH)
+
+    merge_months(spark, path, deltas, ts, plus)
+
+
+def _addend(kind: str) -> str:
+    """A type with room for one more digit in the sum."""
+    return "decimal(37,12)" if kind.startswith("decimal") else kind
 
 
 def compact(spark: SparkSession, path: str, months: Sequence[str], target_mb: int = 256) -> None:

@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from airlake.functions.numeric import exact
 from airlake.functions.time import as_ts
-from airlake.session import shared_path
-from airlake.sources.tables import month_between, read_table, upsert
+from airlake.operators.dedupe import latest_wins
+from airlake.session import stored
+from airlake.sources.files import children
+from airlake.sources.tables import MONTH, add_sums, month_between, read_table, upsert, with_month
 from airlake.streaming.windows import sliding_sums
 
 STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
@@ -80,23 +83,41 @@ def run_upsert_windows(
     run_available(stream, checkpoint, merge)
 
 
+def hour_deltas(batch: DataFrame, by: Sequence[str], ts: str, value: str) -> DataFrame:
+    """Count and exact sum of a micro-batch by key and hour; rows without a time count nowhere."""
+    hours = batch.where(F.col(ts).isNotNull()).groupBy(*by, F.date_trunc("hour", ts).alias("hour_utc"))
+    return hours.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(exact(value)), F.lit(0)).cast("decimal(38,12)").alias("total"))
+
+
+def run_hours(
+    spark: SparkSession, stream: DataFrame, table: str, checkpoint: str, by: Sequence[str], ts: str, value: str
+) -> list[dict]:
+    """Hourly counts and sums (``n``, ``total``) by key in a stored table, whatever the order of arrival.
+
+    A micro-batch is aggregated by itself and its sums are added to the stored hours, so the stream keeps no state, drops nothing
+    as too late, and the work is that of the months the batch touches.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        add_sums(spark, table, hour_deltas(batch, by, ts, value), [*by, "hour_utc"], ["n", "total"], "hour_utc", batch_id)
+
+    return run_available(stream, checkpoint, merge, mode="append")
+
+
 def run_sliding(
-    spark: SparkSession, hourly: DataFrame, hours_table: str, table: str, checkpoint: str,
-    by: Sequence[str], width: int,
-) -> None:
-    """Sliding sums kept up to date: changed hours are merged, then only the windows they touch."""
+    spark: SparkSession, stream: DataFrame, hours_table: str, table: str, checkpoint: str,
+    by: Sequence[str], ts: str, value: str, width: int,
+) -> list[dict]:
+    """Sliding sums kept up to date: a batch is added to the stored hours, then only the windows it touches are made anew."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        versioned = batch.withColumn("batch", F.lit(batch_id).cast("long"))
-        changed = shared_path(spark, "changed-hours")
-        versioned.write.parquet(changed)
-        rows = spark.read.parquet(changed)
-        upsert(spark, hours_table, rows, [*by, "hour_utc"], [F.col("batch").desc()], "hour_utc")
-        low, high = rows.agg(
+        deltas = stored(hour_deltas(batch, by, ts, value), "changed-hours")
+        low, high = deltas.agg(
             F.min("hour_utc").cast("timestamp_ntz"), F.max("hour_utc").cast("timestamp_ntz")
         ).first()
         if low is None:
             return
+        add_sums(spark, hours_table, deltas, [*by, "hour_utc"], ["n", "total"], "hour_utc", batch_id)
         reach = timedelta(hours=width)
         near = read_table(spark, hours_table).filter(
             month_between(low - reach, high + reach)
@@ -110,7 +131,34 @@ def run_sliding(
             [*by, "window_start_utc"], [F.col("batch").desc()], "window_start_utc",
         )
 
-    run_available(hourly, checkpoint, merge)
+    return run_available(stream, checkpoint, merge, mode="append")
+
+
+def run_first_seen(
+    spark: SparkSession, stream: DataFrame, table: str, checkpoint: str, keys: Sequence[str], ts: str, ties: Sequence[str] = ()
+) -> list[dict]:
+    """Append the first row of each key to arrive (within a batch the earliest by ``ts``, then ``ties``); repeats are dropped.
+
+    What was seen is the table itself, read for the months of the batch only: no state in the stream, no lateness. ``ts`` must be part of
+    the key, or follow from it. A replayed batch replaces its own rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        order = [F.col(ts).asc(), *[F.col(c).asc() for c in ties]]
+        fresh = stored(with_month(latest_wins(batch, keys, *order), ts), "first-seen")
+        months = [r[0] for r in fresh.select(MONTH).distinct().collect()]  # one value a month
+        if not months:
+            return
+        fresh = fresh.withColumn("batch", F.lit(batch_id).cast("long"))
+        if children(spark, table):
+            seen = spark.read.schema(fresh.schema).parquet(table)
+            seen = seen.where(F.col(MONTH).isin(*months) & (F.col("batch") != batch_id)).select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+            fresh = stored(fresh.join(seen, same, "left_anti"), "first-fresh")
+        writer = fresh.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH, "batch")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(table)
+
+    return run_available(stream, checkpoint, write, mode="append")
 
 
 def run_append(stream: DataFrame, table: str, checkpoint: str) -> list[dict]:

@@ -1,7 +1,7 @@
-"""Streaming twins of the hourly counts, sliding sums and dedupe.
+"""Hourly counts, sliding sums and dedupe inside a stream.
 
-Without a ``lateness`` nothing is ever too late: the state keeps one small row per key and hour (or per key seen) in
-RocksDB. A lateness bounds the state and accepts that later rows are dropped; the caller has to ask for that.
+These keep their totals (or the keys seen) in the state store: a lateness bounds the state and accepts that later rows are
+dropped, which the caller has to ask for. :mod:`airlake.streaming.runs` has the forms without state, which drop nothing.
 """
 
 from __future__ import annotations

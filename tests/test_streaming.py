@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from airlake.functions.numeric import fixed_sum
 from airlake.operators.dedupe import newest
 from airlake.session import shared_path
-from airlake.sources.tables import read_table
+from airlake.sources.tables import add_sums, read_table
 from airlake.streaming import alerts, runs, windows
 
 
@@ -41,21 +41,74 @@ def test_hourly_counts_over_several_batches_equal_batch(spark, frame):
     table = shared_path(spark, "hourly")
     counts = windows.hourly_counts(stream, ["k"], "ts", "v")
     runs.run_upsert_windows(spark, counts, table, shared_path(spark, "cp"), ["k", "hour_utc"], "hour_utc")
-    want = batch.groupBy("k", F.date_trunc("hour", "ts").alias("hour_utc")).agg(
+    assert rows(read_table(spark, table).select("k", "hour_utc", "n", "total")) == rows(hourly(batch))
+
+
+def hourly(batch):
+    return batch.groupBy("k", F.date_trunc("hour", "ts").alias("hour_utc")).agg(
         F.count(F.lit(1)).alias("n"), fixed_sum("v").alias("total")
     )
-    assert rows(read_table(spark, table).select("k", "hour_utc", "n", "total")) == rows(want)
+
+
+def days_out_of_order(frame, spark):
+    """Three files over three months, the newest first, with nulls and one hour in all of them."""
+    rng = random.Random(5)
+    path = shared_path(spark, "days")
+    for n, day in enumerate((60, 0, 31)):
+        part = [(rng.choice("ab"), hour(24 * day + rng.uniform(0, 30)), round(rng.uniform(-9, 9), 3)) for _ in range(80)]
+        part += [("a", hour(5.2), 0.1 * n), ("b", None, 1.0), ("a", hour(7), None), (None, hour(24 * day), 2.0)]
+        frame(part, "k string, ts timestamp, v double").coalesce(1).write.parquet(f"{path}/p{n}")
+    batch = spark.read.parquet(f"{path}/p*")
+    return batch, spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/p*")
+
+
+def test_hours_from_deltas_equal_batch_and_keep_no_state(spark, frame):
+    batch, stream = days_out_of_order(frame, spark)
+    table = shared_path(spark, "hours")
+    progress = runs.run_hours(spark, stream, table, shared_path(spark, "cp"), ["k"], "ts", "v")
+    assert len(progress) == 3 and not any(p["stateOperators"] for p in progress)
+    got = read_table(spark, table).select("k", "hour_utc", "n", F.col("total").cast("double"))
+    want = hourly(batch.where("ts IS NOT NULL")).fillna(0.0, subset=["total"])
+    key = lambda r: (str(r[0]), r[1])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+def test_a_replayed_batch_adds_nothing(spark, frame):
+    one = frame([("a", hour(0), 1.5), ("a", hour(24 * 40), 2.0)], "k string, ts timestamp, v double")
+    two = frame([("a", hour(0.2), 0.25), ("b", hour(0.2), 4.0)], "k string, ts timestamp, v double")
+    table = shared_path(spark, "replayed")
+    add = lambda df, n: add_sums(spark, table, runs.hour_deltas(df, ["k"], "ts", "v"), ["k", "hour_utc"], ["n", "total"], "hour_utc", n)
+    add(one, 0)
+    add(one, 0)
+    add(two, 1)
+    # half of a batch had been swapped in when it failed: its months are left alone, the others get their share
+    add(two.unionByName(frame([("a", hour(24 * 40), 8.0)], "k string, ts timestamp, v double")), 1)
+    got = {(r.k, r.hour_utc): (r.n, float(r.total)) for r in read_table(spark, table).collect()}
+    assert got == {("a", hour(-0.5)): (2, 1.75), ("b", hour(-0.5)): (1, 4.0), ("a", hour(24 * 40 - 0.5)): (2, 10.0)}
 
 
 def test_sliding_sums_over_several_batches_equal_batch(spark, frame):
-    batch, stream = arrivals(frame, spark)
+    batch, stream = days_out_of_order(frame, spark)
     table = shared_path(spark, "sliding")
-    counts = windows.hourly_counts(stream, ["k"], "ts", "v")
-    runs.run_sliding(spark, counts, shared_path(spark, "hours"), table, shared_path(spark, "cp"), ["k"], 24)
-    want = batch.groupBy("k", F.window("ts", "24 hours", "1 hour").alias("w")).agg(
-        F.count(F.lit(1)).alias("n"), fixed_sum("v").alias("total")
+    runs.run_sliding(spark, stream, shared_path(spark, "hours"), table, shared_path(spark, "cp"), ["k"], "ts", "v", 24)
+    want = batch.where("ts IS NOT NULL").groupBy("k", F.window("ts", "24 hours", "1 hour").alias("w")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(fixed_sum("v"), F.lit(0.0)).alias("total")
     ).select("k", "w.start", "w.end", "n", "total")
-    assert rows(read_table(spark, table).select("k", "window_start_utc", "window_end_utc", "n", "total")) == rows(want)
+    key = lambda r: (str(r[0]), r[1])
+    got = read_table(spark, table).select("k", "window_start_utc", "window_end_utc", "n", "total").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+def test_first_seen_without_state_equals_distinct(spark, frame):
+    batch, stream = days_out_of_order(frame, spark)
+    keyed = lambda df: df.where("ts IS NOT NULL").withColumn("hour_utc", F.date_trunc("hour", "ts"))
+    table, cp = shared_path(spark, "first"), shared_path(spark, "cp")
+    progress = runs.run_first_seen(spark, keyed(stream), table, cp, ["k", "hour_utc"], "ts", ["v"])
+    assert not any(p["stateOperators"] for p in progress)
+    got = spark.read.parquet(table)
+    key = lambda r: (str(r[0]), r[1])
+    want = keyed(batch).select("k", "hour_utc").distinct().collect()
+    assert sorted(map(tuple, got.select("k", "hour_utc").collect()), key=key) == sorted(map(tuple, want), key=key)
 
 
 def test_stream_upsert_equals_batch_dedupe(spark, frame):
