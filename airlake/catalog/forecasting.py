@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlake.catalog.inputs import CFG, Inputs
@@ -15,6 +17,7 @@ from airlake.operators.reshape import melt
 from airlake.plans import evaluation as ev
 from airlake.plans import features, models, serving
 from airlake.session import shared_path
+from airlake.sources.envelopes import read_served
 from airlake.sources.tables import rebuild
 
 KEY, HOUR = "location_id", "hour_start_utc"
@@ -452,6 +455,23 @@ def _(i: Inputs):
     return d.select("feature", "n_reference", "n_current", F.round("ks", 9).alias("ks"))
 
 
+@query("drift_ks_by_days", f"""{_DRIFT}
+    SELECT feature, nr AS n_reference, nc AS n_current, round(max(abs(fr - fc)), 9) AS ks FROM c GROUP BY ALL""")
+def _(i: Inputs):
+    """The reference as stored counts of each day, the last of them added later; the current side counted anew."""
+    rows = i.events().select("ts", "value", "k")
+    since = add(i.as_of(), "DAY", -CFG.drift_window_days)
+    path = shared_path(i.spark, "drift-days")
+    past = rows.filter(F.col("ts") < since)
+    last = past.agg(F.max(F.to_date("ts"))).scalar()
+    drift.store_days(past.filter(F.to_date("ts") < last), ["value", "k"], "ts", path)
+    drift.store_days(past.filter(F.to_date("ts") == last), ["value", "k"], "ts", path)
+    reference = drift.merge_days(i.spark.read.parquet(path), F.lit(True))
+    current = drift.counted(drift.long_form(rows.filter(F.col("ts") >= since), ["value", "k"], "current"))
+    d = drift.distances_of_counts(reference, current)
+    return d.select("feature", "n_reference", "n_current", F.round("ks", 9).alias("ks"))
+
+
 @query("drift_wasserstein", f"""{_DRIFT}
     SELECT feature, round(sum(abs(fr - fc) * (nv - v)), 6) AS wasserstein,
            (SELECT round(stddev_pop(y.v), 6) FROM v y WHERE y.feature = c.feature AND side = 0) AS reference_std
@@ -499,6 +519,53 @@ def _(i: Inputs):
     return models.predict_live(live, fitted, "quick")
 
 
+def _training(i: Inputs) -> DataFrame:
+    return i.stored(i.features("train"), "training-features")
+
+
+@query("training_order", _features_sql("train", """
+    SELECT location_id, horizon_h, issue_time_utc, target_pm25,
+           row_number() OVER (ORDER BY issue_time_utc, location_id, horizon_h) AS place
+    FROM final WHERE target_pm25 IS NOT NULL"""))
+def _(i: Inputs):
+    """Training rows in the order that makes fits repeatable, numbered by partition of the range sort."""
+    rows = i.stored(features.training_order(_training(i)), "ordered").withColumns(
+        {"part": F.input_file_name(), "row": F.monotonically_increasing_id()}
+    )
+    key = F.struct("issue_time_utc", "location_id", "horizon_h")
+    parts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"), F.max(key).alias("last"))
+    # one row a file of the range sort
+    parts = parts.select("part", (F.sum("n").over(Window.orderBy("first", "last")) - F.col("n")).alias("before"))
+    inside = Window.partitionBy("part").orderBy("row")
+    return rows.withColumn("_n", F.row_number().over(inside)).join(parts, "part").select(
+        "location_id", "horizon_h", "issue_time_utc", "target_pm25", (F.col("before") + F.col("_n")).alias("place")
+    )
+
+
+@query("served_features", _features_sql("live", """
+    SELECT location_id, horizon_h, strftime(issue_time_utc, '%Y-%m-%dT%H:%M:%SZ') AS issue_time_utc, pm25_lag0, valid_hours_24h FROM final"""))
+def _(i: Inputs):
+    """The live rows written as served and read back from their day on."""
+    path = shared_path(i.spark, "served")
+    models.write_served(i.features("live"), path)
+    schema = "location_id bigint, horizon_h int, issue_time_utc string, pm25_lag0 double, valid_hours_24h bigint"
+    return read_served(i.spark, path, schema, "0000-00-00").drop("dt", "hour")
+
+
+@query("champion_holdout", _features_sql("train", """
+    , known AS (SELECT * FROM final WHERE target_pm25 IS NOT NULL),
+    cut AS (SELECT max(target_hour_start_utc) + INTERVAL 1 HOUR - INTERVAL 14 DAY AS t FROM known)
+    SELECT horizon_h, role, count(*) AS n, true AS in_range
+    FROM known, cut, (VALUES ('challenger'), ('production')) AS r(role) WHERE issue_time_utc >= t GROUP BY ALL"""))
+def _(i: Inputs):
+    """Challenger and production scored on the same holdout rows; errors are checked for their range, as SQL cannot fit trees."""
+    train = _training(i)
+    production = {h: models.fit(train.filter(F.col("horizon_h") == h), params=QUICK) for h in CFG.horizons}
+    scored = models.holdout_scores(train, production, datetime(2000, 1, 1), params=QUICK, cfg=CFG)
+    table = models.champion_table(scored)
+    return table.select("horizon_h", "role", "n", F.coalesce((F.col("mae") > 0) & (F.col("mae") < 200), F.lit(False)).alias("in_range"))
+
+
 @query("gbt_forecast_rows", _features_sql("live", """
     SELECT location_id, zone_id, CAST(horizon_h AS BIGINT) AS horizon_h, issue_time_utc, target_hour_start_utc,
            input_age_hours, is_stale_input, true AS is_valid FROM final"""))

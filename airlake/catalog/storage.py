@@ -13,11 +13,13 @@ from airlake.catalog.conditions import user_status
 from airlake.catalog.inputs import CFG, Inputs
 from airlake.catalog.registry import query
 from airlake.catalog.views import half, using
-from airlake.functions.time import add, as_ts, half_hour_floor, hour_floor, iso_text
+from airlake.functions.time import add, as_ts, half_hour_floor, hour_floor, iso_text, iso_ts, minute_ts
 from airlake.operators import incremental
 from airlake.plans import evaluation, fires, hourly, models, staging, status
 from airlake.session import shared_path
 from airlake.sources import envelopes, snapshot, tables
+from airlake.sources.files import children, move, sizes
+from airlake.streaming import runs
 
 # --- raw envelopes built from the events ------------------------------------------------------------
 
@@ -345,17 +347,123 @@ def _(i: Inputs):
 
 
 @query("compaction", """
-    SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, sum(o_orderkey)::BIGINT AS keys
-    FROM orders GROUP BY 1""")
+    SELECT o_orderkey, o_orderdate, o_totalprice, true AS large_kept FROM orders""")
 def _(i: Inputs):
+    """Months in many small files and one large one each: the small ones are packed, the large ones keep their names."""
     path = shared_path(i.spark, "fragmented")
-    orders = i.table("orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    tables.with_month(orders, "o_orderdate").repartition(4).write.partitionBy("month").parquet(path)
-    months = [r[0] for r in tables.read_table(i.spark, path).select("month").distinct().collect()]
-    tables.compact(i.spark, path, months)
-    return tables.read_table(i.spark, path).groupBy("month").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")
+    orders = tables.with_month(i.table("orders").select("o_orderkey", "o_orderdate", "o_totalprice"), "o_orderdate")
+    large = orders.where("o_orderkey % 10 < 7").repartition("month")
+    large.write.partitionBy("month").parquet(path)
+    months = [c.split("=", 1)[1] for c in children(i.spark, path) if c.startswith("month=")]  # one name a month
+    before = {m: set(sizes(i.spark, f"{path}/month={m}")) for m in months}
+    target = min((n for m in months for n in sizes(i.spark, f"{path}/month={m}").values()), default=1) * 1.5 / 2**20
+    orders.where("o_orderkey % 10 >= 7").repartition(4).write.mode("append").partitionBy("month").parquet(path)
+    tables.compact(i.spark, path, months, target)
+    after = {m: set(sizes(i.spark, f"{path}/month={m}")) for m in months}
+    kept = all(before[m] <= after[m] for m in months)
+    out = tables.read_table(i.spark, path)
+    return out.select("o_orderkey", "o_orderdate", "o_totalprice", F.lit(kept).alias("large_kept"))
+
+
+_BAD = "k % 13 = 0 OR (k % 11 = 0 AND event_id % 2 = 0)"
+
+
+@query("stream_envelopes", using("ev", body=f"""
+    SELECT point_id, time_utc, {_cols((*schemas.WEATHER, schemas.BOUNDARY))}, fetched_at,
+           1 + (SELECT count(*) FROM ev WHERE {_BAD}) AS n_quarantined
+    FROM (
+        SELECT zone AS point_id, date_trunc('second', ts) AS fetched_at, date_trunc('hour', ts) + to_hours(n) AS time_utc,
+               CASE WHEN event_id % 5 <> 0 OR n < 2 THEN value + n END AS v
+        FROM ev, range(3) AS r(n) WHERE NOT ({_BAD}))
+    WHERE v IS NOT NULL {_NEWEST}"""))
+def _(i: Inputs):
+    """Envelopes as they land, in micro-batches: wrong offsets, arrays of unequal length and a broken line are set aside."""
+    names = (*schemas.WEATHER, schemas.BOUNDARY)
+    docs = _weather_docs(i, names, k=F.col("k"), event_id=F.col("event_id"))
+    r = F.try_element_at(F.try_element_at("responses", F.lit(1)), F.lit(1))
+    short = F.col("r.hourly").withField("time", F.slice("r.hourly.time", 1, 2))
+    wrong = F.when(F.col("k") % 13 == 0, F.col("r").withField("utc_offset_seconds", F.lit(19800)))
+    wrong = wrong.when((F.col("k") % 11 == 0) & (F.col("event_id") % 2 == 0), F.col("r").withField("hourly", short)).otherwise(F.col("r"))
+    docs = docs.withColumn("r", r).withColumn("responses", F.array(F.array(wrong))).drop("r", "k", "event_id")
+    path = _land(docs, "weather_stream", "dt")
+    i.spark.createDataFrame([('{"fetched_at": "2024-',)], "value string").write.text(f"{path}/dt=0000-00-00")
+
+    def stage(good: DataFrame) -> DataFrame:
+        rows = envelopes.hourly_rows(good, names, "point_id", "fetched_at")
+        known = rows.where(F.coalesce(*[F.col(c) for c in names]).isNotNull())
+        return known.select("point_id", minute_ts("time").alias("time_utc"), *names, iso_ts("fetched_at").alias("fetched_at"))
+
+    table, bad, checkpoint = (shared_path(i.spark, n) for n in ("weather", "weather-bad", "weather-checkpoint"))
+    stream = runs.read_json_files(i.spark, path, schemas.WEATHER_ACTUALS, files_per_batch=8)
+    runs.run_envelopes(
+        i.spark, stream, table, bad, checkpoint, lambda d: envelopes.point_responses(d, "fetched_at"),
+        envelopes.valid_response(names), stage, ["point_id", "time_utc"],
+        [F.col("fetched_at").desc(), F.col(names[0]).desc()], "time_utc",
+    )
+    count = i.spark.read.parquet(bad).agg(F.count(F.lit(1)).alias("n_quarantined"))
+    return tables.read_table(i.spark, table).drop("month").crossJoin(F.broadcast(count))
+
+
+@query("fires_csv", using("ofire", body="""
+    SELECT sensor || '_' || product AS source, year(acq_date) || '-01-01' AS dt, latitude::VARCHAR AS latitude,
+           hour(acquired_at_utc)::VARCHAR || printf('%02d', minute(acquired_at_utc)) AS acq_time, daynight,
+           order_id % 17 <> 0 AS is_valid
+    FROM ofire WHERE acq_date >= DATE '1994-01-01'"""))
+def _(i: Inputs):
+    """Detection files, one a source and year: every column text, the source from the file name, wrong rows told apart."""
+    path, staging = shared_path(i.spark, "fires-csv"), shared_path(i.spark, "fires-staging")
+    names = [c.strip().split()[0] for c in schemas.FIRES_CSV.split(",")]
+    known = {
+        "latitude": F.col("latitude").cast("string"), "longitude": F.col("longitude").cast("string"),
+        "acq_date": F.date_format("acq_date", "yyyy-MM-dd"), "daynight": F.col("daynight"),
+        "acq_time": F.concat(F.hour("acquired_at_utc"), F.lpad(F.minute("acquired_at_utc").cast("string"), 2, "0")),
+        "confidence": F.when(F.col("order_id") % 17 == 0, "?").otherwise(F.col("confidence")), "frp": F.col("frp_mw").cast("string"),
+    }
+    text = i.order_fires().select(
+        *[known.get(c, F.lit("x")).alias(c) for c in names],
+        F.concat(F.year("acq_date"), F.lit("-01-01")).alias("dt"), F.concat_ws("_", "sensor", "product").alias("source"),
+    )
+    text.repartition("dt", "source").write.option("header", True).partitionBy("dt", "source").csv(staging)
+    for dt in [c for c in children(i.spark, staging) if c.startswith("dt=")]:  # a file a source and year, renamed as it would come
+        for source in children(i.spark, f"{staging}/{dt}"):
+            (name,) = sizes(i.spark, f"{staging}/{dt}/{source}")
+            move(i.spark, f"{staging}/{dt}/{source}/{name}", f"{path}/{dt}/{source.split('=')[1]}.csv")
+    raw = envelopes.read_fires(i.spark, path, "1994-01-01")
+    return raw.select("source", "dt", "latitude", "acq_time", "daynight", F.coalesce(envelopes.valid_detection(), F.lit(False)).alias("is_valid"))
+
+
+@query("dimension_csv", """
+    SELECT s_suppkey AS location_id, s_name AS station_name FROM supplier""")
+def _(i: Inputs):
+    """A dimension kept as a CSV seed, read with its own types."""
+    path = shared_path(i.spark, "dim-csv")
+    kinds = [c.strip().split(None, 1) for c in schemas.DIMENSIONS["stations"].split(",")]
+    known = {"location_id": F.col("s_suppkey"), "station_name": F.col("s_name")}
+    seed = i.table("supplier").select(*[known.get(c, F.lit(None)).cast(k).alias(c) for c, k in kinds])
+    seed.write.option("header", True).csv(path)
+    return envelopes.read_dim(i.spark, path, "stations").select("location_id", "station_name")
+
+
+@query("rebuild_switch", """
+    SELECT o_orderkey, o_totalprice + 1 AS o_totalprice FROM orders""")
+def _(i: Inputs):
+    """A table rebuilt: readers of the old version keep it, new ones get the new one."""
+    base = shared_path(i.spark, "rebuilt")
+    rows = i.table("orders").select("o_orderkey", "o_totalprice")
+    tables.rebuild_and_switch(i.spark, rows, base, "1")
+    tables.rebuild_and_switch(i.spark, rows.withColumn("o_totalprice", F.col("o_totalprice") + 1), base, "2")
+    return tables.read_current(i.spark, base)
+
+
+@query("forecast_on_time", using("ev", body="""
+    SELECT event_id, abs(date_diff('second', date_trunc('hour', ts) - to_hours(k % 5), date_trunc('second', ts))) <= 7200 AS on_time FROM ev"""))
+def _(i: Inputs):
+    """Forecasts labelled with an hour more than two hours from when they were fetched are refused."""
+    rows = i.events().select(
+        "event_id", iso_text("ts").alias("fetched_at"),
+        iso_text(F.timestamp_seconds(F.unix_seconds(hour_floor("ts")) - F.col("k") % 5 * 3600)).alias("logical_hour"),
     )
+    return rows.select("event_id", envelopes.on_time().alias("on_time"))
 
 
 @query("snapshot_export", using("aqi", "zone_hourly", "city_hourly", "edaily", "fcst", "facc", "ustatus", "ufeed", "stations", "zones", body="""

@@ -18,12 +18,27 @@ DISTANCE_LIMIT = 0.1
 
 def long_form(df: DataFrame, columns: list[str], side: str) -> DataFrame:
     """(feature, value) rows; booleans count as 0/1 and non-numbers as missing."""
-    values = df.select(*[F.expr(f"try_cast(cast({c} as string) as double)").alias(c)
-                         if dict(df.dtypes)[c] == "string" else F.col(c).cast("double").alias(c)
-                         for c in columns])
-    return values.unpivot([], columns, "feature", "value").filter("value IS NOT NULL").withColumn(
-        "side", F.lit(side)
+    return _values(df, columns, []).withColumn("side", F.lit(side))
+
+
+def _values(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
+    values = df.select(*keep, *[F.expr(f"try_cast(cast({c} as string) as double)").alias(c)
+                                if dict(df.dtypes)[c] == "string" else F.col(c).cast("double").alias(c)
+                                for c in columns])
+    return values.unpivot(keep, columns, "feature", "value").filter("value IS NOT NULL")
+
+
+def _bin_of(cuts: Column, v: Column, n_cuts: int) -> Column:
+    """How many of the ascending cuts lie below ``v``, by bisection."""
+    steps = F.sequence(F.lit(1), F.lit(max(1, n_cuts.bit_length())))
+    middle = lambda s: F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+    below = lambda s: F.get(cuts, middle(s)) < v
+    halve = lambda s: F.struct(
+        F.when((s["lo"] < s["hi"]) & below(s), middle(s) + 1).otherwise(s["lo"]).alias("lo"),
+        F.when((s["lo"] < s["hi"]) & ~below(s), middle(s)).otherwise(s["hi"]).alias("hi"),
     )
+    whole = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+    return F.aggregate(steps, whole, lambda s, _: halve(s), lambda s: s["lo"])
 
 
 def _ks_p_value(lam2: Column) -> Column:
@@ -41,19 +56,43 @@ def distances(reference: DataFrame, current: DataFrame) -> DataFrame:
 
     Both inputs are (feature, value, side) rows from :func:`long_form`.
     """
-    rows = reference.unionByName(current)
-    counts = rows.groupBy("feature", F.col("value").alias("v")).agg(
-        F.count_if(F.col("side") == "reference").alias("r"),
-        F.count_if(F.col("side") == "current").alias("c"),
-    )
+    return distances_of_counts(counted(reference), counted(current))
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """(feature, value, n) of :func:`long_form` rows."""
+    return rows.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def store_days(df: DataFrame, columns: list[str], day: str, path: str) -> None:
+    """Exact value counts of the days in ``df``, one partition a day; days written again are replaced.
+
+    Counts of several days add up, so a reference window is merged from its days and a new day costs one day's scan.
+    """
+    days = df.select(F.col(day).cast("date").alias("day"), *columns)
+    rows = _values(days, columns, ["day"]).groupBy("day", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    writer = rows.hint("rebalance", "day").write.mode("overwrite").partitionBy("day")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def merge_days(stored_days: DataFrame, days: Column) -> DataFrame:
+    """(feature, value, n) over the days that meet the condition on ``day``."""
+    return stored_days.where(days).groupBy("feature", "value").agg(F.sum("n").alias("n"))
+
+
+def distances_of_counts(reference: DataFrame, current: DataFrame) -> DataFrame:
+    """As :func:`distances`, from (feature, value, n) of each side."""
+    side = lambda df, name, other: df.select("feature", F.col("value").alias("v"), F.col("n").alias(name), F.lit(0).cast("long").alias(other))
+    both = side(reference, "r", "c").unionByName(side(current, "c", "r"))
+    counts = both.groupBy("feature", "v").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     most = counts.groupBy("feature").count().agg(F.max("count")).first()[0] or 0  # one number
     n_bins = min(MAX_BINS, max(MIN_BINS, most // BIN_VALUES))
     cuts = counts.groupBy("feature").agg(
         F.percentile_approx("v", [i / n_bins for i in range(1, n_bins)], max(10000, 20 * n_bins)).alias("cuts")
     )
-    # Proven bounds for both broadcasts: one row per feature, and MAX_BINS rows per feature.
+    # Proven bounds for both broadcasts: one row per feature (80 kB at MAX_BINS), and MAX_BINS rows per feature.
     binned = counts.join(F.broadcast(cuts), "feature").select(
-        "feature", "v", "r", "c", F.size(F.filter("cuts", lambda q: q < F.col("v"))).alias("bin")
+        "feature", "v", "r", "c", _bin_of(F.col("cuts"), F.col("v"), n_bins).alias("bin")
     )
     by_bin = Window.partitionBy("feature").orderBy("bin")
     every = Window.partitionBy("feature")
@@ -99,13 +138,18 @@ def verdicts(reference: DataFrame, current: DataFrame, method: str = "wasserstei
 
     A p-value (``ks``) drifts when small, a distance (``wasserstein``) when large.
     """
+    return verdicts_of(distances(reference, current), method)
+
+
+def verdicts_of(measured: DataFrame, method: str = "wasserstein") -> DataFrame:
+    """:func:`verdicts` from measured distances."""
     if method not in METHODS:
         raise ValueError(f"method is one of {sorted(METHODS)}")
     n, m = F.col("n_reference"), F.col("n_current")
     p_value = _ks_p_value(F.col("ks") * F.col("ks") * n * m / (n + m))
     normed = F.col("wasserstein") / F.greatest(F.col("reference_std"), F.lit(0.001))
     drifted = p_value < P_VALUE_LIMIT if method == "ks" else normed > DISTANCE_LIMIT
-    return distances(reference, current).select(
+    return measured.select(
         "feature", F.lit(METHODS[method]).alias("method"),
         F.round(p_value if method == "ks" else normed, 4).alias("value"), drifted.alias("drifted"),
         F.round(p_value, 4).alias("ks_p_value"), F.round(normed, 4).alias("wasserstein_normed"),

@@ -22,6 +22,22 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of each data file directly below a directory."""
+    fs, p, _ = _fs(spark, path)
+    found = fs.listStatus(p) if fs.exists(p) else []
+    plain = {s.getPath().getName(): s.getLen() for s in found if s.isFile()}
+    return {name: size for name, size in plain.items() if name[0] not in "._"}
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, p, jvm = _fs(spark, source)
+    to = jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs(spark, path)
     fs.delete(p, True)

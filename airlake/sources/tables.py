@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from airlake.functions.time import month_key
 from airlake.operators.dedupe import latest_wins
 from airlake.session import shared_path
-from airlake.sources.files import children, delete_tree, exists, read_text, write_text
+from airlake.sources.files import children, delete_tree, exists, move, read_text, sizes, write_text
 
 MONTH = "month"
 
@@ -135,16 +135,77 @@ def _addend(kind: str) -> str:
     return "decimal(37,12)" if kind.startswith("decimal") else kind
 
 
-def compact(spark: SparkSession, path: str, months: Sequence[str], target_mb: int = 256) -> None:
-    """Rewrite the given months into files near ``target_mb``."""
-    staging = shared_path(spark, "compact")
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, f"{target_mb}m")
-    try:
-        current = read_table(spark, path).filter(F.col(MONTH).isin(*months))
-        write_months(current, staging)
-        write_months(spark.read.schema(current.schema).parquet(staging), path, dynamic=True)
-        delete_tree(spark, staging)
-    finally:
-        spark.conf.set(key, before)
+def rebuild_and_switch(spark: SparkSession, df: DataFrame, base: str, version: str) -> str:
+    """Full rebuild whose readers (:func:`read_current`) move over in one step, when the new version is whole."""
+    path = rebuild(df, base, version)
+    write_text(spark, f"{base}/current.json", json.dumps({"path": path, "schema": df.schema.json()}))
+    return path
+
+
+def read_current(spark: SparkSession, base: str) -> DataFrame:
+    at = json.loads(read_text(spark, f"{base}/current.json"))
+    return spark.read.schema(StructType.fromJson(json.loads(at["schema"]))).parquet(at["path"])
+
+
+def _packed(small: dict[str, int], target: int) -> list[list[str]]:
+    """File names in bins of at most ``target`` bytes, largest first into the first bin with room; single files stay out."""
+    bins: list[tuple[int, list[str]]] = []
+    for name, size in sorted(small.items(), key=lambda f: (-f[1], f[0])):
+        for n, (room, names) in enumerate(bins):
+            if size <= room:
+                bins[n] = (room - size, [*names, name])
+                break
+        else:
+            bins.append((target - size, [name]))
+    return [names for _, names in bins if len(names) > 1]
+
+
+def compact(spark: SparkSession, path: str, months: Sequence[str], target_mb: float = 256) -> int:
+    """Pack the small files of the given months into files near ``target_mb``; the number of files written.
+
+    Only files under half the target are read and rewritten, one task and file a bin; others keep their names. The file list of the given
+    months is all the driver holds. New files are staged, then a journal beside the table names what comes and what goes: a
+    failure before it changes nothing, one after it is finished by the next call. A reader that lists a month just then may see rows twice.
+    """
+    path, target = path.rstrip("/"), int(target_mb * 2**20)
+    _finish_compaction(spark, path)
+    plan = []
+    for month in months:
+        found = sizes(spark, f"{path}/{MONTH}={month}")
+        packed = _packed({n: s for n, s in found.items() if 2 * s < target}, target)
+        plan += [(month, name, len(plan) + k) for k, names in enumerate(packed) for name in names]
+    if not plan:
+        return 0
+    table = read_table(spark, path)
+    schema = table.schema
+    paths = [f"{path}/{MONTH}={month}/{name}" for month, name, _ in plan]
+    bins = spark.createDataFrame(plan, f"{MONTH} string, _name string, _bin int")  # one row a small file
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*paths)
+    rows = rows.withColumn("_name", F.substring_index("_metadata.file_path", "/", -1)).join(F.broadcast(bins), [MONTH, "_name"])
+    staging, n = shared_path(spark, "compact"), len({b for *_, b in plan})
+    rows.drop("_name").repartition(n, "_bin").write.partitionBy(MONTH, "_bin").parquet(staging)
+    come = []
+    for month in sorted({m for m, *_ in plan}):
+        folder = f"{staging}/{MONTH}={month}"
+        for b in children(spark, folder):
+            come += [(f"{folder}/{b}/{name}", f"{path}/{MONTH}={month}/{b[1:]}-{name}") for name in sizes(spark, f"{folder}/{b}")]
+    write_text(spark, _journal(path), json.dumps({"come": come, "go": paths, "staging": staging}))
+    _finish_compaction(spark, path)
+    return len(come)
+
+
+def _journal(path: str) -> str:
+    return f"{path}.compaction.json"
+
+
+def _finish_compaction(spark: SparkSession, path: str) -> None:
+    if not exists(spark, _journal(path)):
+        return
+    todo = json.loads(read_text(spark, _journal(path)))
+    for staged, final in todo["come"]:
+        if exists(spark, staged):
+            move(spark, staged, final)
+    for old in todo["go"]:
+        delete_tree(spark, old)
+    delete_tree(spark, todo["staging"])
+    delete_tree(spark, _journal(path))

@@ -13,6 +13,7 @@ from airlake.functions.numeric import exact
 from airlake.functions.time import as_ts
 from airlake.operators.dedupe import latest_wins
 from airlake.session import stored
+from airlake.sources.envelopes import split
 from airlake.sources.files import children
 from airlake.sources.tables import MONTH, add_sums, month_between, read_table, upsert, with_month
 from airlake.streaming.windows import sliding_sums
@@ -161,6 +162,37 @@ def run_first_seen(
     return run_available(stream, checkpoint, write, mode="append")
 
 
+def read_json_files(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
+    """JSON lines as a file stream; a line that does not parse has only ``_corrupt_record``."""
+    reader = spark.readStream.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(path)
+
+
+def run_envelopes(
+    spark: SparkSession, stream: DataFrame, table: str, quarantine: str, checkpoint: str,
+    flatten: Callable[[DataFrame], DataFrame], ok: Column, stage: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str], order: Sequence[Column], ts: str,
+) -> list[dict]:
+    """Nested envelopes, batch by batch: valid parts staged and merged by key, the others set aside with their content.
+
+    ``flatten`` turns documents into the parts that ``ok`` judges (unknown is bad), ``stage`` valid parts into rows for the table, where
+    ``order`` (such as the fetch time, newest first) decides. ``quarantine`` gets reason and document, a folder for each batch;
+    a replayed batch replaces its own, and merging again changes nothing.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        docs = stored(batch, "envelopes")
+        good, bad = split(flatten(docs.where("_corrupt_record IS NULL").drop("_corrupt_record")), ok)
+        broken = docs.where("_corrupt_record IS NOT NULL").select(F.lit("unreadable").alias("reason"), F.col("_corrupt_record").alias("document"))
+        invalid = bad.select(F.lit("invalid").alias("reason"), F.to_json(F.struct("*")).alias("document"))
+        broken.unionByName(invalid).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        upsert(spark, table, stage(good), keys, order, ts)
+
+    return run_available(stream, checkpoint, each, mode="append")
+
+
 def run_append(stream: DataFrame, table: str, checkpoint: str) -> list[dict]:
     """Append-only results, one directory per micro-batch; a replayed batch replaces its own."""
 
