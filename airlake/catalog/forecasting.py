@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airlake.catalog.inputs import CFG, Inputs
 from airlake.catalog.registry import query
-from airlake.catalog.views import avg6, indicative, micro, using
+from airlake.catalog.views import avg6, dec, indicative, micro, using
 from airlake.functions.time import add
 from airlake.operators import checks, drift
 from airlake.operators.dedupe import as_of_runs, asof_join
@@ -22,131 +22,120 @@ from airlake.sources.tables import rebuild
 
 KEY, HOUR = "location_id", "hour_start_utc"
 
-_S = "(PARTITION BY location_id ORDER BY hour_start_utc{})"
+def _mean_over(condition: str) -> str:
+    """Exact mean of the values within some hours, from integer micro-units."""
+    return (
+        f"CAST(sum({micro('v')}) FILTER ({condition}) AS DOUBLE) / nullif(CAST(count(v) FILTER ({condition}) * 1000000 AS DOUBLE), 0)"
+    )
 
 
-def _back(n: int) -> str:
-    return _S.format(f" ROWS BETWEEN {n} PRECEDING AND CURRENT ROW")
+# What a forecast row says about the hours before it: one join of issue hours with the readings up to a week back, by age in hours.
+_PAST = f"""
+    SELECT q.location_id, q.h, {', '.join(f"max(v) FILTER (age = {n}) AS pm25_lag{n}" for n in (0, 1, 3, 6, 12, 24, 48))},
+           {_mean_over('age < 6')} AS pm25_mean_6h, max(v) FILTER (age < 6) AS pm25_max_6h,
+           {_mean_over('age < 24')} AS pm25_mean_24h, max(v) FILTER (age < 24) AS pm25_max_24h,
+           {_mean_over('age > 0 AND age % 24 = 0')} AS pm25_same_hour_7d, count(v) FILTER (age < 24) AS filled_24h
+    FROM asked q JOIN (SELECT location_id, h AS at, v FROM level) p
+      ON p.location_id = q.location_id AND p.at BETWEEN q.h - INTERVAL 168 HOUR AND q.h,
+         LATERAL (SELECT date_diff('hour', p.at, q.h) AS age) GROUP BY ALL"""
 
+# Detections by direction in the hours that were published at the time; the newest three are not.
+_SMOKE = f"""
+    SELECT t, i, count(*) FILTER (a >= t - INTERVAL 27 HOUR) AS d1, count(*) FILTER (a >= t - INTERVAL 51 HOUR) AS d2, count(*) AS d3,
+           coalesce({dec(f"(sum({micro('frp_mw')}) FILTER (a >= t - INTERVAL 27 HOUR)) / 1000000.0", 1)}, 0) AS power
+    FROM (SELECT DISTINCT t FROM asked),
+         (SELECT acquired_at_utc AS a, frp_mw, list_position(['N','NE','E','SE','S','SW','W','NW'], sector) - 1 AS i FROM elocated)
+    WHERE a >= t - INTERVAL 75 HOUR AND a < t - INTERVAL 3 HOUR GROUP BY ALL"""
 
-_ALL = _S.format(" ROWS UNBOUNDED PRECEDING")
+
+def _carried(table: str, area: str, value: str) -> str:
+    """For each asked row the last known value of its area, no older than the station's own first hour."""
+    return f"""
+        SELECT q.location_id, q.h, CASE WHEN m.hour_start_utc >= q.since THEN m.{value} END AS {table}_{value}
+        FROM asked q ASOF LEFT JOIN (SELECT * FROM {table} WHERE {value} IS NOT NULL) m
+          ON m.{area} = q.{area} AND q.h >= m.hour_start_utc"""
 
 
 def _features_sql(mode: str, select: str = "SELECT * FROM final") -> str:
+    """Feature rows put together from one subquery for each group of output columns, all keyed by the asked hours."""
     live = mode == "live"
+    own = "(SELECT *, hour_start_utc AS h FROM aqi WHERE NOT is_colocated_duplicate)"
+    wanted = f"h = (SELECT max(h) FROM {own})" if live else "hour(h) % 3 = 0 AND valid_hours_24h >= 6"
+    known = f"(SELECT * FROM {own} WHERE pm25 IS NOT NULL)"
+    filled = f"SELECT a.location_id, a.h, b.pm25 AS v FROM {own} a ASOF LEFT JOIN {known} b ON b.location_id = a.location_id AND a.h >= b.h"
+    day = "past.pm25_mean_24h AS pm25_24h, past.filled_24h AS valid_hours_24h" if live else "q.pm25_24h, q.valid_hours_24h"
     if live:
-        carried = ", ".join(
-            f"coalesce({c}, last_value({c} IGNORE NULLS) OVER {_ALL}) AS {c}"
-            for c in ("pm25", "zone_pm25_median", "city_pm25_median", "city_pm25_24h_median")
-        )
-        base = f"SELECT location_id, zone_id, city_id, hour_start_utc, pm25 AS seen, {carried} FROM base0"
-        day = f"{avg6('pm25', 'OVER ' + _back(23))} AS pm25_24h, count(pm25) OVER {_back(23)} AS valid_hours_24h,"
-        keep = "hour_start_utc = (SELECT max(hour_start_utc) FROM aqi WHERE NOT is_colocated_duplicate)"
-        target = "CAST(NULL AS DOUBLE)"
-        cut = "(SELECT max(hour_start_utc) + INTERVAL 1 HOUR FROM aqi)"
-        weather = f"""
-            SELECT * EXCLUDE (issued_at, valid_time_utc), valid_time_utc AS time_utc FROM wfc
-            WHERE issued_at <= {cut}
-            QUALIFY row_number() OVER (PARTITION BY point_id, valid_time_utc ORDER BY issued_at DESC) = 1"""
-        cams = f"""
-            SELECT point_id, time_utc, max(cams_pm25) AS cams_pm25 FROM (
-                SELECT point_id, time_utc, cams_pm25 FROM camsh
-                UNION ALL
-                SELECT point_id, valid_time_utc, temperature_2m * 2 FROM (
-                    SELECT * FROM wfc WHERE issued_at <= {cut}
-                    QUALIFY row_number() OVER (PARTITION BY point_id, valid_time_utc ORDER BY issued_at DESC) = 1)
-            ) GROUP BY ALL"""
-        extra = """date_sub('hour', last_valid_hour_utc, hour_start_utc) AS input_age_hours,
-                   coalesce(date_sub('hour', last_valid_hour_utc, hour_start_utc), 999999) > 3 AS is_stale_input,
-                   last_valid_hour_utc,"""
+        medians = [_carried("zone_hourly", "zone_id", "pm25_median"), _carried("city_hourly", "city_id", "pm25_median"),
+                   _carried("city_hourly", "city_id", "pm25_24h_median")]
+        seen = "ASOF LEFT JOIN wfc w ON w.point_id = q.zone_id AND w.valid_time_utc = q.t30 AND q.cut >= w.issued_at"
+        seen_at, target = "w.valid_time_utc", "NULL::DOUBLE"
+        air = """
+            SELECT q.zone_id, q.t12, greatest(max(c.cams_pm25), max(2 * f.temperature_2m)) AS cams_pm25_lagged,
+                   coalesce(max(c.time_utc), max(f.valid_time_utc)) AS audit_cams_time
+            FROM (SELECT DISTINCT zone_id, t12, cut FROM asked) q
+            ASOF LEFT JOIN wfc f ON f.point_id = q.zone_id AND f.valid_time_utc = q.t12 AND q.cut >= f.issued_at
+            LEFT JOIN camsh c ON c.point_id = q.zone_id AND c.time_utc = q.t12 GROUP BY ALL"""
     else:
-        base = "SELECT *, pm25 AS seen FROM base0"
-        day = "pm25_24h, valid_hours_24h,"
-        keep = "hour(hour_start_utc) % 3 = 0 AND valid_hours_24h >= 6"
-        target = """(SELECT pm25 FROM aqi t WHERE t.location_id = x.location_id
-                     AND t.hour_start_utc = x.hour_start_utc + to_hours(x.horizon_h))"""
-        weather = "SELECT * FROM actuals"
-        cams = "SELECT * FROM camsh"
-        extra = ""
-    lags = ", ".join(f"lag(pm25, {n}) OVER s AS pm25_lag{n}" for n in (1, 3, 6, 12, 24, 48))
+        on = [("zone_hourly", "zone_id", "pm25_median"), ("city_hourly", "city_id", "pm25_median"), ("city_hourly", "city_id", "pm25_24h_median")]
+        medians = [
+            f"SELECT q.location_id, q.h, m.{v} AS {t}_{v} FROM asked q LEFT JOIN {t} m ON m.{a} = q.{a} AND m.hour_start_utc = q.h"
+            for t, a, v in on
+        ]
+        seen = "LEFT JOIN actuals w ON w.point_id = q.zone_id AND w.time_utc = q.t30"
+        seen_at, target = "w.time_utc", "y.pm25"
+        air = "SELECT point_id AS zone_id, time_utc AS t12, cams_pm25 AS cams_pm25_lagged, time_utc AS audit_cams_time FROM camsh"
+    stale = """, age AS input_age_hours, coalesce(age, 999999) > 3 AS is_stale_input, said.h AS last_valid_hour_utc""" if live else ""
     body = f"""
-    , base0 AS (
-        SELECT a.location_id, a.zone_id, a.city_id, a.hour_start_utc, a.pm25, a.pm25_24h, a.valid_hours_24h,
-               z.pm25_median AS zone_pm25_median, c.pm25_median AS city_pm25_median,
-               c.pm25_24h_median AS city_pm25_24h_median
-        FROM aqi a LEFT JOIN zone_hourly z USING (zone_id, hour_start_utc)
-        LEFT JOIN city_hourly c ON c.city_id = a.city_id AND c.hour_start_utc = a.hour_start_utc
-        WHERE NOT is_colocated_duplicate
-    ), base AS ({base}
-    ), hist AS (
-        SELECT location_id, zone_id, city_id, hour_start_utc, pm25, zone_pm25_median, city_pm25_median,
-               city_pm25_24h_median, {day} {lags},
-               {avg6('pm25', 'OVER ' + _back(5))} AS pm25_mean_6h, max(pm25) OVER {_back(5)} AS pm25_max_6h,
-               {avg6('pm25', 'OVER ' + _back(23))} AS pm25_mean_24h, max(pm25) OVER {_back(23)} AS pm25_max_24h,
-               {avg6('pm25', 'OVER (PARTITION BY location_id, hour(hour_start_utc) ORDER BY hour_start_utc ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)')}
-                   AS pm25_same_hour_7d,
-               last_value(pm25 IGNORE NULLS) OVER {_ALL} AS pm25_last_valid,
-               max(CASE WHEN seen IS NOT NULL THEN hour_start_utc END) OVER {_ALL} AS last_valid_hour_utc
-        FROM base WINDOW s AS {_S.format('')}
-    ), x AS (
-        SELECT hist.*, h AS horizon_h, h // 24 + 1 AS nb FROM hist, (VALUES (24), (48), (72)) AS v(h) WHERE {keep}
-    ), weather AS ({weather}
-    ), cams AS ({cams}
-    ), joined AS (
-        SELECT x.*, {target} AS target_pm25, w.temperature_2m AS ot, w.relative_humidity_2m AS oh,
-               w.wind_speed_10m AS os, w.wind_direction_10m AS od, w.boundary_layer_height AS ob, w.time_utc AS ow,
-               r.temperature_2m AS ft, r.relative_humidity_2m AS fh, r.wind_speed_10m AS fs,
-               r.wind_direction_10m AS fd, r.precipitation AS fp, r.surface_pressure AS fsp,
-               cams.cams_pm25, cams.time_utc AS ct,
-               CAST(floor(((w.wind_direction_10m + 22.5) % 360) / 45) AS INT) AS wi
-        FROM x
-        LEFT JOIN weather w ON w.point_id = x.zone_id AND w.time_utc = x.hour_start_utc + INTERVAL 30 MINUTE
-        LEFT JOIN runs r ON r.point_id = x.zone_id AND r.days_before = x.nb
-             AND r.time_utc = x.hour_start_utc + INTERVAL 30 MINUTE + to_hours(x.horizon_h)
-        LEFT JOIN cams ON cams.point_id = x.zone_id
-             AND cams.time_utc = x.hour_start_utc + INTERVAL 30 MINUTE - INTERVAL 12 HOUR
-    ), arc AS (
-        SELECT as_of_utc, max(window_end_utc) AS e, sum(n_24h) AS a24, sum(n_72h) AS a72
-        FROM erolling WHERE sector IN ('N', 'W', 'NW') GROUP BY 1
-    ), up AS (
-        SELECT as_of_utc, w, sum(n_24h) AS u24, sum(n_48h) AS u48, sum(n_72h) AS u72,
-               CAST(sum({micro('frp_24h')}) AS DOUBLE) / 1000000 AS uf
-        FROM erolling JOIN range(8) AS d(w) ON least(abs(sector_index - w), 8 - abs(sector_index - w)) <= 1
+    , asked AS (
+        SELECT location_id, zone_id, city_id, h, pm25_24h, valid_hours_24h, (SELECT max(hour_start_utc) + INTERVAL 1 HOUR FROM aqi) AS cut,
+               h + INTERVAL 30 MINUTE AS t30, h - INTERVAL 690 MINUTE AS t12, date_trunc('hour', h + INTERVAL 1 HOUR) AS t, since
+        FROM {own} JOIN (SELECT location_id, min(h) AS since FROM {own} GROUP BY 1) USING (location_id) WHERE {wanted}
+    ), level AS ({filled if live else f"SELECT location_id, h, pm25 AS v FROM {own}"}
+    ), past AS ({_PAST}
+    ), smoke AS ({_SMOKE}
+    ), sky AS (
+        SELECT q.location_id, q.h, {seen_at} AS audit_obs_weather_time, CAST(floor(((w.wind_direction_10m + 22.5) % 360) / 45) AS INT) AS wind,
+               {', '.join(f'w.{c} AS obs_{c}' for c in features.OBS)}
+        FROM asked q {seen}
+    ), fires AS (
+        SELECT q.location_id, q.h, {', '.join(f"coalesce(sum(d{n}) FILTER (beside), 0)::BIGINT AS fires_upwind_{24 * n}h" for n in (1, 2, 3))},
+               CAST(coalesce(sum({micro('power')}) FILTER (beside), 0) AS DOUBLE) / 1000000 AS fires_upwind_frp_24h,
+               coalesce(sum(d1) FILTER (i IN (0, 6, 7)), 0)::BIGINT AS fires_nw_arc_24h,
+               coalesce(sum(d3) FILTER (i IN (0, 6, 7)), 0)::BIGINT AS fires_nw_arc_72h
+        FROM asked q JOIN sky USING (location_id, h) LEFT JOIN smoke ON smoke.t = q.t,
+             LATERAL (SELECT least(abs(i - wind), 8 - abs(i - wind)) <= 1 AS beside)
         GROUP BY ALL
+    ), ahead AS (
+        SELECT q.location_id, q.h, n AS horizon_h, n // 24 + 1 AS lead_days, {target} AS target_pm25,
+               {', '.join(f'r.{c} AS fc_{c}' for c in features.FC)}, q.h + to_hours(n) AS aim, q.h + to_hours(n) + INTERVAL 330 MINUTE AS local
+        FROM (SELECT *, unnest([24, 48, 72]) AS n FROM asked) q
+        LEFT JOIN {own} y ON y.location_id = q.location_id AND y.h = q.h + to_hours(n)
+        LEFT JOIN runs r ON r.point_id = q.zone_id AND r.days_before = n // 24 + 1 AND r.time_utc = q.t30 + to_hours(n)
     ), final AS (
-        SELECT location_id, zone_id, city_id, CAST(horizon_h AS BIGINT) AS horizon_h,
-               hour_start_utc AS issue_hour_start_utc, hour_start_utc + INTERVAL 1 HOUR AS issue_time_utc,
-               hour_start_utc + to_hours(horizon_h) AS target_hour_start_utc, target_pm25,
-               pm25 AS pm25_lag0, pm25_lag1, pm25_lag3, pm25_lag6, pm25_lag12, pm25_lag24, pm25_lag48,
-               pm25_mean_6h, pm25_max_6h, pm25_mean_24h, pm25_max_24h, pm25_24h, valid_hours_24h,
-               pm25_same_hour_7d, pm25_last_valid,
-               date_sub('hour', last_valid_hour_utc, hour_start_utc) AS hours_since_last_valid,
-               round(zone_pm25_median, 6) AS zone_pm25_median, round(city_pm25_median, 6) AS city_pm25_median,
-               round(city_pm25_24h_median, 6) AS city_pm25_24h_median,
-               ot AS obs_temperature_2m, oh AS obs_relative_humidity_2m, os AS obs_wind_speed_10m,
-               od AS obs_wind_direction_10m, ob AS obs_boundary_layer_height, CAST(nb AS BIGINT) AS weather_days_before,
-               ft AS fc_temperature_2m, fh AS fc_relative_humidity_2m, fs AS fc_wind_speed_10m,
-               fd AS fc_wind_direction_10m, fp AS fc_precipitation, fsp AS fc_surface_pressure,
-               cams_pm25 AS cams_pm25_lagged, CAST(coalesce(u24, 0) AS BIGINT) AS fires_upwind_24h,
-               CAST(coalesce(u48, 0) AS BIGINT) AS fires_upwind_48h, CAST(coalesce(u72, 0) AS BIGINT) AS fires_upwind_72h,
-               coalesce(uf, 0) AS fires_upwind_frp_24h, CAST(coalesce(a24, 0) AS BIGINT) AS fires_nw_arc_24h,
-               CAST(coalesce(a72, 0) AS BIGINT) AS fires_nw_arc_72h,
-               hour(ist) AS target_hour_ist, isodow(ist) AS target_dow_ist, month(ist) AS target_month,
-               coalesce(is_festival, FALSE) AS target_is_festival, coalesce(is_weekend, FALSE) AS target_is_weekend,
-               {extra}
-               hour_start_utc + INTERVAL 1 HOUR AS audit_station_obs_until, ow AS audit_obs_weather_time,
-               hour_start_utc + INTERVAL 30 MINUTE + to_hours(horizon_h) + INTERVAL 6 HOUR - to_hours(24 * nb)
-                   AS audit_weather_forecast_available_by,
-               ct AS audit_cams_time, e + INTERVAL 3 HOUR AS audit_fires_published_by
-        FROM (SELECT *, hour_start_utc + to_hours(horizon_h) + INTERVAL 330 MINUTE AS ist FROM joined) j
-        LEFT JOIN arc ON arc.as_of_utc = date_trunc('hour', j.hour_start_utc + INTERVAL 1 HOUR)
-        LEFT JOIN up ON up.as_of_utc = date_trunc('hour', j.hour_start_utc + INTERVAL 1 HOUR) AND up.w = j.wi
-        LEFT JOIN dates ON dates.date_ist = CAST(ist AS DATE)
+        SELECT q.location_id, q.zone_id, q.city_id, ahead.horizon_h::BIGINT AS horizon_h, ahead.aim AS target_hour_start_utc, ahead.target_pm25,
+               q.h AS issue_hour_start_utc, q.h + INTERVAL 1 HOUR AS issue_time_utc, q.h + INTERVAL 1 HOUR AS audit_station_obs_until,
+               past.* EXCLUDE (location_id, h, filled_24h), {day}, last.v AS pm25_last_valid, age AS hours_since_last_valid,
+               round(m1.zone_hourly_pm25_median, 6) AS zone_pm25_median, round(m2.city_hourly_pm25_median, 6) AS city_pm25_median,
+               round(m3.city_hourly_pm25_24h_median, 6) AS city_pm25_24h_median,
+               sky.* EXCLUDE (location_id, h, wind), air.cams_pm25_lagged, air.audit_cams_time, fires.* EXCLUDE (location_id, h),
+               ahead.lead_days::BIGINT AS weather_days_before, ahead.* EXCLUDE (location_id, h, horizon_h, lead_days, target_pm25, aim, local),
+               ahead.aim + INTERVAL 390 MINUTE - to_hours(24 * ahead.lead_days) AS audit_weather_forecast_available_by,
+               CASE WHEN q.t BETWEEN open AND shut THEN q.t END AS audit_fires_published_by,
+               hour(local) AS target_hour_ist, isodow(local) AS target_dow_ist, month(local) AS target_month,
+               dates.date_ist IS NOT NULL AND dates.is_festival AS target_is_festival, dates.date_ist IS NOT NULL AND dates.is_weekend AS target_is_weekend
+               {stale}
+        FROM asked q JOIN ahead USING (location_id, h) JOIN past USING (location_id, h) JOIN sky USING (location_id, h) JOIN fires USING (location_id, h)
+        JOIN ({medians[0]}) m1 USING (location_id, h) JOIN ({medians[1]}) m2 USING (location_id, h) JOIN ({medians[2]}) m3 USING (location_id, h)
+        LEFT JOIN ({air}) air ON air.zone_id = q.zone_id AND air.t12 = q.t12
+        LEFT JOIN dates ON dates.date_ist = local::DATE
+        ASOF LEFT JOIN (SELECT * FROM level WHERE v IS NOT NULL) last ON last.location_id = q.location_id AND q.h >= last.h
+        ASOF LEFT JOIN {known} said ON said.location_id = q.location_id AND q.h >= said.h,
+        LATERAL (SELECT date_sub('hour', said.h, q.h) AS age),
+        (SELECT date_trunc('hour', min(acquired_at_utc)) + INTERVAL 4 HOUR AS open FROM elocated),
+        (SELECT date_trunc('hour', max(ts)) + INTERVAL 30 HOUR AS shut FROM events)
     )
     {select}"""
-    return using(
-        "aqi", "zone_hourly", "city_hourly", "erolling", "actuals", "wfc", "runs", "camsh", "dates", body=body
-    )
+    return using("aqi", "zone_hourly", "city_hourly", "elocated", "actuals", "wfc", "runs", "camsh", "dates", body=body)
 
 
 _MEDIANS = ("zone_pm25_median", "city_pm25_median", "city_pm25_24h_median")
