@@ -11,6 +11,7 @@ Only the page itself is in memory; nesting of any depth is walked with an explic
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -43,12 +44,10 @@ ENDS = {
 }
 FENCES = frozenset("html body table td th caption button object template".split())
 
-TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
+MARKS = ("!", "?")
+REMARK = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*>?", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>")
 ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?|=")
 MAYBE_HIDDEN = re.compile(r"hidden|style(?=.*(?:none|collapse|&))", re.I | re.S)  # all that can hide holds one of these
 COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
@@ -56,6 +55,8 @@ IMPORTANT = re.compile(r"\s*!\s*important\Z")
 SPAN = re.compile(r"\b(colspan|rowspan|start)\s*=\s*[\"']?(\d{1,4})", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 WIDEST = 60  # columns with wider cells are not padded
+SPAN_MOST = 1000  # columns a cell can span at most, by the standard
+INDENT_MOST = 80
 
 
 def is_hidden(tag: str, attrs: str) -> bool:
@@ -91,72 +92,115 @@ class Node:
         return next((int(v) for k, v in SPAN.findall(self.attrs) if k.lower() == name), default)
 
 
+class Stack:
+    """The open elements, with the places of each tag, so that nothing is looked for element by element."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, at: int) -> None:
+        for _ in range(len(self.nodes) - at):
+            self.places[self.nodes.pop().tag].pop()
+
+    def last(self, tags) -> int:
+        """The innermost open one of the tags; 0, the place of the root, if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def first(self, tags, beyond: int) -> int | None:
+        """The outermost open one of the tags behind a place."""
+        found = [p[i] for t in tags if (p := self.places.get(t)) and p[-1] > beyond and (i := bisect_right(p, beyond)) < len(p)]
+        return min(found, default=None)
+
+
 def build_tree(html: str) -> Node:
+    """The tree of a page, in time in proportion to its length whatever is left open.
+
+    Behind the last ``>`` all is text. A tag whose quotes do not end before the page does ends at its first ``>``, and so do all
+    tags behind it.
+    """
     root = Node("html")
-    stack = [root]
-    at, end = 0, len(html)
+    stack = Stack(root)
+    at, end, last_end, tag_at = 0, len(html), html.rfind(">"), TAG.match
+    no_quotes = lambda *_: None
+    places = stack.places
 
     def add_text(text: str) -> None:
-        if stack[-1].tag in ("pre", "listing") and not stack[-1].children:
+        top = stack.nodes[-1]
+        if top.tag in ("pre", "listing") and not top.children:
             text = text.removeprefix("\r").removeprefix("\n")  # one line break behind the tag does not count
         if text:
-            stack[-1].children.append(unescape(text))
+            top.children.append(unescape(text))
 
     def close(tags, fences) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in fences:
-                return
+        place = 0
+        for t in tags:
+            if (found := places.get(t)) and found[-1] > place:
+                place = found[-1]
+        # the usual case, the element on top, needs no look at the fences
+        if place and (place == len(stack.nodes) - 1 or place >= stack.last(fences)):
+            stack.cut(place)
 
     def open_tag(tag: str, attrs: str) -> None:
         if tag in ENDS:
             tags, fences = ENDS[tag]
-            outer = max((i for i, n in enumerate(stack) if n.tag in fences), default=0)
-            first = next((i for i in range(outer + 1, len(stack)) if stack[i].tag in tags), None)
+            first = stack.first(tags, stack.last(fences))
             if first is not None:
                 # the outermost of its kind within the fence: what a new row or item ends, it ends with all inside
-                del stack[first:]
-        if tag in BLOCKS:
-            close({"p"}, FENCES)
-        if tag in HEADINGS and stack[-1].tag in HEADINGS:
-            stack.pop()
-        if tag in ("td", "th") and stack[-1].tag != "tr" and any(n.tag == "table" for n in stack):
+                stack.cut(first)
+        if places.get("p") and tag in BLOCKS:
+            close(("p",), FENCES)
+        if tag in HEADINGS and stack.nodes[-1].tag in HEADINGS:
+            stack.cut(len(stack.nodes) - 1)
+        if tag in ("td", "th") and stack.nodes[-1].tag != "tr" and stack.places.get("table"):
             open_tag("tr", "")
         node = Node(tag, attrs)
-        stack[-1].children.append(node)
+        stack.nodes[-1].children.append(node)
         if tag not in VOID:
-            stack.append(node)
-
-    while at < end:
-        m = TOKEN.search(html, at)
-        if not m:
-            break
-        add_text(html[at : m.start()])
-        at = m.end()
-        closing, tag, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if not tag:
+            stack.push(node)
+
+    text_from = 0
+    while 0 <= (at := html.find("<", at)):
+        if html[at + 1 : at + 2] in MARKS:
+            add_text(html[text_from:at])
+            text_from = at = REMARK.match(html, at).end()
+            continue
+        m = tag_at(html, at) if at < last_end else None
+        if m:
+            closing, tag, attrs = m.groups()
+            stop = m.end()
+        elif at < last_end and (m := NAME.match(html, at)) and (stop := html.find(">", m.end()) + 1):
+            tag_at = no_quotes
+            closing, tag, attrs = m[1], m[2], html[m.end() : stop - 1]
+        else:
+            at += 1
             continue
+        if text_from < at:
+            add_text(html[text_from:at])
         tag = tag.lower()
+        text_from = at = stop
         if closing:
             if tag == "br":
                 open_tag("br", "")
             elif tag not in ("html", "body"):
-                close({tag}, {"table", "td", "th"} - {tag} if tag not in ("table", *ROWS, "tr") else {"table"} - {tag})
+                close((tag,), {"table", "td", "th"} - {tag} if tag not in ("table", *ROWS, "tr") else {"table"} - {tag})
         elif tag in ("html", "body"):
             # implied and repeated ones are the root
             root.attrs += " " + attrs
         else:
             open_tag(tag, attrs)
             if tag in RAW:
-                stop = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(html, at)
-                inner = html[at : stop.start() if stop else end]
+                found = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(html, at)
+                inner = html[at : found.start() if found else end]
                 # only title and textarea hold character references
-                stack[-1].children.append(unescape(inner) if tag in ("title", "textarea") else inner)
-                at = stop.end() if stop else end
-                stack.pop()
-    add_text(html[at:])
+                stack.nodes[-1].children.append(unescape(inner) if tag in ("title", "textarea") else inner)
+                text_from = at = found.end() if found else end
+                stack.cut(len(stack.nodes) - 1)
+    add_text(html[text_from:])
     return root
 
 
@@ -226,22 +270,29 @@ class Sink:
 
 class Table:
     def __init__(self):
+        self.at = 0  # where the next cell of the row may begin
         self.rows: list[dict[int, tuple[str, int]]] = []
-        self.held: dict[int, int] = {}  # column -> rows it is still taken by a cell from above
+        self.held: list[tuple[int, int, int]] = []  # first column, column after the last, rows still taken by a cell from above
+        self.next: list[tuple[int, int, int]] = []  # the same for the rows below
+        self.passed = 0  # of the held ones, those the row has gone by
 
     def row(self) -> None:
         self.rows.append({})
-        self.held = {c: n - 1 for c, n in self.held.items() if n > 1}
+        self.at = self.passed = 0
+        self.held = sorted([(a, z, n - 1) for a, z, n in self.held if n > 1] + self.next)
+        self.next = []
 
     def cell(self, text: str, across: int, down: int) -> None:
         if not self.rows:
             self.row()
-        row, at = self.rows[-1], 0
-        while at in row or at in self.held:
-            at += row[at][1] if at in row else 1
-        row[at] = (text, across)
+        across = min(across, SPAN_MOST)
+        while self.passed < len(self.held) and self.held[self.passed][0] <= self.at:
+            self.at = max(self.at, self.held[self.passed][1])
+            self.passed += 1
+        self.rows[-1][self.at] = (text, across)
         if down > 1:
-            self.held |= {at + i: down for i in range(across)}
+            self.next.append((self.at, self.at + across, down - 1))
+        self.at += across
 
     def lines(self) -> list[str]:
         widths: dict[int, int] = {}
@@ -249,13 +300,17 @@ class Table:
             for at, (text, across) in row.items():
                 if across == 1:
                     widths[at] = max(widths.get(at, 0), *map(len, text.split("\n")))
-        out = []
+        out, starts = [], [0]
+        used = {at for row in self.rows for at in row}
+        wide = max(used, default=0) > SPAN_MOST  # in very wide tables, columns in which no cell begins take no room
+        for c in range(max(used, default=0)):
+            starts.append(starts[-1] + (0 if wide and c not in used else min(widths.get(c, 0), WIDEST) + 2))
         for row in self.rows:
             cells = {at: text.split("\n") for at, (text, _) in row.items()}
             for i in range(max(map(len, cells.values()), default=0)):
                 line = ""
                 for at in sorted(cells):
-                    start = sum(min(widths.get(c, 0), WIDEST) + 2 for c in range(at))
+                    start = starts[at]
                     line = line.rstrip() + "  " if len(line) >= start and line.strip() else line.ljust(start)
                     line += cells[at][i] if i < len(cells[at]) else ""
                 if line.strip():
@@ -299,10 +354,10 @@ def render(root: Node) -> str:
                 mark = f"{lists[-1][1]}. "
             sink.marker = sink.indent + mark
             undo += ["indent", sink.indent]
-            sink.indent += " " * len(mark)
+            sink.indent = (sink.indent + " " * len(mark))[:INDENT_MOST]
         elif tag == "dd":
             undo += ["indent", sink.indent]
-            sink.indent += "  "
+            sink.indent = (sink.indent + "  ")[:INDENT_MOST]
         elif tag == "pre":
             pre += 1
             undo.append("pre")
