@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from airlake.llm import html, mixing, warc, weighted_sampling
 
+BASE = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -180,3 +182,66 @@ def test_pipeline_stages(spark, documents):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, base)
     assert pieces.agg(F.sum("length")).first()[0] > 0
     assert corpus_pipeline.run(spark, base).count() == pieces.count()
+
+
+MALFORMED = {
+    "a name without end": "<" + "a" * 200_000,
+    "open tags": "<a " * 60_000,
+    "open attributes": '<a x="' * 30_000,
+    "open attributes, one end": '<a x="' * 30_000 + ">",
+    "quotes that hide every end": '<b ">' + '<b" ">' * 30_000 + "'",
+    "nested blocks": "<div>" * 40_000,
+    "blocks behind a fence": "<p><button>" + "<div>x" * 30_000,
+    "nested lists": "<ul><li>x" * 20_000,
+    "one row": "<table><tr>" + "<td>x" * 40_000,
+    "spans": "<table>" + "<tr><td colspan=9999 rowspan=9999>x" * 2000,
+    "stray ends": "<p>" * 10 + "</x>" * 50_000,
+    "comments": "<!--" * 50_000,
+    "less-than signs": "<" * 200_000,
+}
+
+
+@pytest.mark.parametrize("name", MALFORMED)
+def test_malformed_pages_take_time_in_proportion(name):
+    begun = time.process_time()
+    text = html.visible_text(MALFORMED[name])
+    assert time.process_time() - begun < 4
+    assert len(text) < 2 * 10**7
+
+
+def test_words_of_all_pages_are_those_an_independent_parser_sees(spark):
+    """Python's own tokenizer with a plain rule for unseen elements: the same words in the same order, page by page."""
+    from html.parser import HTMLParser
+
+    class Words(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.unseen, self.parts = [], []
+
+        def handle_starttag(self, tag, attrs):
+            hides = tag in html.UNSEEN or html.is_hidden(tag, " ".join(f'{k}="{v}"' if v is not None else k for k, v in attrs))
+            if tag not in html.VOID and (self.unseen or hides):
+                self.unseen.append(tag)
+            if tag in html.BLOCKS or tag in ("br", "td", "th", "tr", "caption"):
+                self.parts.append(" ")
+
+        def handle_endtag(self, tag):
+            if tag in self.unseen:
+                while self.unseen.pop() != tag:
+                    pass
+            if tag in html.BLOCKS or tag in ("td", "th", "tr", "caption"):
+                self.parts.append(" ")
+
+        def handle_data(self, data):
+            if not self.unseen:
+                self.parts.append(data)
+
+    letters = re.compile(r"[^\W\d_]+")  # markers, rules and numbers of lists are the layout's own
+    same = total = 0
+    for r in spark.read.parquet(f"{BASE}/pages.parquet").where("html IS NOT NULL").collect():
+        parser = Words()
+        parser.feed(r.html)
+        parser.close()
+        total += 1
+        same += letters.findall("".join(parser.parts)) == letters.findall(html.visible_text(r.html))
+    assert total and same >= 0.98 * total, (same, total)
