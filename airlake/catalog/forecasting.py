@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -250,6 +251,23 @@ def _(i: Inputs):
     return rows.withColumns({"mae": F.round("mae", 6), "bias": F.round("bias", 6), "category_accuracy": F.round("category_accuracy", 9)})
 
 
+@query("accuracy_published", using("facc", body="""
+    SELECT CAST(horizon_h AS VARCHAR) AS horizon, 'last_' || d || 'd' AS span, count(*)::BIGINT AS n, round(avg(abs_error), 3) AS mae,
+           count(*) FILTER (is_stale_input)::BIGINT AS n_stale_inputs
+    FROM facc JOIN (VALUES (7), (30)) AS w(d)
+      ON target_hour_start_utc >= (SELECT max(ts) FROM events) - to_days(d)
+    GROUP BY ALL"""))
+def _(i: Inputs):
+    """The accuracy summary as published, read back from its document."""
+    path = f"{shared_path(i.spark, 'public')}/accuracy.json"
+    now = i.events().agg(F.max(F.col("ts").cast("timestamp_ntz"))).first()[0]
+    models.publish_summary(i.spark, path, models.accuracy_summary(_accuracy(i), now, CFG), now)
+    value = "struct<n: bigint, mae: double, n_stale_inputs: bigint>"
+    doc = i.spark.read.schema(f"horizons map<string, map<string, {value}>>").option("multiLine", True).json(path)
+    spans = doc.select(F.explode("horizons").alias("horizon", "spans"))
+    return spans.select("horizon", F.explode("spans").alias("span", "v")).select("horizon", "span", "v.*")
+
+
 @query("forecast_vs_actual", using("facc", body="""
     SELECT location_id, horizon_h, target_hour_start_utc, series, value
     FROM (UNPIVOT (SELECT location_id, horizon_h, target_hour_start_utc, pm25_pred, pm25_actual FROM facc)
@@ -541,6 +559,41 @@ def _(i: Inputs):
     return read_served(i.spark, path, schema, "0000-00-00").drop("dt", "hour")
 
 
+@query("out_of_fold", _features_sql("train", """
+    , first AS (SELECT min(issue_time_utc) AS f FROM final),
+    r AS (SELECT horizon_h, issue_time_utc + to_days(2 * date_diff('day', f, issue_time_utc)) AS issued FROM final, first WHERE target_pm25 IS NOT NULL),
+    months AS (SELECT unnest(generate_series(date_trunc('month', min(issued)) + INTERVAL 1 MONTH, max(issued), INTERVAL 1 MONTH)) AS m FROM r)
+    SELECT strftime(m, '%Y-%m') AS fold, horizon_h, count(*) FILTER (issued >= m AND issued < m + INTERVAL 1 MONTH) AS n, true AS in_range
+    FROM months, r GROUP BY m, horizon_h HAVING n > 0 AND count(*) FILTER (issued + to_hours(horizon_h) <= m) > 0"""))
+def _(i: Inputs):
+    """Walk-forward predictions over the training rows, their days three apart so that they span months; rows by fold."""
+    train = _training(i)
+    first = train.agg(F.min("issue_time_utc")).scalar()
+    days = F.make_dt_interval(2 * F.date_diff(F.to_date("issue_time_utc"), F.to_date(first)))
+    spread = train.withColumns({c: F.col(c) + days for c in ("issue_time_utc", "issue_hour_start_utc")})
+    spread = spread.withColumn("target_hour_start_utc", add("issue_time_utc", "HOUR", F.col("horizon_h") - 1))
+    oof = models.out_of_fold(spread, params=models.TreeParams(trees=2, depth=2, min_instances=5), cfg=CFG, min_train_months=1)
+    return oof.groupBy("fold", "horizon_h").agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.coalesce(F.col("y_pred").between(0, 1000), F.lit(False))).alias("in_range"))
+
+
+@query("model_card", _features_sql("train", """
+    SELECT horizon_h, method, count(*) AS n, round(avg(abs(p - target_pm25)), 6) AS mae FROM (
+        SELECT horizon_h, target_pm25, unnest(['cams_lagged', 'persistence', 'seasonal_naive']) AS method,
+               unnest([coalesce(cams_pm25_lagged, pm25_last_valid), pm25_last_valid, coalesce(pm25_same_hour_7d, pm25_last_valid)]) AS p
+        FROM final WHERE target_pm25 IS NOT NULL) GROUP BY ALL"""))
+def _(i: Inputs):
+    """The card of three small models: its baselines are checked by value, its own parts for being there."""
+    train = _training(i)
+    fitted = {h: models.fit(train.filter(F.col("horizon_h") == h), params=QUICK) for h in CFG.horizons}
+    scored = [models.score(m, train.filter((F.col("horizon_h") == h) & F.col("target_pm25").isNotNull())) for h, m in fitted.items()]
+    card = models.model_card(i.stored(reduce(DataFrame.unionByName, scored), "scored"), train, fitted)
+    rows = []
+    for h, spec in card["horizons"].items():
+        assert set(spec["skill"]) == set(ev.BASELINES) and spec["per_month"] and 0 < len(spec["top_features"]) <= 10
+        rows += [(int(h), b, spec[b]["n"], round(spec[b]["mae"], 6)) for b in ev.BASELINES]
+    return i.spark.createDataFrame(rows, "horizon_h bigint, method string, n bigint, mae double")
+
+
 @query("champion_holdout", _features_sql("train", """
     , known AS (SELECT * FROM final WHERE target_pm25 IS NOT NULL),
     cut AS (SELECT max(target_hour_start_utc) + INTERVAL 1 HOUR - INTERVAL 14 DAY AS t FROM known)

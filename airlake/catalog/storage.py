@@ -484,6 +484,14 @@ def _(i: Inputs):
     UNION ALL SELECT 'fires_daily', count(*) FROM edaily WHERE acq_date >= (SELECT CAST(max(ts) AS DATE) - 120 FROM events)"""))
 def _(i: Inputs):
     """All twelve datasets published and read back through the manifest."""
+    counts = None
+    for name, df in _published(i).items():
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dataset"), "n")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
+def _published(i: Inputs) -> dict[str, DataFrame]:
     base = shared_path(i.spark, "gold")
     aqi_rows = i.gold_aqi()
     forecasts = i.spark.read.parquet(
@@ -507,8 +515,46 @@ def _(i: Inputs):
     now = i.events().agg(F.max(F.col("ts").cast("timestamp_ntz"))).first()[0]
     public = shared_path(i.spark, "public")
     snapshot.export_snapshot(i.spark, snapshot.export_filters(gold, i.as_of()), public, now)
-    counts = None
-    for name, df in snapshot.read_snapshot(i.spark, public).items():
-        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dataset"), "n")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    return snapshot.read_snapshot(i.spark, public)
+
+
+def _cells(dataset: str, key: str, ts: str, value: str, source: str) -> str:
+    return f"SELECT '{dataset}' AS dataset, CAST({key} AS VARCHAR) AS key, CAST({ts} AS TIMESTAMP) AS ts, CAST({value} AS DOUBLE) AS value FROM {source}"
+
+
+_RECENT = "WHERE hour_start_utc >= (SELECT max(hour_start_utc) - INTERVAL 30 DAY FROM {0} WHERE {1} IS NOT NULL)"
+
+
+@query("snapshot_values", using("aqi", "zone_hourly", "city_hourly", "edaily", "fcst", "facc", "stations", "zones", body=" UNION ALL ".join([
+    _cells("aqi_hourly_recent", "location_id", "hour_start_utc", "pm25", "aqi " + _RECENT.format("aqi", "pm25")),
+    _cells("zone_hourly_recent", "zone_id", "hour_start_utc", "pm25_median", "zone_hourly " + _RECENT.format("zone_hourly", "pm25_median")),
+    _cells("city_hourly_recent", "city_id", "hour_start_utc", "pm25_median", "city_hourly " + _RECENT.format("city_hourly", "pm25_median")),
+    _cells("forecasts_latest", "location_id || ' ' || horizon_h", "target_hour_start_utc", "pm25_pred",
+           "fcst WHERE issue_time_utc = (SELECT max(issue_time_utc) FROM fcst)"),
+    _cells("forecast_accuracy_recent", "location_id || ' ' || horizon_h", "target_hour_start_utc", "round(abs_error, 6)",
+           "facc WHERE target_hour_start_utc >= (SELECT max(ts) - INTERVAL 30 DAY FROM events)"),
+    _cells("fires_daily", "sector || ' ' || distance_band", "acq_date", "fire_count",
+           "edaily WHERE acq_date >= (SELECT CAST(max(ts) AS DATE) - 120 FROM events)"),
+    _cells("dim_station", "location_id", "NULL", "latitude", "stations"),
+    _cells("dim_zone", "zone_id", "NULL", "NULL", "zones"),
+])))
+def _(i: Inputs):
+    """Keys, times and values of the published datasets, row by row."""
+    got = _published(i)
+    pick = {
+        "aqi_hourly_recent": ("location_id", "hour_start_utc", "pm25"),
+        "zone_hourly_recent": ("zone_id", "hour_start_utc", "pm25_median"),
+        "city_hourly_recent": ("city_id", "hour_start_utc", "pm25_median"),
+        "forecasts_latest": ("concat_ws(' ', location_id, horizon_h)", "target_hour_start_utc", "pm25_pred"),
+        "forecast_accuracy_recent": ("concat_ws(' ', location_id, horizon_h)", "target_hour_start_utc", "round(abs_error, 6)"),
+        "fires_daily": ("concat_ws(' ', sector, distance_band)", "acq_date", "fire_count"),
+        "dim_station": ("location_id", "NULL", "latitude"),
+        "dim_zone": ("zone_id", "NULL", "NULL"),
+    }
+    out = None
+    for name, (key, ts, value) in pick.items():
+        one = got[name].selectExpr(
+            f"'{name}' AS dataset", f"CAST({key} AS STRING) AS key", f"CAST({ts} AS TIMESTAMP) AS ts", f"CAST({value} AS DOUBLE) AS value"
+        )
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -364,3 +364,28 @@ def test_colocated_crowds_equal_brute_force_and_compare_little(spark, monkeypatc
         monkeypatch.undo()
         seen[n] = sum(counts)
     assert seen[16_000] < 8 * seen[4000] and seen[16_000] < 16_000**2 / 50, seen
+
+
+def test_drift_from_stored_days_equals_drift_from_rows(spark, tmp_path):
+    days = spark.range(4000).select(
+        F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 20).cast("int")).alias("d"),
+        F.round(F.randn(1) * 3, 1).alias("a"), (F.col("id") % 7).cast("string").alias("b"),
+    )
+    days = spark.createDataFrame(days.collect(), days.schema)
+    path, names = str(tmp_path / "days"), ["a", "b"]
+    drift.store_days(days.where("d < '2026-01-15'"), names, "d", path)
+    drift.store_days(days.where("d = '2026-01-14'").unionByName(days.where("d = '2026-01-15'")), names, "d", path)  # one again, one new
+    assert spark.read.parquet(path).select("day").distinct().count() == 15
+    now = drift.long_form(days.where("d > '2026-01-15'"), names, "current")
+    reference = drift.merge_days(spark.read.parquet(path), F.col("day") > "2026-01-03")
+    got = drift.distances_of_counts(reference, drift.counted(now)).orderBy("feature").collect()
+    past = drift.long_form(days.where("d > '2026-01-03' AND d <= '2026-01-15'"), names, "reference")
+    assert got == drift.distances(past, now).orderBy("feature").collect() and len(got) == 2
+
+
+def test_bins_by_bisection(spark):
+    for n in (1, 2, 3, 7, 8, 40):
+        cuts = [float(x // 2) for x in range(n)]
+        df = spark.range(-2, n).select(F.array(*map(F.lit, cuts)).alias("c"), (F.col("id") / 2).alias("v"))
+        got = df.select("v", drift._bin_of(F.col("c"), F.col("v"), n + 1).alias("b")).collect()
+        assert all(r.b == sum(c < r.v for c in cuts) for r in got)

@@ -150,6 +150,88 @@ def test_compaction_keeps_rows_and_reduces_files(spark, tmp_path):
     assert tables.read_table(spark, path).count() == 1000
 
 
+def fragmented(spark, path):
+    """One month with a large file and ten small ones."""
+    df = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), F.lit("2026-01").alias("month"))
+    df.where("id < 150000").coalesce(1).write.partitionBy("month").parquet(path)
+    (large,) = files.sizes(spark, f"{path}/month=2026-01")
+    df.where("id >= 150000").repartition(10).write.mode("append").partitionBy("month").parquet(path)
+    return df, large
+
+
+def test_compaction_packs_small_files_and_leaves_large_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df, large = fragmented(spark, path)
+    before = files.sizes(spark, f"{path}/month=2026-01")
+    small = [n for n in before if n != large]
+    target = 4.5 * max(before[n] for n in small) / 2**20
+    settings = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert tables.compact(spark, path, ["2026-01"], target) == 3  # bins of four, four and two
+    after = files.sizes(spark, f"{path}/month=2026-01")
+    assert large in after and len(after) == 4 and not set(small) & set(after)
+    assert tables.read_table(spark, path).select("id", "text").exceptAll(df.select("id", "text")).count() == 0
+    assert tables.read_table(spark, path).count() == 200_000
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == settings
+    assert tables.compact(spark, path, ["2026-01", "2026-02"], target / 4) == 0
+
+
+def test_a_broken_compaction_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    _, large = fragmented(spark, path)
+    moved = []
+
+    def one_only(session, source, goal):
+        if moved:
+            raise OSError("lost")
+        moved.append(files.move(session, source, goal))
+
+    monkeypatch.setattr(tables, "move", one_only)
+    size = max(files.sizes(spark, f"{path}/month=2026-01").items(), key=lambda f: f[0] != large and f[1])[1]
+    with pytest.raises(OSError, match="lost"):
+        tables.compact(spark, path, ["2026-01"], 3.5 * size / 2**20)
+    monkeypatch.undo()
+    tables.compact(spark, path, [])
+    rows = tables.read_table(spark, path)
+    assert rows.count() == rows.select("id").distinct().count() == 200_000
+
+
+def test_readers_move_to_a_rebuilt_table_in_one_step(spark, tmp_path):
+    base = str(tmp_path / "gold")
+    tables.rebuild_and_switch(spark, spark.range(3), base, "1")
+    old = tables.read_current(spark, base)
+    with pytest.raises(Exception, match="broken"):
+        tables.rebuild_and_switch(spark, spark.range(5).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), base, "2")
+    assert tables.read_current(spark, base).count() == 3
+    tables.rebuild_and_switch(spark, spark.range(5), base, "3")
+    assert (old.count(), tables.read_current(spark, base).count()) == (3, 5)
+
+
+def test_streamed_envelopes_are_replayed_without_change(spark, tmp_path):
+    from airlake.streaming import runs
+
+    path, (table, bad, cp) = str(tmp_path / "in"), (str(tmp_path / n) for n in ("table", "bad", "cp"))
+    doc = lambda k, v, at: json.dumps({"fetched_at": at, "items": [{"k": k, "v": v}, {"k": k + 1, "v": None}]})
+    files_ = [[doc(1, 1.0, "2026-01-02T00:00:00Z"), "{oops"], [doc(1, 5.0, "2026-01-01T00:00:00Z"), doc(7, 2.0, "2026-01-03T00:00:00Z")]]
+    schema = "fetched_at string, items array<struct<k: int, v: double>>"
+
+    def run(checkpoint):
+        stream = runs.read_json_files(spark, path, schema, files_per_batch=1)
+        flatten = lambda d: d.select("fetched_at", F.inline("items"))
+        stage = lambda d: d.withColumn("ts", F.to_timestamp(F.lit("2026-01-01 00:00:00")))
+        runs.run_envelopes(spark, stream, table, bad, checkpoint, flatten, F.col("v").isNotNull(), stage, ["k", "ts"], [F.col("fetched_at").desc()], "ts")
+
+    for n, lines in enumerate(files_):
+        part = tmp_path / "in" / f"{n}.json"
+        part.parent.mkdir(exist_ok=True)
+        part.write_text("\n".join(lines) + "\n")
+        run(cp)
+    for checkpoint in (cp, str(tmp_path / "again")):  # nothing new, then all of it once more
+        run(checkpoint)
+        assert {r.k: r.v for r in tables.read_table(spark, table).collect()} == {1: 1.0, 7: 2.0}
+        reasons = sorted(r.reason for r in spark.read.parquet(bad).collect())
+        assert reasons == ["invalid"] * 3 + ["unreadable"]
+
+
 def test_snapshot_reads_what_the_manifest_names(spark, tmp_path, frame):
     base = str(tmp_path / "public")
     df = frame([(1, hour(0))], "k int, at timestamp")
