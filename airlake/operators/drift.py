@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 BIN_VALUES = 20_000
 MIN_BINS, MAX_BINS = 16, 10_000
+FEW_CUTS = 64
 P_VALUE_LIMIT = 0.05
 DISTANCE_LIMIT = 0.1
 
@@ -29,7 +30,9 @@ def _values(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
 
 
 def _bin_of(cuts: Column, v: Column, n_cuts: int) -> Column:
-    """How many of the ascending cuts lie below ``v``, by bisection."""
+    """How many of the ascending cuts lie below ``v``: by comparing with all of a few, by bisection of many."""
+    if n_cuts <= FEW_CUTS:
+        return F.size(F.filter(cuts, lambda q: q < v))
     steps = F.sequence(F.lit(1), F.lit(max(1, n_cuts.bit_length())))
     middle = lambda s: F.floor((s["lo"] + s["hi"]) / 2).cast("int")
     below = lambda s: F.get(cuts, middle(s)) < v
