@@ -82,15 +82,19 @@ def similar_links(
 ) -> DataFrame:
     """Verified pairs (src, dst) that connect all similar sets.
 
-    ``keyed``: id and keys (of :func:`window_keys`); ``texts_of`` gives the texts (id, norm) of a table of ids.
+    ``keyed``: id, keys (such as :func:`window_keys`) and perhaps size, the number of different hashes of the set;
+    ``texts_of`` gives the texts (id, norm) of a table of ids.
     """
-    keyed = keyed.select("id", F.explode("keys").alias("key"))
+    size = "size" if "size" in keyed.columns else F.lit(1).alias("size")
+    keyed = keyed.select("id", size, F.explode("keys").alias("key"))
     shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), f"{name}-shared")
     likely, _ = possible(keyed, F.col("key"), shared, F.col("key"))
     members = stored(likely.join(shared, "key"), f"{name}-members")
     texts = stored(texts_of(members.select("id").distinct()), f"{name}-texts")
     few, crowd = members.where(F.col("n") <= CROWD), members.where(F.col("n") > CROWD)
-    pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where("a < b")
+    one, other = (few.select("key", F.col("id").alias(c), F.col("size").alias(f"s{c}")) for c in "ab")
+    # a set of less than 0.8 of the other's size cannot be similar
+    pairs = one.join(other, "key").where("a < b AND 10 * least(sa, sb) >= 8 * greatest(sa, sb)")
     links = stored(verified(_ordered(pairs), texts, shingles), f"{name}-links")
     for k in range(LEADERS):
         crowd = stored(_labelled(crowd, links), f"{name}-crowd-{k}").drop("component")

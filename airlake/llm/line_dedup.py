@@ -1,24 +1,32 @@
-"""Fuzzy line deduplication by exact Jaccard similarity of character shingles.
+"""Fuzzy line deduplication by MinHash: signatures of character shingles, bands, exact Jaccard verification, components.
 
-1. Lines of at least ``min_chars`` characters (lower case, single spaces) are merged by a 128-bit hash when equal. Each
-   different line has the set of all its ``shingle``-character shingles, and the window keys of that set (``jaccard.py``).
-2. Lines that share a key are candidates; crowds are compared until each is one component or all its pairs are done.
+1. Lines of at least ``min_chars`` characters (lower case, single spaces) are merged by a 128-bit hash when equal.
+2. Each different line has a signature of BANDS x ROWS minima over the hashes of all its ``shingle``-character shingles, and
+   one key for each band (``minhash_keys``). Lines that share a key are candidates; crowds are compared until each is one
+   component or all its pairs are done (``jaccard.py``).
 3. Candidates are verified: exact Jaccard similarity of their sets, 0.8 or more.
 4. Verified pairs are joined into components; the first occurrence (smallest doc_id, then position) of a component is kept.
 
+A pair at 0.8 shares a band with probability 1 - (1 - 0.8^ROWS)^BANDS = 0.9999, one at 0.85 practically always.
+
 Everything is DataFrame functions.
 """
 
 from __future__ import annotations
 
+import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlake.llm.common import packed_row, possible, spaced, stored
+from airlake.llm.common import GAPS, packed_row, possible, stored
 from airlake.llm.components import connected_components
-from airlake.llm.jaccard import similar_links, window_keys
+from airlake.llm.jaccard import similar_links
+
+BANDS = 24
+ROWS = 5
+SHORT = 128  # shingles; shorter lines have an order of their hashes for each row
 
 
 @dataclass(frozen=True)
@@ -27,17 +35,62 @@ class Fuzzy:
     shingle: int = 5
 
 
+def single_spaced(line: Column) -> Column:
+    """The words of a line joined by single spaces; lines that are so already pass no pattern."""
+    odd = F.contains(line, F.lit("  "))
+    for sign in "\t\x0b\x0c\r":
+        odd = odd | F.contains(line, F.lit(sign))
+    return F.trim(F.when(odd, F.regexp_replace(line, GAPS, " ")).otherwise(line))
+
+
+def all_shingles(norm: Column, how: Fuzzy) -> Column:
+    """The hashes of the shingles at all places of a line, which has at least one. Four bytes a character, so a place is found at once."""
+    codes = F.encode(norm, "UTF-32")
+
+    def hashes(c: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(c) - (4 * how.shingle - 1), F.lit(1)), F.lit(4))
+        return F.transform(starts, lambda at: F.xxhash64(F.substring(c, at, F.lit(4 * how.shingle))))
+
+    return F.get(F.transform(F.array(codes), hashes), F.lit(0))
+
+
 def shingles_of(norm: Column, how: Fuzzy) -> Column:
     """The different hashes of all shingles of a line."""
-    every = F.regexp_extract_all(norm, F.lit(rf"(?s)(?=(.{{{how.shingle}}}))"), F.lit(1))
-    return F.array_distinct(F.transform(every, lambda x: F.xxhash64(x)))
+    return F.array_distinct(all_shingles(norm, how))
+
+
+def with_minhash(lines: DataFrame, how: Fuzzy) -> DataFrame:
+    """``lines`` with ``keys``, one for each band, and ``size``, the number of different shingles, instead of ``norm``.
+
+    A minimum belongs to a place of the ring of 64-bit hashes: it is the first hash at or after it, so the least in an order
+    that begins there. Places are fixed numbers, BANDS for each row. In long lines all rows look at one ring, where
+    neighbouring gaps average out; lines of at most SHORT shingles have a ring of their own for each row, rehashed.
+    A place is found among the sorted hashes by sorting the places in: those before it are hashes but for the places before it.
+    """
+    dice = random.Random(8)
+    places = [sorted(dice.getrandbits(64) - 2**63 for _ in range(BANDS)) for _ in range(ROWS)]
+    order = [dice.sample(range(BANDS), BANDS) for _ in range(ROWS)]
+    rest = [c for c in lines.columns if c != "norm"]
+    df = lines.select(*rest, F.sort_array(shingles_of(F.col("norm"), how)).alias("_s"))
+    df = df.withColumn("size", F.size("_s"))
+    own = lambda q: F.sort_array(F.transform("_s", lambda h: F.xxhash64(h, F.lit(q))))
+    rings = {f"_s{q}": F.when(F.col("size") <= SHORT, own(q)).otherwise(F.col("_s")) for q in range(ROWS)}
+    df = df.select(*rest, "size", *[c.alias(n) for n, c in rings.items()])
+    marked = {f"_t{q}": F.sort_array(F.concat(f"_s{q}", F.array(*map(F.lit, places[q])))) for q in range(ROWS)}
+    df = df.select("*", *[c.alias(n) for n, c in marked.items()])
+
+    def minimum(q: int, k: int) -> Column:
+        before = F.array_position(f"_t{q}", F.lit(places[q][k])) - (1 + k)
+        return F.get(f"_s{q}", F.pmod(before, F.col("size").cast("bigint")).cast("int"))
+
+    bands = [F.xxhash64(F.lit(b), *[minimum(q, order[q][b]) for q in range(ROWS)]) for b in range(BANDS)]
+    return df.select(*rest, "size", F.array_distinct(F.array(*bands)).alias("keys"))
 
 
 def lines_of(docs: DataFrame, how: Fuzzy) -> DataFrame:
     """doc_id, text_hash, pos, h1, h2 (a 128-bit hash) and norm of every line long enough."""
-    text = F.coalesce("text", F.lit(""))
-    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(text, "\n")))
-    lines = lines.select("doc_id", "text_hash", "pos", F.lower(spaced(F.col("col"))).alias("norm"))
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")))
+    lines = lines.select("doc_id", "text_hash", "pos", F.lower(single_spaced(F.col("col"))).alias("norm"))
     lines = lines.where(F.char_length("norm") >= how.min_chars)
     return lines.withColumns({"h1": F.xxhash64("norm"), "h2": F.xxhash64("norm", F.lit(1))})
 
@@ -57,10 +110,9 @@ def repeated_lines(docs: DataFrame, how: Fuzzy = Fuzzy()) -> DataFrame:
     distinct = lines.select(here.alias("here"), "h1", "h2", "norm").groupBy("h1", "h2").agg(
         F.min("here").alias("first"), F.count("*").alias("n"), F.first("norm").alias("norm")
     )
-    distinct = distinct.withColumn("keys", window_keys(shingles(F.col("norm")))).drop("norm")
-    distinct = stored(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
+    distinct = stored(with_minhash(distinct, how).withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
     texts = lambda ids: line_texts(docs, distinct.select("id", "h1", "h2").join(ids, "id"), how)
-    parts = connected_components(similar_links(distinct.select("id", "keys"), texts, shingles, "line"))
+    parts = connected_components(similar_links(distinct.select("id", "keys", "size"), texts, shingles, "line"))
     known = distinct.select("id", "h1", "h2", "first", "n").join(
         parts.withColumnRenamed("node", "id"), "id", "left"
     )
