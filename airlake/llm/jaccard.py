@@ -82,11 +82,11 @@ def similar_links(
 ) -> DataFrame:
     """Verified pairs (src, dst) that connect all similar sets.
 
-    ``keyed``: id, keys (such as :func:`window_keys`) and perhaps size, the number of different hashes of the set;
+    ``keyed``: id and keys (:func:`window_keys`), or rows of id, size (the number of different hashes of the set) and key;
     ``texts_of`` gives the texts (id, norm) of a table of ids.
     """
-    size = "size" if "size" in keyed.columns else F.lit(1).alias("size")
-    keyed = keyed.select("id", size, F.explode("keys").alias("key"))
+    if "keys" in keyed.columns:
+        keyed = keyed.select("id", F.lit(1).alias("size"), F.explode("keys").alias("key"))
     shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), f"{name}-shared")
     likely, _ = possible(keyed, F.col("key"), shared, F.col("key"))
     members = stored(likely.join(shared, "key"), f"{name}-members")

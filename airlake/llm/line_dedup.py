@@ -2,7 +2,7 @@
 
 1. Lines of at least ``min_chars`` characters (lower case, single spaces) are merged by a 128-bit hash when equal.
 2. Each different line has a signature of BANDS x ROWS minima over the hashes of all its ``shingle``-character shingles, and
-   one key for each band (``minhash_keys``). Lines that share a key are candidates; crowds are compared until each is one
+   one key for each band (``with_minhash``). Lines that share a key are candidates; crowds are compared until each is one
    component or all its pairs are done (``jaccard.py``).
 3. Candidates are verified: exact Jaccard similarity of their sets, 0.8 or more.
 4. Verified pairs are joined into components; the first occurrence (smallest doc_id, then position) of a component is kept.
@@ -60,7 +60,7 @@ def shingles_of(norm: Column, how: Fuzzy) -> Column:
 
 
 def with_minhash(lines: DataFrame, how: Fuzzy) -> DataFrame:
-    """``lines`` with ``keys``, one for each band, and ``size``, the number of different shingles, instead of ``norm``.
+    """``lines`` without ``norm``, each BANDS times: ``band``, its ``key``, and ``size``, the number of different shingles.
 
     A minimum belongs to a place of the ring of 64-bit hashes: it is the first hash at or after it, so the least in an order
     that begins there. Places are fixed numbers, BANDS for each row. In long lines all rows look at one ring, where
@@ -78,13 +78,15 @@ def with_minhash(lines: DataFrame, how: Fuzzy) -> DataFrame:
     df = df.select(*rest, "size", *[c.alias(n) for n, c in rings.items()])
     marked = {f"_t{q}": F.sort_array(F.concat(f"_s{q}", F.array(*map(F.lit, places[q])))) for q in range(ROWS)}
     df = df.select("*", *[c.alias(n) for n, c in marked.items()])
+    df = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
 
-    def minimum(q: int, k: int) -> Column:
-        before = F.array_position(f"_t{q}", F.lit(places[q][k])) - (1 + k)
+    def minimum(q: int) -> Column:
+        rank = F.get(F.array(*map(F.lit, order[q])), F.col("band"))
+        place = F.get(F.array(*map(F.lit, places[q])), rank)
+        before = F.array_position(f"_t{q}", place) - 1 - rank
         return F.get(f"_s{q}", F.pmod(before, F.col("size").cast("bigint")).cast("int"))
 
-    bands = [F.xxhash64(F.lit(b), *[minimum(q, order[q][b]) for q in range(ROWS)]) for b in range(BANDS)]
-    return df.select(*rest, "size", F.array_distinct(F.array(*bands)).alias("keys"))
+    return df.select(*rest, "size", "band", F.xxhash64("band", *[minimum(q) for q in range(ROWS)]).alias("key"))
 
 
 def lines_of(docs: DataFrame, how: Fuzzy) -> DataFrame:
@@ -110,9 +112,10 @@ def repeated_lines(docs: DataFrame, how: Fuzzy = Fuzzy()) -> DataFrame:
     distinct = lines.select(here.alias("here"), "h1", "h2", "norm").groupBy("h1", "h2").agg(
         F.min("here").alias("first"), F.count("*").alias("n"), F.first("norm").alias("norm")
     )
-    distinct = stored(with_minhash(distinct, how).withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
+    banded = stored(with_minhash(distinct.withColumn("id", F.monotonically_increasing_id()), how), "banded-lines")
+    distinct = banded.where("band = 0")
     texts = lambda ids: line_texts(docs, distinct.select("id", "h1", "h2").join(ids, "id"), how)
-    parts = connected_components(similar_links(distinct.select("id", "keys", "size"), texts, shingles, "line"))
+    parts = connected_components(similar_links(banded.select("id", "size", "key"), texts, shingles, "line"))
     known = distinct.select("id", "h1", "h2", "first", "n").join(
         parts.withColumnRenamed("node", "id"), "id", "left"
     )
