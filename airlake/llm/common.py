@@ -57,9 +57,20 @@ def possible(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column)
     return asked.where("_hit").drop("_hit"), asked.where("NOT _hit").drop("_hit")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write to the cluster's shared folder and read back, so lost executors cost no recomputation."""
+    """Cut lineage: write to the cluster's shared folder and read back, so lost executors cost no recomputation.
+
+    The shuffle files of the write go when it has ended, not when the driver next collects garbage; nothing reads them after.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

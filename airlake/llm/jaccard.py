@@ -8,7 +8,7 @@ STARTS fixed places of the ring (the next hash there is); such a window is commo
 about (1 - 0.8^5)^STARTS of the time. Places belong to the ring and not to the set, so a change moves no other window.
 
 Sets that share a key are candidates; all are verified by exact Jaccard similarity. A key of more than CROWD sets first
-compares its members with one leader. Then those it holds of different components are all compared with each
+compares its members with LEADERS of them. Then those it holds of different components are all compared with each
 other, in blocks, so that none is left out; members already connected need no more links.
 
 Everything is DataFrame functions.
@@ -21,14 +21,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlake.llm.common import possible, stored
+from airlake.llm.common import stored
 from airlake.llm.components import connected_components
 
 SIMILARITY = 0.8
 SMALL = 64
 STARTS = 32  # a power of two
 CROWD = 32
-LEADERS = 3  # rounds of comparing with a leader
+LEADERS = 3
 BLOCK = 1024
 
 
@@ -55,14 +55,23 @@ def window_keys(hashes: Column) -> Column:
     return F.get(F.transform(F.array(F.sort_array(hashes)), keys), F.lit(0))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, shingles: Callable[[Column], Column]) -> DataFrame:
-    """The pairs of texts (id, norm) whose sets of shingles have an exact Jaccard similarity of at least SIMILARITY."""
+def by_shingles(shingles: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]:
+    """A check of pairs (src, dst and the texts a, b): those whose sets of shingles have a similarity of at least SIMILARITY."""
+
+    def check(pairs: DataFrame) -> DataFrame:
+        sets = pairs.select("src", "dst", shingles(F.col("a")).alias("a"), shingles(F.col("b")).alias("b"))
+        shared = F.size(F.array_intersect("a", "b"))
+        return sets.where(10 * shared >= int(10 * SIMILARITY) * (F.size("a") + F.size("b") - shared)).select("src", "dst")
+
+    return check
+
+
+def verified(pairs: DataFrame, texts: DataFrame, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The pairs of texts (id, norm) that pass the exact check."""
     both = pairs.join(texts.select(F.col("id").alias("src"), F.col("norm").alias("a")), "src").join(
         texts.select(F.col("id").alias("dst"), F.col("norm").alias("b")), "dst"
     )
-    sets = both.select("src", "dst", shingles(F.col("a")).alias("a"), shingles(F.col("b")).alias("b"))
-    shared = F.size(F.array_intersect("a", "b"))
-    return sets.where(10 * shared >= int(10 * SIMILARITY) * (F.size("a") + F.size("b") - shared)).select("src", "dst")
+    return check(both)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -78,32 +87,25 @@ def _labelled(crowd: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def similar_links(
-    keyed: DataFrame, texts_of: Callable[[DataFrame], DataFrame], shingles: Callable[[Column], Column], name: str
+    keyed: DataFrame, texts_of: Callable[[DataFrame], DataFrame], check: Callable[[DataFrame], DataFrame], name: str
 ) -> DataFrame:
     """Verified pairs (src, dst) that connect all similar sets.
 
-    ``keyed``: id and keys (:func:`window_keys`), or rows of id, size (the number of different hashes of the set) and key;
-    ``texts_of`` gives the texts (id, norm) of a table of ids.
+    ``keyed``: id and keys (:func:`window_keys`), or rows of id and key; ``texts_of`` gives the texts (id, norm) of a table of ids;
+    ``check`` keeps the similar ones of pairs (src, dst, a, b).
     """
     if "keys" in keyed.columns:
-        keyed = keyed.select("id", F.lit(1).alias("size"), F.explode("keys").alias("key"))
+        keyed = keyed.select("id", F.explode("keys").alias("key"))
     shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), f"{name}-shared")
-    likely, _ = possible(keyed, F.col("key"), shared, F.col("key"))
-    members = stored(likely.join(shared, "key"), f"{name}-members")
+    members = stored(keyed.join(shared, "key"), f"{name}-members")
     texts = stored(texts_of(members.select("id").distinct()), f"{name}-texts")
     few, crowd = members.where(F.col("n") <= CROWD), members.where(F.col("n") > CROWD)
-    one, other = (few.select("key", F.col("id").alias(c), F.col("size").alias(f"s{c}")) for c in "ab")
-    # a set of less than 0.8 of the other's size cannot be similar
-    pairs = one.join(other, "key").where("a < b AND 10 * least(sa, sb) >= 8 * greatest(sa, sb)")
-    links = stored(verified(_ordered(pairs), texts, shingles), f"{name}-links")
-    for k in range(LEADERS):
-        crowd = stored(_labelled(crowd, links), f"{name}-crowd-{k}").drop("component")
-        if crowd.isEmpty():
-            return links
-        leaders = crowd.groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(k))).alias("a"))
-        stars = crowd.join(leaders, "key").select("a", F.col("id").alias("b"))
-        more = verified(_ordered(stars), texts, shingles)
-        links = stored(links.unionByName(more).distinct(), f"{name}-links-{k}")
+    pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where("a < b")
+    leaders = crowd.groupBy("key").agg(*[F.min_by("id", F.xxhash64("id", F.lit(k))).alias(f"l{k}") for k in range(LEADERS)])
+    stars = crowd.join(leaders, "key").select(F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("a"), F.col("id").alias("b"))
+    links = stored(verified(_ordered(pairs.select("a", "b").unionByName(stars)), texts, check), f"{name}-links")
+    if crowd.isEmpty():
+        return links
     crowd = stored(_labelled(crowd, links), f"{name}-crowd")
     if crowd.isEmpty():
         return links
@@ -113,5 +115,5 @@ def similar_links(
     left = own.select("key", F.col("block").alias("row"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / BLOCK) - 1)).alias("col"), F.col("id").alias("a"), F.col("component").alias("ca"))
     right = own.select("key", F.col("block").alias("col"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / BLOCK) - 1)).alias("row"), F.col("id").alias("b"), F.col("component").alias("cb"))
     crossing = left.join(right, ["key", "row", "col"]).where("ca <> cb AND a < b")
-    rest = verified(_ordered(crossing), texts, shingles)
+    rest = verified(_ordered(crossing), texts, check)
     return stored(links.unionByName(rest), f"{name}-links-all")

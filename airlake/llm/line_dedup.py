@@ -1,20 +1,19 @@
 """Fuzzy line deduplication by MinHash: signatures of character shingles, bands, exact Jaccard verification, components.
 
-1. Lines of at least ``min_chars`` characters (lower case, single spaces) are merged by a 128-bit hash when equal.
-2. Each different line has a signature of BANDS x ROWS minima over the hashes of all its ``shingle``-character shingles, and
-   one key for each band (``with_minhash``). Lines that share a key are candidates; crowds are compared until each is one
-   component or all its pairs are done (``jaccard.py``).
+1. Lines of at least ``min_equal`` characters (lower case, single spaces) are merged by a 128-bit hash when equal.
+2. Each line of at least ``min_chars`` characters has a signature of BANDS x ROWS minima over the hashes of all its
+   ``shingle``-character shingles, and one key for each band (``line_hashes.py``). Lines that share a key are candidates; crowds
+   are compared until each is one component or all its pairs are done (``jaccard.py``).
 3. Candidates are verified: exact Jaccard similarity of their sets, 0.8 or more.
 4. Verified pairs are joined into components; the first occurrence (smallest doc_id, then position) of a component is kept.
 
-A pair at 0.8 shares a band with probability 1 - (1 - 0.8^ROWS)^BANDS = 0.9999, one at 0.85 practically always.
+A pair at 0.8 shares a band with probability 1 - (1 - 0.8^ROWS)^BANDS = 0.9998, one at 0.85 practically always.
 
-Everything is DataFrame functions.
+Spark splits, shuffles and joins the lines; hashing shingles and comparing two lines run over Arrow batches in its tasks.
 """
 
 from __future__ import annotations
 
-import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,16 +22,14 @@ from pyspark.sql import functions as F
 from airlake.llm.common import GAPS, packed_row, possible, stored
 from airlake.llm.components import connected_components
 from airlake.llm.jaccard import similar_links
-
-BANDS = 24
-ROWS = 5
-SHORT = 128  # shingles; shorter lines have an order of their hashes for each row
+from airlake.llm.line_hashes import BANDS, with_band_keys, with_similar_pairs
 
 
 @dataclass(frozen=True)
 class Fuzzy:
     min_chars: int = 30
     shingle: int = 5
+    min_equal: int = 30  # at most min_chars
 
 
 def single_spaced(line: Column) -> Column:
@@ -43,57 +40,11 @@ def single_spaced(line: Column) -> Column:
     return F.trim(F.when(odd, F.regexp_replace(line, GAPS, " ")).otherwise(line))
 
 
-def all_shingles(norm: Column, how: Fuzzy) -> Column:
-    """The hashes of the shingles at all places of a line, which has at least one. Four bytes a character, so a place is found at once."""
-    codes = F.encode(norm, "UTF-32")
-
-    def hashes(c: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(c) - (4 * how.shingle - 1), F.lit(1)), F.lit(4))
-        return F.transform(starts, lambda at: F.xxhash64(F.substring(c, at, F.lit(4 * how.shingle))))
-
-    return F.get(F.transform(F.array(codes), hashes), F.lit(0))
-
-
-def shingles_of(norm: Column, how: Fuzzy) -> Column:
-    """The different hashes of all shingles of a line."""
-    return F.array_distinct(all_shingles(norm, how))
-
-
-def with_minhash(lines: DataFrame, how: Fuzzy) -> DataFrame:
-    """``lines`` without ``norm``, each BANDS times: ``band``, its ``key``, and ``size``, the number of different shingles.
-
-    A minimum belongs to a place of the ring of 64-bit hashes: it is the first hash at or after it, so the least in an order
-    that begins there. Places are fixed numbers, BANDS for each row. In long lines all rows look at one ring, where
-    neighbouring gaps average out; lines of at most SHORT shingles have a ring of their own for each row, rehashed.
-    A place is found among the sorted hashes by sorting the places in: those before it are hashes but for the places before it.
-    """
-    dice = random.Random(8)
-    places = [sorted(dice.getrandbits(64) - 2**63 for _ in range(BANDS)) for _ in range(ROWS)]
-    order = [dice.sample(range(BANDS), BANDS) for _ in range(ROWS)]
-    rest = [c for c in lines.columns if c != "norm"]
-    df = lines.select(*rest, F.sort_array(shingles_of(F.col("norm"), how)).alias("_s"))
-    df = df.withColumn("size", F.size("_s"))
-    own = lambda q: F.sort_array(F.transform("_s", lambda h: F.xxhash64(h, F.lit(q))))
-    rings = {f"_s{q}": F.when(F.col("size") <= SHORT, own(q)).otherwise(F.col("_s")) for q in range(ROWS)}
-    df = df.select(*rest, "size", *[c.alias(n) for n, c in rings.items()])
-    marked = {f"_t{q}": F.sort_array(F.concat(f"_s{q}", F.array(*map(F.lit, places[q])))) for q in range(ROWS)}
-    df = df.select("*", *[c.alias(n) for n, c in marked.items()])
-    df = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-
-    def minimum(q: int) -> Column:
-        rank = F.get(F.array(*map(F.lit, order[q])), F.col("band"))
-        place = F.get(F.array(*map(F.lit, places[q])), rank)
-        before = F.array_position(f"_t{q}", place) - 1 - rank
-        return F.get(f"_s{q}", F.pmod(before, F.col("size").cast("bigint")).cast("int"))
-
-    return df.select(*rest, "size", "band", F.xxhash64("band", *[minimum(q) for q in range(ROWS)]).alias("key"))
-
-
 def lines_of(docs: DataFrame, how: Fuzzy) -> DataFrame:
-    """doc_id, text_hash, pos, h1, h2 (a 128-bit hash) and norm of every line long enough."""
+    """doc_id, text_hash, pos, h1, h2 (a 128-bit hash) and norm of every line long enough to be merged."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")))
     lines = lines.select("doc_id", "text_hash", "pos", F.lower(single_spaced(F.col("col"))).alias("norm"))
-    lines = lines.where(F.char_length("norm") >= how.min_chars)
+    lines = lines.where(F.char_length("norm") >= min(how.min_equal, how.min_chars))
     return lines.withColumns({"h1": F.xxhash64("norm"), "h2": F.xxhash64("norm", F.lit(1))})
 
 
@@ -101,30 +52,34 @@ def line_texts(docs: DataFrame, asked: DataFrame, how: Fuzzy) -> DataFrame:
     """id, norm of the lines ``asked`` for (id, h1, h2); only lines that may be among them are moved."""
     lines = lines_of(docs, how).select("h1", "h2", "norm")
     likely, _ = possible(lines, F.col("h1"), asked, F.col("h1"))
-    return likely.join(asked, ["h1", "h2"]).groupBy("id").agg(F.first("norm").alias("norm"))
+    # equal lines meet before they are moved
+    firsts = likely.groupBy("h1", "h2").agg(F.min("norm").alias("norm"))
+    return firsts.join(asked, ["h1", "h2"]).select("id", "norm")
+
+
+def distinct_lines(docs: DataFrame, how: Fuzzy) -> DataFrame:
+    """id, h1, h2, n (occurrences) and k0, k1, ... (band keys, null for lines too short to be compared) of each different line."""
+    keyed = with_band_keys(lines_of(docs, how).select("h1", "h2", "norm"), how.shingle, how.min_chars)
+    # keys follow from the line, so any occurrence's will do; numbers only, so that they aggregate without sorting
+    merged = keyed.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(f"k{b}").alias(f"k{b}") for b in range(BANDS)])
+    return stored(merged.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
 
 
 def repeated_lines(docs: DataFrame, how: Fuzzy = Fuzzy()) -> DataFrame:
     """doc_id, text_hash, dropped: the positions of the lines of each document that an earlier occurrence makes redundant."""
-    lines = lines_of(docs, how)
-    here = F.struct("doc_id", "text_hash", "pos")
-    shingles = lambda norm: shingles_of(norm, how)
-    distinct = lines.select(here.alias("here"), "h1", "h2", "norm").groupBy("h1", "h2").agg(
-        F.min("here").alias("first"), F.count("*").alias("n"), F.first("norm").alias("norm")
-    )
-    banded = stored(with_minhash(distinct.withColumn("id", F.monotonically_increasing_id()), how), "banded-lines")
-    distinct = banded.where("band = 0")
+    distinct = distinct_lines(docs, how)
     texts = lambda ids: line_texts(docs, distinct.select("id", "h1", "h2").join(ids, "id"), how)
-    parts = connected_components(similar_links(banded.select("id", "size", "key"), texts, shingles, "line"))
-    known = distinct.select("id", "h1", "h2", "first", "n").join(
-        parts.withColumnRenamed("node", "id"), "id", "left"
-    )
-    leads = known.where("component is not null").groupBy("component").agg(F.min("first").alias("lead"))
-    known = known.join(leads, "component", "left").where("n > 1 or lead is not null")
-    known = stored(known.select("h1", "h2", F.coalesce("lead", "first").alias("keep")), "line-keepers")
-    places = lines.select("doc_id", "text_hash", "pos", "h1", "h2")
+    keyed = distinct.where("k0 is not null").select("id", F.explode(F.array(*[f"k{b}" for b in range(BANDS)])).alias("key"))
+    check = lambda pairs: with_similar_pairs(pairs, how.shingle)
+    parts = connected_components(similar_links(keyed, texts, check, "line"))
+    known = distinct.select("id", "h1", "h2", "n").join(parts.withColumnRenamed("node", "id"), "id", "left")
+    known = known.where("n > 1 or component is not null")
+    known = stored(known.select("h1", "h2", F.coalesce("component", "id").alias("group")), "line-groups")
+    places = lines_of(docs, how).select("doc_id", "text_hash", "pos", "h1", "h2")
     likely, _ = possible(places, F.col("h1"), known, F.col("h1"))
-    extra = likely.join(known, ["h1", "h2"]).where(~here.eqNullSafe(F.col("keep")))
+    found = stored(likely.join(known, ["h1", "h2"]).select("doc_id", "text_hash", "pos", "group"), "line-places")
+    here = F.struct("doc_id", "text_hash", "pos")
+    extra = found.join(found.groupBy("group").agg(F.min(here).alias("keep")), "group").where(~here.eqNullSafe(F.col("keep")))
     # repeated rows (same doc_id and text) are one document here
     return extra.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("dropped"))
 
@@ -133,7 +88,8 @@ def dedup_lines(docs: DataFrame, how: Fuzzy = Fuzzy(), carry: list[str] | None =
     """``row`` (the carried columns, all by default), text without its redundant lines, n_lines, n_dropped.
 
     Of lines that are equal or similar (also through others) one occurrence stays, the one of the smallest doc_id and
-    position (null doc_ids first). Shorter lines are left alone. Null and empty texts have one empty line and stay as they are
+    position (null doc_ids first). Lines under ``min_equal`` characters are left alone, and those under ``min_chars`` merge with equal
+    ones only. Null and empty texts have one empty line and stay as they are
     (null: empty). Rows equal in doc_id and text are one document, and each keeps the same lines. An empty table has an
     empty result; other columns ride along untouched.
     """
