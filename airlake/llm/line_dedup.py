@@ -7,50 +7,38 @@
 3. Candidates are verified: exact Jaccard similarity of their sets, 0.8 or more.
 4. Verified pairs are joined into components; the first occurrence (smallest doc_id, then position) of a component is kept.
 
-A pair at 0.8 shares a band with probability 1 - (1 - 0.8^ROWS)^BANDS = 0.9998, one at 0.85 practically always.
+A pair at 0.8 shares a band with probability 1 - (1 - 0.8^ROWS)^BANDS = 0.9993, one at 0.85 practically always.
 
-Spark splits, shuffles and joins the lines; hashing shingles and comparing two lines run over Arrow batches in its tasks.
+Spark shuffles, joins and groups the lines; splitting, hashing and comparing them run over Arrow batches in its tasks.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlake.llm.common import GAPS, packed_row, possible, stored
+from airlake.llm.common import packed_row, possible, stored
 from airlake.llm.components import connected_components
 from airlake.llm.jaccard import similar_links
-from airlake.llm.line_hashes import BANDS, with_band_keys, with_similar_pairs
+from airlake.llm.line_hashes import BANDS, lines_of, with_similar_pairs
 
 
 @dataclass(frozen=True)
 class Fuzzy:
     min_chars: int = 30
     shingle: int = 5
-    min_equal: int = 30  # at most min_chars
+    min_equal: int = 30
 
-
-def single_spaced(line: Column) -> Column:
-    """The words of a line joined by single spaces; lines that are so already pass no pattern."""
-    odd = F.contains(line, F.lit("  "))
-    for sign in "\t\x0b\x0c\r":
-        odd = odd | F.contains(line, F.lit(sign))
-    return F.trim(F.when(odd, F.regexp_replace(line, GAPS, " ")).otherwise(line))
-
-
-def lines_of(docs: DataFrame, how: Fuzzy) -> DataFrame:
-    """doc_id, text_hash, pos, h1, h2 (a 128-bit hash) and norm of every line long enough to be merged."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")))
-    lines = lines.select("doc_id", "text_hash", "pos", F.lower(single_spaced(F.col("col"))).alias("norm"))
-    lines = lines.where(F.char_length("norm") >= min(how.min_equal, how.min_chars))
-    return lines.withColumns({"h1": F.xxhash64("norm"), "h2": F.xxhash64("norm", F.lit(1))})
+    @property
+    def least(self) -> int:
+        return min(self.min_equal, self.min_chars)
 
 
 def line_texts(docs: DataFrame, asked: DataFrame, how: Fuzzy) -> DataFrame:
     """id, norm of the lines ``asked`` for (id, h1, h2); only lines that may be among them are moved."""
-    lines = lines_of(docs, how).select("h1", "h2", "norm")
+    lines = lines_of(docs, how.least, texts=True).select("h1", "h2", "norm")
     likely, _ = possible(lines, F.col("h1"), asked, F.col("h1"))
     # equal lines meet before they are moved
     firsts = likely.groupBy("h1", "h2").agg(F.min("norm").alias("norm"))
@@ -59,7 +47,7 @@ def line_texts(docs: DataFrame, asked: DataFrame, how: Fuzzy) -> DataFrame:
 
 def distinct_lines(docs: DataFrame, how: Fuzzy) -> DataFrame:
     """id, h1, h2, n (occurrences) and k0, k1, ... (band keys, null for lines too short to be compared) of each different line."""
-    keyed = with_band_keys(lines_of(docs, how).select("h1", "h2", "norm"), how.shingle, how.min_chars)
+    keyed = lines_of(docs, how.least, how.min_chars, how.shingle)
     # keys follow from the line, so any occurrence's will do; numbers only, so that they aggregate without sorting
     merged = keyed.groupBy("h1", "h2").agg(F.count("*").alias("n"), *[F.min(f"k{b}").alias(f"k{b}") for b in range(BANDS)])
     return stored(merged.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
@@ -75,7 +63,7 @@ def repeated_lines(docs: DataFrame, how: Fuzzy = Fuzzy()) -> DataFrame:
     known = distinct.select("id", "h1", "h2", "n").join(parts.withColumnRenamed("node", "id"), "id", "left")
     known = known.where("n > 1 or component is not null")
     known = stored(known.select("h1", "h2", F.coalesce("component", "id").alias("group")), "line-groups")
-    places = lines_of(docs, how).select("doc_id", "text_hash", "pos", "h1", "h2")
+    places = lines_of(docs, how.least)
     likely, _ = possible(places, F.col("h1"), known, F.col("h1"))
     found = stored(likely.join(known, ["h1", "h2"]).select("doc_id", "text_hash", "pos", "group"), "line-places")
     here = F.struct("doc_id", "text_hash", "pos")

@@ -2,23 +2,31 @@
 
 A shingle's hash is a polynomial over its code points, mixed. Row r of a signature takes the least of the hashes times an
 odd number of its own, modulo 2^32; ROWS minima are mixed into the key of a band. Lines are taken in runs of about RUN
-shingles, which stay in the processor's cache; a longer line is a run of its own.
+characters, which stay in the processor's cache; a longer line is a run of its own.
 """
 
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-BANDS = 16
-ROWS = 4
-RUN = 1 << 16
-PAIRS = 1 << 10  # of lines compared at once; their number has ten bits beside 54 of a hash
+from airlake.llm.common import GAPS
 
+BANDS = 24
+ROWS = 6
+RUN = 1 << 16  # characters
+PAIRS = 1 << 10  # of lines compared at once; the number of a line has eleven bits beside 53 of a hash
+VALUE = np.uint64(53)
+
+_GAPS = re.compile(GAPS)
+_ODD = re.compile(r"[\x09-\x0D]|\x20\x20")
 _dice = random.Random(8)
 _STEP = np.uint64(_dice.getrandbits(64) | 1)
 _TURNS = np.array([_dice.getrandbits(32) | 1 for _ in range(BANDS * ROWS)], np.uint32)
@@ -77,48 +85,92 @@ def band_keys(lines: list[str], width: int) -> np.ndarray:
     return keys
 
 
-def _runs(lines: list[str]) -> Iterator[tuple[int, int]]:
-    """Bounds of neighbouring lines that have about RUN characters together."""
+def _runs(sizes: list[int], most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Bounds of neighbouring lines that have about RUN characters together, and are at most ``most``."""
     first = total = 0
-    for i, line in enumerate(lines):
-        if total and total + len(line) > RUN:
+    for i, size in enumerate(sizes):
+        if i > first and (total + size > RUN or i - first == most):
             yield first, i
             first, total = i, 0
-        total += len(line)
-    if first < len(lines):
-        yield first, len(lines)
-
-
-def with_band_keys(lines: DataFrame, width: int, min_chars: int) -> DataFrame:
-    """``lines`` without ``norm``, with the band keys k0, k1, ... of norm; null where it has less than ``min_chars`` characters."""
-    rest = [f for f in lines.schema if f.name != "norm"]
-    names = [*[f.name for f in rest], *[f"k{b}" for b in range(BANDS)]]
+        total += size
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def normal(line: str) -> str:
+    """The words of a line joined by single spaces, in lower case."""
+    return (_GAPS.sub(" ", line) if _ODD.search(line) else line).strip(" ").lower()
+
+
+def lines_of(docs: DataFrame, min_chars: int, keys_from: int = 0, width: int = 0, texts: bool = False) -> DataFrame:
+    """doc_id, text_hash, pos, h1, h2 (a 128-bit hash) of every line that has at least ``min_chars`` characters when normal.
+
+    With ``texts`` also norm, the normal line; with ``width`` also the band keys k0, k1, ... of its shingles, null where it has
+    less than ``keys_from`` characters.
+    """
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    bands = [f"k{b}" for b in range(BANDS if width else 0)]
+    names = ["doc_id", "text_hash", "pos", "h1", "h2", *["norm"][: int(texts)], *bands]
+    kinds = [kind, "bigint", "int", "bigint", "bigint", *["string"][: int(texts)], *["bigint" for _ in bands]]
+
+    def found(batch: pa.RecordBatch, column: list) -> Iterator[pa.RecordBatch]:
+        """The lines of a few documents."""
+        owners, places, norms = [], [], []
+        for i, text in enumerate(column):
+            for pos, line in enumerate((text or "").split("\n")):
+                line = normal(line)
+                if len(line) >= min_chars:
+                    owners.append(i)
+                    places.append(pos)
+                    norms.append(line)
+        digests = b"".join(xxhash.xxh3_128_digest(n.encode("utf-8", "surrogatepass")) for n in norms)
+        halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
+        out = [
+            *[batch.column(c).take(pa.array(owners, pa.int64())) for c in ("doc_id", "text_hash")],
+            pa.array(places, pa.int32()), *[pa.array(halves[:, k], pa.int64()) for k in (0, 1)],
+        ]
+        if texts:
+            out.append(pa.array(norms, pa.string()))
+        if width:
+            long = np.array([len(n) >= keys_from for n in norms], bool)
+            some = [n for n in norms if len(n) >= keys_from]
+            keys = np.zeros((len(norms), BANDS), np.int64)
+            if some:
+                keys[long] = np.concatenate([band_keys(some[a:b], width) for a, b in _runs(list(map(len, some)))]).view(np.int64)
+            out += [pa.array(keys[:, b], pa.int64(), mask=~long) for b in range(BANDS)]
+        yield pa.RecordBatch.from_arrays(out, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("norm").to_pylist()
-            long = np.array([len(t) >= min_chars for t in texts], bool)
-            some = [t for t in texts if len(t) >= min_chars]
-            keys = np.zeros((len(texts), BANDS), np.int64)
-            if some:
-                keys[long] = np.concatenate([band_keys(some[a:b], width) for a, b in _runs(some)]).view(np.int64)
-            bands = [pa.array(keys[:, b], pa.int64(), mask=~long) for b in range(BANDS)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in rest], *bands], names)
+            for at in range(0, batch.num_rows, 256):
+                few = batch.slice(at, 256)
+                yield from found(few, few.column("text").to_pylist())
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rest]
-    return lines.mapInArrow(run, ", ".join([*kept, *[f"k{b} bigint" for b in range(BANDS)]]))
+    return docs.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
 
 
 def similar(one: list[str], other: list[str], width: int) -> np.ndarray:
     """Whether the sets of shingles of each pair of lines (at most PAIRS) have a Jaccard similarity of 0.8 or more."""
-    sets = []
-    for lines in (one, other):
-        hashes, counts = shingle_hashes(lines, width)
-        pair = np.repeat(np.arange(len(lines), dtype=np.uint64), counts)
-        sets.append(np.unique(pair << np.uint64(54) | hashes >> np.uint64(10)))
-    count = lambda x: np.bincount((x >> np.uint64(54)).astype(np.int64), minlength=len(one))
-    shared = count(np.intersect1d(*sets, assume_unique=True))
-    return 10 * shared >= 8 * (count(sets[0]) + count(sets[1]) - shared)
+    index = {line: i for i, line in enumerate(dict.fromkeys([*one, *other]))}
+    hashes, counts = shingle_hashes(list(index), width)
+    # the set of each line once, in order: its number above, the hash below
+    sets = np.sort(np.repeat(np.arange(len(index), dtype=np.uint64), counts) << VALUE | hashes >> np.uint64(11))
+    sets = sets[np.concatenate([[True], sets[1:] != sets[:-1]])]
+    sizes = np.bincount((sets >> VALUE).astype(np.int64), minlength=len(index))
+    starts = np.cumsum(sizes) - sizes
+    values = sets & np.uint64((1 << 53) - 1)
+
+    def laid(side: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        which = np.fromiter((index[line] for line in side), np.int64, len(side))
+        n = sizes[which]
+        at = np.repeat(starts[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return n, np.repeat(np.arange(len(side), dtype=np.uint64), n) << VALUE | values[at]
+
+    (n_one, first), (n_other, second) = laid(one), laid(other)
+    met = second[np.minimum(np.searchsorted(second, first), len(second) - 1)] == first
+    shared = np.bincount((first[met] >> VALUE).astype(np.int64), minlength=len(one))
+    return 10 * shared >= 8 * (n_one + n_other - shared)
 
 
 def with_similar_pairs(pairs: DataFrame, width: int) -> DataFrame:
@@ -126,10 +178,10 @@ def with_similar_pairs(pairs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, PAIRS):
-                some = batch.slice(at, PAIRS)
-                good = similar(some.column("a").to_pylist(), some.column("b").to_pylist(), width)
-                ends = [some.column(c).filter(pa.array(good)) for c in ("src", "dst")]
-                yield pa.RecordBatch.from_arrays(ends, ["src", "dst"])
+            one, other = (batch.column(c).to_pylist() for c in "ab")
+            sizes = [len(a) + len(b) for a, b in zip(one, other, strict=True)]
+            good = [similar(one[i:j], other[i:j], width) for i, j in _runs(sizes, PAIRS)]
+            keep = pa.array(np.concatenate(good) if good else [], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("src", "dst")], ["src", "dst"])
 
     return pairs.select("src", "dst", "a", "b").mapInArrow(run, "src bigint, dst bigint")
