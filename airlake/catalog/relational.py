@@ -12,7 +12,7 @@ from airlake.functions.numeric import exact
 from airlake.functions.text import redact
 from airlake.functions.time import half_hour_floor, hour_floor
 from airlake.operators import checks
-from airlake.operators.bands import join_bands
+from airlake.operators.bands import band_totals, join_bands
 from airlake.operators.incremental import todo
 from airlake.operators.reshape import melt, previous_runs_to_rows, with_neighbours
 from airlake.operators.timegrid import day_chunks, month_chunks
@@ -178,10 +178,11 @@ def _(i: Inputs):
     bands = i.table("customer").select(
         key.alias("band_id"), F.when(key % 97 != 0, whole).alias("lo"), F.when(key % 89 != 0, whole + key % 7).alias("hi")
     )
-    met = join_bands(i.table("supplier"), F.col("s_acctbal"), bands, "lo", "hi")
+    totals = {"n": (F.count("band_id"), "sum"), "first": (F.min("band_id"), "min"), "total": (F.sum("band_id"), "sum")}
+    met = band_totals(i.table("supplier"), F.col("s_acctbal"), bands, "lo", "hi", totals)
     return met.groupBy("s_suppkey").agg(
-        F.count("band_id").alias("n_bands"), F.min("band_id").alias("first_band"),
-        F.coalesce(F.sum("band_id"), F.lit(0)).alias("band_sum"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_bands"), F.min("first").alias("first_band"),
+        F.coalesce(F.sum("total"), F.lit(0)).alias("band_sum"),
     )
 
 

@@ -12,7 +12,7 @@ from airlake.config import CONFIG
 from airlake.functions import aqi
 from airlake.functions.time import as_ts
 from airlake.operators import checks, dedupe, drift, incremental, reshape, spatial, timegrid, windows
-from airlake.operators.bands import join_bands
+from airlake.operators.bands import band_totals, join_bands
 from airlake.operators.dedupe import asof_join
 from airlake.operators.quantiles import median_of_large_groups
 from airlake.plans import hourly
@@ -267,6 +267,35 @@ def test_bands_join_on_cells_without_a_nested_loop(spark):
     assert join_bands(df, F.col("v"), bands, "lo", "hi", "inner").count() == 10_000
 
 
+def test_totals_over_bands_equal_those_of_the_pairs(spark):
+    dice = random.Random(5)
+    nan = float("nan")
+    end = lambda: None if dice.random() < 0.2 else float(dice.randint(-20, 20))
+    bands = [(b, end(), end()) for b in range(200)] + [(900, nan, None), (901, 7.0, 7.0), (902, None, -99.0), (903, None, None)]
+    values = [None, nan, -0.0, 0.0, 7.0, 7.0, -99.0, 1e9, *[dice.uniform(-25, 25) for _ in range(150)]]
+    df = spark.createDataFrame(list(enumerate(values)), "k int, v double")
+    totals = {"n": (F.count("band"), "sum"), "first": (F.min("band"), "min"), "total": (F.sum("band"), "sum")}
+
+    def up_to(x, y):
+        return None not in (x, y) and (y != y or x <= y)
+
+    for some in (bands, []):
+        table = spark.createDataFrame(some, "band int, lo double, hi double")
+        got = band_totals(df, F.col("v"), table, "lo", "hi", totals).select("k", "n", "first", "total")
+        want = []
+        for k, v in enumerate(values):
+            met = [b for b, lo, hi in some if (lo is None or up_to(lo, v)) and (hi is None or up_to(v, hi))]
+            want.append((k, len(met), met[0], sum(met)) if met else (k, None, None, None))
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_totals_over_bands_make_no_row_for_a_pair(spark):
+    n = 60_000  # 1.8 thousand million pairs
+    bands = spark.range(n).select(F.col("id").alias("band"), F.lit(None).cast("long").alias("lo"), F.col("id").alias("hi"))
+    got = band_totals(spark.range(n), F.col("id"), bands, "lo", "hi", {"n": (F.count("band"), "sum")})
+    assert got.where(F.col("n") == n - F.col("id")).count() == n
+
+
 def test_edited_breakpoints_change_categories(spark):
     df = spark.createDataFrame([(1, 30.4), (2, 30.5), (3, 700.0), (4, None), (5, -3.0)], "id int, pm double")
     table = aqi.breakpoints(spark)
