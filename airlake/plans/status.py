@@ -67,9 +67,8 @@ def feed_report(
     last_readings: DataFrame, as_of: Column | datetime, ts: str = "last_pm25_reading_utc",
     cfg: Config = CONFIG,
 ) -> DataFrame:
-    """One row on the whole source from each station's last reading; no stations means outage."""
-    age = whole("MICROSECOND", F.col(ts), as_ts(as_of)) / 3.6e9
-    live = F.coalesce(age <= cfg.live_max_hours, F.lit(False))
+    """One row on the whole source from each station's last reading, classed as in :func:`station_status`; no stations means outage."""
+    live = F.coalesce(freshness(age_hours(ts, as_ts(as_of)), cfg) == "live", F.lit(False))
     n = F.count(F.lit(1))
     totals = last_readings.agg(
         n.alias("stations_total"),
