@@ -13,9 +13,9 @@ from airlake.functions.text import redact
 from airlake.functions.time import half_hour_floor, hour_floor
 from airlake.operators import checks
 from airlake.operators.bands import band_totals, join_bands
-from airlake.operators.incremental import todo
+from airlake.operators.incremental import todo_days
 from airlake.operators.reshape import melt, previous_runs_to_rows, with_neighbours
-from airlake.operators.timegrid import day_chunks, month_chunks
+from airlake.operators.timegrid import month_chunks
 from airlake.plans import fires, hourly, oplogs
 from airlake.sources.envelopes import hourly_rows, split, valid_response
 
@@ -138,14 +138,9 @@ def _(i: Inputs):
     WHERE z - day < 7 OR NOT EXISTS (SELECT 1 FROM have h WHERE h.o_custkey = w.o_custkey AND h.day = w.day)
     GROUP BY 1""", dates=("last_day",))
 def _(i: Inputs):
-    orders = i.table("orders").select("o_custkey", F.to_date("o_orderdate").alias("day"))
-    span = orders.groupBy("o_custkey").agg(F.min("day").alias("a"), F.max("day").alias("z"))
-    want = day_chunks(span, "a", "z").select("o_custkey", "day", "z")
-    recent = F.date_diff("z", "day") < CFG.refresh_days
-    # Existing files are unique per (customer, day) in storage; the anti join needs no distinct.
-    return todo(want, orders, ["o_custkey", "day"], recent).groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("days_to_fetch"), F.max("day").alias("last_day")
-    )
+    days = i.table("orders").select("o_custkey", F.to_date("o_orderdate").alias("day"))
+    known = i.table("customer").select(F.col("c_custkey").alias("o_custkey"))
+    return todo_days(days.join(known, "o_custkey", "left_semi"), ["o_custkey"], "day", CFG.refresh_days)
 
 
 # --- joins ----------------------------------------------------------------------------------------

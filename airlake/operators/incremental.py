@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ALL = "0000"
@@ -54,3 +54,17 @@ def todo(expected: DataFrame, existing: DataFrame, keys: list[str], recent: Colu
     """Expected chunks not landed yet, plus every recent one (always refreshed)."""
     missing = expected.filter(~recent).join(existing.select(*keys), keys, "left_anti")
     return missing.unionByName(expected.filter(recent))
+
+
+def todo_days(landed: DataFrame, keys: list[str], day: str, recent_days: int) -> DataFrame:
+    """For each key how many days to fetch between its first and last landed day, and the last of them.
+
+    Those are the days that have not landed and the ``recent_days`` last ones, as :func:`todo` lists them; here they are counted from the landed days,
+    so that a span costs its landed days and not its length.
+    """
+    days = landed.where(F.col(day).isNotNull()).select(*keys, day).distinct()
+    days = days.withColumn("last_day", F.max(day).over(Window.partitionBy(*keys)))
+    old = F.count_if(F.date_diff("last_day", day) >= recent_days)
+    return days.groupBy(*keys, "last_day").agg((F.date_diff("last_day", F.min(day)) + 1 - old).alias("days_to_fetch")).select(
+        *keys, "days_to_fetch", "last_day"
+    )

@@ -205,6 +205,18 @@ def test_todo_keeps_recent_chunks(frame):
     assert sorted(r.day for r in out.collect()) == [2, 9]
 
 
+def test_days_to_do_are_counted_as_they_would_be_listed(spark):
+    dice = random.Random(3)
+    rows = [(k, f"2024-02-{dice.randint(1, 29):02}") for k in (1, 2, 3) for _ in range(9 * k)] + [(4, "2024-03-01"), (5, None), (6, "0001-01-01"), (6, "9999-12-31")]
+    landed = spark.createDataFrame(rows, "k int, day string").select("k", F.col("day").cast("date").alias("day"))
+    got = incremental.todo_days(landed, ["k"], "day", 7)
+    few = landed.where("k < 6")
+    want = timegrid.day_chunks(few.groupBy("k").agg(F.min("day").alias("a"), F.max("day").alias("z")), "a", "z")
+    want = incremental.todo(want, few, ["k", "day"], F.date_diff("z", "day") < 7).groupBy("k").agg(F.count("*"), F.max("day"))
+    far = (6, 3_652_058, landed.where("k = 6").agg(F.max("day")).first()[0])
+    assert sorted(map(tuple, got.collect())) == sorted([*map(tuple, want.collect()), far])
+
+
 def test_month_chunks_cover_a_leap_february(spark):
     from datetime import date
 
