@@ -256,3 +256,11 @@ def test_undelivered_messages_do_not_mute_and_are_tried_again(frame):
     assert [(r.at, r.previous, r.status) for r in said] == [
         (hour(1), "ok", "outage"), (hour(2), "ok", "outage"), (hour(4), "outage", "ok"), (hour(6), "outage", "ok")
     ]
+
+
+def test_the_next_alert_is_found_with_growing_frames_only(spark):
+    # 60,000 instants in one bucket: a frame that shrinks would look at 1.8 thousand million rows
+    instants = spark.range(60_000).select(F.lit("a").alias("alert_key"), (F.col("id") * 100_000).alias("at"))
+    step = alerts._next_sent(instants, 6 * 3600 * 1_000_000)
+    assert "unboundedfollowing" not in plan_of(step).lower()
+    assert step.count() == 60_000 and step.where("next IS NOT NULL").count() == 0
