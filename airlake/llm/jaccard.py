@@ -1,11 +1,4 @@
-"""Pairs of sets with a Jaccard similarity of 0.8 or more, found by windows over sorted hashes.
-
-The hashes of a set stand in a ring, in order. Two sets with ``s`` common and ``d`` other hashes have, in the ring of
-their union, a run of more than ``s / d - 1`` common ones, and at similarity 0.8 ``s`` is at least ``4 d``: some four
-neighbours are common to both. So the keys of a set of at most SMALL x 1.25 hashes are all its windows of four neighbours, and
-no pair whose smaller set has at most SMALL hashes is missed. Larger sets have windows of five that begin at each of
-STARTS fixed places of the ring (the next hash there is); such a window is common with probability 0.8^5, and a pair at 0.8 is missed
-about (1 - 0.8^5)^STARTS of the time. Places belong to the ring and not to the set, so a change moves no other window.
+"""Pairs of sets with a Jaccard similarity of 0.8 or more, among sets that share a MinHash band key (``line_hashes.py``).
 
 Sets that share a key are candidates; all are verified by exact Jaccard similarity. A key of more than CROWD sets first
 compares its members with LEADERS of them. Then those it holds of different components are all compared with each
@@ -25,36 +18,11 @@ from airlake.llm.common import stored
 from airlake.llm.components import connected_components
 
 SIMILARITY = 0.8
-SMALL = 64
-STARTS = 32  # a power of two
 CROWD = 32
 LEADERS = 3
 BLOCK = 1024
 
 
-def window_keys(hashes: Column) -> Column:
-    """The keys of a set, given its different hashes as array<bigint>; an empty set has none."""
-
-    def keys(s: Column) -> Column:
-        n = F.size(s)
-
-        def windows(starts: Column, width: int) -> Column:
-            ring = F.concat(s, F.slice(s, 1, width - 1))
-            part = lambda r: F.transform(starts, lambda i: F.xxhash64(F.slice(r, i + 1, F.least(n, F.lit(width)))))
-            return F.get(F.transform(F.array(ring), part), F.lit(0))
-
-        shift = 64 - (STARTS.bit_length() - 1)
-        place = lambda i: F.shiftright(F.get(s, i), shift)
-        every = F.sequence(F.lit(0), n - 1)
-        first = F.filter(every, lambda i: (i == 0) | (place(i) != place(i - 1)))
-        none = F.array().cast("array<bigint>")
-        small = F.when((n > 0) & (n <= SMALL * 5 // 4), windows(every, 4)).otherwise(none)
-        large = F.when(n > SMALL, windows(first, 5)).otherwise(none)
-        return F.array_distinct(F.concat(small, large))
-
-    return F.get(F.transform(F.array(F.sort_array(hashes)), keys), F.lit(0))
-
-
 def by_shingles(shingles: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]:
     """A check of pairs (src, dst and the texts a, b): those whose sets of shingles have a similarity of at least SIMILARITY."""
 
@@ -91,7 +59,7 @@ def similar_links(
 ) -> DataFrame:
     """Verified pairs (src, dst) that connect all similar sets.
 
-    ``keyed``: id and keys (:func:`window_keys`), or rows of id and key; ``texts_of`` gives the texts (id, norm) of a table of ids;
+    ``keyed``: id and keys (an array), or rows of id and key; ``texts_of`` gives the texts (id, norm) of a table of ids;
     ``check`` keeps the similar ones of pairs (src, dst, a, b).
     """
     if "keys" in keyed.columns:

@@ -68,17 +68,21 @@ def band_keys(lines: list[str], width: int) -> np.ndarray:
     """One row of BANDS keys for each line."""
     if not lines:
         return np.zeros((0, BANDS), np.uint64)
-    hashes, counts = shingle_hashes(lines, width)
+    return set_keys(*shingle_hashes(lines, width))
+
+
+def set_keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """One row of BANDS keys for each set of hashes; the sets, of ``counts`` members each and none empty, follow one another."""
     low = (hashes >> np.uint64(32)).astype(np.uint32)
     starts = np.cumsum(counts) - counts
-    least = np.empty((BANDS * ROWS, len(lines)), np.uint32)
+    least = np.empty((BANDS * ROWS, len(counts)), np.uint32)
     turned = np.empty_like(low)
     for r, turn in enumerate(_TURNS):
         np.multiply(low, turn, out=turned)
         np.minimum.reduceat(turned, starts, out=least[r])
-    keys = np.empty((len(lines), BANDS), np.uint64)
+    keys = np.empty((len(counts), BANDS), np.uint64)
     for b in range(BANDS):
-        key = np.full(len(lines), b + 1, np.uint64)
+        key = np.full(len(counts), b + 1, np.uint64)
         for r in range(b * ROWS, (b + 1) * ROWS):
             key = _mixed(key ^ least[r])
         keys[:, b] = key
@@ -150,6 +154,27 @@ def lines_of(docs: DataFrame, min_chars: int, keys_from: int = 0, width: int = 0
     return docs.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
 
 
+def with_set_keys(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the band keys of the hashes in ``column`` (array<bigint>, never empty) in its place."""
+    kind = ", ".join("`keys` array<bigint>" if f.name == column else f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = batch.column(column)
+            hashes, counts = sets.flatten().to_numpy().view(np.uint64), sets.value_lengths().to_numpy().astype(np.int64)
+            ends = np.cumsum(counts)
+            keys = [set_keys(hashes[ends[a] - counts[a] : ends[b - 1]], counts[a:b]) for a, b in _runs(counts.tolist())]
+            flat = pa.array(np.concatenate(keys).view(np.int64).ravel() if keys else np.zeros(0, np.int64))
+            offsets = pa.array(np.arange(len(counts) + 1, dtype=np.int32) * BANDS)
+            found = pa.ListArray.from_arrays(offsets, flat)
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays(
+                [found if n == column else batch.column(n) for n in names], ["keys" if n == column else n for n in names]
+            )
+
+    return rows.mapInArrow(run, kind)
+
+
 def similar(one: list[str], other: list[str], width: int) -> np.ndarray:
     """Whether the sets of shingles of each pair of lines (at most PAIRS) have a Jaccard similarity of 0.8 or more."""
     index = {line: i for i, line in enumerate(dict.fromkeys([*one, *other]))}

@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
-from airlake.llm import components, line_dedup, near_texts, simhash
+from airlake.llm import components, line_dedup, line_hashes, near_texts, simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -229,3 +230,15 @@ def test_lines_of_few_words_meet_their_edited_copies(spark):
                 lines.append("".join(copy))
     got, want = kept_lines(spark, lines)
     assert got == want
+
+
+def test_near_texts_meet_by_bands_of_minhash(spark):
+    rng = np.random.default_rng(4)
+    sets = [rng.integers(-(2**63), 2**63 - 1, size=n) for n in (1, 5, 300, 90_000)]
+    close = [np.concatenate([x[: int(len(x) * 0.95)], rng.integers(-(2**63), 2**63 - 1, size=len(x) - int(len(x) * 0.95))]) for x in sets[2:]]
+    rows_ = [(i, [int(h) for h in x]) for i, x in enumerate([*sets, *close, sets[2][::-1]])]
+    frame = spark.createDataFrame(rows_, "id int, hashes array<bigint>")
+    keys = {r["id"]: r["keys"] for r in line_hashes.with_set_keys(frame, "hashes").collect()}
+    assert {len(k) for k in keys.values()} == {line_hashes.BANDS}
+    assert keys[6] == keys[2]
+    assert set(keys[2]) & set(keys[4]) and set(keys[3]) & set(keys[5]) and not set(keys[2]) & set(keys[3])
