@@ -9,6 +9,7 @@ from helpers import hour, plan_of
 from pyspark.sql import functions as F
 
 from airlake import schemas
+from airlake.catalog import QUERIES, storage
 from airlake.operators import incremental
 from airlake.plans import staging
 from airlake.sources import envelopes, files, snapshot, tables
@@ -253,3 +254,23 @@ def test_a_failed_export_leaves_the_old_manifest(spark, tmp_path, frame):
         snapshot.export_snapshot(spark, {"a": df, "b": broken}, base, datetime(2026, 1, 2))
     assert files.read_text(spark, f"{base}/manifest.json") == before
     assert snapshot.read_snapshot(spark, base)["a"].count() == 1
+
+
+def test_documents_are_made_after_the_events_are_dealt(spark, monkeypatch):
+    """The shuffle moves events, not the documents made of them, and writing by folder sorts no documents."""
+    plans = {}
+
+    def land(df, name, *parts):
+        plans[name] = (df._jdf.queryExecution().optimizedPlan().toString(), parts)
+        raise InterruptedError
+
+    monkeypatch.setattr(storage, "_land", land)
+    for name in ("staged_previous_runs", "stream_envelopes", "staged_latest", "staged_weather_forecasts", "since_day_mark"):
+        with pytest.raises(InterruptedError):
+            QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(plans) == 5
+    for plan, parts in plans.values():
+        made, dealt = plan.split("RebalancePartitions")
+        assert "responses#" in made or "stations#" in made
+        assert "responses#" not in dealt and "stations#" not in dealt
+        assert "Sort [" + ", ".join(parts[:1]) in made
