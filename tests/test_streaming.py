@@ -264,3 +264,24 @@ def test_the_next_alert_is_found_with_growing_frames_only(spark):
     step = alerts._next_sent(instants, 6 * 3600 * 1_000_000)
     assert "unboundedfollowing" not in plan_of(step).lower()
     assert step.count() == 60_000 and step.where("next IS NOT NULL").count() == 0
+
+
+def test_a_batch_of_envelopes_is_pruned_before_it_is_staged(spark, tmp_path, monkeypatch):
+    """Many fetches of one key in a batch: one row a key is staged for the table, the newest."""
+    docs = [(f'{{"k": {n % 2}, "v": {n}, "ts": "2026-01-01T0{n % 3}:00:00Z"}}',) for n in range(60)]
+    spark.createDataFrame(docs, "value string").coalesce(1).write.text(str(tmp_path / "in"))
+    staged, upsert = [], runs.upsert
+
+    def counted(spark, table, incoming, keys, order, ts):
+        staged.append(incoming.count())
+        upsert(spark, table, incoming, keys, order, ts)
+
+    monkeypatch.setattr(runs, "upsert", counted)
+    runs.run_envelopes(
+        spark, runs.read_json_files(spark, str(tmp_path / "in"), "k int, v int, ts string"), str(tmp_path / "table"), str(tmp_path / "bad"),
+        str(tmp_path / "checkpoint"), lambda d: d, F.col("v") >= 3, lambda good: good.withColumn("ts", F.to_timestamp("ts")),
+        ["k", "ts"], [F.col("v").desc()], "ts",
+    )
+    assert staged == [6]
+    assert sorted(r.v for r in spark.read.parquet(str(tmp_path / "table")).collect()) == [54, 55, 56, 57, 58, 59]
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 3
