@@ -289,3 +289,14 @@ def test_nearest_serving_query_reads_the_overview(spark):
     rows = serving.nearest_stations(i.stations(), 28.6, 77.2, 3).collect()
     assert len(rows) == 3
     assert [r.distance_km for r in rows] == sorted(r.distance_km for r in rows)
+
+
+def test_feature_tables_read_the_given_events_once(spark):
+    """The feature plans scan the events many times: they scan the parsed table, in files of even size, not the given one."""
+    i = Inputs(spark, BASE)
+    plan = i.features("train")._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan  # of the given events
+    assert "kept-events" in "".join(i.events().inputFiles())
+    assert i.events().count() == i.table("events").count()
+    again = [r for r in i.features("train").inputFiles() if "rolled-fires" in r]
+    assert again and sorted(i.events().first().asDict()) == sorted(Inputs(spark, BASE).events().columns)
