@@ -66,7 +66,7 @@ def packed_pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, ope
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, windows = encoder(tokenizer).encode, OpenWindows(length, open_windows)
+        encode_all, windows = encoder(tokenizer).encode_all, OpenWindows(length, open_windows)
         rows: list[tuple] = []
 
         def add(window: int, pieces: list, closed: bool, part: int) -> None:
@@ -82,9 +82,9 @@ def packed_pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, ope
 
         part = 0
         for batch in batches:
-            for p, doc_id, text in zip(*[batch.column(n) for n in ("part", "doc_id", "text")], strict=True):
-                part, doc_id = p.as_py(), doc_id.as_py()
-                ids = encode(text.as_py()) + end
+            parts, doc_ids = (batch.column(n).to_pylist() for n in ("part", "doc_id"))
+            for part, doc_id, ids in zip(parts, doc_ids, encode_all(batch.column("text")), strict=True):  # noqa: B007
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total, length):
                     size = min(length, total - start)

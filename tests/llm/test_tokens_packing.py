@@ -7,10 +7,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from airlake.llm import packing, token_store
+from airlake.llm import packing, token_store, tokens
 from airlake.llm.tokens import encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +36,20 @@ def test_pieces_encode_like_whole_texts(texts):
         assert encoder(PATH).encode(text) == np.array(ids[:-1], "<u4").tobytes()
 
 
+def test_texts_are_encoded_together_by_their_distinct_words(texts, monkeypatch):
+    every = [*HARD, "×a", "÷", "Ã", "a'", "x" * 100 + ".", *texts.values(), *HARD]
+    want = [np.array(ids[:-1], "<u4").tobytes() for ids in plain_ids(every)]
+    column = pa.array(["left out", *every, None])[1:-1]
+    assert list(encoder(PATH).encode_all(column)) == want
+    monkeypatch.setattr(tokens, "AT_ONCE", 100)  # most texts are then cut alone
+    fresh = tokens.PieceEncoder(PATH, cached=50)
+    assert list(fresh.encode_all(column)) == want and len(fresh.table) <= 50
+    fresh = tokens.PieceEncoder(PATH)
+    list(fresh.encode_all(pa.array(["The mat. the, (the) MAT!", "Été the.", "it's it's", "y" * 100])))
+    assert set(fresh.table) == {"the", "mat", ".", ",", "(", ")", "!", "été", "it's"}
+    assert list(fresh.encode_all(pa.array([], pa.string()))) == []
+
+
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_token_files_read_back(spark, texts, tmp_path, encoding):
     rows = [(k, t, "x") for k, t in texts.items()] + [(-5, None, "x"), (-5, "again", "x"), (None, "no id", "x")]
