@@ -49,7 +49,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, la
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, start = encoder(tokenizer).encode, 0
+        encode_all, start = encoder(tokenizer).encode_all, 0
         held: list[tuple] = []
         size = 0
 
@@ -63,9 +63,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, la
             return pa.RecordBatch.from_arrays(columns, ["part", "doc_id", "local_start", "n_tokens", "ids"])
 
         for batch in batches:
-            for part, doc_id, text in zip(*[batch.column(n) for n in ("part", "doc_id", "text")], strict=True):
-                ids = encode(text.as_py()) + end
-                held.append((part.as_py(), doc_id.as_py(), start, ids))
+            parts, doc_ids = (batch.column(n).to_pylist() for n in ("part", "doc_id"))
+            for part, doc_id, ids in zip(parts, doc_ids, encode_all(batch.column("text")), strict=True):
+                ids += end
+                held.append((part, doc_id, start, ids))
                 start += len(ids) // 4
                 size += len(ids)
                 if size >= BATCH_BYTES:
