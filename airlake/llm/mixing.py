@@ -108,27 +108,34 @@ def plan_mix(docs: DataFrame, mix: Mix = Mix(), carry: list[str] | None = None)
     The driver holds one row per source (the list to which weights are given), never blocks or documents.
     """
     key = F.xxhash64("doc_id", "text", "source")
-    sized = docs.select(
+    light = "text" not in (carry or docs.columns)
+    rows = docs.select(
         *packed_row(docs.select(*(carry or docs.columns))), F.col("source").alias("of"), key.alias("key"),
         word_count(F.col("text")).alias("size"),
     )
-    sized = stored(sized, "mix-sizes")
+    # texts are read where they lie and joined in place; only numbers are stored and shuffled to plan
+    sized = stored(rows if light else rows.drop("row"), "mix-sizes")
+    rows = sized if light else rows
     spark = docs.sparkSession
     totals = {r["of"]: (r["words"], r["docs"]) for r in sized.groupBy("of").agg(
         F.sum("size").alias("words"), F.count("*").alias("docs")).collect()}
     goal = targets({s: w for s, (w, _) in totals.items()}, mix) if totals else {}
     names = list(goal)
-    rows = []
+    listed = []
     for i, s in enumerate(names):
         words, n = totals[s]
         blocks = max(1, math.ceil(words / mix.block_words), math.ceil(n / mix.block_docs))
         whole = int(goal[s] // words) if words else 0
-        rows.append((i, s, words, goal[s], blocks, whole, goal[s] - whole * words))
+        listed.append((i, s, words, goal[s], blocks, whole, goal[s] - whole * words))
     schema = "source_id int, of string, source_size long, target double, n_blocks long, whole int, rest double"
-    sources = spark.createDataFrame(rows, schema)
-    placed = sized.join(sources.withColumnRenamed("of", "name"), F.col("of").eqNullSafe(F.col("name"))).withColumn(
-        "block", F.pmod(F.xxhash64("key", F.lit(mix.seed)), F.col("n_blocks"))
-    )
+    sources = spark.createDataFrame(listed, schema)
+
+    def in_blocks(some: DataFrame) -> DataFrame:
+        # one row per source, which the driver holds anyway
+        named = some.join(F.broadcast(sources.withColumnRenamed("of", "name")), F.col("of").eqNullSafe(F.col("name")))
+        return named.withColumn("block", F.pmod(F.xxhash64("key", F.lit(mix.seed)), F.col("n_blocks")))
+
+    placed = in_blocks(sized)
     by_block = ["source_id", "block"]
     words = placed.groupBy(*by_block).agg(F.sum("size").alias("words"))
     # every pass over every block, in the pass's own order; the last pass stops where the rest is met
@@ -193,11 +200,13 @@ def plan_mix(docs: DataFrame, mix: Mix = Mix(), carry: list[str] | None = None)
     )
     # at most a few passes draw a block
     uses = uses.groupBy(*by_block).agg(F.sort_array(F.collect_list(use)).alias("uses"))
+    # stored, so that its size is known before the documents are: they stay where they are unless it is past the threshold
+    uses = stored(uses, "mix-uses")
     taken_by = F.filter(
         F.coalesce("uses", F.array().cast("array<struct<shard:bigint,pass:int,in_part:boolean,limit:array<bigint>>>")),
         lambda u: ~u["in_part"] | F.coalesce(F.array_contains(u["limit"], F.col("key")), F.lit(False)),
     )
-    out = placed.join(uses, by_block, "left").withColumn(
+    out = in_blocks(rows).join(uses, by_block, "left").withColumn(
         "draws", F.transform(taken_by, lambda u: F.struct(u["shard"].alias("shard"), u["pass"].alias("pass")))
     )
     return out.select(

@@ -55,6 +55,18 @@ def test_mix_meets_targets(spark, documents, texts):
     assert out.columns == documents.columns and out.count() == sum(len(r["draws"]) for r in rows)
 
 
+def test_texts_are_neither_stored_nor_shuffled_to_plan_a_mix(documents, monkeypatch):
+    kept, tables = mixing.stored, []
+    monkeypatch.setattr(mixing, "stored", lambda df, name: tables.append(df) or kept(df, name))
+    planned = mixing.plan_mix(documents)
+    assert tables and not any("text" in t.schema.simpleString() for t in tables)
+    plan = planned._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    narrow = mixing.plan_mix(documents, carry=["doc_id"]).select("row.doc_id", "size", "draws").collect()
+    wide = planned.select("row.doc_id", "size", "draws").collect()
+    assert sorted(narrow, key=str) == sorted(wide, key=str)
+
+
 def test_mix_of_awkward_rows(awkward):
     rows = mixing.plan_mix(awkward).select("row.*", "size", "target", "taken").collect()
     assert len(rows) == awkward.count()
