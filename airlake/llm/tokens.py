@@ -2,7 +2,7 @@
 
 White space never belongs to a token of a tokenizer whose pre-tokenizer drops it, so the ids of a text are those of its
 space-separated pieces in order, and of a simple piece those of its words. Texts are cut by numpy, many at once; Arrow finds the
-distinct words, and each worker keeps the ids of those it has met in a bounded table.
+distinct words, and each worker keeps the ids of those it has met in two bounded tables.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from itertools import chain, filterfalse
 
 import numpy as np
 
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000  # of about 200 bytes, in each of two tables
 LONGEST_CACHED = 48  # characters; longer words are encoded each time
 AT_ONCE = 4 << 20  # bytes of texts cut at once; a longer text is cut alone
 # Pieces of ASCII and Latin-1 letters, without apostrophes and angle brackets: splitting and lowering them is simple.
@@ -63,6 +63,7 @@ class PieceEncoder:
         self.model = self.tokenizer.model
         self.cached = cached
         self.table: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the table before it was last full; what is met again moves back
         self.characters = byte_characters()
         whole = b"".join(self._ids(list(self.PROBE)))
         self.simple_words = True
@@ -131,15 +132,18 @@ class PieceEncoder:
         words, before = self._cut(data, bounds)
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        table = self.table
+        table, older = self.table, self.older
         new = [w for w in distinct if w not in table]
+        if older:
+            table.update((w, older.pop(w)) for w in new if w in older)
+            new = [w for w in new if w not in table]
         self._learn(new)
         lists = id_list([table[w] for w in distinct]).take(coded.indices)
         for word in new:
             if len(word) > LONGEST_CACHED:
                 del table[word]
-        if len(table) > self.cached:
-            table.clear()
+        if len(table) > self.cached // 2:
+            self.table, self.older = {}, table if len(table) <= self.cached else {}
         ids = lists.flatten().to_numpy().astype("<i4", copy=False).tobytes()
         ends = (4 * lists.offsets.to_numpy().astype(np.int64))[before].tolist()
         return [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
@@ -190,5 +194,5 @@ def crcs(column) -> list[int]:
     from zlib import crc32
 
     ends = column.offsets.to_numpy()
-    raw = column.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes()
-    return [crc32(raw[4 * a : 4 * b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    raw = column.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
+    return [crc32(raw[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -50,6 +51,26 @@ def test_texts_are_encoded_together_by_their_distinct_words(texts, monkeypatch):
     assert list(fresh.encode_all(pa.array([], pa.string()))) == []
 
 
+def test_a_worker_keeps_few_words_and_those_met_again():
+    fresh, most = tokens.PieceEncoder(PATH, cached=50), 0
+    for n in range(20):
+        list(fresh.encode_all(pa.array(["often " + " ".join(f"w{'abcdefghij'[n % 10]}{'x' * k}" for k in range(n, n + 9))])))
+        most = max(most, len(fresh.table) + len(fresh.older))
+        assert "often" in fresh.table or "often" in fresh.older
+    assert 25 <= most <= 75 and tokens.CACHED_WORDS <= 400_000
+
+
+def test_digests_make_no_copy_of_the_ids():
+    column = pa.array([[7] * 1000] * 1000, pa.list_(pa.int32()))
+    tracemalloc.start()
+    try:
+        got = tokens.crcs(column.slice(10))
+        assert tracemalloc.get_traced_memory()[1] < 1_000_000  # the ids take four
+    finally:
+        tracemalloc.stop()
+    assert got == [crc([7] * 1000)] * 990
+
+
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_token_files_read_back(spark, texts, tmp_path, encoding):
     rows = [(k, t, "x") for k, t in texts.items()] + [(-5, None, "x"), (-5, "again", "x"), (None, "no id", "x")]
