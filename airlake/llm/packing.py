@@ -91,7 +91,7 @@ def packed_pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int, ope
                     piece = (doc_id, start, total, ids[4 * start : 4 * (start + size)])
                     for window, pieces in windows.put(size, piece):
                         add(window, pieces, True, part)
-                if len(rows) >= 4096:
+                if len(rows) >= 1024:
                     yield flush()
         while windows.rooms:
             window, pieces = windows.take(0)

@@ -138,6 +138,21 @@ def test_packing_awkward_rows(awkward):
     assert packing.pack(awkward.limit(0), PATH).count() == 0
 
 
+def test_packing_hands_over_few_pieces_at_once(spark):
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    texts = ["word " * 2000] * 4500
+    batch = pa.RecordBatch.from_pydict({"part": [0] * len(texts), "doc_id": range(len(texts)), "text": texts})
+    out = list(packing.packed_pieces(Rows(), PATH, 1, packing.LENGTH, packing.OPEN_WINDOWS)(iter([batch])))
+    assert sum(len(b.column("ids").flatten()) for b in out) == 4500 * 2001
+    assert max(b.column("ids").nbytes for b in out) < 12 << 20
+
+
 def test_best_fit_and_the_fullest_go():
     windows = packing.OpenWindows(100, 2)
     assert windows.put(50, "a") == [] and windows.put(60, "b") == []
