@@ -1,10 +1,9 @@
 """Pairs of sets with a Jaccard similarity of 0.8 or more, among sets that share a MinHash band key (``line_hashes.py``).
 
-Sets that share a key are candidates; all are verified by exact Jaccard similarity. A key of more than CROWD sets first
-compares its members with LEADERS of them. Then those it holds of different components are all compared with each
-other, in blocks, so that none is left out; members already connected need no more links.
-
-Everything is DataFrame functions.
+Sets that share a key are candidates; all are verified by exact Jaccard similarity. A key of more than CROWD sets is compared in
+blocks (``crowds.py``): the members of each block with each other and with LEADERS of the crowd. Where a crowd of several blocks
+still holds different components, its blocks are all compared with each other, so that none is left out; members already connected
+need no more links.
 """
 
 from __future__ import annotations
@@ -16,11 +15,11 @@ from pyspark.sql import functions as F
 
 from airlake.llm.common import stored
 from airlake.llm.components import connected_components
+from airlake.llm.crowds import Sets, across, in_blocks, within
 
 SIMILARITY = 0.8
 CROWD = 32
 LEADERS = 3
-BLOCK = 1024
 
 
 def by_shingles(shingles: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]:
@@ -47,7 +46,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _labelled(crowd: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (key, id, n) of the crowds that hold more than one component, with their component."""
+    """Members (key, id, ...) of the crowds that hold more than one component, with their component."""
     parts = connected_components(links)
     known = crowd.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     torn = known.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
@@ -55,12 +54,12 @@ def _labelled(crowd: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def similar_links(
-    keyed: DataFrame, texts_of: Callable[[DataFrame], DataFrame], check: Callable[[DataFrame], DataFrame], name: str
+    keyed: DataFrame, texts_of: Callable[[DataFrame], DataFrame], check: Callable[[DataFrame], DataFrame], sets: Sets, name: str
 ) -> DataFrame:
     """Verified pairs (src, dst) that connect all similar sets.
 
     ``keyed``: id and keys (an array), or rows of id and key; ``texts_of`` gives the texts (id, norm) of a table of ids;
-    ``check`` keeps the similar ones of pairs (src, dst, a, b).
+    ``check`` keeps the similar ones of pairs (src, dst, a, b); ``sets`` are the shingles of texts, for blocks of crowds.
     """
     if "keys" in keyed.columns:
         keyed = keyed.select("id", F.explode("keys").alias("key"))
@@ -69,19 +68,15 @@ def similar_links(
     texts = stored(texts_of(members.select("id").distinct()), f"{name}-texts")
     few, crowd = members.where(F.col("n") <= CROWD), members.where(F.col("n") > CROWD)
     pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where("a < b")
-    leaders = crowd.groupBy("key").agg(*[F.min_by("id", F.xxhash64("id", F.lit(k))).alias(f"l{k}") for k in range(LEADERS)])
-    stars = crowd.join(leaders, "key").select(F.explode(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("a"), F.col("id").alias("b"))
-    links = stored(verified(_ordered(pairs.select("a", "b").unionByName(stars)), texts, check), f"{name}-links")
+    links = stored(verified(_ordered(pairs.select("a", "b")), texts, check), f"{name}-links")
     if crowd.isEmpty():
         return links
-    crowd = stored(_labelled(crowd, links), f"{name}-crowd")
-    if crowd.isEmpty():
+    placed = stored(in_blocks(crowd, texts), f"{name}-crowd")
+    links = links.unionByName(stored(within(placed, texts, sets, LEADERS), f"{name}-links-within"))
+    large = placed.where("blocks > 1")
+    if large.isEmpty():
+        return links
+    torn = stored(_labelled(large, links), f"{name}-torn")
+    if torn.isEmpty():
         return links
-    # every two blocks of a key meet in one place of their own, so no task holds a whole crowd
-    block = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK))
-    own = crowd.withColumn("block", block)
-    left = own.select("key", F.col("block").alias("row"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / BLOCK) - 1)).alias("col"), F.col("id").alias("a"), F.col("component").alias("ca"))
-    right = own.select("key", F.col("block").alias("col"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / BLOCK) - 1)).alias("row"), F.col("id").alias("b"), F.col("component").alias("cb"))
-    crossing = left.join(right, ["key", "row", "col"]).where("ca <> cb AND a < b")
-    rest = verified(_ordered(crossing), texts, check)
-    return stored(links.unionByName(rest), f"{name}-links-all")
+    return links.unionByName(stored(across(torn, texts, sets), f"{name}-links-across"))

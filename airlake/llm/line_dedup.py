@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from airlake.llm.common import packed_row, possible, stored
 from airlake.llm.components import connected_components
 from airlake.llm.jaccard import similar_links
-from airlake.llm.line_hashes import BANDS, lines_of, with_similar_pairs
+from airlake.llm.line_hashes import BANDS, lines_of, shingle_hashes, with_similar_pairs
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,8 @@ def repeated_lines(docs: DataFrame, how: Fuzzy = Fuzzy()) -> DataFrame:
     texts = lambda ids: line_texts(docs, distinct.select("id", "h1", "h2").join(ids, "id"), how)
     keyed = distinct.where("k0 is not null").select("id", F.explode(F.array(*[f"k{b}" for b in range(BANDS)])).alias("key"))
     check = lambda pairs: with_similar_pairs(pairs, how.shingle)
-    parts = connected_components(similar_links(keyed, texts, check, "line"))
+    sets = lambda lines: shingle_hashes(lines, how.shingle)
+    parts = connected_components(similar_links(keyed, texts, check, sets, "line"))
     known = distinct.select("id", "h1", "h2", "n").join(parts.withColumnRenamed("node", "id"), "id", "left")
     known = known.where("n > 1 or component is not null")
     known = stored(known.select("h1", "h2", F.coalesce("component", "id").alias("group")), "line-groups")

@@ -44,11 +44,24 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def shingle_hashes(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of the shingles at all places of all lines, and how many each has; a line shorter than a shingle has one."""
     lengths = np.fromiter(map(len, lines), np.int64, len(lines))
-    short = lengths < width
-    if short.any():
+    if (lengths < width).any():
         lines = [line.ljust(width, "\0") for line in lines]
         lengths = np.maximum(lengths, width)
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+    return _run_hashes(np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4"), lengths, width)
+
+
+def word_shingle_hashes(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for runs of words, of texts whose words are joined by single spaces."""
+    words = [text.split(" ") for text in texts]
+    words = [w + [""] * (width - len(w)) for w in words]
+    known = {w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) if w else 0 for w in {x for w in words for x in w}}
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    codes = np.fromiter((known[x] for w in words for x in w), np.uint64, int(lengths.sum()))
+    return _run_hashes(codes, lengths, width)
+
+
+def _run_hashes(codes: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all runs of ``width`` codes within sequences of these lengths, and how many each has."""
     if not len(codes):
         return np.zeros(0, np.uint64), lengths
     n = len(codes) - width + 1

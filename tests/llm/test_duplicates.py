@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from airlake.llm import components, line_dedup, line_hashes, near_texts, simhash
+from airlake.llm import components, crowds, jaccard, line_dedup, line_hashes, near_texts, simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -242,3 +242,66 @@ def test_near_texts_meet_by_bands_of_minhash(spark):
     assert {len(k) for k in keys.values()} == {line_hashes.BANDS}
     assert keys[6] == keys[2]
     assert set(keys[2]) & set(keys[4]) and set(keys[3]) & set(keys[5]) and not set(keys[2]) & set(keys[3])
+
+
+def edited_crowd(dice, n, most, length=40):
+    """Copies of one line with up to ``most`` words replaced: near the original, not all near each other."""
+    word = lambda: "".join(dice.choice("abcdefghijklmnop") for _ in range(dice.randrange(2, 9)))
+    base, others = [word() for _ in range(length)], [word() for _ in range(60)]
+    lines = [" ".join(base)]
+    for _ in range(n):
+        line = list(base)
+        for _ in range(dice.randrange(1, most)):
+            line[dice.randrange(length)] = dice.choice(others)
+        lines.append(" ".join(line))
+    return lines
+
+
+@pytest.mark.parametrize("cut", [0, 17])
+def test_blocks_of_a_crowd_equal_plain_sets(monkeypatch, cut):
+    monkeypatch.setattr(crowds, "COLUMNS", 64)
+    monkeypatch.setattr(crowds, "PAIRS", 100)
+    lines = [*edited_crowd(random.Random(11), 60, 9), "ab", "ab abc", "x" * 50]
+    sets = [{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in lines]
+    got = crowds.near(*line_hashes.shingle_hashes(lines, 5), cut)
+    if not cut:
+        np.fill_diagonal(got, True)
+    want = [[10 * len(a & b) >= 8 * len(a | b) for b in sets[cut:]] for a in sets[: cut or None]]
+    assert got.tolist() == want
+    if not cut:
+        assert groups(len(sets), crowds.forest(got)) == groups(len(sets), list(zip(*np.nonzero(got), strict=True)))
+
+
+@pytest.mark.parametrize("block", [1024, 40])
+def test_links_of_crowds_are_found_without_a_row_for_each_pair(spark, monkeypatch, block):
+    """A torn crowd: its members meet in blocks, only those of few sets as pairs; also over several blocks."""
+    asked = []
+
+    def check(pairs):
+        asked.append(pairs.count())
+        return line_hashes.with_similar_pairs(pairs, 5)
+
+    monkeypatch.setattr(crowds, "BLOCK", block)
+    lines = edited_crowd(random.Random(12), 200, 14)
+    texts = spark.createDataFrame(list(enumerate(lines)), "id long, norm string")
+    keyed = spark.range(len(lines)).selectExpr("id", "explode(array(1L, 2L + id % 100)) AS key")
+    found = jaccard.similar_links(keyed, lambda ids: texts.join(ids, "id"), check, lambda t: line_hashes.shingle_hashes(t, 5), "test")
+    got = [(r["src"], r["dst"]) for r in found.collect()]
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in lines]
+    near = [(a, b) for a in range(len(sets)) for b in range(a) if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    assert groups(len(sets), got) == groups(len(sets), near) and 10 < len(set(groups(len(sets), near))) < 190
+    assert set(map(frozenset, got)) <= set(map(frozenset, near))
+    # the small keys hold two or three members each
+    assert sum(asked) < 110
+
+
+def test_word_shingles_tell_the_same_sets_apart():
+    dice = random.Random(13)
+    texts = ["", "one", "one two three", "one two three four five", "é ü 日本"]
+    texts += [" ".join(dice.choice("abc") for _ in range(dice.randrange(1, 30))) for _ in range(40)]
+    hashes, counts = line_hashes.word_shingle_hashes(texts, 5)
+    ends = np.cumsum(counts)
+    got = [set(hashes[e - c : e].tolist()) for e, c in zip(ends, counts, strict=True)]
+    words = [t.split(" ") for t in texts]
+    plain = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
+    assert [[len(a & b) for b in got] for a in got] == [[len(a & b) for b in plain] for a in plain]
