@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import corpus_pipeline
 import numpy as np
 import pytest
 
@@ -305,3 +306,24 @@ def test_word_shingles_tell_the_same_sets_apart():
     words = [t.split(" ") for t in texts]
     plain = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
     assert [[len(a & b) for b in got] for a in got] == [[len(a & b) for b in plain] for a in plain]
+
+
+def test_near_dedup_of_the_pipeline_runs_over_links_of_both_kinds(spark):
+    dice = random.Random(14)
+    word = lambda: f"w{dice.randrange(5000)}"
+    drum = "the cat sat on mats " * 60
+    base = [word() for _ in range(100)]
+    texts = {
+        1: drum,
+        2: drum + "and a few words that no other text has",  # one fingerprint, shingles alike by less than 0.8
+        3: " ".join(base),
+        4: " ".join([*base, *(word() for _ in range(10))]),  # alike by 0.9, fingerprints apart
+        5: " ".join(word() for _ in range(100)),
+    }
+    rows = [*texts.items(), (None, "a text without an id, as long as some"), (5, " ".join(word() for _ in range(100)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect()]
+    assert sorted(kept, key=str) == [1, 3, 5, 5, None]
+    assert sorted(r["doc_id"] or 0 for r in near_texts.keep_one(docs).collect()) == [0, 1, 2, 3, 5, 5]
+    assert sorted(r["doc_id"] or 0 for r in simhash.keep_one(docs).collect()) == [0, 1, 3, 4, 5, 5]
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
